@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandmill.llm import mixture, url_filter, web_archive
+from strandmill.llm import license_scan, mixture, quality_rules, secret_scan, url_filter, web_archive
 
 #: The contract's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -17,6 +17,18 @@ def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back = web_archive.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -28,7 +40,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op8_warc, op10_mixing)}
+    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op4_secret_scans, op5_quality_rules, op8_warc, op10_mixing)}
 
 
 OP1_SQL = r"""
