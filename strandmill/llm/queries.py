@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandmill.llm import license_scan, mixture, near_join, quality_rules, secret_scan, url_filter, web_archive
+from strandmill.llm import license_scan, mixture, near_join, quality_rules, secret_scan, url_filter, vector_search, web_archive
 
 #: The contract's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -38,13 +38,18 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return vector_search.search(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixture.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op4_secret_scans, op5_quality_rules, op7_ngram_jaccard_join, op8_warc, op10_mixing)}
+    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op4_secret_scans, op5_quality_rules, op7_ngram_jaccard_join, op8_warc, op9_nearest_neighbours, op10_mixing)}
 
 
 OP1_SQL = r"""
