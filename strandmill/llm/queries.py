@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandmill.llm import license_scan, mixture, near_join, quality_rules, secret_scan, url_filter, vector_search, web_archive
+from strandmill.llm import language_id, license_scan, mixture, near_join, quality_rules, secret_scan, url_filter, vector_search, web_archive
 
 #: The contract's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -29,6 +29,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_join.join(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -49,7 +53,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op4_secret_scans, op5_quality_rules, op7_ngram_jaccard_join, op8_warc, op9_nearest_neighbours, op10_mixing)}
+    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op4_secret_scans, op5_quality_rules, op6_language_id, op7_ngram_jaccard_join, op8_warc, op9_nearest_neighbours, op10_mixing)}
 
 
 OP1_SQL = r"""
