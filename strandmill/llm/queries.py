@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from strandmill.llm import language_id, license_scan, mixture, near_join, quality_rules, secret_scan, url_filter, vector_search, web_archive
+from strandmill.llm import language_id, license_scan, mixture, near_join, piece_lattice, quality_rules, secret_scan, url_filter, vector_search, web_archive
 
 #: The contract's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -21,6 +22,11 @@ def op2_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = piece_lattice.encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), piece_lattice.Vocabulary.load())
+    return encoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "round_trip")
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.scan(spark.read.parquet(f"{sf_dir}/documents.parquet")))
 
@@ -53,7 +59,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op4_secret_scans, op5_quality_rules, op6_language_id, op7_ngram_jaccard_join, op8_warc, op9_nearest_neighbours, op10_mixing)}
+    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op3_sentencepiece, op4_secret_scans, op5_quality_rules, op6_language_id, op7_ngram_jaccard_join, op8_warc, op9_nearest_neighbours, op10_mixing)}
 
 
 OP1_SQL = r"""
