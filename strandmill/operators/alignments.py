@@ -48,8 +48,10 @@ def placed(cigar: Column, pos: Column, loose: bool = False) -> Column:
     return F.aggregate(operations(cigar), start, step, lambda a: a["out"])
 
 
-def cigar_signals(reads: DataFrame, least: int = 40) -> DataFrame:
-    """Deletions and insertions of at least least bases inside alignments; insertions carry their sequence."""
+def cigar_signals(reads: DataFrame, least: int = 40, shifted: bool = False) -> DataFrame:
+    """Deletions and insertions of at least least bases inside alignments; insertions carry their sequence
+    (shifted: without its first and last base, an older convention)."""
+    sequence = F.expr("substring(seq, o.query + 2, o.n - 2)" if shifted else "substring(seq, o.query + 1, o.n)")
     wanted = F.filter(placed(F.col("cigar"), F.col("pos")), lambda o: o["op"].isin("D", "I") & (o["n"] >= least))
     found = reads.withColumn("o", F.explode(wanted))
     deletion = F.col("o.op") == "D"
@@ -58,7 +60,7 @@ def cigar_signals(reads: DataFrame, least: int = 40) -> DataFrame:
     return found.select(
         F.col("rname").alias("chrom"), F.col("qname").alias("query_name"), F.col("o.ref").alias("start"), stop.alias("stop"), F.col("o.n").alias("sv_len"), F.col("mapq").alias("maq"),
         F.concat_ws("", "rname", F.lit(":"), "o.ref", F.lit("-"), stop, F.lit("_"), kind, F.lit("="), "o.n").alias("svid"), kind.alias("sv_type"),
-        F.when(deletion, "*").otherwise(F.expr("substring(seq, o.query + 1, o.n)")).alias("seq"),
+        F.when(deletion, "*").otherwise(sequence).alias("seq"),
     )
 
 

@@ -131,8 +131,9 @@ def probe_places(sv_type: Column, start: Column, size: Column) -> tuple[Column,
     return F.when(side, start - 70).otherwise(mid), F.when(side, start - 50).otherwise(mid + 20)
 
 
-def accept(clusters: DataFrame, rate: float = 0.1, more: float = 1.0) -> DataFrame:
-    """Clusters with support enough for their local depth (column depth, the probe's count; one is added), and rescued types."""
+def accept(clusters: DataFrame, rate: float = 0.1, more: float = 1.0, nreads: int | None = None) -> DataFrame:
+    """Clusters with support enough for their local depth (column depth, the probe's count; one is added), and rescued types;
+    with nreads also those of nreads - 1 reads at least."""
     depth, reads, size = F.col("depth") + 1, F.col("reads"), F.col("sv_len")
     main = reads >= depth * rate + more
     rescue = (
@@ -140,6 +141,8 @@ def accept(clusters: DataFrame, rate: float = 0.1, more: float = 1.0) -> DataFra
         | ((F.col("sv_type") == "DUP") & (size > 500) & (reads >= depth * rate * 0.5))
         | ((F.col("sv_type") == "INV") & (reads >= depth * rate * 0.5))
     )
+    if nreads is not None:
+        rescue = rescue | (reads >= nreads - 1)
     rescued = F.when(main, F.lit("main")).otherwise(F.lit("rescue"))
     return clusters.where((reads >= 2) & (main | rescue)).withColumns({"accepted": rescued, "sv_rate": reads / depth})
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandmill.functions.scalars import reverse_complement
 from strandmill.operators.intervals import overlap_join
@@ -64,11 +65,14 @@ def mirror(variants: DataFrame, inversions: DataFrame, ident: list[str], near: i
 
 def mirror_contained(variants: DataFrame, inversions: DataFrame, ident: list[str]) -> DataFrame:
     """Variants wholly in inversions, mirrored by each that holds their current place, in order of the inversions' start.
-    A variant's possible inversions are those that overlap it or any place that it can reach, so all of its
-    chromosome's that chain to it; they are folded in one array."""
-    inv = inversions.select("chrom", "start", "stop")
-    spans = inv.select("chrom", F.explode(F.array(F.struct("start", "stop"))).alias("s")).select("chrom", "s.start", "s.stop")
-    listed = overlap_join(variants.select(*ident, "chrom", "start", "stop"), spans).groupBy(*ident).agg(F.array_sort(F.collect_set(F.struct(F.col("r_start").alias("a"), F.col("r_stop").alias("b")))).alias("invs"))
+    A mirrored variant stays within its inversion, so only inversions that overlap in a chain can follow each
+    other: chains are islands of the inversions, and a variant is joined to the chain that it overlaps."""
+    before = Window.partitionBy("chrom").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    marked = inversions.select("chrom", "start", "stop").distinct().withColumn("__new", F.coalesce(F.col("start") > F.max("stop").over(before), F.lit(True)).cast("int"))
+    chained = marked.withColumn("chain", F.sum("__new").over(Window.partitionBy("chrom").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)))
+    chains = chained.groupBy("chrom", "chain").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.array_sort(F.collect_list(F.struct(F.col("start").alias("a"), F.col("stop").alias("b")))).alias("invs"))
+    inside = (F.col("start") >= F.col("r_start")) & (F.col("stop") <= F.col("r_stop"))
+    listed = overlap_join(variants.select(*ident, "chrom", "start", "stop"), chains, inside).select(*ident, F.col("r_invs").alias("invs"))
 
     def step(at: Column, i: Column) -> Column:
         low, high = mirrored(at["start"], at["stop"], i["a"], i["b"])

@@ -99,6 +99,21 @@ def test_mirror_twice_is_identity(spark):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, v.select("chrom", "start", "stop", "svid").collect()))
 
 
+def test_contained_mirrors_follow_each_other(spark):
+    draw = random.Random(8)
+    inv = sorted({(a := draw.randrange(0, 3000), a + draw.randrange(100, 1500)) for _ in range(12)})
+    rows = [("c", a := draw.randrange(0, 4000), a + draw.randrange(0, 200), k) for k in range(80)]
+    want = {}
+    for _, a, b, k in rows:
+        for x, y in inv:
+            if a >= x and b <= y:
+                a, b = x + y - b, x + y - a
+        want[k] = (a, b)
+    schema = "chrom string, start long, stop long"
+    got = nested.mirror_contained(spark.createDataFrame(rows, schema + ", k long"), spark.createDataFrame([("c", a, b) for a, b in inv], schema), ["k"])
+    assert {r["k"]: (r["start"], r["stop"]) for r in got.collect()} == want
+
+
 def test_reverse_complement_twice_is_identity(spark):
     df = spark.createDataFrame([("ACGTN",), ("",), (None,)], "s string")
     assert [r[0] for r in df.select(scalars.reverse_complement(scalars.reverse_complement(F.col("s")))).collect()] == ["ACGTN", "", None]
