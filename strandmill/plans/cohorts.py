@@ -345,12 +345,12 @@ def vcf_info_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(cte("sig", "cov") + """, p AS (SELECT svid, chrom, CAST(floor(start + i * (stop - start) / 7) AS BIGINT) AS pt FROM (SELECT *, unnest([1, 2, 3, 4, 5, 6]) AS i FROM sig WHERE sv_type = 'DEL' AND k4 % 3 = 0)),
-d AS (SELECT DISTINCT svid, chrom, pt FROM p), c AS (SELECT d.svid, d.pt, count(cov.read_id) AS n FROM d LEFT JOIN cov ON d.chrom = cov.chrom AND d.pt BETWEEN cov.start AND cov.stop GROUP BY ALL)
-SELECT svid, CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_points FROM c GROUP BY svid""")
+@query(cte("sig", "cov") + """, p AS (SELECT svid, stop, chrom, CAST(floor(start + i * (stop - start) / 7) AS BIGINT) AS pt FROM (SELECT *, unnest([1, 2, 3, 4, 5, 6]) AS i FROM sig WHERE sv_type = 'DEL' AND k4 % 3 = 0)),
+d AS (SELECT DISTINCT svid, stop, chrom, pt FROM p), c AS (SELECT d.svid, d.stop, d.pt, count(cov.read_id) AS n FROM d LEFT JOIN cov ON d.chrom = cov.chrom AND d.pt BETWEEN cov.start AND cov.stop GROUP BY ALL)
+SELECT svid, stop, CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_points FROM c GROUP BY svid, stop""")
 def zero_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sig(spark, sf_dir).where("sv_type = 'DEL' and k4 % 3 = 0")
-    return genotypes.uncovered_points(rows, spark_table(spark, sf_dir, "cov"), ["svid"]).select("svid", "empty_points")
+    rows = sig(spark, sf_dir).where("sv_type = 'DEL' and k4 % 3 = 0").select("svid", "chrom", "start", "stop").distinct()
+    return genotypes.uncovered_points(rows, spark_table(spark, sf_dir, "cov"), ["svid", "stop"]).select("svid", "stop", "empty_points")
 
 
 TOLERANCE_SQL = {

@@ -177,16 +177,18 @@ def sv_run_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.run_collapse(sig(spark, sf_dir), KEYS, ORDER)
 
 
-@query(cte("sig", "cov") + """, s AS (SELECT * FROM sig WHERE k2 = 4)
-SELECT s.k1, s.k2, s.k3, s.k4, count(cov.read_id) AS n FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND s.start <= cov.stop AND s.stop >= cov.start GROUP BY ALL""")
+@query(cte("sig", "cov") + """, s AS (SELECT DISTINCT k1, k2, k3, k4, chrom, start, stop FROM sig WHERE k2 = 4)
+SELECT s.k1, s.k2, s.k3, s.k4, s.start, s.stop, count(cov.read_id) AS n FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND s.start <= cov.stop AND s.stop >= cov.start GROUP BY ALL""")
 def sv_local_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.count_overlaps(sig(spark, sf_dir).where("k2 = 4"), spark_table(spark, sf_dir, "cov"), K).select(*K, "n")
+    rows = sig(spark, sf_dir).where("k2 = 4").select(*K, "chrom", "start", "stop").distinct()
+    return intervals.count_overlaps(rows, spark_table(spark, sf_dir, "cov"), [*K, "start", "stop"]).select(*K, "start", "stop", "n")
 
 
-@query(cte("sig", "cov") + """, s AS (SELECT * FROM sig WHERE k2 = 3)
-SELECT s.k1, s.k2, s.k3, s.k4, count(cov.read_id) AS n FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND cov.start <= s.start AND cov.stop >= s.stop GROUP BY ALL""")
+@query(cte("sig", "cov") + """, s AS (SELECT DISTINCT k1, k2, k3, k4, chrom, start, stop FROM sig WHERE k2 = 3)
+SELECT s.k1, s.k2, s.k3, s.k4, s.start, s.stop, count(cov.read_id) AS n FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND cov.start <= s.start AND cov.stop >= s.stop GROUP BY ALL""")
 def sv_containing_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return intervals.count_covering(sig(spark, sf_dir).where("k2 = 3"), spark_table(spark, sf_dir, "cov"), K).select(*K, "n")
+    rows = sig(spark, sf_dir).where("k2 = 3").select(*K, "chrom", "start", "stop").distinct()
+    return intervals.count_covering(rows, spark_table(spark, sf_dir, "cov"), [*K, "start", "stop"]).select(*K, "start", "stop", "n")
 
 
 @query(cte("sig", "cov") + """, s AS (SELECT *, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 70 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) END AS low, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 50 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) + 20 END AS high FROM sig WHERE k1 % 4 = 0),
