@@ -224,5 +224,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with one row of each class: that of its smallest id; of rows that repeat an id, one."""
-    kept = join(docs, id_col, text_col).where("doc_id <=> class_id").select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long").eqNullSafe(F.col("__id")), "left_semi").dropDuplicates([id_col])
+    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63)))
+    kept = join(docs, id_col, text_col).where("doc_id <=> class_id").select(key("doc_id").alias("__kept")).distinct()
+    keyed = docs.withColumn("__key", key(id_col))
+    # one dealing of the texts serves the join and the choice among repeated ids
+    return keyed.join(kept, F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"]).drop("__key")
