@@ -5,18 +5,18 @@ marks with the letters after them, marks with other characters after them, marks
 ends. That cut is right for vocabularies none of whose pieces has such a boundary inside, which is
 checked; others are cut before marks only.
 
-dictionary(): units of the corpus are counted, those of up to MAX_UNIT characters are exploded into
-substrings of bounded length, equi-joined to the piece table (broadcast; its size is the
-vocabulary's), grouped by unit into lattice edges, and folded with the higher-order aggregate. For a
-unigram model the fold is Viterbi. For a BPE model, whose encoding is not the best path of any sum of
-scores, Viterbi gives other ids than the model's own; there the fold merges: its state is the bit set
-of boundaries, and each step removes the boundary inside the best-scored edge that spans exactly two
-current pieces, the leftmost of equals. Characters without a piece become their UTF-8 bytes' pieces.
-
-encode(): the dictionary is packed into files of sorted digests and strings that each executor maps
-into memory, up to MAX_WORDS units, those with the highest counts; it is never held by the driver.
-Units beyond it, and units longer than MAX_UNIT, are encoded in the worker by the same rule from a
-heap, so ids don't depend on the bound.
+dictionary(): the corpus's frequent units are exploded into substrings of bounded length, equi-joined to
+the piece table (broadcast; its size is the vocabulary's), grouped by unit into lattice edges, and
+folded with the higher-order aggregate. For a unigram model the fold is Viterbi. For a BPE model,
+whose encoding is not the best path of any sum of scores, Viterbi gives other ids than the model's
+own; there the fold merges: its state is the bit set of boundaries, and each step removes the boundary
+inside the best-scored edge that spans exactly two current pieces, the leftmost of equals. Characters
+without a piece become their UTF-8 bytes' pieces.
+
+encode(): the dictionary, of MAX_WORDS units at most, is packed by the executors into files of sorted
+digests and strings that each executor maps into memory; the driver never holds it. Units beyond it,
+and units longer than MAX_UNIT, are encoded in the worker by the same rule from a heap, so ids don't
+depend on the bound. A lattice of all units would need no bound, but its rows don't fit the disk.
 
 Defined results: a null or empty text has no ids and decodes to an empty text (null stays null in
 ids); repeated rows are encoded each; a text that itself has U+2581 decodes to spaces there; special
@@ -26,6 +26,7 @@ pieces' strings in a text are ordinary text.
 from __future__ import annotations
 
 import heapq
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,7 +43,10 @@ from strandmill.llm.shared import cut, fresh_path
 
 MARK = "\u2581"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_UNIT, MAX_WORDS, PARTS, CACHE = 48, 1_500_000, 4, 300_000
+MAX_UNIT, MAX_WORDS, EACH, PARTS, CACHE = 48, 250_000, 200_000, 16, 300_000
+LATTICE_TASKS, SHORT = 24, 40
+#: Spark's xxhash64 of a string is XXH64 of its bytes with this seed, so both sides deal units to the same part.
+SEED = 42
 FINE = rf"{MARK}*\p{{L}}+|{MARK}*[^{MARK}\p{{L}}0-9\n]+|{MARK}+|[0-9]|\n"
 COARSE = rf"{MARK}*[^{MARK}]+|{MARK}+"
 
@@ -54,6 +58,7 @@ class Vocabulary:
         self.pieces, self.byte_ids, self.unknown, self.kind = pieces, byte_ids, unknown, kind
         self.longest = max((len(p) for p, _, _ in pieces), default=1)
         self.by_text = {p: (i, s) for p, i, s in pieces}
+        self.scores = {p: s for p, _, s in pieces}
         self.floor = min((s for _, _, s in pieces), default=0.0) - 10
         self.pattern = FINE if self._fine() else COARSE
         self.bytes_of = {i: p.replace(MARK, " ").encode() for p, i, _ in pieces} | {i: bytes([b]) for b, i in byte_ids.items()} | {i: b"" for i in specials}
@@ -81,7 +86,28 @@ class Vocabulary:
 
     def encode_unit(self, unit: str) -> list[int]:
         """Ids of one unit of any length."""
-        return self._merge(unit) if self.kind == "bpe" else self._viterbi(unit)
+        if self.kind != "bpe":
+            return self._viterbi(unit)
+        return self._merge_short(unit) if len(unit) <= SHORT else self._merge(unit)
+
+    def _merge_short(self, unit: str) -> list[int]:
+        """Merging with a list of adjacent pairs' scores, quicker than a heap for a few characters."""
+        get, none = self.scores.get, -np.inf
+        parts = list(unit)
+        pairs = [get(a + b, none) for a, b in zip(parts, parts[1:])]
+        while pairs and (best := max(pairs)) > none:
+            k = pairs.index(best)
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+            del pairs[k]
+            if k:
+                pairs[k - 1] = get(parts[k - 1] + parts[k], none)
+            if k < len(pairs):
+                pairs[k] = get(parts[k] + parts[k + 1], none)
+        out: list[int] = []
+        for piece in parts:
+            hit = self.by_text.get(piece)
+            out += [hit[0]] if hit else self.fallback(piece)
+        return out
 
     def _merge(self, unit: str) -> list[int]:
         n = len(unit)
@@ -139,11 +165,6 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
-def units(text: Column, vocabulary: Vocabulary) -> Column:
-    marked = F.concat(F.lit(MARK), F.replace(text, F.lit(" "), F.lit(MARK)))
-    return F.when(F.length(text) > 0, F.regexp_extract_all(marked, F.lit(vocabulary.pattern), F.lit(0)))
-
-
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """words: unit. Returns unit and edges: array of (score, start, stop, id, ends, inner) of the unit's substrings that are
     pieces, single characters without a piece with id null; best score first, then the leftmost."""
@@ -211,19 +232,41 @@ def with_ids(edged: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     return edged.select("unit", path.alias("path")).select("unit", ids.alias("ids"))
 
 
+def frequent_units(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", each: int = EACH) -> DataFrame:
+    """unit, n: units of up to MAX_UNIT characters that partitions have twice at least, each partition's `each`
+    most frequent, with the sums of their counts. Partitions count all of their units; from 2 * each units on,
+    those seen once since the last time go, so memory is bounded (lossy counting)."""
+    schema = pa.schema([("unit", pa.string()), ("n", pa.int64())])
+
+    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut_up, counts = regex.compile(vocabulary.pattern), Counter()
+        for table in tables:
+            for text in table["text"].to_pylist():
+                if text:
+                    counts.update(cut_up.findall(MARK + text.replace(" ", MARK)))
+                    if len(counts) > 2 * each:
+                        counts = Counter({u: n for u, n in counts.items() if n > 1})
+                        if len(counts) > each:
+                            counts = Counter(dict(counts.most_common(each)))
+        top = [(u, n) for u, n in counts.most_common(each) if n > 1 and len(u) <= MAX_UNIT]
+        yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], schema=schema)
+
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "unit string, n long")
+    return found.groupBy("unit").agg(F.sum("n").alias("n"))
+
+
 def dictionary(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", most: int = MAX_WORDS) -> DataFrame:
-    """unit, ids of the corpus's units of up to MAX_UNIT characters; with more than most of them, those
-    counted at least as often as the lowest count that keeps within most."""
-    counted = docs.select(F.explode(units(F.col(text_col), vocabulary)).alias("unit")).where(F.length("unit") <= MAX_UNIT).groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
-    counted = cut(counted)
-    least = counted.groupBy(F.least("n", F.lit(1000)).alias("n")).agg(F.count(F.lit(1)).alias("units")).collect()
-    total, floor = 0, 1001
-    for row in sorted(least, key=lambda r: -r["n"]):
+    """unit, ids of the corpus's frequent units, at most `most`: those counted at least as often as the lowest
+    count that keeps within it."""
+    counted = cut(frequent_units(docs, vocabulary, text_col))
+    by_count = counted.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("units")).collect()
+    total, floor = 0, 100_001
+    for row in sorted(by_count, key=lambda r: -r["n"]):
         total += row["units"]
         if total > most:
             break
         floor = row["n"]
-    words = counted.where(F.col("n") >= floor).select("unit").repartition("unit")
+    words = counted.where(F.col("n") >= floor).select("unit").repartition(LATTICE_TASKS, "unit")
     return with_ids(lattice(words, vocabulary), vocabulary)
 
 
@@ -240,7 +283,7 @@ class UnitFile:
 
     @staticmethod
     def pack(rows: list[tuple[str, list[int]]]) -> bytes:
-        keyed = sorted((xxhash.xxh64_intdigest(u), u, i) for u, i in ((u.encode(), i) for u, i in rows))
+        keyed = sorted((xxhash.xxh64_intdigest(u, SEED), u, i) for u, i in ((u.encode(), i) for u, i in rows))
         parts = [
             np.array([d for d, _, _ in keyed], np.uint64), np.concatenate([[0], np.cumsum([len(u) for _, u, _ in keyed])]).astype(np.int64),
             np.concatenate([[0], np.cumsum([len(i) for _, _, i in keyed])]).astype(np.int64), np.array([x for _, _, i in keyed for x in i], np.int32),
@@ -295,39 +338,47 @@ def ship(words: DataFrame) -> list[str]:
 
 
 class Encoder:
-    """Encodes texts in a worker from the shipped dictionary; remembers up to CACHE units."""
+    """Encodes texts in a worker from the shipped dictionary; remembers its units and up to CACHE others."""
 
     def __init__(self, vocabulary: Vocabulary, names: list[str]):
         self.v, self.pattern = vocabulary, regex.compile(vocabulary.pattern)
-        self.files = [UnitFile(SparkFiles.get(n)) for n in names if n]
+        self.files = [UnitFile(SparkFiles.get(n)) if n else None for n in names]
+        self.frequent: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
+        self.lossy: set[str] = set()
 
     def cut(self, text: str) -> list[str]:
         return self.pattern.findall(MARK + text.replace(" ", MARK)) if text else []
 
     def learn(self, wanted: set[str]) -> None:
-        if len(self.known) > CACHE:
-            self.known.clear()
+        if len(self.known) > CACHE + len(self.frequent):
+            self.known = dict(self.frequent)
         new = [u for u in wanted if u not in self.known]
-        rest = new
-        for file in self.files:
-            keys = [u.encode("utf-8", "replace") for u in rest]
-            digests = np.fromiter(map(xxhash.xxh64_intdigest, keys), np.uint64, len(keys))
-            missed = []
-            for u, hit in zip(rest, file.find(digests, keys)):
-                if hit is None:
-                    missed.append(u)
-                else:
-                    self.known[u] = hit
-            rest = missed
-        for u in rest:
-            self.known[u] = np.array(self.v.encode_unit(u), np.int32).tobytes()
-
-    def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
+        keys = [u.encode("utf-8", "replace") for u in new]
+        digests = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in keys), np.uint64, len(keys))
+        part = digests.view(np.int64) % max(1, len(self.files))
+        for k, file in enumerate(self.files):
+            at = np.flatnonzero(part == k)
+            if file is not None and len(at):
+                for x, hit in zip(at.tolist(), file.find(digests[at], [keys[x] for x in at])):
+                    if hit is not None:
+                        self.known[new[x]] = self.frequent[new[x]] = hit
+        for u in new:
+            if u not in self.known:
+                self.known[u] = np.array(self.v.encode_unit(u), np.int32).tobytes()
+        piece = self.v.bytes_of.__getitem__
+        for u in new:
+            if b"".join(map(piece, np.frombuffer(self.known[u], np.int32).tolist())) != u.replace(MARK, " ").encode("utf-8", "replace"):
+                self.lossy.add(u)
+
+    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray | None], list[bool | None]]:
+        """Ids of each text, and whether they decode to it: whether its units' ids do, the text being its units'
+        concatenation with spaces for marks, and no mark of its own."""
         parts = [self.cut(t) if t else [] for t in texts]
         self.learn(set().union(*parts))
         get = self.known.__getitem__
-        return [None if t is None else np.frombuffer(b"".join(map(get, p)), np.int32) for t, p in zip(texts, parts)]
+        ids = [None if t is None else np.frombuffer(b"".join(map(get, p)), np.int32) for t, p in zip(texts, parts)]
+        return ids, [None if t is None else MARK not in t and (not self.lossy or self.lossy.isdisjoint(p)) for t, p in zip(texts, parts)]
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), names: list[str] | None = None, most: int = MAX_WORDS) -> DataFrame:
@@ -340,9 +391,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", keep
         for whole in tables:
             for low in range(0, whole.num_rows, 64):
                 batch = whole.slice(low, 64)
-                texts = batch["text"].to_pylist()
-                ids = encoder.encode(texts)
-                same = [None if t is None else encoder.v.decode(i.tolist()) == t for t, i in zip(texts, ids)]
+                ids, same = encoder.encode(batch["text"].to_pylist())
                 yield pa.RecordBatch.from_arrays([batch["row"], pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], ["row", "ids", "round_trip"])
 
     schema = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])

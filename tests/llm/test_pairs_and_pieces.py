@@ -154,6 +154,16 @@ def test_unigram_fold_is_the_best_path(spark):
         assert sum(score[i] for i in r["ids"]) == pytest.approx(best[len(w)]), w
 
 
+def test_shipped_units_are_found(spark):
+    vocabulary = piece_lattice.Vocabulary.load()
+    docs = spark.createDataFrame([(1, "the cat the cat sat on the mat, the mat 7 7\n")] * 3, "doc_id long, text string")
+    words = piece_lattice.dictionary(docs, vocabulary)
+    encoder = piece_lattice.Encoder(vocabulary, piece_lattice.ship(words))
+    encoder.encode([r["text"] for r in docs.collect()])
+    assert set(encoder.frequent) == {r["unit"] for r in words.collect()} and len(encoder.frequent) >= 5
+    assert all(np.frombuffer(ids, np.int32).tolist() == vocabulary.encode_unit(u) for u, ids in encoder.frequent.items())
+
+
 def test_encoding_of_no_rows(spark):
     assert piece_lattice.encode(spark.createDataFrame([], "doc_id long, text string"), piece_lattice.Vocabulary.load()).collect() == []
 
