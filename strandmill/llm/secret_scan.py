@@ -2,7 +2,10 @@
 
 Novelty of a candidate: the bytes that zstandard adds for it when its dictionary is primed with the
 identifier dictionary and the code or text around the candidate, over the candidate's length. Prose,
-paths, identifiers and repeats are shortened by the primed dictionary; a key is not.
+paths, identifiers and repeats are shortened by the primed dictionary; a key is not. A candidate over
+WINDOW characters is cut evenly into windows, each primed with what precedes it in the candidate too,
+and is as novel as its most novel window: zstandard codes longer literals by their alphabet, which
+would shorten any key.
 
 Defined results: a null text is empty and has no spans; texts are scanned whole; spans are in code
 points, end exclusive; repeated rows are scanned each. A text that no pattern and no sensitive word
@@ -29,10 +32,13 @@ KINDS = ["assign", "access", "hex", "novel"]
 #: Words that make what follows within REACH characters sensitive.
 SENSITIVE = r"(?:passw(?:or)?d|pwd|secret|token|api[_-]?key|credential|private[_-]?key|access[_-]?key|signing[_-]?key|authorization|bearer)"
 CONTEXT = re.compile(SENSITIVE, re.I | re.A)
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=.-]{20,}")
+LEAST_CHARS = 20
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST_CHARS},}}")
 REACH = 48
 AROUND = 400
 LEAST_NOVELTY = 0.9
+#: zstandard keeps literals of fewer than 64 bytes as they are. Of a candidate, its last BEFORE characters prime a window.
+WINDOW, BEFORE = 63, 4096
 #: Identifiers that code and configuration share; primes the compressor.
 IDENTIFIERS = (
     "password username token secret api_key access_key client_id client_secret authorization bearer private_key "
@@ -55,6 +61,13 @@ def novelty(candidate: str, around: str) -> float:
     return (len(packer.compress(data)) - len(packer.compress(b""))) / len(data)
 
 
+def is_novel(candidate: str, around: str) -> bool:
+    """Whether a window of the candidate reaches LEAST_NOVELTY."""
+    n = -(-len(candidate) // WINDOW)
+    cuts = [len(candidate) * k // n for k in range(n + 1)]
+    return any(novelty(candidate[a:b], around + candidate[max(0, a - BEFORE) : a]) >= LEAST_NOVELTY for a, b in zip(cuts, cuts[1:]))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) of the base patterns' matches."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
@@ -64,25 +77,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def novel_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Incompressible strings that follow a sensitive word and that no base span touches."""
+    """Incompressible strings that follow a sensitive word and of which base spans leave LEAST_CHARS characters or more."""
     found: list[tuple[int, int, int]] = []
     at, last = 0, -1
     ordered = sorted((s, e) for s, _, e in taken)
     for word in CONTEXT.finditer(text):
         end = word.end()
-        for m in CANDIDATE.finditer(text, max(end, last), min(len(text), end + REACH + 4096)):
-            if m.start() - end > REACH:
-                break
+        # the first LEAST_CHARS characters place a candidate, which then runs to its own end
+        while m := CANDIDATE.search(text, max(end, last), end + REACH + LEAST_CHARS):
+            m = CANDIDATE.match(text, m.start())
             start, stop = m.span()
             last = stop
             while at < len(ordered) and ordered[at][1] <= start:
                 at += 1
-            if at < len(ordered) and ordered[at][0] < stop:
+            free, left, k = 0, start, at
+            while k < len(ordered) and ordered[k][0] < stop:
+                free, left, k = free + max(0, ordered[k][0] - left), max(left, ordered[k][1]), k + 1
+            if free + max(0, stop - left) < LEAST_CHARS:
                 continue
             token = m[0]
             if not (re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token)):
                 continue
-            if novelty(token, text[max(0, start - AROUND) : start] + text[stop : stop + AROUND]) >= LEAST_NOVELTY:
+            if is_novel(token, text[max(0, start - AROUND) : start] + text[stop : stop + AROUND]):
                 found.append((start, 3, stop))
     return found
 

@@ -1,7 +1,9 @@
 """Licence, secret and quality operators against plain Python on whole texts."""
 
 import hashlib
+import random
 import re
+import string
 from collections import Counter
 
 import pytest
@@ -102,6 +104,22 @@ def test_novelty_tells_keys_from_prose():
     assert secret_scan.scan_text(f"plain {key} end") == []
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789ABCDEF", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", string.ascii_letters + string.digits + "+/"])
+@pytest.mark.parametrize("size", [40, 64, 300, 1000, 6000])
+def test_keys_of_any_length_are_found_whole(alphabet, size):
+    draw = random.Random(size)
+    for word in ("private_key", "bearer", "credential"):
+        key = "A1" + "".join(draw.choices(alphabet, k=size - 2))
+        text = f"the {word} is {key} end"
+        assert (text.index(key), 3, text.index(key) + size) in secret_scan.scan_text(text)
+
+
+def test_long_repeats_and_known_words_are_no_keys():
+    for token in ("configuration_manager_user_name_1/" * 9, "xy1" * 200, "abcdefghijklmnopqrstuvwxyz0123456789" * 4):
+        spans = secret_scan.scan_text(f"configuration manager user name configuration_manager_user_name_1/ xy1xy1 credential {token} end")
+        assert not [x for x in spans if x[1] == 3]
+
+
 def test_redaction_leaves_clean_rows_alone(docs):
     before = {(r["doc_id"], r["text"]) for r in docs.collect()}
     after = secret_scan.redact(docs)
