@@ -5,7 +5,8 @@ identifier dictionary and the code or text around the candidate, over the candid
 paths, identifiers and repeats are shortened by the primed dictionary; a key is not. A candidate over
 WINDOW characters is cut evenly into windows, each primed with what precedes it in the candidate too,
 and is as novel as its most novel window: zstandard codes longer literals by their alphabet, which
-would shorten any key.
+would shorten any key. Copies of the candidate, and of long parts of it, never prime the compressor,
+and every run of the text that equals a novel candidate has its verdict.
 
 Defined results: a null text is empty and has no spans; texts are scanned whole; spans are in code
 points, end exclusive; repeated rows are scanned each. A text that no pattern and no sensitive word
@@ -34,6 +35,7 @@ SENSITIVE = r"(?:passw(?:or)?d|pwd|secret|token|api[_-]?key|credential|private[_
 CONTEXT = re.compile(SENSITIVE, re.I | re.A)
 LEAST_CHARS = 20
 CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST_CHARS},}}")
+PART = re.compile(r"[A-Za-z0-9]{16,}")
 REACH = 48
 AROUND = 400
 LEAST_NOVELTY = 0.9
@@ -68,6 +70,20 @@ def is_novel(candidate: str, around: str) -> bool:
     return any(novelty(candidate[a:b], around + candidate[max(0, a - BEFORE) : a]) >= LEAST_NOVELTY for a, b in zip(cuts, cuts[1:]))
 
 
+def surroundings(text: str, start: int, stop: int) -> str:
+    """AROUND characters on both sides of a candidate, copies of it and of its long mixed parts blanked."""
+    token = text[start:stop]
+    far = AROUND + len(token)  # a copy that the cut at AROUND would split is seen whole
+    left, right = text[max(0, start - far) : start], text[stop : stop + far]
+    for part in (token, *(p for p in PART.findall(token) if mixed(p))):
+        left, right = left.replace(part, " " * len(part)), right.replace(part, " " * len(part))
+    return left[-AROUND:] + right[:AROUND]
+
+
+def mixed(token: str) -> bool:
+    return bool(re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token))
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind's number, end) of the base patterns' matches."""
     found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 12]
@@ -78,29 +94,43 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 def novel_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Incompressible strings that follow a sensitive word and of which base spans leave LEAST_CHARS characters or more."""
-    found: list[tuple[int, int, int]] = []
-    at, last = 0, -1
     ordered = sorted((s, e) for s, _, e in taken)
+    at, last = 0, -1
+    tried: dict[tuple[int, int], str] = {}
+    novel: set[str] = set()
+
+    def unclaimed(start: int, stop: int) -> bool:
+        nonlocal at
+        while at < len(ordered) and ordered[at][1] <= start:
+            at += 1
+        free, left, k = 0, start, at
+        while k < len(ordered) and ordered[k][0] < stop:
+            free, left, k = free + max(0, ordered[k][0] - left), max(left, ordered[k][1]), k + 1
+        return free + max(0, stop - left) >= LEAST_CHARS
+
     for word in CONTEXT.finditer(text):
         end = word.end()
         # the first LEAST_CHARS characters place a candidate, which then runs to its own end
         while m := CANDIDATE.search(text, max(end, last), end + REACH + LEAST_CHARS):
             m = CANDIDATE.match(text, m.start())
-            start, stop = m.span()
-            last = stop
-            while at < len(ordered) and ordered[at][1] <= start:
-                at += 1
-            free, left, k = 0, start, at
-            while k < len(ordered) and ordered[k][0] < stop:
-                free, left, k = free + max(0, ordered[k][0] - left), max(left, ordered[k][1]), k + 1
-            if free + max(0, stop - left) < LEAST_CHARS:
-                continue
+            start, last = m.span()
             token = m[0]
-            if not (re.search(r"[0-9]", token) and re.search(r"[A-Za-z]", token)):
-                continue
-            if is_novel(token, text[max(0, start - AROUND) : start] + text[stop : stop + AROUND]):
-                found.append((start, 3, stop))
-    return found
+            if unclaimed(start, last) and mixed(token):
+                tried[start, last] = token
+                if token not in novel and is_novel(token, surroundings(text, start, last)):
+                    novel.add(token)
+    if not novel:
+        return []
+    found = {span for span, token in tried.items() if token in novel}
+    at, last = 0, -1
+    near = sorted(found)
+    k = 0
+    for m in CANDIDATE.finditer(text):
+        while k < len(near) and near[k][1] <= m.start():
+            k += 1
+        if m[0] in novel and (k == len(near) or near[k][0] >= m.end()) and unclaimed(*m.span()):
+            found.add(m.span())
+    return [(start, 3, stop) for start, stop in sorted(found)]
 
 
 def scan_text(text: str | None) -> list[tuple[int, int, int]]:

@@ -114,6 +114,23 @@ def test_keys_of_any_length_are_found_whole(alphabet, size):
         assert (text.index(key), 3, text.index(key) + size) in secret_scan.scan_text(text)
 
 
+@pytest.mark.parametrize("other", ["{k}", "={k}", "id={k}", "/{k}.", "{k}=="])
+@pytest.mark.parametrize("gap", [1, 200, 380, 400])
+def test_copies_do_not_hide_a_key(other, gap):
+    key = "Zx91kQpT7vLm3RdW8sYhB2nCq5Jf6GtA0uEoXi4N"
+    text = f"the credential {key} " + "w " * (gap // 2) + f"bearer {other.format(k=key)} end"
+    spans = [text[s:e] for s, k, e in secret_scan.scan_text(text) if k == 3]
+    assert len(spans) == 2 and all(key in x for x in spans)
+
+
+def test_every_copy_of_a_key_is_found(spark):
+    key = "Zx91kQpT7vLm3RdW8sYhB2nCq5Jf6GtA0uEoXi4N"
+    text = f"{key} stands first, " + "some words " * 60 + f"credential {key}\n" * 30 + f"and {key}"
+    assert [(s, e) for s, _, e in secret_scan.scan_text(text)] == [m.span() for m in re.finditer(key, text)]
+    clean = secret_scan.redact(spark.createDataFrame([(1, text)], "doc_id long, text string")).head()["text"]
+    assert key not in clean and clean.count("[SECRET]") == 32
+
+
 def test_long_repeats_and_known_words_are_no_keys():
     for token in ("configuration_manager_user_name_1/" * 9, "xy1" * 200, "abcdefghijklmnopqrstuvwxyz0123456789" * 4):
         spans = secret_scan.scan_text(f"configuration manager user name configuration_manager_user_name_1/ xy1xy1 credential {token} end")
