@@ -10,7 +10,8 @@ among the links it saw, never pairs; the roots make the classes.
 
 Defined results: a null, empty or blank text has no shingles and links to nothing; exact copies
 always link; the class id is the smallest doc_id of the class; n_links counts the other rows that a
-row links to, copies included; repeated rows are copies; a null doc_id keeps its class's id.
+row links to, copies included; repeated rows are copies; a null doc_id keeps its class's id. Where one row
+of each class is kept, rows are told apart by id and text, so null and repeated ids lose no class.
 """
 
 from __future__ import annotations
@@ -22,11 +23,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.llm.components import connected
-from strandmill.llm.shared import cut
+from strandmill.llm.shared import SPACE, cut
 
 GRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 192
 #: Nodes of a block, and hashes handled at a time.
@@ -83,18 +84,24 @@ class Shingler:
         return self.mixed(total)
 
 
-def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """doc_id, n (distinct shingles), key (128-bit hash of the set), bands (hashes)."""
+def marks(text_col: str) -> dict[str, Column]:
+    """Two 64-bit hashes of a text, which with its id name a row."""
+    return {"mark": F.xxhash64(text_col), "mark2": F.xxhash64(F.lit(2), text_col)}
+
+
+def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL, marked: bool = False) -> DataFrame:
+    """doc_id, n (distinct shingles), key (128-bit hash of the set), bands (hashes); if marked the text's marks too."""
     bands, rows = choose_bands(threshold, recall)
     draw = np.random.default_rng(20240607)
     a = draw.integers(0, 1 << 63, bands * rows, np.uint64) * np.uint64(2) + np.uint64(1)
     b = draw.integers(0, 1 << 63, bands * rows, np.uint64)
-    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("bands", pa.list_(pa.int64()))])
+    named = list(marks(text_col)) if marked else []
+    schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("key", pa.binary()), ("bands", pa.list_(pa.int64())), *[(c, pa.int64()) for c in named]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(gram)
 
-        def flush(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        def flush(ids: list, sets: list[np.ndarray], rest: list[pa.Array]) -> pa.RecordBatch:
             sizes = np.array([len(s) for s in sets])
             keys = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
             full = np.flatnonzero(sizes)
@@ -112,22 +119,23 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 folded = Shingler.mixed(folded + np.arange(1, bands + 1, dtype=np.uint64) * _MIX).view(np.int64)
                 for at, k in enumerate(full.tolist()):
                     lists[k] = folded[at]
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64()))], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int32()), pa.array(keys, pa.binary()), pa.array(lists, pa.list_(pa.int64())), *rest], schema=schema)
 
         for batch in batches:
-            ids, sets, total = [], [], 0
+            ids, sets, total, done = [], [], 0, 0
+            rest = lambda: [batch[c].slice(done, len(ids)) for c in named]  # noqa: B023, E731
             for i, text in zip(batch["doc_id"].to_pylist(), batch["text"]):
                 ids.append(i)
                 sets.append(np.unique(shingler.shingles(text.as_py())))
                 total += len(sets[-1])
                 if total >= CHUNK:
-                    yield flush(ids, sets)
-                    ids, sets, total = [], [], 0
+                    yield flush(ids, sets, rest())
+                    ids, sets, total, done = [], [], 0, done + len(ids)
             if ids:
-                yield flush(ids, sets)
+                yield flush(ids, sets, rest())
 
-    rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    return rows_in.mapInArrow(run, "doc_id long, n int, key binary, bands array<long>")
+    rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *[c.alias(n) for n, c in marks(text_col).items() if marked])
+    return rows_in.mapInArrow(run, ", ".join(["doc_id long, n int, key binary, bands array<long>", *[f"{c} long" for c in named]]))
 
 
 def _sets(docs: DataFrame, gram: int) -> DataFrame:
@@ -193,16 +201,17 @@ def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
     return pd.concat(out) if out else pd.DataFrame({"key": [], "links": np.array([], np.int64), "to": []})
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
-    """One row per input row: doc_id, class_id, n_links."""
-    sigs = cut(signatures(docs, id_col, text_col, gram, threshold, recall))
-    keys = cut(sigs.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")))
+def linked(docs: DataFrame, id_col: str, text_col: str, gram: int, threshold: float, recall: float, marked: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The signatures, and the nodes: key, root (their class), rep, copies, links; if marked the first row of each, by id and marks."""
+    sigs = cut(signatures(docs, id_col, text_col, gram, threshold, recall, marked))
+    first = [F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *marks(text_col))).alias("first")] if marked else []
+    keys = cut(sigs.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), *first))
     banded = sigs.join(keys.select(F.col("key").alias("k"), "rep"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", F.explode("bands").alias("band"))
     leaders = banded.groupBy("band").agg(F.min("key").alias("leader"), F.max("key").alias("last")).where("leader <> last").drop("last")
     candidates = banded.join(leaders, "band").where("key <> leader").select(F.col("key").alias("u"), F.col("leader").alias("v"))
     comps = cut(connected(candidates))
     sizes = comps.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = comps.join(sizes, "root").withColumnRenamed("root", "comp").join(keys, F.col("node") == F.col("key")).drop("node")
+    members = comps.join(sizes, "root").withColumnRenamed("root", "comp").join(keys.drop("first"), F.col("node") == F.col("key")).drop("node")
     members = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     wanted = members.select("rep").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
@@ -217,15 +226,26 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram:
     classes = connected(seen.select(F.col("key").alias("u"), F.col("to").alias("v")))
     linked = seen.groupBy("key").agg(F.sum("links").alias("links"))
     nodes = keys.join(linked, "key", "left").join(classes, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node")
+    return sigs, nodes
+
+
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """One row per input row: doc_id, class_id, n_links."""
+    sigs, nodes = linked(docs, id_col, text_col, gram, threshold, recall)
     named = nodes.groupBy("root").agg(F.min("rep").alias("class_id"))
     nodes = nodes.join(named, "root").select(F.col("key").alias("k"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return sigs.select("doc_id", "key").join(nodes, F.col("key") == F.col("k"), "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class: that of its smallest id; of rows that repeat an id, one."""
-    key = lambda c: F.coalesce(F.col(c).cast("long"), F.lit(-(1 << 63)))
-    kept = join(docs, id_col, text_col).where("doc_id <=> class_id").select(key("doc_id").alias("__kept")).distinct()
-    keyed = docs.withColumn("__key", key(id_col))
-    # one dealing of the texts serves the join and the choice among repeated ids
-    return keyed.join(kept, F.col("__key") == F.col("__kept"), "left_semi").dropDuplicates(["__key"]).drop("__key")
+    """docs with one row of each class: that of its smallest id, null ids last, then of the smallest hash of the text.
+    A text without words is a class of its own, so every such row stays."""
+    _, nodes = linked(docs, id_col, text_col, GRAM, THRESHOLD, RECALL, True)
+    kept = nodes.groupBy("root").agg(F.min("first").alias("w")).select(F.col("w.none").alias("__k0"), F.coalesce("w.doc_id", F.lit(0)).alias("__k1"), F.col("w.mark").alias("__k2"), F.col("w.mark2").alias("__k3"))
+    worded = F.coalesce(F.col(text_col).rlike(rf"[^{SPACE}]"), F.lit(False))
+    number = F.col(id_col).cast("long")
+    names = ["__r0", "__r1", "__r2", "__r3"]
+    keyed = docs.where(worded).withColumns(dict(zip(names, [number.isNull(), F.coalesce(number, F.lit(0)), *marks(text_col).values()])))
+    # one dealing of the texts serves the join and the choice among rows of the same id and text
+    chosen = keyed.join(kept, [F.col(r) == F.col(r.replace("r", "k")) for r in names], "left_semi").dropDuplicates(names).drop(*names)
+    return chosen.unionByName(docs.where(~worded))

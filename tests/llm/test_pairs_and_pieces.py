@@ -66,6 +66,26 @@ def test_keep_one_of_each_class(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({c for _, c, _ in brute_classes(rows)})
 
 
+@pytest.mark.parametrize("ids", ["null", "repeated"])
+def test_keep_one_loses_no_class_to_its_ids(spark, ids):
+    rows = near_rows(5, 20)
+    name = {"null": lambda k: None, "repeated": lambda k: k % 3}[ids]
+    classes = {}
+    for k, (_, c, _) in enumerate(brute_classes([(k, t) for k, (_, t) in enumerate(rows)])):
+        classes.setdefault(c, []).append(rows[k][1])
+    kept = near_join.keep_one(spark.createDataFrame([(name(k), t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")).collect()
+    assert len(kept) == len(classes)
+    for members in classes.values():
+        assert sum(r["text"] in members for r in kept) == (1 if (members[0] or "").split() else sum(not (r["text"] or "").split() and r["text"] in members for r in kept)) >= 1
+
+
+def test_keep_one_of_a_clean_text_under_a_copied_id(spark):
+    a, b = (" ".join(f"{x}{k}" for k in range(40)) for x in "ab")
+    rows = [(5, a), (5, b), (6, a), (7, a), (None, " "), (None, " ")]
+    kept = near_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(5, a), (5, b), (None, " "), (None, " ")], key=str)
+
+
 def test_join_of_no_rows(spark):
     assert near_join.join(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
