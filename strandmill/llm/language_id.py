@@ -3,9 +3,9 @@
 The network reads windows of WINDOW bytes of the UTF-8 text in both directions, each from a zero
 state, and gives every position probabilities of the languages; a document's probabilities are the
 mean over all its positions, of all its windows. It is trained on the driver by backpropagation
-through time on a bounded sample of labelled rows (SAMPLE_DOCS documents a language, PIECES pieces of
-PIECE_CHARS characters each, chosen by hash), of at most MAX_LANGUAGES languages; prediction covers
-whole texts of all rows and sees nothing but the text.
+through time on a bounded sample of labelled rows (SAMPLE_DOCS documents a language, fewer, one at
+least, of more than FULL_LANGUAGES languages; PIECES pieces of PIECE_CHARS characters each, chosen by
+hash), of every language; prediction covers whole texts of all rows and sees nothing but the text.
 
 Defined results: a null text or one without a letter is "und" with score 0, as is every text if there
 are no labelled rows; a null id counts as not held out and isn't learned from; ties go to the
@@ -22,7 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-SAMPLE_DOCS, PIECES, PIECE_CHARS, MAX_LANGUAGES = 256, 4, 160, 64
+from strandmill.llm.shared import cut
+
+SAMPLE_DOCS, PIECES, PIECE_CHARS, FULL_LANGUAGES = 256, 4, 160, 64
 HIDDEN, WINDOW, ROWS = 8, 128, 1024
 EPOCHS, BATCH, RATE, TRAIN_WINDOW = 5, 128, 0.02, 64
 HELD = 1
@@ -157,16 +159,17 @@ def train(texts: list[bytes], labels: list[str], epochs: int = EPOCHS, seed: int
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
     """A network from the labelled rows that are not held out."""
     known = docs.where((remainder(id_col) != HELD) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = known.groupBy(lang_col).count().orderBy(F.desc("count"), lang_col).limit(MAX_LANGUAGES)
+    counts = cut(known.groupBy(lang_col).count())
+    quota = max(1, SAMPLE_DOCS * FULL_LANGUAGES // max(FULL_LANGUAGES, counts.count()))
     u = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit(3)), 11).cast("double") / float(1 << 53)
-    chosen = known.join(F.broadcast(counts.withColumnRenamed(lang_col, "__lang")), F.col(lang_col) == F.col("__lang")).where(u < 1.5 * SAMPLE_DOCS / F.col("count"))
+    chosen = known.join(F.broadcast(counts.withColumnRenamed(lang_col, "__lang")), F.col(lang_col) == F.col("__lang")).where(u < (1.5 * quota + 16) / F.col("count"))
     room = F.greatest(F.length(text_col) - PIECE_CHARS, F.lit(0)) + 1
     pieces = F.array(*[F.substring(F.col(text_col), (F.pmod(F.xxhash64(F.col(id_col), F.lit(k)), room) + 1).cast("int"), F.lit(PIECE_CHARS)) for k in range(PIECES)])
     rows = chosen.select(F.col(lang_col).alias("lang"), F.struct(u.alias("u"), F.col(id_col).alias("id")).alias("place"), pieces.alias("pieces")).collect()
     texts, labels, taken = [], [], {}
     for row in sorted(rows, key=lambda r: (r["place"]["u"], r["place"]["id"], r["pieces"])):
         taken[row["lang"]] = taken.get(row["lang"], 0) + 1
-        if taken[row["lang"]] <= SAMPLE_DOCS:
+        if taken[row["lang"]] <= quota:
             for piece in dict.fromkeys(row["pieces"]):
                 texts.append(piece.encode("utf-8", "replace"))
                 labels.append(row["lang"])
@@ -176,6 +179,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 def pooled(net: Network, texts: list[bytes], window: int = WINDOW, rows: int = ROWS) -> np.ndarray:
     """Mean probabilities over all positions of each text; texts are not empty."""
     sizes = np.array([len(t) for t in texts])
+    rows = max(1, rows * FULL_LANGUAGES // max(FULL_LANGUAGES, len(net.labels)))
     counts = -(-sizes // window)
     owner = np.repeat(np.arange(len(texts)), counts)
     data = np.full((int(counts.sum()), window), 32, np.uint8)

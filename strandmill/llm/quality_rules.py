@@ -30,8 +30,8 @@ COMMON_WORDS = sorted({w for words in COMMON.values() for w in words})
 CLASSES = {"lower": r"\p{Ll}", "upper": r"\p{Lu}", "digit": r"\p{N}", "space": SPACE, "stop": r".,;:?'\"()\-", "symbol": r"!#*$%&|<>=+/\\~^@_{}\[\]`"}
 MIN_CHARS, MIN_WORDS = 200, 50
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
-#: References are built for at most so many languages, those with most documents.
-MAX_LANGUAGES = 64
+#: References of up to so many languages are literals of the plan; those of more are a broadcast table. None is left out.
+MAX_LITERALS = 64
 
 
 def words_of(text: Column) -> Column:
@@ -88,10 +88,10 @@ def features(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("
     ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def distance(present: Column, q: list[float]) -> Column:
+def distance(present: Column, q: list[float] | Column) -> Column:
     """Jensen-Shannon distance, base 2, of a histogram and the shares q, which sum to 1. present: the histogram's
     positive shares as (i, p); elsewhere a term is half of q's, so those need no visit."""
-    table = F.array(*[F.lit(float(x)) for x in q])
+    table = q if isinstance(q, Column) else F.array(*[F.lit(float(x)) for x in q])
 
     def term(x: Column) -> Column:
         p, other = x["p"], F.get(table, x["i"])
@@ -108,24 +108,48 @@ def shares(counts: Column) -> Column:
     return F.filter(F.transform(counts, lambda x, i: F.struct(i.alias("i"), F.try_divide(x, total).alias("p"))), lambda x: x["p"] > 0)
 
 
-def references(table: DataFrame, lang_col: str = "lang") -> list[tuple[list[float], list[float]]]:
-    """Shares of classes and of common words per language, sums over all rows that pass the base rules; MAX_LANGUAGES rows at most."""
-    sizes = {"classes": len(CLASSES) + 1, "commons": len(COMMON_WORDS) + 1}
-    sums = [F.sum(F.get(c, F.lit(k))).alias(f"{c}{k}") for c, n in sizes.items() for k in range(n)]
-    rows = table.where(F.col(lang_col).isNotNull() & ~F.col("base_failed")).groupBy(lang_col).agg(F.count(F.lit(1)).alias("n"), *sums).orderBy(F.desc("n"), lang_col).limit(MAX_LANGUAGES).collect()
+SIZES = {"classes": len(CLASSES) + 1, "commons": len(COMMON_WORDS) + 1}
+
+
+def language_sums(table: DataFrame, lang_col: str = "lang") -> DataFrame:
+    """Sums of classes and of common words per language, over all rows that pass the base rules."""
+    sums = [F.sum(F.get(c, F.lit(k))).alias(f"{c}{k}") for c, n in SIZES.items() for k in range(n)]
+    return table.where(F.col(lang_col).isNotNull() & ~F.col("base_failed")).groupBy(lang_col).agg(*sums)
+
+
+def references(table: DataFrame, lang_col: str = "lang") -> list[tuple[list[float], list[float]]] | None:
+    """Shares of classes and of common words per language; None if there are more than MAX_LITERALS languages."""
+    rows = language_sums(table, lang_col).limit(MAX_LITERALS + 1).collect()
+    if len(rows) > MAX_LITERALS:
+        return None
     found = []
-    for row in rows:
-        pair = [[row[f"{c}{k}"] for k in range(n)] for c, n in sizes.items()]
+    for row in sorted(rows, key=lambda r: str(r[lang_col])):
+        pair = [[row[f"{c}{k}"] for k in range(n)] for c, n in SIZES.items()]
         found.append(tuple([x / (sum(v) or 1) for x in v] for v in pair))
     return found
 
 
+def reference_table(table: DataFrame, lang_col: str = "lang") -> DataFrame:
+    """One row with the shares of every language: refs0 of classes, refs1 of common words."""
+    share = []
+    for c, n in SIZES.items():
+        total = F.lit(0.0)
+        for k in range(n):
+            total = total + F.col(f"{c}{k}")
+        share.append(F.array(*[F.when(total == 0, 0.0).otherwise(F.try_divide(F.col(f"{c}{k}"), total)) for k in range(n)]))
+    return language_sums(table, lang_col).select(*[c.alias(f"s{k}") for k, c in enumerate(share)]).agg(*[F.collect_list(f"s{k}").alias(f"refs{k}") for k in range(2)])
+
+
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ("doc_id",), max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """The keep columns, base counts, class_distance and word_distance to the nearest language, kept."""
     table = cut(features(docs, text_col, tuple(dict.fromkeys((*keep, lang_col)))))
     known = references(table, lang_col)
     out = table.withColumns({"p": shares(F.col("classes")), "q": shares(F.col("commons"))})
-    nearest = lambda own, k: F.least(*[distance(F.col(own), r[k]) for r in known], F.lit(1.0)) if known else F.lit(0.0)
+    if known is None:
+        out = out.crossJoin(F.broadcast(reference_table(table, lang_col)))
+        nearest = lambda own, k: F.least(F.array_min(F.transform(f"refs{k}", lambda q: distance(F.col(own), q))), F.lit(1.0))
+    else:
+        nearest = lambda own, k: F.least(*[distance(F.col(own), r[k]) for r in known], F.lit(1.0)) if known else F.lit(0.0)
     out = out.withColumns({"class_distance": nearest("p", 0), "word_distance": nearest("q", 1)})
     short = (F.col("n_chars_own") < MIN_CHARS) | (F.col("n_words") < MIN_WORDS)
     near = (F.col("class_distance") <= max_class) & (F.col("word_distance") <= max_word)

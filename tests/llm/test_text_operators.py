@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from strandmill.llm import license_rules, license_scan, quality_rules, secret_scan
+from strandmill.llm import language_id, license_rules, license_scan, quality_rules, secret_scan
 
 EDGES = [
     (-1, None), (-2, ""), (-3, " \n\t"), (-4, "a b c a b c x"), (-5, "w " * 4000), (-6, "CC BY cc by, MIT   license and the GNU General\nPublic License, version 3"), (-6, "cc-by"),
@@ -189,3 +189,32 @@ def test_quality_without_labels_or_rows(spark):
     one = spark.createDataFrame([(1, "word " * 30 + "\n" + "other text here " * 30, None)], "doc_id long, text string, lang string")
     assert len(quality_rules.judge(one).collect()) == 1
     assert quality_rules.judge(one.limit(0)).collect() == []
+
+
+def many_languages(spark, n):
+    """n languages of three texts, and one of a single text of digits."""
+    rows = [(k, "the word of a text and its other words number " + " ".join(f"w{j}x" for j in range(k, k + 90)), f"l{k % n:03}") for k in range(3 * n)]
+    odd = " ".join(str(7919 * j + 1_000_003) for j in range(90))
+    return spark.createDataFrame([*rows, (-1, odd, "zz")], "doc_id long, text string, lang string")
+
+
+def test_quality_refers_to_every_language(spark):
+    docs = many_languages(spark, 70)
+    got = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs).collect()}
+    assert all(got.values()) and len(got) == 211
+
+
+def test_quality_by_table_equals_literals(spark, docs, monkeypatch):
+    want = {r["doc_id"]: r for r in quality_rules.judge(docs.where("doc_id >= 0")).collect()}
+    monkeypatch.setattr(quality_rules, "MAX_LITERALS", 1)
+    for r in quality_rules.judge(docs.where("doc_id >= 0")).collect():
+        assert r["class_distance"] == pytest.approx(want[r["doc_id"]]["class_distance"], abs=1e-9) and r["kept"] == want[r["doc_id"]]["kept"]
+        assert r["word_distance"] == pytest.approx(want[r["doc_id"]]["word_distance"], abs=1e-9)
+
+
+def test_every_language_can_be_predicted(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "EPOCHS", 1)
+    monkeypatch.setattr(language_id, "train", lambda texts, labels: sorted(set(labels)))
+    docs = many_languages(spark, 70)
+    want = sorted(r["lang"] for r in docs.where(language_id.remainder("doc_id") != language_id.HELD).select("lang").distinct().collect())
+    assert len(want) > 64 and language_id.learn(docs) == want
