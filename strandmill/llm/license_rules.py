@@ -274,7 +274,7 @@ RULES_TEXT = r"""
 5 unknown-license released released_under_(?:an?_|the_)?open_source_license
 """
 
-GAP = r"(?:[^A-Za-z0-9]{1,12}?)"
+GAP = r"(?:[^A-Za-z0-9]++)"
 
 
 def rules() -> list[Rule]:

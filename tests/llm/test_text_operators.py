@@ -79,6 +79,14 @@ def test_longer_detection_wins(spark):
     assert "apache-2.0" in got[1] and "cc-by-nc-4.0" in got[2] and "cc-by-4.0" not in got[2] and "mit" in got[3]
 
 
+def test_licence_wrapped_in_an_indented_comment(spark):
+    wrap = "\n" + " " * 12 + "* "
+    texts = ["Licensed under the Apache License, Version 2.0.", "GNU General Public License version 3", "shareware"]
+    df = spark.createDataFrame([(k, t.replace(" ", wrap)) for k, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"].split(",") for r in license_scan.scan(df).collect()}
+    assert "apache-2.0" in got[0] and any(x.startswith("gpl-3.0") for x in got[1]) and "shareware" in got[2]
+
+
 def test_licence_scan_of_no_rows(spark):
     assert license_scan.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
