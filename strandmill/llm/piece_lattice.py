@@ -13,42 +13,38 @@ own; there the fold merges: its state is the bit set of boundaries, and each ste
 inside the best-scored edge that spans exactly two current pieces, the leftmost of equals. Characters
 without a piece become their UTF-8 bytes' pieces.
 
-encode(): the dictionary, of MAX_WORDS units at most, is packed by the executors into files of sorted
-digests and strings that each executor maps into memory; the driver never holds it. Units beyond it,
-and units longer than MAX_UNIT, are encoded in the worker by the same rule from a heap, so ids don't
-depend on the bound. A lattice of all units would need no bound, but its rows don't fit the disk.
+encode(): the dictionary, of MAX_WORDS units at most, is packed by the executors into a few files that
+Spark copies to each executor; texts are cut, looked up and put together as arrays (unit_table). Units
+beyond it, and units longer than MAX_UNIT, are encoded in the worker by the same rule from a heap, so
+ids don't depend on the bound. A lattice of all units would need no bound, but its rows don't fit the
+disk. Each text's ids are decoded again, and round_trip says whether that gives the text.
 
 Defined results: a null or empty text has no ids and decodes to an empty text (null stays null in
 ids); repeated rows are encoded each; a text that itself has U+2581 decodes to spaces there; special
-pieces' strings in a text are ordinary text.
+pieces' strings in a text are ordinary text; ids that the model lacks decode to nothing.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-import regex
-import xxhash
-from pyarrow import fs
-from pyspark import SparkFiles, TaskContext
+import pyarrow.compute as pc
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from strandmill.llm.shared import cut, fresh_path
+from strandmill.llm.shared import cut, free_name, in_worker, ship_bytes
+from strandmill.llm.unit_table import CHUNK, LETTER, MARK, MARKED, OTHER, Units, UnitTable, kinds, segments, spread
 
-MARK = "\u2581"
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_UNIT, MAX_WORDS, EACH, PARTS, CACHE = 48, 250_000, 200_000, 16, 300_000
+MAX_UNIT, MAX_WORDS, EACH, PARTS, CACHE = 48, 250_000, 200_000, 16, 100_000
 LATTICE_TASKS, SHORT = 24, 40
-#: Spark's xxhash64 of a string is XXH64 of its bytes with this seed, so both sides deal units to the same part.
-SEED = 42
-FINE = rf"{MARK}*\p{{L}}+|{MARK}*[^{MARK}\p{{L}}0-9\n]+|{MARK}+|[0-9]|\n"
-COARSE = rf"{MARK}*[^{MARK}]+|{MARK}+"
 
 
 class Vocabulary:
@@ -60,8 +56,12 @@ class Vocabulary:
         self.by_text = {p: (i, s) for p, i, s in pieces}
         self.scores = {p: s for p, _, s in pieces}
         self.floor = min((s for _, _, s in pieces), default=0.0) - 10
-        self.pattern = FINE if self._fine() else COARSE
+        self.fine = self._fine()
         self.bytes_of = {i: p.replace(MARK, " ").encode() for p, i, _ in pieces} | {i: bytes([b]) for b, i in byte_ids.items()} | {i: b"" for i in specials}
+        each = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of, default=0) + 1)] + [b""]
+        n = np.array([len(x) for x in each], np.int64)
+        #: The pieces' bytes, where each id's begin, and their number; the last is of no id.
+        self.flat = np.frombuffer(b"".join(each), np.uint8), np.cumsum(n) - n, n
 
     @classmethod
     def load(cls, path: str = MODEL, kind: str = "bpe") -> Vocabulary:
@@ -75,11 +75,10 @@ class Vocabulary:
         return cls([(model.id_to_piece(i), i, model.get_score(i)) for i in own], bytes_, model.unk_id(), kind, specials)
 
     def _fine(self) -> bool:
-        def of(c: str) -> str:
-            return "m" if c == MARK else "l" if regex.match(r"\p{L}", c) else "n" if c in "0123456789\n" else "o"
-
-        inner = {(of(a), of(b)) for p, _, _ in self.pieces for a, b in zip(p, p[1:])}
-        return inner <= {("m", "m"), ("m", "l"), ("m", "o"), ("l", "l"), ("o", "o")}
+        """Whether no piece goes across a boundary of the finer cut."""
+        kind = kinds()
+        inner = {(int(kind[ord(a)]), int(kind[ord(b)])) for p, _, _ in self.pieces for a, b in zip(p, p[1:])}
+        return inner <= {(MARKED, MARKED), (MARKED, LETTER), (MARKED, OTHER), (LETTER, LETTER), (OTHER, OTHER)}
 
     def fallback(self, char: str) -> list[int]:
         return [self.byte_ids[b] for b in char.encode("utf-8", "replace")] if self.byte_ids else [self.unknown]
@@ -160,9 +159,17 @@ class Vocabulary:
             end = start
         return out
 
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str]:
+        """The text of each run of ids; an id that the model lacks has none."""
+        flat, at, n = self.flat
+        ids = np.where((ids >= 0) & (ids < len(n) - 1), ids, len(n) - 1)
+        ends = np.concatenate([[0], np.cumsum(n[ids])])[offsets].tolist()
+        data = spread(flat, at[ids], n[ids]).tobytes()
+        texts = (data[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:]))
+        return [t[1:] if t.startswith(" ") else t for t in texts]
+
     def decode(self, ids: list[int]) -> str:
-        text = b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
-        return text[1:] if text.startswith(" ") else text
+        return self.decode_all(np.array(ids, np.int64), np.array([0, len(ids)]))[0]
 
 
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -239,16 +246,23 @@ def frequent_units(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "tex
     schema = pa.schema([("unit", pa.string()), ("n", pa.int64())])
 
     def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut_up, counts = regex.compile(vocabulary.pattern), Counter()
+        counts: dict[int, int] = {}
+        named: dict[int, str] = {}  # the unit of each digest; should two share one, they count as the first
         for table in tables:
-            for text in table["text"].to_pylist():
-                if text:
-                    counts.update(cut_up.findall(MARK + text.replace(" ", MARK)))
-                    if len(counts) > 2 * each:
-                        counts = Counter({u: n for u, n in counts.items() if n > 1})
-                        if len(counts) > each:
-                            counts = Counter(dict(counts.most_common(each)))
-        top = [(u, n) for u, n in counts.most_common(each) if n > 1 and len(u) <= MAX_UNIT]
+            for low, high in in_bounds(table["text"], 4 * CHUNK):
+                parts = [p for t in table["text"][low:high].to_pylist() if t for p in segments(t)]
+                units = Units(parts, vocabulary.fine)
+                for d, at, n in zip(*(x.tolist() for x in np.unique(units.digests(), return_index=True, return_counts=True))):
+                    if d in counts:
+                        counts[d] += n
+                    else:
+                        counts[d], named[d] = n, units.unit(at)
+                if len(counts) > 2 * each:
+                    counts = {d: n for d, n in counts.items() if n > 1}
+                    if len(counts) > each:
+                        counts = dict(heapq.nlargest(each, counts.items(), key=lambda x: x[1]))
+                    named = {d: named[d] for d in counts}
+        top = [(named[d], n) for d, n in heapq.nlargest(each, counts.items(), key=lambda x: x[1]) if n > 1 and len(named[d]) <= MAX_UNIT]
         yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], schema=schema)
 
     found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "unit string, n long")
@@ -270,142 +284,125 @@ def dictionary(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text",
     return with_ids(lattice(words, vocabulary), vocabulary)
 
 
-class UnitFile:
-    """One part of a packed dictionary, mapped from its file: digests, offsets of strings and of ids, strings, ids."""
-
-    def __init__(self, path: str):
-        whole = np.memmap(path, np.uint8, "r")
-        sizes = np.frombuffer(whole[:40], np.int64).tolist()
-        ends = np.cumsum([40, *sizes]).tolist()
-        parts = [whole[a:b] for a, b in zip(ends, ends[1:])]
-        self.digests, self.text_at, self.id_at = parts[0].view(np.uint64), parts[1].view(np.int64), parts[2].view(np.int64)
-        self.ids, self.text = parts[3].view(np.int32), parts[4]
-
-    @staticmethod
-    def pack(rows: list[tuple[str, list[int]]]) -> bytes:
-        keyed = sorted((xxhash.xxh64_intdigest(u, SEED), u, i) for u, i in ((u.encode(), i) for u, i in rows))
-        parts = [
-            np.array([d for d, _, _ in keyed], np.uint64), np.concatenate([[0], np.cumsum([len(u) for _, u, _ in keyed])]).astype(np.int64),
-            np.concatenate([[0], np.cumsum([len(i) for _, _, i in keyed])]).astype(np.int64), np.array([x for _, _, i in keyed for x in i], np.int32),
-        ]
-        raw = [p.tobytes() for p in parts]
-        raw[3] += b"\0" * (-len(raw[3]) % 8)
-        raw.append(b"".join(u for _, u, _ in keyed))
-        return np.array([len(r) for r in raw], np.int64).tobytes() + b"".join(raw)
-
-    def find(self, digests: np.ndarray, keys: list[bytes]) -> list[bytes | None]:
-        """Ids of each key as bytes, or None; strings are compared."""
-        at = np.searchsorted(self.digests, digests)
-        out: list[bytes | None] = []
-        for k, d, key in zip(at.tolist(), digests.tolist(), keys):
-            hit = None
-            while k < len(self.digests) and int(self.digests[k]) == d:
-                if self.text[self.text_at[k] : self.text_at[k + 1]].tobytes() == key:
-                    hit = self.ids[self.id_at[k] : self.id_at[k + 1]].tobytes()
-                    break
-                k += 1
-            out.append(hit)
-        return out
-
-
-def ship(words: DataFrame) -> list[str]:
-    """Packs the dictionary into PARTS files by digest, written by the executors in the shared folder, and
-    has Spark copy them to each executor. Returns their names by part."""
+def ship(words: DataFrame, vocabulary: Vocabulary) -> list[str]:
+    """Packs the dictionary into PARTS files in the shared folder and has Spark copy them to each executor; the driver
+    holds one part at a time. Returns their names."""
     spark = words.sparkSession
-    folder = fresh_path(spark, "units")
-    schema = pa.schema([("part", pa.int32()), ("path", pa.string())])
+    schema = pa.schema([("data", pa.binary())])
 
-    def write(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: dict[int, list] = {}
+    def pack(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        units, ids = [], []
         for t in tables:
-            for part, unit, ids in zip(t["part"].to_pylist(), t["unit"].to_pylist(), t["ids"].to_pylist()):
-                rows.setdefault(part, []).append((unit, ids))
-        store, root = fs.FileSystem.from_uri(folder)
-        store.create_dir(root, recursive=True)
-        for part, own in rows.items():
-            name = f"units-{part}-{TaskContext.get().taskAttemptId()}.{root.rsplit('-', 1)[1]}"
-            with store.open_output_stream(f"{root}/{name}", compression=None) as out:
-                out.write(UnitFile.pack(own))
-            yield pa.RecordBatch.from_pydict({"part": [part], "path": [f"{folder}/{name}"]}, schema)
-
-    digest = F.pmod(F.xxhash64("unit"), F.lit(PARTS)).cast("int")
-    written = cut(words.select(digest.alias("part"), "unit", "ids").repartition(PARTS, "part").mapInArrow(write, "part int, path string"))
-    names = [""] * PARTS
-    for row in written.collect():
-        spark.sparkContext.addFile(row["path"])
-        names[row["part"]] = row["path"].rsplit("/", 1)[1]
-    return names
+            units += t["unit"].to_pylist()
+            ids += t["ids"].to_pylist()
+        if units:
+            yield pa.RecordBatch.from_pydict({"data": [UnitTable.pack(units, ids, vocabulary.fine)]}, schema)
 
+    packed = cut(words.select("unit", "ids").repartition(PARTS, "unit").mapInArrow(pack, "data binary"))
+    return [ship_bytes(spark, "units", bytes(row["data"])) for row in packed.toLocalIterator()]
 
-class Encoder:
-    """Encodes texts in a worker from the shipped dictionary; remembers its units and up to CACHE others."""
-
-    def __init__(self, vocabulary: Vocabulary, names: list[str]):
-        self.v, self.pattern = vocabulary, regex.compile(vocabulary.pattern)
-        self.files = [UnitFile(SparkFiles.get(n)) if n else None for n in names]
-        self.frequent: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
-        self.lossy: set[str] = set()
-
-    def cut(self, text: str) -> list[str]:
-        return self.pattern.findall(MARK + text.replace(" ", MARK)) if text else []
-
-    def learn(self, wanted: set[str]) -> None:
-        if len(self.known) > CACHE + len(self.frequent):
-            self.known = dict(self.frequent)
-        new = [u for u in wanted if u not in self.known]
-        keys = [u.encode("utf-8", "replace") for u in new]
-        digests = np.fromiter((xxhash.xxh64_intdigest(k, SEED) for k in keys), np.uint64, len(keys))
-        part = digests.view(np.int64) % max(1, len(self.files))
-        for k, file in enumerate(self.files):
-            at = np.flatnonzero(part == k)
-            if file is not None and len(at):
-                for x, hit in zip(at.tolist(), file.find(digests[at], [keys[x] for x in at])):
-                    if hit is not None:
-                        self.known[new[x]] = self.frequent[new[x]] = hit
-        for u in new:
-            if u not in self.known:
-                self.known[u] = np.array(self.v.encode_unit(u), np.int32).tobytes()
-        piece = self.v.bytes_of.__getitem__
-        for u in new:
-            if b"".join(map(piece, np.frombuffer(self.known[u], np.int32).tolist())) != u.replace(MARK, " ").encode("utf-8", "replace"):
-                self.lossy.add(u)
-
-    def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray | None], list[bool | None]]:
-        """Ids of each text, and whether they decode to it: whether its units' ids do, the text being its units'
-        concatenation with spaces for marks, and no mark of its own."""
-        parts = [self.cut(t) if t else [] for t in texts]
-        self.learn(set().union(*parts))
-        get = self.known.__getitem__
-        ids = [None if t is None else np.frombuffer(b"".join(map(get, p)), np.int32) for t, p in zip(texts, parts)]
-        return ids, [None if t is None else MARK not in t and (not self.lossy or self.lossy.isdisjoint(p)) for t, p in zip(texts, parts)]
 
+@lru_cache(1)
+def shipped(names: tuple[str, ...]) -> UnitTable:
+    """The table of shipped files, one of them a worker."""
+    return UnitTable(Path(SparkFiles.get(n)).read_bytes() for n in names)
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), names: list[str] | None = None, most: int = MAX_WORDS) -> DataFrame:
-    """The keep columns, ids, and round_trip: whether decoding gives the text (null for a null text)."""
-    names = ship(dictionary(docs, vocabulary, text_col, most)) if names is None else names
-    rows = docs.select(F.struct(*keep).alias("row"), F.col(text_col).alias("text"))
 
-    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocabulary, names)
-        for whole in tables:
-            for low in range(0, whole.num_rows, 64):
-                batch = whole.slice(low, 64)
-                ids, same = encoder.encode(batch["text"].to_pylist())
-                yield pa.RecordBatch.from_arrays([batch["row"], pa.array(ids, pa.list_(pa.int32())), pa.array(same, pa.bool_())], ["row", "ids", "round_trip"])
+class Encoder:
+    """Encodes texts in a worker from the shipped dictionary; remembers up to CACHE other units."""
+
+    def __init__(self, vocabulary: Vocabulary, table: UnitTable):
+        self.v, self.table = vocabulary, table
+        self.known: dict[str, int] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        self.known.clear()
+        self.ids, self.id_at, self.id_n = [], [], []
+        self.total = len(self.table.ids)
+
+    def others(self, units: Units, missing: np.ndarray) -> np.ndarray:
+        """Places among the remembered units of those without an entry in the table."""
+        if len(self.known) > CACHE:
+            self.forget()
+        out = np.empty(len(missing), np.int64)
+        for k, at in enumerate(missing.tolist()):
+            unit = units.unit(at)
+            place = self.known.get(unit)
+            if place is None:
+                ids = self.v.encode_unit(unit)
+                place = self.known[unit] = len(self.id_n)
+                self.ids += ids
+                self.id_at.append(self.total)
+                self.id_n.append(len(ids))
+                self.total += len(ids)
+            out[k] = place
+        return out
 
-    schema = StructType([rows.schema["row"], StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
-    return rows.mapInArrow(run, schema).select("row.*", "ids", "round_trip")
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, flat, and their offsets. An empty text has none."""
+        parts, own = [], []
+        for k, text in enumerate(texts):
+            if text:
+                parts += segments(text)
+                own += [k] * (len(parts) - len(own))
+        units = Units(parts, self.v.fine)
+        found = self.table.find(units)
+        missing = np.flatnonzero(found < 0)
+        at, n = (self.table.id_at[found], self.table.id_n[found]) if len(self.table.id_n) else (np.zeros(len(found), np.int64),) * 2
+        at, n = at.copy(), n.copy()
+        pool = self.table.ids
+        if len(missing):
+            place = self.others(units, missing)
+            at[missing], n[missing] = np.array(self.id_at)[place], np.array(self.id_n)[place]
+            pool = np.concatenate([pool, np.array(self.ids, np.int32)])
+        counts = np.zeros(len(texts), np.int64)
+        ends = np.concatenate([[0], np.cumsum(n)])[units.bounds]
+        np.add.at(counts, np.array(own, np.int64), np.diff(ends))
+        return spread(pool, at, n), np.concatenate([[0], np.cumsum(counts)])
+
+
+def in_bounds(texts: pa.Array, most: int = CHUNK) -> Iterator[tuple[int, int]]:
+    """(start, stop) of runs of texts with about `most` bytes together, one text at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < len(ends):
+        high = max(low + 1, int(np.searchsorted(ends, (ends[low - 1] if low else 0) + most, "right")))
+        yield low, high
+        low = high
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), names: list[str] | None = None, most: int = MAX_WORDS) -> DataFrame:
+    """The keep columns, ids, and round_trip: whether decoding the ids gives the text (null for a null text)."""
+    names = ship(dictionary(docs, vocabulary, text_col, most), vocabulary) if names is None else names
+    result = StructType([StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        encoder = Encoder(vocabulary, shipped(tuple(names)))
+        for column in columns:
+            lists, same = [], []
+            for low, high in in_bounds(column):
+                texts = column[low:high].to_pylist()
+                ids, offsets = encoder.encode([t or "" for t in texts])
+                back = vocabulary.decode_all(ids, offsets)
+                same += [None if t is None else t == b for t, b in zip(texts, back)]
+                lists.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=np.array([t is None for t in texts] + [False])), pa.array(ids, pa.int32())))
+            ids = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
+            yield pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"])
+
+    coded, name = in_worker(run, result), free_name(docs, "coded")
+    return docs.select(*keep, coded(F.col(text_col)).alias(name)).select(*keep, f"{name}.ids", f"{name}.round_trip")
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The keep columns and text of encoded rows; null ids give a null text."""
-    rows = encoded.select(F.struct(*keep).alias("row"), F.col(ids_col).alias("ids"))
-
-    def run(tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in tables:
-            texts = [None if i is None else vocabulary.decode(i) for i in batch["ids"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(texts, pa.string())], ["row", "text"])
 
-    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("text", StringType())])).select("row.*", "text")
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            lists = column.to_pylist()
+            flat = np.array([x for i in lists for x in i or ()], np.int64)
+            texts = vocabulary.decode_all(flat, np.concatenate([[0], np.cumsum([len(i or ()) for i in lists])]).astype(np.int64))
+            yield pa.array([None if i is None else t for i, t in zip(lists, texts)], pa.string())
 
+    text = in_worker(run, StringType())
+    return encoded.select(*keep, text(F.col(ids_col)).alias("text"))

@@ -4,11 +4,17 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 #: Separators of a word, as a regex class body: U+0020 and U+0009 to U+000D.
 SPACE = r"\x20\x09-\x0D"
+#: The same, as characters.
+SEPARATORS = " \t\n\x0b\x0c\r"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -52,3 +58,19 @@ def ship_bytes(spark: SparkSession, name: str, data: bytes) -> str:
     write_bytes(spark, path, data)
     spark.sparkContext.addFile(path)
     return path.rsplit("/", 1)[1]
+
+
+def in_worker(run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], result: DataType) -> Callable[..., Column]:
+    """A column function from a function of Arrow arrays: only its arguments go to Python and only its result comes back;
+    the rows wait in the JVM, and no other column can clash. It is evaluated once wherever it is used."""
+    hints = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    run.__annotations__ = hints
+    return F.arrow_udf(run, result).asNondeterministic()
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """name, lengthened until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
