@@ -13,10 +13,11 @@ gives an empty table.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandmill.llm.shared import SPACE, cut
+from strandmill.llm.shared import SEPARATORS, SPACE, cut
 
 #: Common words of the four languages; fixed values.
 COMMON = {
@@ -30,12 +31,13 @@ COMMON_WORDS = sorted({w for words in COMMON.values() for w in words})
 CLASSES = {"lower": r"\p{Ll}", "upper": r"\p{Lu}", "digit": r"\p{N}", "space": SPACE, "stop": r".,;:?'\"()\-", "symbol": r"!#*$%&|<>=+/\\~^@_{}\[\]`"}
 MIN_CHARS, MIN_WORDS = 200, 50
 MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.28, 0.45
-#: References of up to so many languages are literals of the plan; those of more are a broadcast table. None is left out.
+#: Each of up to so many languages has an expression of its own; more are one array that a loop goes through. None is left out.
 MAX_LITERALS = 64
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(rf"[^{SPACE}]+"), F.lit(0))
+    trimmed = F.btrim(text, F.lit(SEPARATORS))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, rf"[{SPACE}]+"))
 
 
 def window_table(words: Column) -> Column:
@@ -45,11 +47,17 @@ def window_table(words: Column) -> Column:
     return F.when(n >= 3, F.sort_array(F.slice(zipped, 1, n - 2)))
 
 
-def repeated_places(windows: Column) -> Column:
-    """Places, in order, of the windows found twice or more in a sorted table of them."""
+def equal_neighbours(windows: Column) -> Column:
+    """Indices from 1 of the windows of a sorted table that equal the one before."""
     same = lambda x, y: (x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"])
-    hit = F.filter(windows, lambda x, k: F.coalesce(same(x, F.get(windows, k + 1)), F.lit(False)) | F.coalesce(same(x, F.get(windows, k - 1)), F.lit(False)))
-    return F.sort_array(F.transform(hit, lambda x: x["i"]))
+    found = F.filter(F.sequence(F.lit(1), F.size(windows) - 1), lambda k: same(F.get(windows, k), F.get(windows, k - 1)))
+    return F.when(F.size(windows) >= 2, found).otherwise(F.array().cast("array<int>"))
+
+
+def repeated_places(windows: Column, equal: Column) -> Column:
+    """Places, in order, of the windows found twice or more."""
+    place = lambda back: F.transform(equal, lambda k: F.get(windows, k - back)["i"])
+    return F.sort_array(F.array_distinct(F.concat(place(0), place(1))))
 
 
 def covered_words(places: Column) -> Column:
@@ -58,33 +66,48 @@ def covered_words(places: Column) -> Column:
     return F.when(F.size(places) == 0, 0).otherwise(fold["n"])
 
 
+def run_ends(words: Column) -> Column:
+    """Numbers from 1 of the last of each run of equal words in a sorted list."""
+    n = F.size(words)
+    return F.when(n < 1, F.array().cast("array<int>")).otherwise(F.filter(F.sequence(F.lit(1), n), lambda k: ~F.get(words, k - 1).eqNullSafe(F.get(words, k))))
+
+
+def word_counts(words: Column, ends: Column) -> Column:
+    """(i, n): the place in COMMON_WORDS of each run's word and its length."""
+    listed = F.array(*map(F.lit, COMMON_WORDS))
+    one = lambda k, j: F.struct((F.array_position(listed, F.get(words, k - 1)) - 1).cast("int").alias("i"), (k - F.coalesce(F.get(ends, j - 1), F.lit(0))).cast("long").alias("n"))
+    return F.transform(ends, one)
+
+
 def features(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Base counts, base_failed, and the two histograms (classes, commons) of each row, with the keep columns."""
-    size_of = lambda body: F.length(F.regexp_replace("t", rf"[^{body}]+", ""))
+    """Base counts, base_failed, and the two histograms (classes, commons: (i, n) of the bins with something) of each row,
+    with the keep columns in a struct named row."""
+    t, rest = F.col("t"), F.col("rest")
+    length_of = lambda text, body: F.length(F.regexp_replace(text, rf"[^{body}]+", "")).cast("long")
     lines = F.filter(F.split("t", "\n"), lambda x: x.rlike(rf"[^{SPACE}]"))
-    table = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    table = table.withColumn("words", words_of(F.col("t")))
+    table = docs.select(F.struct(*keep).alias("row"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+    # lower-case letters, most of a text, are counted by what is left without them; the other classes in the rest
+    table = table.withColumns({"words": words_of(t), "rest": F.regexp_replace(t, rf"[{CLASSES['lower']}]+", ""), "n_chars": F.length(t).cast("long")})
+    others = list(CLASSES)[1:]
     table = table.select(
-        *keep,
+        "row", "n_chars",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        size_of(r"#*$%&|<>").cast("long").alias("n_symbols"),
+        length_of(rest, r"#*$%&|<>").alias("n_symbols"),
         lines.alias("lines"), window_table(F.col("words")).alias("windows"),
-        F.array(*[size_of(body).cast("double") for body in CLASSES.values()], F.length("t").cast("double")).alias("classes"),
-        F.filter(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), lambda w: w.isin(COMMON_WORDS)).alias("found"),
-    )
-    table = table.withColumn("places", F.when(F.col("windows").isNull(), F.array().cast("array<int>")).otherwise(repeated_places(F.col("windows"))))
-    classes = F.concat(F.slice("classes", 1, len(CLASSES)), F.array(F.greatest(F.lit(0.0), F.get("classes", F.lit(len(CLASSES))) - F.aggregate(F.slice("classes", 1, len(CLASSES)), F.lit(0.0), lambda a, x: a + x))))
-    commons = F.concat(
-        F.transform(F.array(*map(F.lit, COMMON_WORDS)), lambda w: (F.size("found") - F.size(F.array_remove("found", w))).cast("double")),
-        F.array(F.greatest(F.lit(0.0), (F.col("n_words") - F.size("found")).cast("double"))),
+        (F.col("n_chars") - F.length("rest")).alias("lower"), *[length_of(rest, CLASSES[c]).alias(c) for c in others],
+        F.sort_array(F.filter(F.split(F.lower("t"), r"[^\p{L}\p{N}]+"), lambda w: w.isin(COMMON_WORDS))).alias("found"),
     )
-    repeats = covered_words(F.col("places")).cast("long")
+    table = table.withColumns({"equal": equal_neighbours(F.col("windows")), "ends": run_ends(F.col("found"))})
+    places = F.when(F.size("equal") == 0, F.array().cast("array<int>")).otherwise(repeated_places(F.col("windows"), F.col("equal")))
+    table = table.withColumns({"places": places, "listed": word_counts(F.col("found"), F.col("ends"))})
+    left = lambda i, n: F.struct(F.lit(i).alias("i"), F.greatest(F.lit(0).cast("long"), n).alias("n"))
+    classed = sum((F.col(c) for c in others), F.col("lower"))
+    classes = F.filter(F.array(*[left(k, F.col(c)) for k, c in enumerate(CLASSES)], left(len(CLASSES), F.col("n_chars") - classed)), lambda x: x["n"] > 0)
+    commons = F.filter(F.concat("listed", F.array(left(len(COMMON_WORDS), F.col("n_words") - F.size("found")))), lambda x: x["n"] > 0)
     return table.select(
-        *keep, "n_words", "word_chars", "n_symbols",
+        "row", "n_chars", "n_words", (F.col("n_chars") - F.col("space")).alias("word_chars"), "n_symbols",
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        repeats.alias("n_repeat_words"),
-        classes.alias("classes"), commons.alias("commons"), F.get("classes", F.lit(len(CLASSES))).alias("n_chars_own"),
+        covered_words(F.col("places")).cast("long").alias("n_repeat_words"), classes.alias("classes"), commons.alias("commons"),
     ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
@@ -103,54 +126,42 @@ def distance(present: Column, q: list[float] | Column) -> Column:
 
 
 def shares(counts: Column) -> Column:
-    """The positive counts as (i, p), shares of their sum."""
-    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x)
-    return F.filter(F.transform(counts, lambda x, i: F.struct(i.alias("i"), F.try_divide(x, total).alias("p"))), lambda x: x["p"] > 0)
+    """Counts (i, n) as (i, p), shares of their sum."""
+    total = F.aggregate(counts, F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    return F.transform(counts, lambda x: F.struct(x["i"].alias("i"), F.try_divide(x["n"].cast("double"), total).alias("p")))
 
 
 SIZES = {"classes": len(CLASSES) + 1, "commons": len(COMMON_WORDS) + 1}
 
 
-def language_sums(table: DataFrame, lang_col: str = "lang") -> DataFrame:
-    """Sums of classes and of common words per language, over all rows that pass the base rules."""
-    sums = [F.sum(F.get(c, F.lit(k))).alias(f"{c}{k}") for c, n in SIZES.items() for k in range(n)]
-    return table.where(F.col(lang_col).isNotNull() & ~F.col("base_failed")).groupBy(lang_col).agg(*sums)
-
-
-def references(table: DataFrame, lang_col: str = "lang") -> list[tuple[list[float], list[float]]] | None:
-    """Shares of classes and of common words per language; None if there are more than MAX_LITERALS languages."""
-    rows = language_sums(table, lang_col).limit(MAX_LITERALS + 1).collect()
-    if len(rows) > MAX_LITERALS:
-        return None
-    found = []
-    for row in sorted(rows, key=lambda r: str(r[lang_col])):
-        pair = [[row[f"{c}{k}"] for k in range(n)] for c, n in SIZES.items()]
-        found.append(tuple([x / (sum(v) or 1) for x in v] for v in pair))
-    return found
-
-
-def reference_table(table: DataFrame, lang_col: str = "lang") -> DataFrame:
-    """One row with the shares of every language: refs0 of classes, refs1 of common words."""
-    share = []
-    for c, n in SIZES.items():
-        total = F.lit(0.0)
-        for k in range(n):
-            total = total + F.col(f"{c}{k}")
-        share.append(F.array(*[F.when(total == 0, 0.0).otherwise(F.try_divide(F.col(f"{c}{k}"), total)) for k in range(n)]))
-    return language_sums(table, lang_col).select(*[c.alias(f"s{k}") for k, c in enumerate(share)]).agg(*[F.collect_list(f"s{k}").alias(f"refs{k}") for k in range(2)])
+def references(table: DataFrame, lang: Column) -> DataFrame:
+    """A row per language with the shares of its classes and of its common words, from the sums over all rows that pass
+    the base rules. A row adds its bins with something, so a task holds a language's bins, not its rows."""
+    passed = table.where(lang.isNotNull() & ~F.col("base_failed")).select(lang.alias("lang"), "classes", "commons")
+    named = lambda c: F.transform(c, lambda x: F.struct(F.lit(c).alias("c"), x["i"].alias("i"), x["n"].alias("n")))
+    bins = F.concat(*map(named, SIZES))
+    sums = passed.select("lang", F.explode_outer(bins).alias("b")).groupBy("lang", "b.c", "b.i").agg(F.sum("b.n").alias("n"))
+    share = {}
+    for c, size in SIZES.items():
+        total = F.sum(F.when(F.col("c") == c, F.col("n")))
+        share[c] = F.array(*[F.coalesce(F.try_divide(F.sum(F.when((F.col("c") == c) & (F.col("i") == k), F.col("n"))).cast("double"), total), F.lit(0.0)) for k in range(size)])
+    return sums.groupBy("lang").agg(*[v.alias(c) for c, v in share.items()])
 
 
 def judge(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", keep: tuple[str, ...] = ("doc_id",), max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """The keep columns, base counts, class_distance and word_distance to the nearest language, kept."""
-    table = cut(features(docs, text_col, tuple(dict.fromkeys((*keep, lang_col)))))
-    known = references(table, lang_col)
+    both = tuple(dict.fromkeys((*keep, lang_col)))
+    table = cut(features(docs, text_col, both))
+    known = sorted(references(table, F.col(f"row.{lang_col}")).collect(), key=lambda r: str(r["lang"]))  # a row of each language
     out = table.withColumns({"p": shares(F.col("classes")), "q": shares(F.col("commons"))})
-    if known is None:
-        out = out.crossJoin(F.broadcast(reference_table(table, lang_col)))
-        nearest = lambda own, k: F.least(F.array_min(F.transform(f"refs{k}", lambda q: distance(F.col(own), q))), F.lit(1.0))
+    if not known:
+        nearest = lambda own, c: F.lit(0.0)
+    elif len(known) > MAX_LITERALS:
+        nearest = lambda own, c: F.least(F.array_min(F.transform(F.array(*[F.lit(np.array(r[c])) for r in known]), lambda q: distance(F.col(own), q))), F.lit(1.0))
     else:
-        nearest = lambda own, k: F.least(*[distance(F.col(own), r[k]) for r in known], F.lit(1.0)) if known else F.lit(0.0)
-    out = out.withColumns({"class_distance": nearest("p", 0), "word_distance": nearest("q", 1)})
-    short = (F.col("n_chars_own") < MIN_CHARS) | (F.col("n_words") < MIN_WORDS)
+        nearest = lambda own, c: F.least(*[distance(F.col(own), r[c]) for r in known], F.lit(1.0))
+    out = out.withColumns({"class_distance": nearest("p", "classes"), "word_distance": nearest("q", "commons")})
+    short = (F.col("n_chars") < MIN_CHARS) | (F.col("n_words") < MIN_WORDS)
     near = (F.col("class_distance") <= max_class) & (F.col("word_distance") <= max_word)
-    return out.withColumn("kept", ~F.col("base_failed") & (short | near)).select(*keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")
+    out = out.withColumn("kept", ~F.col("base_failed") & (short | near))
+    return out.select(*[F.col(f"row.{c}").alias(c) for c in keep], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "class_distance", "word_distance", "kept")

@@ -1,12 +1,14 @@
 """Licence, secret and quality operators against plain Python on whole texts."""
 
 import hashlib
+import math
 import random
 import re
 import string
 from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from strandmill.llm import language_id, license_rules, license_scan, quality_rules, secret_scan
@@ -183,13 +185,43 @@ def test_quality_keeps_labelled_prose_and_drops_symbols(spark, sf):
     assert not any(r["kept"] for r in rows if (r["n_symbols"] > 0.5 * r["n_words"]) and r["n_words"] >= 50 and "|" not in r["text"])
 
 
-def test_distance_equals_its_definition(spark):
-    import math
+def histograms(text):
+    """Counts of the character classes and of the common words, each with the rest last."""
+    classes = [len(regex.findall(f"[{body}]", text)) for body in quality_rules.CLASSES.values()]
+    found = Counter(w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w in quality_rules.COMMON_WORDS)
+    n_words = len(re.findall(r"[^\x20\x09-\x0D]+", text))
+    return [*classes, len(text) - sum(classes)], [*[found[w] for w in quality_rules.COMMON_WORDS], max(0, n_words - sum(found.values()))]
+
+
+def js_distance(a, b):
+    p, q = ([x / sum(v) for x in v] for v in (a, b))
+    m = [(x + y) / 2 for x, y in zip(p, q)]
+    kl = lambda v: sum(x * math.log2(x / y) for x, y in zip(v, m) if x)
+    return math.sqrt(max(0.0, (kl(p) + kl(q)) / 2))
+
 
+def test_quality_verdicts_equal_brute_force(docs):
+    rows = quality_rules.judge(docs, keep=("doc_id", "text", "lang")).collect()
+    own = [histograms(r["text"] or "") for r in rows]
+    sums = {}
+    for r, pair in zip(rows, own):
+        if r["lang"] is not None and not r["base_failed"]:
+            known = sums.setdefault(r["lang"], ([0] * len(pair[0]), [0] * len(pair[1])))
+            for total, x in zip(known, pair):
+                total[:] = [a + b for a, b in zip(total, x)]
+    for r, pair in zip(rows, own):
+        got = (r["class_distance"], r["word_distance"])
+        want = [min(js_distance(x, s[k]) for s in sums.values()) if sum(x) else 1.0 for k, x in enumerate(pair)]
+        assert got == pytest.approx(want, abs=1e-6), r["doc_id"]
+        near = want[0] <= quality_rules.MAX_CLASS_DISTANCE and want[1] <= quality_rules.MAX_WORD_DISTANCE
+        assert r["kept"] == (not r["base_failed"] and (len(r["text"] or "") < quality_rules.MIN_CHARS or r["n_words"] < quality_rules.MIN_WORDS or near)), r["doc_id"]
+
+
+def test_distance_equals_its_definition(spark):
     p, q = [0.5, 0.5, 0.0, 0.0], [0.25, 0.25, 0.25, 0.25]
     m = [(a + b) / 2 for a, b in zip(p, q)]
     kl = lambda x: sum(a * math.log2(a / b) for a, b in zip(x, m) if a)
-    df = spark.range(1).select(quality_rules.shares(F.array(*[F.lit(float(8 * x)) for x in p])).alias("p"))
+    df = spark.range(1).select(quality_rules.shares(F.array(*[F.struct(F.lit(k).alias("i"), F.lit(int(8 * x)).alias("n")) for k, x in enumerate(p) if x])).alias("p"))
     assert df.select(quality_rules.distance(F.col("p"), q)).head()[0] == pytest.approx(math.sqrt((kl(p) + kl(q)) / 2))
 
 
