@@ -108,8 +108,8 @@ def is_reverse(flag: Column) -> Column:
 
 
 def segment_pairs(segs: DataFrame, assembly: bool = False, least: int | None = None) -> DataFrame:
-    """Per read each primary with each other piece, ordered by start: columns l_ and r_ of the left and right
-    piece. Assemblies take the piece of smallest position as primary; pieces under 300 (250) mapped bases don't count."""
+    """Per read each primary p with each other piece q, and both by start: l, r; of equal starts the primary is
+    right. Assemblies take the piece of smallest position as primary; pieces under 300 (250) mapped bases don't count."""
     least = least if least is not None else 250 if assembly else 300
     rows = segs.where(F.col("clip.mapped") >= least)
     if assembly:
@@ -121,57 +121,65 @@ def segment_pairs(segs: DataFrame, assembly: bool = False, least: int | None = N
     names = [c for c in segs.columns if c != "qname"]
     packed = lambda df, n: df.select("qname", F.struct(*names).alias(n))
     pairs = packed(p, "p").join(packed(q, "q"), "qname")
-    swap = F.struct("q.start", "q.stop") < F.struct("p.start", "p.stop")
-    left, right = F.when(swap, F.col("q")).otherwise(F.col("p")), F.when(swap, F.col("p")).otherwise(F.col("q"))
-    return pairs.select("qname", left.alias("l"), right.alias("r"))
+    ahead = F.col("q.start") > F.col("p.start")
+    left, right = F.when(ahead, F.col("p")).otherwise(F.col("q")), F.when(ahead, F.col("q")).otherwise(F.col("p"))
+    return pairs.select("qname", left.alias("l"), right.alias("r"), "p", "q")
 
 
-def split_signals(pairs: DataFrame, min_mapq: int = 30, exact_mapq: int | None = None, min_size: int = 40) -> DataFrame:
-    """Signals of pairs on one chromosome: DEL, INS, DUP (by either overlap) on one strand, INV (by ends or starts) on two."""
+def split_signals(pairs: DataFrame, min_mapq: int = 30, exact_mapq: int | None = None, min_size: int = 40, max_size: int = 10_000_000, seq: Column | None = None) -> DataFrame:
+    """Signals of pairs on one chromosome: DEL, INS, DUP (by either overlap) on one strand, INV (by ends or starts) on two.
+    Stops follow from starts and sizes. seq: the primary's sequence, of which insertions carry their part."""
     l, r = F.col("l"), F.col("r")
     sh1, len1, sh2 = l["clip"]["left"], l["clip"]["mapped"], l["clip"]["right"]
     sh3, len2, sh4 = r["clip"]["left"], r["clip"]["mapped"], r["clip"]["right"]
-    maq = (l["mapq"] + r["mapq"]) / 2
+    maq = F.floor((l["mapq"] + r["mapq"]) / 2)
     same = is_reverse(l["flag"]) == is_reverse(r["flag"])
+    turned = ~same & (l["start"] < r["start"]) & (r["stop"] - l["stop"] > -200)
     lap1, lap2 = sh1 + len1 - sh3, sh3 + len2 - sh1
     gap = r["start"] - l["stop"]
     del_size = gap + lap1
     del_start = F.greatest(F.lit(0), l["stop"] - F.greatest(F.lit(0), lap1))
     ins_size = sh3 - len1 - sh1 - gap
-    dup1 = l["stop"] - r["start"]
-    dup2 = r["stop"] - l["start"]
+    back, whole = l["stop"] - r["start"], r["stop"] - l["start"]
     inv1, inv2 = sh3 + len2 - sh2, sh4 + len2 - sh1
     ends, starts = r["stop"] - l["stop"], r["start"] - l["start"]
+    inserted = F.lit("*") if seq is None else F.coalesce(F.substring(seq, (sh1 + len1 + 1).cast("int"), F.greatest(F.lit(0), sh3 - gap - sh1 - len1).cast("int")), F.lit("*"))
 
-    def made(when: Column, kind: str, start: Column, stop: Column, size: Column) -> Column:
-        return F.when(when & (size >= min_size), F.struct(F.lit(kind).alias("sv_type"), start.cast("long").alias("start"), stop.cast("long").alias("stop"), size.cast("long").alias("sv_len")))
+    def made(when: Column, kind: str, start: Column, size: Column, length: Column | None = None, text: Column | None = None) -> Column:
+        fits = when & (size >= min_size) & (size <= max_size)
+        stop = start + (size if length is None else length)
+        return F.when(fits, F.struct(F.lit(kind).alias("sv_type"), start.cast("long").alias("start"), stop.cast("long").alias("stop"), size.cast("long").alias("sv_len"), (F.lit("*") if text is None else text).alias("seq")))
 
     found = F.array(
-        made(same & (lap1 > -200) & (lap1 < 1500), "DEL", del_start, del_start + del_size - 1, del_size),
-        made(same & (F.abs(gap) <= 300), "INS", l["stop"], l["stop"] + 1, ins_size),
-        made(same & (lap1 > -200) & (lap1 < 500) & (dup1 >= F.greatest(F.lit(50), lap1)), "DUP", r["start"], l["stop"], dup1 - F.greatest(lap1, F.lit(0))),
-        made(same & (lap2 > -200) & (lap2 < 500) & (dup2 >= F.greatest(F.lit(1000), lap2)), "DUP", l["start"], r["stop"], dup2 - F.greatest(lap2, F.lit(0))),
-        made(~same & (inv1 > -200) & (inv1 < 500) & (ends > F.greatest(F.lit(100), inv1)), "INV", l["stop"], r["stop"], ends),
-        made(~same & (inv2 > -200) & (inv2 < 500) & (starts >= F.greatest(F.lit(100), inv2)), "INV", l["start"], r["start"], starts),
+        made(same & (lap1 > -200) & (lap1 < 1500), "DEL", del_start, del_size, del_size - 1),
+        made(same & (F.abs(gap) <= 300), "INS", F.least(r["start"], l["stop"]), ins_size, F.lit(1), inserted),
+        made(same & (lap1 > -200) & (lap1 < 500) & (back >= F.greatest(F.lit(50), lap1)), "DUP", r["start"], back - F.greatest(lap1, F.lit(0))),
+        made(same & (lap2 > -200) & (lap2 < 500) & (whole >= F.greatest(F.lit(1000), lap2)), "DUP", l["start"], whole - lap2),
+        made(turned & (inv1 > -200) & (inv1 < 500) & (ends > F.greatest(F.lit(100), inv1)), "INV", l["stop"], ends - inv1),
+        made(turned & (inv2 > -200) & (inv2 < 500) & (starts >= F.greatest(F.lit(100), inv2)), "INV", l["start"], starts - inv2),
     )
     good = maq >= min_mapq if exact_mapq is None else maq == exact_mapq
     out = pairs.where((l["chrom"] == r["chrom"]) & good).select("qname", l["chrom"].alias("chrom"), maq.cast("int").alias("maq"), F.explode(F.filter(found, lambda s: s.isNotNull())).alias("s"))
     return out.select(
         "chrom", F.col("qname").alias("query_name"), "s.start", "s.stop", "s.sv_len", "maq",
-        F.concat_ws("", "chrom", F.lit(":"), "s.start", F.lit("-"), "s.stop", F.lit("_"), "s.sv_type", F.lit("LEN="), "s.sv_len").alias("svid"), "s.sv_type", F.lit("*").alias("seq"),
+        F.concat_ws("", "chrom", F.lit(":"), "s.start", F.lit("-"), "s.stop", F.lit("_"), "s.sv_type", F.lit("LEN="), "s.sv_len").alias("svid"), "s.sv_type", "s.seq",
     )
 
 
 def translocation_signals(pairs: DataFrame, chroms: DataFrame, mapq: int = 60, reach: int = 500) -> DataFrame:
-    """Signals of pairs on two chromosomes, both sides ordered as chroms (chrom, rank) has them: each piece
-    gives the end that faces the other, chosen by which clips complement each other; mean quality exactly mapq."""
-    l, r = F.col("l"), F.col("r")
-    after = F.abs(l["clip"]["right"] - (r["clip"]["mapped"] + r["clip"]["right"])) <= reach
-    before = F.abs(l["clip"]["left"] - (r["clip"]["mapped"] + r["clip"]["left"])) <= reach
-    at_l = F.when(after, l["stop"]).when(before, l["start"])
-    at_r = F.when(after, r["start"]).when(before, r["stop"])
-    rows = pairs.where((l["chrom"] != r["chrom"]) & ((l["mapq"] + r["mapq"]) / 2 == mapq)).select("qname", l["chrom"].alias("a"), r["chrom"].alias("b"), at_l.alias("x"), at_r.alias("y")).where("x is not null")
-    order = F.broadcast(chroms.select("chrom", "rank").limit(1_000_000))
+    """Signals of pairs on two chromosomes, both sides ordered as chroms (chrom, rank; one row a chromosome) has them.
+    Each piece breaks at its start if its left clip is as long as the other's mapped part with a clip, else at its stop
+    if its right clip is; both must break; mean quality, rounded down, exactly mapq."""
+    p, q = F.col("p"), F.col("q")
+
+    def breaks(own: Column, other: Column) -> Column:
+        c, d = own["clip"], other["clip"]
+        near = lambda side: (F.abs(c[side] - d["left"] - d["mapped"]) <= reach) | (F.abs(c[side] - d["mapped"] - d["right"]) <= reach)
+        return F.when(near("left"), own["start"]).when(near("right"), own["stop"])
+
+    both = (p["chrom"] != q["chrom"]) & (F.floor((p["mapq"] + q["mapq"]) / 2) == mapq)
+    rows = pairs.where(both).select("qname", p["chrom"].alias("a"), q["chrom"].alias("b"), breaks(p, q).alias("x"), breaks(q, p).alias("y")).where("x is not null and y is not null")
+    order = chroms.select("chrom", "rank")
     ranked = rows.join(order.withColumnsRenamed({"chrom": "a", "rank": "ra"}), "a").join(order.withColumnsRenamed({"chrom": "b", "rank": "rb"}), "b")
     swap = F.col("ra") > F.col("rb")
     pick = lambda c, d: F.when(swap, F.col(d)).otherwise(F.col(c))

@@ -66,14 +66,18 @@ def run_collapse(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 
 
 def trimmed(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """Per key: the smallest mode, and the mean rounded up, of values within the quartiles (linear, inclusive); n values, of all.
+    """Per key: the smallest mode, and the mean rounded up, of values within the quartiles (linear, inclusive), of all values
+    where none lies there (as of two different ones); n values, of all.
 
     Counts of values are pre-aggregated; quartiles come from them, weighted."""
+    v, n = F.col(value), F.col("__n")
+    best = lambda when: F.max_by(F.when(when, v), F.when(when, F.struct(n, -v)))
+    mean = lambda when: F.ceil(F.sum(F.when(when, v * n)) / F.sum(F.when(when, n)))
     counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("__n"))
-    quart = counts.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)), F.col("__n")).alias("__q"), F.sum("__n").alias("n"))
-    inside = counts.join(quart, keys).where((F.col(value) >= F.col("__q")[0]) & (F.col(value) <= F.col("__q")[1]))
-    best = F.max_by(F.col(value), F.struct(F.col("__n"), -F.col(value)))
-    return inside.groupBy(*keys).agg(F.first("n").alias("n"), best.alias("mode_value"), F.ceil(F.sum(F.col(value) * F.col("__n")) / F.sum("__n")).alias("mean_value"))
+    quart = counts.groupBy(*keys).agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75)), n).alias("__q"), F.sum(n).alias("n"))
+    joined = counts.join(quart, keys)
+    inside = (v >= F.col("__q")[0]) & (v <= F.col("__q")[1])
+    return joined.groupBy(*keys).agg(F.first("n").alias("n"), F.coalesce(best(inside), best(F.lit(True))).alias("mode_value"), F.coalesce(mean(inside), mean(F.lit(True))).alias("mean_value"))
 
 
 def top_alleles(clustered: DataFrame, keys: list[str], k: int = 2, least_share: float = 0.05) -> DataFrame:
@@ -85,13 +89,21 @@ def top_alleles(clustered: DataFrame, keys: list[str], k: int = 2, least_share:
 
 
 def cluster_stats(clustered: DataFrame, keys: list[str], median_stop: bool = False) -> DataFrame:
-    """Per cluster: the most frequent start and length (smallest of equals), largest stop (or the most frequent),
-    distinct reads, mean quality rounded down, reads' names in order."""
-    stop = F.mode("stop", True) if median_stop else F.max("stop")
-    return clustered.groupBy(*keys).agg(
-        F.mode("start", True).alias("start"), stop.alias("stop"), F.mode("sv_len", True).alias("sv_len"), F.count_distinct("query_name").alias("reads"),
-        F.floor(F.avg("maq")).cast("int").alias("maq"), F.array_sort(F.collect_set("query_name")).alias("reads_id"),
-    )
+    """Per cluster: trimmed modes of start, length and quality, the largest stop (or its trimmed mode), distinct reads and
+    their names in order."""
+    columns = ["start", "sv_len", "maq", *(["stop"] if median_stop else [])]
+    values = F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).cast("long").alias("value")) for c in columns])
+    modes = trimmed(clustered.select(*keys, F.explode(values).alias("__v")).select(*keys, F.col("__v.of").alias("__of"), F.col("__v.value").alias("value")), [*keys, "__of"], "value")
+    wide = modes.groupBy(*keys).agg(*[F.max(F.when(F.col("__of") == c, F.col("mode_value"))).alias(c) for c in columns])
+    rest = clustered.groupBy(*keys).agg(*([] if median_stop else [F.max("stop").alias("stop")]), F.count_distinct("query_name").alias("reads"), F.array_sort(F.collect_set("query_name")).alias("reads_id"))
+    return rest.join(wide, keys).withColumn("maq", F.col("maq").cast("int"))
+
+
+def mean_quality(reads: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key: mapped reads, and their mean mapping quality rounded up (0 of none)."""
+    mapped = F.col("flag").bitwiseAND(4) == 0
+    n = F.count(F.when(mapped, 1))
+    return reads.groupBy(*keys).agg(n.alias("reads"), F.coalesce(F.ceil(F.try_divide(F.sum("mapq"), n)), F.lit(0)).cast("long").alias("maq"))
 
 
 def sample_merge(islanded: DataFrame, keys: list[str], order: list[str], translocations: bool = False) -> DataFrame:

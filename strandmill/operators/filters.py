@@ -41,9 +41,9 @@ def supported(candidates: DataFrame, reads: int | None = None, rate: float | Non
 
 
 def inversion_guard(signals: DataFrame, sizes: DataFrame, part: int = 4) -> DataFrame:
-    """Drops inversions not under a quarter of their chromosome; sizes: chrom, size, one row a chromosome."""
+    """Drops inversions not under a quarter of their chromosome; those of a chromosome without a size stay. sizes: chrom, size, one row a chromosome."""
     joined = signals.join(sizes.select("chrom", "size"), "chrom", "left")
-    return joined.where((F.col("sv_type") != "INV") | (F.col("sv_len") < F.col("size") / part)).drop("size")
+    return joined.where((F.col("sv_type") != "INV") | F.coalesce(F.col("sv_len") < F.col("size") / part, F.lit(True))).drop("size")
 
 
 def segment_reads(segments: DataFrame, assembly: bool = False) -> DataFrame:

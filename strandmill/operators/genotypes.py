@@ -30,7 +30,7 @@ def by_ratio(ratio: Column, homo: float = 0.65, ref: float = 0.10, strict: bool
     return F.when(ratio > homo if strict else ratio >= homo, HOM).when(ratio < ref, REF).otherwise(HET)
 
 
-#: Rules on the ratios of two breakpoints by platform and type: (a, b, larger, smaller) to homozygous and reference conditions.
+#: Rules on the ratios of two breakpoints by platform and type: (a, b, larger, smaller) to homozygous and reference conditions.
 TWO_BREAKPOINTS = {
     "lr_dup": (lambda a, b, hi, lo: ((a >= 0.4) & (b >= 0.4)) | (a + b >= 0.9), lambda a, b, hi, lo: a + b < 0.1),
     "lr_inv": (lambda a, b, hi, lo: hi >= 0.85, lambda a, b, hi, lo: a + b < 0.1),
@@ -45,7 +45,7 @@ TWO_BREAKPOINTS = {
     "force_inv": (lambda a, b, hi, lo: hi >= 0.8, lambda a, b, hi, lo: a + b < 0.1),
 }
 
-#: Rules on one ratio: homozygous, whether more than it is needed, reference bound.
+#: Rules on one ratio: homozygous, whether more than it is needed, reference bound.
 ONE_RATIO = {
     "lr_dup_small": (0.75, True, 0.05), "lr_dup_sa": (0.625, False, 0.1), "cr": (0.65, True, 0.15), "cr_sa": (0.6, False, 0.2),
     "force_sa": (0.6, False, 0.05), "signal": (0.65, True, 0.1), "sr": (0.65, False, 0.1),
@@ -134,30 +134,86 @@ def support_text(sv_type: Column, reads_a: Column, reads_b: Column, ratio_a: Col
     return F.when(sv_type == "INS", one).otherwise(two), F.when(sv_type == "INS", F.concat(F.lit("INS_rate="), ratio_a.cast("string"), F.lit(";INS"))).otherwise(rates)
 
 
-def evidence(variants: DataFrame, reads: DataFrame, at: str, shift: int = 150, span: int = 50, sizes: tuple[float, float] = (0.8, 1.2), totals: tuple[float, float] = (0.7, 1.5), least: int = 35) -> DataFrame:
-    """Per variant (vid, chrom, at, size, sv_type) and sample: reads near the breakpoint at, reads with a fitting
-    event of the variant's type, clip ends within the shift (widened by a twentieth of the size, 250 at most), and
-    reads that span the breakpoint by span on both sides without a fitting event. One join serves all variants."""
-    wide = F.lit(shift) + F.least(F.ceil(F.col("size") * 0.05), F.lit(250))
-    near = variants.withColumns({"low": F.col(at) - wide, "high": F.col(at) + wide})
-    op = lambda kind: F.filter(placed(F.col("cigar"), F.col("pos")), lambda o: (o["op"] == kind) & (o["n"] >= least))
-    lines = reads.where(F.col("flag").bitwiseAND(4) == 0).select(
-        "sample", "qname", F.col("rname").alias("chrom"), F.col("pos").alias("start"), (F.col("pos") + reference_length(F.col("cigar"))).alias("stop"),
-        op("D").alias("dels"), op("I").alias("inss"),
-        F.when(F.regexp_extract("cigar", "^([0-9]+)[SH]", 1) != "", F.col("pos")).alias("clip_l"),
-        F.when(F.regexp_extract("cigar", "([0-9]+)[SH]$", 1) != "", F.col("pos") + reference_length(F.col("cigar"))).alias("clip_r"),
+def aligned(reads: DataFrame, least: int) -> DataFrame:
+    """Mapped reads as intervals (closed), with their deletions, insertions of least bases at least, and clipped ends."""
+    stop = F.col("pos") + reference_length(F.col("cigar"))
+    op = lambda kind, n: F.filter(placed(F.col("cigar"), F.col("pos")), lambda o: (o["op"] == kind) & (o["n"] >= n))
+    return reads.where(F.col("flag").bitwiseAND(4) == 0).select(
+        "sample", "qname", "mapq", F.col("rname").alias("chrom"), F.col("pos").alias("start"), (stop - 1).alias("last"), op("D", 1).alias("dels"), op("I", least).alias("inss"),
+        F.when(F.col("cigar").rlike("^[0-9]+[SH]"), F.col("pos")).alias("clip_l"), F.when(F.col("cigar").rlike("[SH]$"), stop).alias("clip_r"),
     )
-    hits = overlap_join(near, lines, None, ("chrom", "low", "high"))
-    events = F.when(F.col("sv_type") == "DEL", F.col("r_dels")).otherwise(F.col("r_inss"))
-    inside = F.filter(events, lambda o: (o["ref"] >= F.col("low")) & (o["ref"] <= F.col("high")))
-    total = F.aggregate(inside, F.lit(0).cast("long"), lambda a, o: a + o["n"])
-    single = F.exists(inside, lambda o: (o["n"] >= sizes[0] * F.col("size")) & (o["n"] <= sizes[1] * F.col("size")))
-    event = single | ((total >= totals[0] * F.col("size")) & (total <= totals[1] * F.col("size")))
-    clip = F.coalesce(F.col("r_clip_l").between(F.col("low"), F.col("high")).cast("int"), F.lit(0)) + F.coalesce(F.col("r_clip_r").between(F.col("low"), F.col("high")).cast("int"), F.lit(0))
-    spans = (F.col("r_start") <= F.col(at) - span) & (F.col("r_stop") >= F.col(at) + span) & ~event & (clip == 0)
+
+
+def _within(place: Column, at: Column, reach: Column) -> Column:
+    return F.coalesce((place >= at - reach) & (place < at + reach), F.lit(False))
+
+
+def insertion_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
+    """Per insertion (vid, chrom, start, stop, size) and sample: reads within shift; events, names of reads with an insertion of
+    0.8 to 1.2 times the size (from 300 before it to its size after it), or whose others there add up to 0.7 to 1.5 times
+    it; clips, clipped ends near the start or stop (within the size, 300 at most, and a twentieth of it, 250 at most); spans, reads
+    without clips that pass it by 1000 bases on both sides, less the events; maq, the mean quality rounded up.
+    One interval join serves all variants; reads are counted in the tasks that meet them."""
+    size, start, stop = F.col("size"), F.col("start"), F.col("stop")
+    near = variants.withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
+    hits = overlap_join(near, aligned(reads, least), None, ("chrom", "__low", "__high"), ("chrom", "start", "last"))
+    inside = F.filter("r_inss", lambda o: (o["ref"] > start - 300) & (o["ref"] <= stop + size))
+    fit = lambda o: (o["n"] >= 0.8 * size) & (o["n"] <= 1.2 * size)
+    rest = F.aggregate(F.filter(inside, lambda o: ~fit(o)), F.lit(0).cast("long"), lambda a, o: a + o["n"])
+    event = F.exists(inside, fit) | ((rest >= 0.7 * size) & (rest < 1.5 * size))
+    reach = F.least(size, F.lit(300)) + F.least(F.ceil(size * 0.05), F.lit(250))
+    clipped = lambda c: (_within(F.col(c), start, reach) | _within(F.col(c), stop, reach)).cast("int")
+    whole = F.col("r_clip_l").isNull() & F.col("r_clip_r").isNull() & (F.col("r_start") + 1000 < start) & (F.col("r_last") + 1 - 1000 > stop)
+    events = F.count_distinct(F.when(event, F.col("r_qname")))
     return hits.groupBy("vid", F.col("r_sample").alias("sample")).agg(
-        F.count(F.lit(1)).alias("reads"), F.count(F.when(event, 1)).alias("events"), F.sum(clip).alias("clips"), F.count(F.when(spans, 1)).alias("spans"),
+        F.count(F.lit(1)).alias("reads"), events.alias("events"), F.sum(clipped("r_clip_l") + clipped("r_clip_r")).alias("clips"), (F.count(F.when(whole, 1)) - events).alias("spans"), F.ceil(F.avg("r_mapq")).alias("maq"),
+    )
+
+
+def deletion_evidence(variants: DataFrame, reads: DataFrame, at: str, shift: int = 200, least: int = 35) -> DataFrame:
+    """Per deletion (vid, chrom, start, stop, size) and sample, around its start or stop (at): reads; events, names of reads with a
+    deletion of 0.8 to 1.2 times the size (within 200 of it), or whose running total of those of least bases comes to it, or ends
+    at 0.7 to 1.5 times it; clips, left ends that begin past the middle and right ends that stop before it, within the shift and
+    a twentieth of the size, 500 at most; maq."""
+    size, start, stop = F.col("size"), F.col("start"), F.col("stop")
+    near = variants.withColumns({"__low": F.greatest(F.col(at) - shift, F.lit(0)), "__high": F.col(at) + shift - 1})
+    hits = overlap_join(near, aligned(reads, least), None, ("chrom", "__low", "__high"), ("chrom", "start", "last"))
+    inside = F.filter("r_dels", lambda o: (o["ref"] > start - 200) & (o["ref"] < stop + 200))
+    fit = lambda n: (n >= 0.8 * size) & (n <= 1.2 * size)
+
+    def step(a: Column, o: Column) -> Column:
+        total = a["total"] + F.when(o["n"] >= least, o["n"]).otherwise(0)
+        return F.struct(total.alias("total"), (a["hit"] | fit(o["n"]) | ((o["n"] >= least) & fit(total))).alias("hit"))
+
+    fold = F.aggregate(inside, F.struct(F.lit(0).cast("long").alias("total"), F.lit(False).alias("hit")), step)
+    hits = hits.withColumn("__fold", fold)
+    event = F.col("__fold.hit") | ((F.col("__fold.total") >= 0.7 * size) & (F.col("__fold.total") <= 1.5 * size))
+    reach = F.lit(shift) + F.least(F.ceil(size * 0.05), F.lit(500))
+    left = _within(F.col("r_clip_l"), F.col(at), reach) & (F.col("r_clip_l") > stop - 0.5 * size)
+    right = _within(F.col("r_clip_r"), F.col(at), reach) & (F.col("r_clip_r") < start + 0.5 * size)
+    return hits.groupBy("vid", F.col("r_sample").alias("sample")).agg(
+        F.count(F.lit(1)).alias("reads"), F.count_distinct(F.when(event, F.col("r_qname"))).alias("events"), F.sum(left.cast("int") + right.cast("int")).alias("clips"), F.ceil(F.avg("r_mapq")).alias("maq"),
+    )
+
+
+def long_read_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 200, least: int = 35) -> DataFrame:
+    """Genotypes of insertions and deletions (variants: vid, chrom, start, stop, size, sv_type) from reads, for every one of the
+    samples; variants without reads there are missing."""
+    asked = variants.select("vid", "size", "sv_type", F.explode(F.array(*map(F.lit, samples))).alias("sample"))
+    ins = insertion_evidence(variants.where("sv_type = 'INS'"), reads, shift, least)
+    sides = [deletion_evidence(variants.where("sv_type = 'DEL'"), reads, at, shift, least) for at in ("start", "stop")]
+    names = ("reads", "events", "clips", "maq")
+    left, right = (s.select("vid", "sample", *[F.col(n).alias(f"{n}_{k}") for n in names]) for k, s in zip("lr", sides))
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
+    found = asked.where("sv_type = 'INS'").join(ins, ["vid", "sample"], "left")
+    by_ins = found.select("vid", "sample", F.when(zero("reads") == 0, MISSING).otherwise(insertion(zero("events"), zero("clips"), zero("reads"), zero("spans"), F.col("size"))).alias("gt"), zero("reads").alias("reads_l"), F.lit(0).cast("long").alias("reads_r"), share(zero("events") + zero("clips"), zero("reads")).alias("ratio_l"), F.lit(0.0).alias("ratio_r"), zero("maq").alias("maq"))
+    both = asked.where("sv_type = 'DEL'").join(left, ["vid", "sample"], "left").join(right, ["vid", "sample"], "left")
+    counts = [zero(f"{n}_{k}") for k in "lr" for n in ("events", "clips", "reads")]
+    by_del = both.select(
+        "vid", "sample", deletion(*counts, F.col("size")).alias("gt"), zero("reads_l").alias("reads_l"), zero("reads_r").alias("reads_r"),
+        *[share(zero(f"events_{k}") + zero(f"clips_{k}"), zero(f"reads_{k}")).alias(f"ratio_{k}") for k in "lr"], F.greatest(zero("maq_l"), zero("maq_r")).alias("maq"),
     )
+    return by_ins.unionByName(by_del)
 
 
 def shared_names(left: DataFrame, right: DataFrame, ident: list[str]) -> DataFrame:

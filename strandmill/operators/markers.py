@@ -6,7 +6,7 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,31 +19,41 @@ STACKS = {
 }
 
 
-def pileup_snps(pileup: DataFrame, top: float = 0.95) -> DataFrame:
-    """pileup: chrom, pos, ref, bases (all further columns' text). Counts each base, upper case, once read starts
-    (^ and the character after it) and ends ($) are gone; sites whose commonest base is under top and that have
-    a second one, or as many of it."""
-    plain = F.upper(F.regexp_replace("bases", r"\^.|\$", ""))
-    plain = F.regexp_replace(plain, r"[.,]", F.upper(F.col("ref")))
-    counts = pileup.withColumn("b", plain).withColumn("n", F.array(*[F.struct((F.length("b") - F.length(F.translate("b", x, ""))).cast("long").alias("n"), F.lit(x).alias("base")) for x in BASES]))
-    ranked = counts.withColumn("n", F.array_sort("n", lambda a, b: F.when(a["n"] != b["n"], F.when(a["n"] > b["n"], -1).otherwise(1)).otherwise(F.when(a["base"] < b["base"], -1).when(a["base"] > b["base"], 1).otherwise(0))))
-    total = F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x["n"])
+def pileup_snps(pileup: DataFrame, top: float = 0.95, by_samples: bool = True) -> DataFrame:
+    """pileup: chrom, pos, columns (the text columns from the fourth on, three a sample: depth, bases, qualities). Once read
+    starts (^ and the character after it) and ends ($) are gone, letters A, C, G, T in either case are counted over all
+    columns. Frequencies divide by the number of samples, to three places; by_samples=False divides by the four counts'
+    sum. Sites whose commonest base is under top and that have a second one, or as many of it. Of equal counts the
+    order is A, T, C, G."""
+    text = F.upper(F.regexp_replace(F.array_join("columns", ","), r"\^.|\$", ""))
+    counts = pileup.withColumn("b", text).withColumn("n", F.array(*[F.struct((F.length("b") - F.length(F.translate("b", x, ""))).cast("long").alias("n"), F.lit(-k).alias("k"), F.lit(x).alias("base")) for k, x in enumerate(("A", "T", "C", "G"))]))
+    ranked = counts.withColumn("n", F.reverse(F.array_sort("n")))
+    total = F.floor(F.size("columns") / 3).cast("long") if by_samples else F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x["n"])
     first, second = F.get("n", F.lit(0)), F.get("n", F.lit(1))
     out = ranked.select("chrom", "pos", first["base"].alias("con"), second["base"].alias("mut"), first["n"].alias("con_n"), second["n"].alias("mut_n"), total.alias("total"))
-    out = out.where("total > 0").withColumns({"con_freq": F.col("con_n") / F.col("total"), "mut_freq": F.col("mut_n") / F.col("total")})
+    freq = lambda c: F.round(F.col(c) / F.col("total"), 3)
+    out = out.where("total > 0").withColumns({"con_freq": freq("con_n"), "mut_freq": freq("mut_n")})
     return out.where((F.col("con_freq") < top) & (F.col("mut_n") > 0)).drop("total")
 
 
+def _parts(text: Column, width: int) -> Column:
+    """The parts of width letters of the 11 bases around a SNP."""
+    return F.transform(F.sequence(F.lit(1), F.lit(12 - width)), lambda k: F.substring(text, k, F.lit(width)))
+
+
 def caps_sites(snps: DataFrame, sequences: DataFrame, enzymes: DataFrame, length: int = 500) -> DataFrame:
     """Sites of an enzyme that one allele alone has within the 11 bases around the SNP, on tiles of length bases
     that begin length - 50, ... 50 bases before it, in steps of 50, and that hold the site twice at most.
-    enzymes (name, site) is small: a table of known enzymes; sequences: chrom, seq."""
+    enzymes: name, site; sequences: chrom, seq. A site of no or over 11 letters is in none."""
     at = snps.join(sequences, "chrom")
     around = F.expr("substring(seq, cast(pos as int) - 5, 11)")
     pair = F.array(*[F.struct(F.lit(kind).alias("allele"), F.col(kind).alias("base"), F.col(f"{kind}_freq").alias("freq"), F.overlay(around, F.col(kind), F.lit(6), F.lit(1)).alias("own"), F.overlay(around, F.col(other), F.lit(6), F.lit(1)).alias("other")) for kind, other in (("con", "mut"), ("mut", "con"))])
     alleles = at.where("pos > 5").withColumn("a", F.explode(pair))
-    cut = F.broadcast(enzymes.limit(10_000).select("name", "site"))
-    hits = alleles.join(cut, F.col("a.own").contains(F.col("site")) & ~F.col("a.other").contains(F.col("site")))
+    sites = enzymes.select("name", "site").withColumn("size", F.length("site"))
+    widths = [r["size"] for r in sites.select("size").distinct().where("size between 1 and 11").collect()]
+    # every part of the 11 bases that is as long as some site is a key, so an enzyme meets only the alleles that have its site
+    own = F.array_distinct(F.flatten(F.array(*[_parts(F.col("a.own"), w) for w in widths or [1]])))
+    hits = alleles.withColumn("site", F.explode(own)).join(sites.drop("size"), "site").where(~F.col("a.other").contains(F.col("site")))
     tiles = hits.withColumn("before", F.explode(F.sequence(F.lit(length - 50), F.lit(50), F.lit(-50)))).where("pos - before >= 0")
     tile = F.overlay(F.expr(f"substring(seq, cast(pos - before as int) + 1, {length})"), F.col("a.base"), F.col("before"))
     named = tiles.withColumn("tile", tile)

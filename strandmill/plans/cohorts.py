@@ -14,7 +14,7 @@ from strandmill.plans.signals import sig
 K = ["k1", "k2", "k3", "k4"]
 
 OPS = cte("align") + r""", ops AS (SELECT *, regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 1) AS ns, regexp_extract_all(cigar, '([0-9]+)([MIDNSHP=X])', 2) AS os FROM align),
-op AS (SELECT qname, flag, rname, pos, mapq, seq, i, CAST(ns[i] AS BIGINT) AS n, os[i] AS op FROM (SELECT *, unnest(range(1, len(ns) + 1)) AS i FROM ops)),
+op AS (SELECT qname, flag, rname, pos, mapq, sample, seq, i, CAST(ns[i] AS BIGINT) AS n, os[i] AS op FROM (SELECT *, unnest(range(1, len(ns) + 1)) AS i FROM ops)),
 pl AS (SELECT *, pos + coalesce(CAST(sum(CASE WHEN op IN ('M', 'D', 'N', '=', 'X') THEN n ELSE 0 END) OVER w AS BIGINT), 0) AS ref, coalesce(CAST(sum(CASE WHEN op IN ('M', 'I', 'S', '=', 'X') THEN n ELSE 0 END) OVER w AS BIGINT), 0) AS query FROM op WINDOW w AS (PARTITION BY qname ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))"""
 
 
@@ -56,17 +56,17 @@ def sa_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PAIRS = cte("piece") + """, p AS (SELECT DISTINCT qname, flag, chrom, start, stop, cl, cm, cr, mapq FROM piece WHERE cm >= 300),
-pq AS (SELECT p.qname, CASE WHEN (q.start < p.start OR (q.start = p.start AND q.stop < p.stop)) THEN q ELSE p END AS l, CASE WHEN (q.start < p.start OR (q.start = p.start AND q.stop < p.stop)) THEN p ELSE q END AS r FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16),
-z AS (SELECT qname, l.chrom AS chrom, l.chrom = r.chrom AS same_chrom, (l.mapq + r.mapq) / 2 AS maq, (l.flag & 16) = (r.flag & 16) AS same, l.start AS ls, l.stop AS le, r.start AS rs, r.stop AS re, l.cl + l.cm - r.cl AS lap1, r.cl + r.cm - l.cl AS lap2, r.cl - l.cm - l.cl AS ins0, r.cl + r.cm - l.cr AS inv1, r.cr + r.cm - l.cl AS inv2 FROM pq),
-y AS (SELECT *, rs - le + lap1 AS dsize, greatest(0, le - greatest(0, lap1)) AS dstart FROM z WHERE same_chrom AND maq >= 30),
+pq AS (SELECT p.qname, p, q, CASE WHEN q.start > p.start THEN p ELSE q END AS l, CASE WHEN q.start > p.start THEN q ELSE p END AS r FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16),
+z AS (SELECT qname, l.chrom AS chrom, l.chrom = r.chrom AS same_chrom, floor((l.mapq + r.mapq) / 2) AS maq, (l.flag & 16) = (r.flag & 16) AS same, l.start AS ls, l.stop AS le, r.start AS rs, r.stop AS re, l.cl + l.cm - r.cl AS lap1, r.cl + r.cm - l.cl AS lap2, r.cl - l.cm - l.cl AS ins0, r.cl + r.cm - l.cr AS inv1, r.cr + r.cm - l.cl AS inv2 FROM pq),
+y AS (SELECT *, NOT same AND ls < rs AND re - le > -200 AS turned FROM z WHERE same_chrom AND maq >= 30),
 o AS (
- SELECT qname, chrom, maq, 'DEL' AS sv_type, dstart AS start, dstart + dsize - 1 AS stop, dsize AS sv_len FROM y WHERE same AND lap1 > -200 AND lap1 < 1500
- UNION ALL SELECT qname, chrom, maq, 'INS', le, le + 1, ins0 - (rs - le) FROM y WHERE same AND abs(rs - le) <= 300
- UNION ALL SELECT qname, chrom, maq, 'DUP', rs, le, le - rs - greatest(lap1, 0) FROM y WHERE same AND lap1 > -200 AND lap1 < 500 AND le - rs >= greatest(50, lap1)
- UNION ALL SELECT qname, chrom, maq, 'DUP', ls, re, re - ls - greatest(lap2, 0) FROM y WHERE same AND lap2 > -200 AND lap2 < 500 AND re - ls >= greatest(1000, lap2)
- UNION ALL SELECT qname, chrom, maq, 'INV', le, re, re - le FROM y WHERE NOT same AND inv1 > -200 AND inv1 < 500 AND re - le > greatest(100, inv1)
- UNION ALL SELECT qname, chrom, maq, 'INV', ls, rs, rs - ls FROM y WHERE NOT same AND inv2 > -200 AND inv2 < 500 AND rs - ls >= greatest(100, inv2))
-SELECT chrom, qname AS query_name, start, stop, sv_len, CAST(floor(maq) AS INT) AS maq, sv_type FROM o WHERE sv_len >= 40"""
+ SELECT qname, chrom, maq, 'DEL' AS sv_type, greatest(0, le - greatest(0, lap1)) AS start, rs - le + lap1 AS sv_len, rs - le + lap1 - 1 AS reach FROM y WHERE same AND lap1 > -200 AND lap1 < 1500
+ UNION ALL SELECT qname, chrom, maq, 'INS', least(rs, le), ins0 - (rs - le), 1 FROM y WHERE same AND abs(rs - le) <= 300
+ UNION ALL SELECT qname, chrom, maq, 'DUP', rs, le - rs - greatest(lap1, 0), le - rs - greatest(lap1, 0) FROM y WHERE same AND lap1 > -200 AND lap1 < 500 AND le - rs >= greatest(50, lap1)
+ UNION ALL SELECT qname, chrom, maq, 'DUP', ls, re - ls - lap2, re - ls - lap2 FROM y WHERE same AND lap2 > -200 AND lap2 < 500 AND re - ls >= greatest(1000, lap2)
+ UNION ALL SELECT qname, chrom, maq, 'INV', le, re - le - inv1, re - le - inv1 FROM y WHERE turned AND inv1 > -200 AND inv1 < 500 AND re - le > greatest(100, inv1)
+ UNION ALL SELECT qname, chrom, maq, 'INV', ls, rs - ls - inv2, rs - ls - inv2 FROM y WHERE turned AND inv2 > -200 AND inv2 < 500 AND rs - ls >= greatest(100, inv2))
+SELECT chrom, qname AS query_name, start, start + reach AS stop, sv_len, CAST(maq AS INT) AS maq, sv_type FROM o WHERE sv_len >= 40"""
 
 
 def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,9 +79,12 @@ def split_read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments.split_signals(alignments.segment_pairs(pieces(spark, sf_dir))).drop("svid", "seq")
 
 
-@query(PAIRS.split(",\ny AS (")[0].replace("l.chrom = r.chrom AS same_chrom", "l.chrom = r.chrom AS same_chrom, r.chrom AS chrom_r, l.cr AS lcr, l.cl AS lcl, r.cm + r.cr AS after_n, r.cm + r.cl AS before_n") + """,
-t AS (SELECT qname, chrom AS a, chrom_r AS b, CASE WHEN abs(lcr - after_n) <= 500 THEN le WHEN abs(lcl - before_n) <= 500 THEN ls END AS x, CASE WHEN abs(lcr - after_n) <= 500 THEN rs WHEN abs(lcl - before_n) <= 500 THEN re END AS y FROM z WHERE NOT same_chrom AND maq = 60)
-SELECT CASE WHEN a > b THEN b ELSE a END AS chrom, qname AS query_name, CASE WHEN a > b THEN y ELSE x END AS start, CASE WHEN a > b THEN a ELSE b END AS chrom2, CASE WHEN a > b THEN x ELSE y END AS start2 FROM t WHERE x IS NOT NULL""")
+@query(PAIRS.split(",\nz AS (")[0] + """,
+t AS (SELECT qname, p.chrom AS a, q.chrom AS b,
+ CASE WHEN abs(p.cl - q.cl - q.cm) <= 500 OR abs(p.cl - q.cm - q.cr) <= 500 THEN p.start WHEN abs(p.cr - q.cl - q.cm) <= 500 OR abs(p.cr - q.cm - q.cr) <= 500 THEN p.stop END AS x,
+ CASE WHEN abs(q.cl - p.cl - p.cm) <= 500 OR abs(q.cl - p.cm - p.cr) <= 500 THEN q.start WHEN abs(q.cr - p.cl - p.cm) <= 500 OR abs(q.cr - p.cm - p.cr) <= 500 THEN q.stop END AS y
+ FROM pq WHERE p.chrom <> q.chrom AND floor((p.mapq + q.mapq) / 2) = 60)
+SELECT CASE WHEN a > b THEN b ELSE a END AS chrom, qname AS query_name, CASE WHEN a > b THEN y ELSE x END AS start, CASE WHEN a > b THEN a ELSE b END AS chrom2, CASE WHEN a > b THEN x ELSE y END AS start2 FROM t WHERE x IS NOT NULL AND y IS NOT NULL""")
 def split_read_translocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = spark.createDataFrame([("Chr1", 1), ("Chr2", 2)], "chrom string, rank int")
     return alignments.translocation_signals(alignments.segment_pairs(pieces(spark, sf_dir)), order).select("chrom", "query_name", "start", "chrom2", "start2")
@@ -263,11 +266,11 @@ def ins_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(PARTS + """, place AS (SELECT gene, chrom, 'gene' AS part, start, stop FROM gene UNION ALL SELECT gene, chrom, 'CDS', start, stop FROM cds
  UNION ALL SELECT gene, chrom, '3k_promoter', greatest(CASE WHEN strand = '+' THEN start - 3000 ELSE stop + 1 END, 1), CASE WHEN strand = '+' THEN start - 1 ELSE stop + 3000 END FROM gene),
-h AS (SELECT s.svid, p.part, concat(p.gene, ':', CASE WHEN p.part = 'gene' AND s.start <= p.start AND s.stop >= p.stop THEN 'GenePAV' ELSE p.part END) AS label FROM sig s JOIN place p ON s.k2 <= 2 AND s.chrom = p.chrom AND p.start < p.stop AND p.start < s.stop AND p.stop > s.start)
+h AS (SELECT s.svid, p.part, concat(p.gene, ':', CASE WHEN p.part = 'gene' AND s.start <= p.start AND s.stop >= p.stop THEN 'GenePAV' ELSE p.part END) AS label FROM sig s JOIN place p ON s.chrom = p.chrom AND p.start < p.stop AND p.start < s.stop AND p.stop > s.start)
 SELECT svid, coalesce(string_agg(DISTINCT CASE WHEN part = 'gene' THEN label END, ',' ORDER BY CASE WHEN part = 'gene' THEN label END), '') AS genes, coalesce(string_agg(DISTINCT CASE WHEN part = 'CDS' THEN label END, ',' ORDER BY CASE WHEN part = 'CDS' THEN label END), '') AS cds,
 coalesce(string_agg(DISTINCT CASE WHEN part = '3k_promoter' THEN label END, ',' ORDER BY CASE WHEN part = '3k_promoter' THEN label END), '') AS promoters FROM h GROUP BY svid""")
 def promoter_hit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotation.position_annotation(sig(spark, sf_dir).where("k2 <= 2"), *gene_tables(spark, sf_dir), ["svid"])
+    return annotation.position_annotation(sig(spark, sf_dir), *gene_tables(spark, sf_dir), ["svid"])
 
 
 @query(cte("sig", "gene") + " SELECT s.svid, g.gene FROM sig s JOIN gene g ON s.chrom = g.chrom AND s.start <= g.stop AND s.stop >= g.start")
@@ -275,7 +278,7 @@ def gene_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.overlap_join(sig(spark, sf_dir), spark_table(spark, sf_dir, "gene")).select("svid", F.col("r_gene").alias("gene"))
 
 
-NESTED = cte("sig") + """, v AS (SELECT chrom, start, stop, sv_len, sv_type, k1, k2, k3, k4 FROM sig WHERE k4 % 4 = 0), l AS (SELECT *, lag(stop) OVER w AS pe FROM v WINDOW w AS (PARTITION BY chrom ORDER BY start, sv_len, k1, k2, k3, k4)),
+NESTED = cte("sig") + """, v AS (SELECT chrom, start, stop, sv_len, sv_type, k1, k2, k3, k4 FROM sig), l AS (SELECT *, lag(stop) OVER w AS pe FROM v WINDOW w AS (PARTITION BY chrom ORDER BY start, sv_len, k1, k2, k3, k4)),
 i AS (SELECT *, CAST(sum(CASE WHEN pe IS NOT NULL AND start <= pe + 500 THEN 0 ELSE 1 END) OVER (PARTITION BY chrom ORDER BY start, sv_len, k1, k2, k3, k4 ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cluster FROM l),
 p AS (SELECT o.chrom, o.cluster, o.start AS o_start, o.stop AS o_stop, o.sv_type AS o_sv_type, o.sv_len AS o_sv_len, i.start AS i_start, i.stop AS i_stop, i.sv_type AS i_sv_type, i.sv_len AS i_sv_len, o.k1 AS a1, o.k2 AS a2, o.k3 AS a3, o.k4 AS a4, i.k1 AS b1, i.k2 AS b2, i.k3 AS b3, i.k4 AS b4
  FROM i o JOIN i ON o.chrom = i.chrom AND o.cluster = i.cluster AND o.start <= i.start AND o.stop >= i.stop AND (o.k1, o.k2, o.k3, o.k4) <> (i.k1, i.k2, i.k3, i.k4)
@@ -285,11 +288,11 @@ p AS (SELECT o.chrom, o.cluster, o.start AS o_start, o.stop AS o_stop, o.sv_type
 @query(NESTED + """ SELECT chrom, cluster, CAST(floor(quantile_cont(o_start, 0.5)) AS BIGINT) AS o_start, CAST(floor(quantile_cont(o_stop, 0.5)) AS BIGINT) AS o_stop, CAST(floor(quantile_cont(i_start, 0.5)) AS BIGINT) AS i_start, CAST(floor(quantile_cont(i_stop, 0.5)) AS BIGINT) AS i_stop,
 arg_min(o_sv_type, z) AS o_sv_type, arg_min(o_sv_len, z) AS o_sv_len, arg_min(i_sv_type, z) AS i_sv_type, arg_min(i_sv_len, z) AS i_sv_len, count(*) AS pairs FROM (SELECT *, (o_start, o_sv_len, a1, a2, a3, a4, i_start, i_sv_len, b1, b2, b3, b4) AS z FROM p) GROUP BY chrom, cluster""")
 def nested_sv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sig(spark, sf_dir).where("k4 % 4 = 0").select("chrom", "start", "stop", "sv_len", "sv_type", *K)
+    rows = sig(spark, sf_dir).select("chrom", "start", "stop", "sv_len", "sv_type", *K)
     return nested.nested_consensus(nested.nested_pairs(rows, ["sv_len", *K], "genome", 500), ["sv_len", *K])
 
 
-MIRROR = cte("sig") + ", inv AS (SELECT DISTINCT chrom, start AS a, stop + 4000 AS b FROM sig WHERE sv_type = 'INV' AND k3 % 20 = 0)"
+MIRROR = cte("sig") + ", inv AS (SELECT DISTINCT chrom, start AS a, stop + 4000 AS b FROM sig WHERE sv_type = 'INV')"
 
 
 @query(MIRROR + """, h AS (SELECT s.svid, max((inv.a, inv.b)) AS m FROM sig s JOIN inv ON s.sv_type <> 'INV' AND s.chrom = inv.chrom AND s.start >= inv.a - 10 AND s.start <= inv.b + 10 GROUP BY s.svid),
@@ -297,7 +300,7 @@ t AS (SELECT s.svid, s.start, s.stop, struct_extract_at(m, 1) + struct_extract_a
 SELECT svid, CASE WHEN t IS NULL THEN start ELSE least(t - start, t - stop) END AS start, CASE WHEN t IS NULL THEN stop ELSE greatest(t - start, t - stop) END AS stop, t IS NOT NULL AS mirrored FROM t""")
 def mirror_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sig(spark, sf_dir)
-    inv = rows.where("sv_type = 'INV' and k3 % 20 = 0").select("chrom", "start", (F.col("stop") + 4000).alias("stop")).distinct()
+    inv = rows.where("sv_type = 'INV'").select("chrom", "start", (F.col("stop") + 4000).alias("stop")).distinct()
     return nested.mirror(rows.where("sv_type <> 'INV'"), inv, ["svid"]).select("svid", "start", "stop", "mirrored")
 
 
@@ -326,13 +329,25 @@ def caps_sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("tile", F.md5("tile"))
 
 
-@query(cte("pile") + """, b AS (SELECT chrom, pos, regexp_replace(upper(regexp_replace(bases, '\\^.|\\$', '', 'g')), '[.,]', ref, 'g') AS b FROM pile),
-n AS (SELECT chrom, pos, unnest(['A', 'C', 'G', 'T']) AS base, b FROM b), c AS (SELECT chrom, pos, base, length(b) - length(replace(b, base, '')) AS n FROM n),
-r AS (SELECT *, row_number() OVER (PARTITION BY chrom, pos ORDER BY n DESC, base) AS p, CAST(sum(n) OVER (PARTITION BY chrom, pos) AS BIGINT) AS total FROM c),
-s AS (SELECT chrom, pos, max(CASE WHEN p = 1 THEN base END) AS con, max(CASE WHEN p = 2 THEN base END) AS mut, max(CASE WHEN p = 1 THEN n END) AS con_n, max(CASE WHEN p = 2 THEN n END) AS mut_n, max(total) AS total FROM r GROUP BY chrom, pos)
-SELECT chrom, pos, con, mut, con_n, mut_n, con_n / total AS con_freq, mut_n / total AS mut_freq FROM s WHERE total > 0 AND con_n / total < 0.95 AND mut_n > 0""".replace("\\\\", "\\"))
+PILE = cte("pile") + r""", b AS (SELECT chrom, pos, upper(regexp_replace(replace(cols, ';', ','), '\^.|\$', '', 'g')) AS b, len(string_split(cols, ';')) // 3 AS samples FROM pile),
+n AS (SELECT chrom, pos, samples, unnest(['A', 'T', 'C', 'G']) AS base, unnest([1, 2, 3, 4]) AS k, b FROM b), c AS (SELECT chrom, pos, samples, base, k, length(b) - length(replace(b, base, '')) AS n FROM n),
+r AS (SELECT *, row_number() OVER (PARTITION BY chrom, pos ORDER BY n DESC, k) AS p, CAST(sum(n) OVER (PARTITION BY chrom, pos) AS BIGINT) AS total FROM c),
+s AS (SELECT chrom, pos, samples, max(CASE WHEN p = 1 THEN base END) AS con, max(CASE WHEN p = 2 THEN base END) AS mut, max(CASE WHEN p = 1 THEN n END) AS con_n, max(CASE WHEN p = 2 THEN n END) AS mut_n, max(total) AS total FROM r GROUP BY chrom, pos, samples)
+SELECT chrom, pos, con, mut, con_n, mut_n, round(con_n / {by}, 3) AS con_freq, round(mut_n / {by}, 3) AS mut_freq FROM s WHERE {by} > 0 AND round(con_n / {by}, 3) < 0.95 AND mut_n > 0"""
+
+
+def _pileup(spark: SparkSession, sf_dir: str, by_samples: bool) -> DataFrame:
+    return markers.pileup_snps(spark_table(spark, sf_dir, "pile").withColumn("columns", F.split("cols", ";")), by_samples=by_samples)
+
+
+@query(PILE.replace("{by}", "samples"))
 def pileup_freq(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return markers.pileup_snps(spark_table(spark, sf_dir, "pile"))
+    return _pileup(spark, sf_dir, True)
+
+
+@query(PILE.replace("{by}", "total"))
+def pileup_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pileup(spark, sf_dir, False)
 
 
 @query(cte("info") + r""" SELECT event_id, regexp_extract(info, 'SVTYPE=([^;]*)', 1) AS sv_type, CASE WHEN info LIKE '%SV_START=%' THEN CAST(regexp_extract(info, 'SV_START=([0-9]+)', 1) AS BIGINT) ELSE pos END AS start,
@@ -345,11 +360,11 @@ def vcf_info_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(cte("sig", "cov") + """, p AS (SELECT svid, stop, chrom, CAST(floor(start + i * (stop - start) / 7) AS BIGINT) AS pt FROM (SELECT *, unnest([1, 2, 3, 4, 5, 6]) AS i FROM sig WHERE sv_type = 'DEL' AND k4 % 3 = 0)),
+@query(cte("sig", "cov") + """, p AS (SELECT svid, stop, chrom, CAST(floor(start + i * (stop - start) / 7) AS BIGINT) AS pt FROM (SELECT *, unnest([1, 2, 3, 4, 5, 6]) AS i FROM sig WHERE sv_type = 'DEL')),
 d AS (SELECT DISTINCT svid, stop, chrom, pt FROM p), c AS (SELECT d.svid, d.stop, d.pt, count(cov.read_id) AS n FROM d LEFT JOIN cov ON d.chrom = cov.chrom AND d.pt BETWEEN cov.start AND cov.stop GROUP BY ALL)
 SELECT svid, stop, CAST(sum(CASE WHEN n = 0 THEN 1 ELSE 0 END) AS BIGINT) AS empty_points FROM c GROUP BY svid, stop""")
 def zero_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sig(spark, sf_dir).where("sv_type = 'DEL' and k4 % 3 = 0").select("svid", "chrom", "start", "stop").distinct()
+    rows = sig(spark, sf_dir).where("sv_type = 'DEL'").select("svid", "chrom", "start", "stop").distinct()
     return genotypes.uncovered_points(rows, spark_table(spark, sf_dir, "cov"), ["svid", "stop"]).select("svid", "stop", "empty_points")
 
 
@@ -376,13 +391,13 @@ def svid_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select(*K, *[parts[n].alias(n) for n in ("chrom", "start", "stop", "sv_type", "size")], scalars.chrom_order(F.col("chrom")).alias("ord"))
 
 
-@query(cte("sig", "cov") + """, p AS (SELECT k1, k2, k3, k4, cluster_size AS reads, chrom, start - 250 AS l0, start - 100 AS l1, stop + 100 AS r0, stop + 250 AS r1 FROM sig WHERE k4 % 5 = 1),
+@query(cte("sig", "cov") + """, p AS (SELECT k1, k2, k3, k4, cluster_size AS reads, chrom, start - 250 AS l0, start - 100 AS l1, stop + 100 AS r0, stop + 250 AS r1 FROM sig),
 a AS (SELECT p.k1, p.k2, p.k3, p.k4, reads, count(cov.read_id) AS left_n FROM p LEFT JOIN cov ON p.chrom = cov.chrom AND cov.start <= l0 AND cov.stop >= l1 GROUP BY ALL),
 b AS (SELECT p.k1, p.k2, p.k3, p.k4, count(cov.read_id) AS right_n FROM p LEFT JOIN cov ON p.chrom = cov.chrom AND cov.start <= r0 AND cov.stop >= r1 GROUP BY ALL),
 r AS (SELECT *, CASE WHEN greatest(left_n, right_n) = 0 THEN 1.0 ELSE reads / greatest(left_n, right_n) END AS rate FROM a JOIN b USING (k1, k2, k3, k4))
 SELECT k1, k2, k3, k4, left_n, right_n, round(rate, 6) AS sv_rate FROM r WHERE rate >= 0.5""")
 def sv_assembly_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = spark_table(spark, sf_dir, "cov")
-    rows = sig(spark, sf_dir).where("k4 % 5 = 1").select(*K, "chrom", F.col("cluster_size").alias("reads"), (F.col("start") - 250).alias("l0"), (F.col("start") - 100).alias("l1"), (F.col("stop") + 100).alias("r0"), (F.col("stop") + 250).alias("r1"))
+    rows = sig(spark, sf_dir).select(*K, "chrom", F.col("cluster_size").alias("reads"), (F.col("start") - 250).alias("l0"), (F.col("start") - 100).alias("l1"), (F.col("stop") + 100).alias("r0"), (F.col("stop") + 250).alias("r1"))
     both = intervals.count_covering(intervals.count_covering(rows, cov, K, "left_n", ("chrom", "l0", "l1")), cov, K, "right_n", ("chrom", "r0", "r1"))
     return clusters.accept_assembly(both, 0.5).select(*K, "left_n", "right_n", F.round("sv_rate", 6).alias("sv_rate"))

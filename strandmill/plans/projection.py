@@ -38,34 +38,37 @@ TABLES: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
         ("cast(l_partkey % 14 as bigint)", "support"), ("cast(l_orderkey % 16 as bigint)", "depth"), ("cast(l_partkey % 101 as double) / 100", "a"), ("cast(l_orderkey % 101 as double) / 100", "b"),
         ("cast(l_suppkey % 5 as bigint)", "spans"), ("cast(40 + cast(l_quantity as bigint) * 40 as bigint)", "size"),
     ]),
-    "align": ("lineitem", "where l_linenumber <= 3", [
+    "align": ("lineitem", "", [
         ("concat('q', cast(l_orderkey as varchar(20)), '_', cast(l_partkey as varchar(20)), '_', cast(l_suppkey as varchar(20)), '_', cast(l_linenumber as varchar(20)))", "qname"),
         ("cast(case when l_suppkey % 2 = 0 then 0 else 16 end as int)", "flag"), ("concat('Chr', cast(l_suppkey % 5 + 1 as varchar(10)))", "rname"),
         ("cast(l_partkey * 100 as bigint)", "pos"), ("cast(20 + l_partkey % 41 as int)", "mapq"),
-        ("concat(cast(1 + l_orderkey % 900 as varchar(9)), 'S', cast(100 + l_partkey % 400 as varchar(9)), 'M', cast(1 + l_suppkey % 90 as varchar(9)), case when l_linenumber % 2 = 0 then 'D' else 'I' end, cast(50 + l_orderkey % 300 as varchar(9)), '=', cast(1 + l_partkey % 70 as varchar(9)), 'D', '30M', cast(1 + l_partkey % 800 as varchar(9)), 'H')", "cigar"),
-        ("repeat('ACGT', 500)", "seq"), ("cast(null as varchar(9))", "sa"),
+        ("concat(case when l_orderkey % 4 = 0 then '3000M' else concat(cast(1 + l_orderkey % 900 as varchar(9)), 'S') end, cast(100 + l_partkey % 400 as varchar(9)), 'M', cast(1 + l_suppkey % 90 as varchar(9)), case when l_linenumber % 2 = 0 then 'D' else 'I' end, cast(50 + l_orderkey % 300 as varchar(9)), '=', cast(1 + l_partkey % 70 as varchar(9)), 'D', '30M', case when l_orderkey % 4 = 0 then '' else concat(cast(1 + l_partkey % 800 as varchar(9)), 'H') end)", "cigar"),
+        ("repeat('ACGT', 500)", "seq"), ("cast(null as varchar(9))", "sa"), ("concat('s', cast(l_orderkey % 3 as varchar(9)))", "sample"),
     ]),
-    "piece": ("lineitem", "where l_linenumber <= 3", [
+    "var": ("part", "", [
+        ("concat('v', cast(p_partkey as varchar(20)))", "vid"), ("concat('Chr', cast(p_partkey % 5 + 1 as varchar(10)))", "chrom"), ("cast(p_partkey * 100 + 1200 as bigint)", "start"),
+        ("cast(p_partkey * 100 + 1200 + case when p_partkey % 2 = 0 then 1 else 30 + p_size end as bigint)", "stop"), ("cast(30 + p_size as bigint)", "size"), ("case when p_partkey % 2 = 0 then 'INS' else 'DEL' end", "sv_type"),
+    ]),
+    "piece": ("lineitem", "", [
         ("concat('q', cast(l_orderkey as varchar(20)))", "qname"),
         ("cast(case when l_linenumber = 1 then 0 else 2048 end + case when l_suppkey % 3 = 0 then 16 else 0 end as int)", "flag"), ("concat('Chr', cast(l_suppkey % 2 + 1 as varchar(10)))", "chrom"),
         ("cast(100000 + l_orderkey % 700 + l_linenumber * 900 + l_partkey % 500 as bigint)", "start"), ("cast(100000 + l_orderkey % 700 + l_linenumber * 900 + l_partkey % 500 + 800 + l_suppkey % 90 as bigint)", "stop"),
-        ("cast((l_linenumber - 1) * 900 + l_partkey % 300 as bigint)", "cl"), ("cast(800 + l_suppkey % 90 as bigint)", "cm"), ("cast((3 - l_linenumber) * 900 + l_partkey % 200 as bigint)", "cr"),
+        ("cast((l_linenumber - 1) * 900 + l_partkey % 300 as bigint)", "cl"), ("cast(800 + l_suppkey % 90 as bigint)", "cm"), ("cast((7 - l_linenumber) * 900 + l_partkey % 200 as bigint)", "cr"),
         ("cast(case when l_partkey % 5 = 0 then 20 else 60 end as int)", "mapq"), ("cast(l_partkey as bigint)", "k3"), ("cast(l_suppkey as bigint)", "k4"),
     ]),
     "name": ("orders", "", [
         ("cast(o_orderkey % 300 as bigint)", "vid"), ("concat('r', cast(o_custkey % 90 as varchar(20)))", "qname"), ("cast(o_orderkey % 2 as int)", "side"),
     ]),
     "dna": ("documents", "where text is not null", [
-        ("cast(doc_id as bigint)", "doc_id"), ("translate(substr(regexp_replace(lower(text), '[^a-z]', '', 'g'), 1, 400), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')", "seq"),
+        ("cast(doc_id as bigint)", "doc_id"), ("translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')", "seq"),
     ]),
-    "snp": ("part", "where p_partkey % 7 < 3", [
+    "snp": ("part", "", [
         ("concat('c', cast(p_partkey % 4 as varchar(9)))", "chrom"), ("cast(1000 + (p_partkey * 37) % 3000 as bigint)", "pos"),
         ("substr('ACGT', cast(p_partkey % 4 + 1 as int), 1)", "con"), ("substr('ACGT', cast((p_partkey + 1 + p_partkey % 3) % 4 + 1 as int), 1)", "mut"),
         ("cast(p_size % 10 as double) / 10", "con_freq"), ("cast(p_size % 7 as double) / 10", "mut_freq"),
     ]),
     "pile": ("events", "", [
-        ("concat('Chr', cast(event_id % 5 + 1 as varchar(10)))", "chrom"), ("cast(event_id as bigint)", "pos"), ("substr('ACGT', cast(event_id % 4 + 1 as int), 1)", "ref"),
-        ("concat(repeat('.', cast(event_id % 6 as int)), '^I', repeat('a', cast(user_id % 4 as int)), repeat('T', cast((event_id + user_id) % 3 as int)), '$', repeat('g', cast(event_id % 2 as int)))", "bases"),
+        ("concat('Chr', cast(event_id % 5 + 1 as varchar(10)))", "chrom"), ("cast(event_id as bigint)", "pos"), ("concat('7;', repeat('.', cast(event_id % 6 as int)), '^I', repeat('a', cast(user_id % 4 as int)), repeat('T', cast((event_id + user_id) % 3 as int)), '$', repeat('g', cast(event_id % 2 as int)), ';IAI', repeat(';2;,.;FF', cast(event_id % 9 as int)))", "cols"),
     ]),
     "info": ("events", "", [
         ("cast(event_id as bigint)", "event_id"), ("cast(user_id as bigint)", "pos"),

@@ -80,8 +80,9 @@ def sv_gap_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(cte("sig") + """, w AS (SELECT *, start // 5000 AS win FROM sig), c AS (SELECT chrom, sv_type, win, quantile_cont(sv_len, 0.25) AS q1, quantile_cont(sv_len, 0.75) AS q3, count(*) AS n FROM w GROUP BY ALL),
-v AS (SELECT w.chrom, w.sv_type, w.win, c.n, sv_len, count(*) AS m FROM w JOIN c USING (chrom, sv_type, win) WHERE sv_len >= q1 AND sv_len <= q3 GROUP BY ALL)
-SELECT chrom, sv_type, win, n, arg_max(sv_len, (m, -sv_len)) AS mode_value, CAST(ceil(sum(sv_len * m) / sum(m)) AS BIGINT) AS mean_value FROM v GROUP BY chrom, sv_type, win, n""")
+v AS (SELECT w.chrom, w.sv_type, w.win, c.n, sv_len, sv_len >= q1 AND sv_len <= q3 AS inside, count(*) AS m FROM w JOIN c USING (chrom, sv_type, win) GROUP BY ALL)
+SELECT chrom, sv_type, win, n, coalesce(arg_max(sv_len, (m, -sv_len)) FILTER (WHERE inside), arg_max(sv_len, (m, -sv_len))) AS mode_value,
+ CAST(coalesce(ceil(sum(sv_len * m) FILTER (WHERE inside) / sum(m) FILTER (WHERE inside)), ceil(sum(sv_len * m) / sum(m))) AS BIGINT) AS mean_value FROM v GROUP BY chrom, sv_type, win, n""")
 def sv_trimmed_mode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.trimmed(sig(spark, sf_dir).withColumn("win", F.expr("start div 5000")), [*KEYS, "win"], "sv_len")
 
@@ -115,7 +116,7 @@ def sv_window_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.kept_windows(windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER), KEYS, 6.0).select(*K, "reads")
 
 
-@query(cte("sig") + """, t AS (SELECT chrom, sv_type, start, stop, sv_len AS target_size, k1, k2, k3, k4 FROM sig WHERE k1 % 3 = 0),
+@query(cte("sig") + """, t AS (SELECT chrom, sv_type, start, stop, sv_len AS target_size, k1, k2, k3, k4 FROM sig),
 l AS (SELECT *, lag(start) OVER w AS ps FROM t WINDOW w AS (PARTITION BY chrom, sv_type ORDER BY start, stop, target_size)),
 i AS (SELECT *, sum(CASE WHEN ps IS NOT NULL AND start - ps < 800 THEN 0 ELSE 1 END) OVER (PARTITION BY chrom, sv_type ORDER BY start, stop, target_size ROWS UNBOUNDED PRECEDING) AS island FROM l),
 o AS (SELECT *, row_number() OVER (PARTITION BY chrom, sv_type, island ORDER BY start, stop, target_size) AS p FROM i),
@@ -123,12 +124,12 @@ f AS (SELECT chrom, sv_type, island, p, 1 AS win, start AS anchor FROM o WHERE p
   UNION ALL SELECT o.chrom, o.sv_type, o.island, o.p, f.win + CASE WHEN o.start >= f.anchor + 800 THEN 1 ELSE 0 END, CASE WHEN o.start >= f.anchor + 800 THEN o.start ELSE f.anchor END FROM f JOIN o ON o.chrom = f.chrom AND o.sv_type = f.sv_type AND o.island = f.island AND o.p = f.p + 1)
 SELECT chrom, sv_type, min(o.start) AS start, arg_min(o.stop, (o.start, o.stop, o.target_size)) AS stop, CAST(sum(target_size) AS BIGINT) AS target_size, count(*) AS merged FROM o JOIN f USING (chrom, sv_type, island, p) GROUP BY chrom, sv_type, island, win""")
 def sv_merge_close(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = sig(spark, sf_dir).where("k1 % 3 = 0").select("chrom", "sv_type", "start", "stop", F.col("sv_len").alias("target_size"))
+    table = sig(spark, sf_dir).select("chrom", "sv_type", "start", "stop", F.col("sv_len").alias("target_size"))
     return windows.merge_close(table)
 
 
 HIGH = "CASE WHEN {l} <= 100 THEN 50 + ceil(0.8 * ({l} - 50)) WHEN {l} <= 500 THEN 100 + ceil(0.8 * ({l} - 100)) WHEN {l} <= 5000 THEN 450 + ceil(0.1 * ({l} - 500)) ELSE 1000 END"
-LOOKBACK = ADAPTIVE + f""", b AS (SELECT *, row_number() OVER (PARTITION BY chrom, sv_type, island, win ORDER BY start, sv_len, k1, k2, k3, k4) - 1 AS j, count(*) OVER (PARTITION BY chrom, sv_type, island, win) AS n FROM z WHERE sv_type = 'DEL'),
+LOOKBACK = ADAPTIVE + f""", b AS (SELECT *, row_number() OVER (PARTITION BY chrom, sv_type, island, win ORDER BY start, sv_len, k1, k2, k3, k4) - 1 AS j, count(*) OVER (PARTITION BY chrom, sv_type, island, win) AS n FROM z),
 par AS (SELECT a.chrom, a.sv_type, a.island, a.win, a.j, coalesce(max(c.j), a.j) AS up FROM b a LEFT JOIN b c ON a.chrom = c.chrom AND a.sv_type = c.sv_type AND a.island = c.island AND a.win = c.win AND c.j < a.j AND c.j >= a.j - ceil(0.8 * a.n)
   AND least(a.sv_len / c.sv_len, c.sv_len / a.sv_len) > 0.8 AND (abs(a.start - c.start) <= {HIGH.format(l="c.sv_len")} OR abs(a.stop - c.stop) <= {HIGH.format(l="c.sv_len")}) GROUP BY a.chrom, a.sv_type, a.island, a.win, a.j),
 root AS (SELECT chrom, sv_type, island, win, j, up AS r FROM par WHERE up = j UNION ALL SELECT p.chrom, p.sv_type, p.island, p.win, p.j, root.r FROM par p JOIN root ON p.chrom = root.chrom AND p.sv_type = root.sv_type AND p.island = root.island AND p.win = root.win AND p.up = root.j WHERE p.up <> p.j),
@@ -136,7 +137,7 @@ cl AS (SELECT b.*, CASE WHEN count(*) OVER (PARTITION BY b.chrom, b.sv_type, b.i
 
 
 def _looked_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    win = windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER).where("sv_type = 'DEL'")
+    win = windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER)
     return lookback.look_back(win, [*KEYS, "island", "window"], ORDER, "high")
 
 
@@ -153,11 +154,13 @@ def sv_top_alleles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _modes(column: str) -> str:
-    return f"(SELECT chrom, sv_type, island, win, cluster, arg_max({column}, (n, -{column})) AS {column} FROM (SELECT chrom, sv_type, island, win, cluster, {column}, count(*) AS n FROM cl GROUP BY ALL) GROUP BY ALL)"
+    keys = "chrom, sv_type, island, win, cluster"
+    return f"""(SELECT {keys}, coalesce(arg_max({column}, (m, -{column})) FILTER (WHERE {column} >= q1 AND {column} <= q3), arg_max({column}, (m, -{column}))) AS {column}
+ FROM (SELECT {keys}, q1, q3, {column}, count(*) AS m FROM cl JOIN (SELECT {keys}, quantile_cont({column}, 0.25) AS q1, quantile_cont({column}, 0.75) AS q3 FROM cl GROUP BY ALL) USING ({keys}) GROUP BY ALL) GROUP BY {keys})"""
 
 
-@query(LOOKBACK + f""", g AS (SELECT chrom, sv_type, island, win, cluster, max(stop) AS stop, count(DISTINCT query_name) AS reads, CAST(floor(avg(maq)) AS INT) AS maq FROM cl GROUP BY ALL)
-SELECT g.chrom, g.sv_type, g.island, g.win AS "window", g.cluster, a.start, g.stop, c.sv_len, g.reads, g.maq FROM g JOIN {_modes("start")} a USING (chrom, sv_type, island, win, cluster) JOIN {_modes("sv_len")} c USING (chrom, sv_type, island, win, cluster)""")
+@query(LOOKBACK + f""", g AS (SELECT chrom, sv_type, island, win, cluster, max(stop) AS stop, count(DISTINCT query_name) AS reads FROM cl GROUP BY ALL)
+SELECT g.chrom, g.sv_type, g.island, g.win AS "window", g.cluster, a.start, g.stop, c.sv_len, g.reads, d.maq FROM g JOIN {_modes("start")} a USING (chrom, sv_type, island, win, cluster) JOIN {_modes("sv_len")} c USING (chrom, sv_type, island, win, cluster) JOIN {_modes("maq")} d USING (chrom, sv_type, island, win, cluster)""")
 def sv_cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.cluster_stats(_looked_back(spark, sf_dir), [*KEYS, "island", "window", "cluster"]).drop("reads_id")
 
@@ -177,27 +180,27 @@ def sv_run_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.run_collapse(sig(spark, sf_dir), KEYS, ORDER)
 
 
-@query(cte("sig", "cov") + """, s AS (SELECT DISTINCT k1, k2, k3, k4, chrom, start, stop FROM sig WHERE k2 = 4)
+@query(cte("sig", "cov") + """, s AS (SELECT DISTINCT k1, k2, k3, k4, chrom, start, stop FROM sig)
 SELECT s.k1, s.k2, s.k3, s.k4, s.start, s.stop, count(cov.read_id) AS n FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND s.start <= cov.stop AND s.stop >= cov.start GROUP BY ALL""")
 def sv_local_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sig(spark, sf_dir).where("k2 = 4").select(*K, "chrom", "start", "stop").distinct()
+    rows = sig(spark, sf_dir).select(*K, "chrom", "start", "stop").distinct()
     return intervals.count_overlaps(rows, spark_table(spark, sf_dir, "cov"), [*K, "start", "stop"]).select(*K, "start", "stop", "n")
 
 
-@query(cte("sig", "cov") + """, s AS (SELECT DISTINCT k1, k2, k3, k4, chrom, start, stop FROM sig WHERE k2 = 3)
+@query(cte("sig", "cov") + """, s AS (SELECT DISTINCT k1, k2, k3, k4, chrom, start, stop FROM sig)
 SELECT s.k1, s.k2, s.k3, s.k4, s.start, s.stop, count(cov.read_id) AS n FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND cov.start <= s.start AND cov.stop >= s.stop GROUP BY ALL""")
 def sv_containing_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = sig(spark, sf_dir).where("k2 = 3").select(*K, "chrom", "start", "stop").distinct()
+    rows = sig(spark, sf_dir).select(*K, "chrom", "start", "stop").distinct()
     return intervals.count_covering(rows, spark_table(spark, sf_dir, "cov"), [*K, "start", "stop"]).select(*K, "start", "stop", "n")
 
 
-@query(cte("sig", "cov") + """, s AS (SELECT *, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 70 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) END AS low, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 50 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) + 20 END AS high FROM sig WHERE k1 % 4 = 0),
+@query(cte("sig", "cov") + """, s AS (SELECT *, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 70 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) END AS low, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 50 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) + 20 END AS high FROM sig),
 d AS (SELECT s.k1, s.k2, s.k3, s.k4, s.sv_type, s.sv_len, s.cluster_size AS reads, count(cov.read_id) AS depth FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND s.low <= cov.stop AND s.high >= cov.start GROUP BY ALL),
 a AS (SELECT *, reads >= (depth + 1) * 0.4 + 1 AS main, (sv_type = 'INS' AND sv_len > 3000 AND reads >= (depth + 1) * 0.4 * 0.6) OR (sv_type = 'DUP' AND sv_len > 500 AND reads >= (depth + 1) * 0.4 * 0.5) OR (sv_type = 'INV' AND reads >= (depth + 1) * 0.4 * 0.5) AS rescue FROM d)
 SELECT k1, k2, k3, k4, depth, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, round(reads / (depth + 1), 6) AS sv_rate FROM a WHERE reads >= 2 AND (main OR rescue)""")
 def sv_depth_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high = clusters.probe_places(F.col("sv_type"), F.col("start"), F.col("sv_len"))
-    probes = sig(spark, sf_dir).where("k1 % 4 = 0").withColumns({"low": low, "high": high, "reads": F.col("cluster_size")})
+    probes = sig(spark, sf_dir).withColumns({"low": low, "high": high, "reads": F.col("cluster_size")})
     counted = intervals.count_overlaps(probes, spark_table(spark, sf_dir, "cov"), K, "depth", None, ("chrom", "low", "high"))
     return clusters.accept(counted, 0.4).select(*K, "depth", "accepted", F.round("sv_rate", 6).alias("sv_rate"))
 
@@ -208,10 +211,10 @@ def sv_drop_ins_in_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.insertions_in_duplications(sig(spark, sf_dir)).select("svid", "chrom", "sv_type", "start", "sv_len")
 
 
-@query(cte("sig", "cov") + """, p AS (SELECT DISTINCT chrom, start AS pos FROM sig WHERE sv_type = 'DEL')
+@query(cte("sig", "cov") + """, p AS (SELECT DISTINCT chrom, start AS pos FROM sig)
 SELECT p.chrom, p.pos, count(cov.read_id) AS break_n FROM p LEFT JOIN cov ON p.chrom = cov.chrom AND cov.start BETWEEN p.pos - 100 AND p.pos + 100 GROUP BY ALL""")
 def sv_breakpoint_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points = sig(spark, sf_dir).where("sv_type = 'DEL'").select("chrom", F.col("start").alias("pos")).distinct()
+    points = sig(spark, sf_dir).select("chrom", F.col("start").alias("pos")).distinct()
     ends = spark_table(spark, sf_dir, "cov").select("chrom", F.col("start").alias("pos"))
     return intervals.nearest_breakpoints(points, ends, ["chrom", "pos"])
 
@@ -224,11 +227,11 @@ def sv_mean_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.mean_depth(cov, sizes)
 
 
-TRA = cte("sig") + """, t AS (SELECT k1, k2, k3, k4, chrom, concat('Chr', CAST(k3 % 3 + 1 AS VARCHAR)) AS chrom2, start * 10 AS start, k1 * 40 % 90000 AS start2 FROM sig WHERE k2 = 2)"""
+TRA = cte("sig") + """, t AS (SELECT k1, k2, k3, k4, chrom, concat('Chr', CAST(k3 % 3 + 1 AS VARCHAR)) AS chrom2, start * 10 AS start, k1 * 40 % 90000 AS start2 FROM sig)"""
 
 
 def _translocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sig(spark, sf_dir).where("k2 = 2").select(*K, "chrom", F.concat(F.lit("Chr"), (F.col("k3") % 3 + 1).cast("string")).alias("chrom2"), (F.col("start") * 10).alias("start"), (F.col("k1") * 40 % 90000).alias("start2"))
+    return sig(spark, sf_dir).select(*K, "chrom", F.concat(F.lit("Chr"), (F.col("k3") % 3 + 1).cast("string")).alias("chrom2"), (F.col("start") * 10).alias("start"), (F.col("k1") * 40 % 90000).alias("start2"))
 
 
 @query(TRA + """, l AS (SELECT *, lag(start) OVER w AS a, lag(start2) OVER w AS b FROM t WINDOW w AS (PARTITION BY chrom, chrom2 ORDER BY start, start2, k1, k2, k3, k4))

@@ -152,7 +152,7 @@ def vcf(spark: SparkSession, path: str) -> DataFrame:
     """One row per variant and sample: the fixed columns, sample, call (its text) and gt."""
     lines = spark.read.text(path).withColumn("file", F.col("_metadata.file_path"))
     heads = lines.where(F.col("value").startswith("#CHROM")).select("file", F.split("value", "\t").alias("h"))
-    body = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select("file", F.split("value", "\t").alias("f")).join(F.broadcast(heads.limit(100_000)), "file")
+    body = lines.where(~F.col("value").startswith("#") & (F.col("value") != "")).select("file", F.split("value", "\t").alias("f")).join(heads, "file")
     names = ["chrom", "pos", "id", "ref", "alt", "qual", "filter", "info", "format"]
     fixed = [F.get("f", F.lit(k)).alias(n) for k, n in enumerate(names)]
     calls = F.arrays_zip(F.slice("h", 10, F.greatest(F.size("h"), F.lit(1))).alias("sample"), F.slice("f", 10, F.greatest(F.size("f"), F.lit(1))).alias("call"))
@@ -181,10 +181,9 @@ def gff(spark: SparkSession, path: str, gtf: bool = False) -> tuple[DataFrame, D
 
 
 def pileup(spark: SparkSession, path: str) -> DataFrame:
-    """chrom, pos, ref and bases: the base columns of all samples as one text (columns 5, 8, 11, ...)."""
+    """chrom, pos, ref and columns: the texts of all samples, three each (depth, bases, qualities)."""
     f = F.split("value", "\t")
-    columns = F.filter(F.slice(f, 5, F.greatest(F.size(f), F.lit(1))), lambda x, k: k % 3 == 0)
-    return spark.read.text(path).where(F.size(f) >= 5).select(F.get(f, F.lit(0)).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.get(f, F.lit(2)).alias("ref"), F.array_join(columns, "").alias("bases"))
+    return spark.read.text(path).where(F.size(f) >= 5).select(F.get(f, F.lit(0)).alias("chrom"), F.get(f, F.lit(1)).cast("long").alias("pos"), F.get(f, F.lit(2)).alias("ref"), F.slice(f, 4, F.greatest(F.size(f), F.lit(1))).alias("columns"))
 
 
 def enzymes(spark: SparkSession, path: str) -> DataFrame:

@@ -197,5 +197,6 @@ def test_evidence_counts_events_and_spans(spark):
         [("s", "a", 0, "c", 100, 60, "400M100D400M", None), ("s", "b", 0, "c", 100, 60, "900M", None), ("s", "d", 0, "c", 100, 60, "400M500S", None), ("s", "e", 4, "c", 100, 0, "900M", None)],
         "sample string, qname string, flag int, rname string, pos long, mapq int, cigar string, sa string")
     variant = spark.createDataFrame([("v", "c", 500, 600, 100, "DEL")], "vid string, chrom string, start long, stop long, size long, sv_type string")
-    row = genotypes.evidence(variant, reads, "start").head()
-    assert (row["reads"], row["events"], row["clips"], row["spans"]) == (3, 1, 1, 1)
+    row = genotypes.deletion_evidence(variant, reads, "start").head()
+    assert (row["reads"], row["events"], row["clips"], row["maq"]) == (3, 1, 1, 60)
+    assert genotypes.long_read_calls(variant, reads, ["s", "t"]).select("sample", "gt").orderBy("sample").collect() == [("s", "0/1"), ("t", "./.")]
