@@ -1,7 +1,7 @@
 """Language ID by a bidirectional gated recurrent network over bytes, in numpy.
 
-The network reads windows of WINDOW bytes of the UTF-8 text in both directions, each from a zero
-state, and gives every position probabilities of the languages; a document's probabilities are the
+The network reads windows of WINDOW bytes of the UTF-8 text in both directions, each window from a
+zero state, and gives every position probabilities of the languages; a document's probabilities are the
 mean over all its positions, of all its windows. It is trained on the driver by backpropagation
 through time on a bounded sample of labelled rows (SAMPLE_DOCS documents a language, fewer, one at
 least, of more than FULL_LANGUAGES languages; PIECES pieces of PIECE_CHARS characters each, chosen by
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from strandmill.llm.shared import cut
+from strandmill.llm.shared import cut, free_name, in_worker
 
 SAMPLE_DOCS, PIECES, PIECE_CHARS, FULL_LANGUAGES = 256, 4, 160, 64
 HIDDEN, WINDOW, ROWS = 8, 128, 1024
@@ -197,33 +197,37 @@ def pooled(net: Network, texts: list[bytes], window: int = WINDOW, rows: int = R
     return sums / sizes[:, None]
 
 
-def predict(docs: DataFrame, net: Network | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """The keep columns, lang_pred and score."""
-    lettered = F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col).cast("binary"))
-    rows = docs.select(*keep, lettered.alias("__text"))
+def verdict(net: Network | None, text_col: str = "text") -> Column:
+    """A struct of lang_pred and score. Only texts go to Python, and only verdicts come back."""
+    result = StructType([StructField("lang_pred", StringType()), StructField("score", DoubleType())])
     if net is None:
-        return rows.select(*keep, F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
+        return F.struct(F.lit("und").alias("lang_pred"), F.lit(0.0).alias("score"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch["__text"].to_pylist()
-            lang, score = ["und"] * len(texts), [0.0] * len(texts)
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            lang, score = ["und"] * len(column), [0.0] * len(column)
             group: list[int] = []
+            texts: list[bytes] = []
             size = 0
-            for k, text in enumerate(texts):
-                if text:
+            for k, value in enumerate(column):
+                if text := value.as_py():
                     group.append(k)
+                    texts.append(text)
                     size += len(text)
-                if group and (size >= WINDOW * ROWS or k == len(texts) - 1):
-                    p = pooled(net, [texts[x] for x in group])
+                if group and (size >= WINDOW * ROWS or k == len(column) - 1):
+                    p = pooled(net, texts)
                     for x, best, value in zip(group, p.argmax(1).tolist(), p.max(1).tolist()):
                         lang[x], score[x] = net.labels[best], min(1.0, value)
-                    group, size = [], 0
-            rest = [batch[c] for c in batch.schema.names if c != "__text"]
-            yield pa.RecordBatch.from_arrays([*rest, pa.array(lang, pa.string()), pa.array(score, pa.float64())], [*[c for c in batch.schema.names if c != "__text"], "lang_pred", "score"])
+                    group, texts, size = [], [], 0
+            yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+
+    return in_worker(run, result)(F.when(F.col(text_col).rlike(r"\p{L}"), F.col(text_col).cast("binary")))
 
-    schema = StructType([*[f for f in rows.schema.fields if f.name != "__text"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])
-    return rows.mapInArrow(run, schema)
+
+def predict(docs: DataFrame, net: Network | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The keep columns, lang_pred and score."""
+    name = free_name(docs, "found")
+    return docs.select(*keep, verdict(net, text_col).alias(name)).select(*keep, f"{name}.lang_pred", f"{name}.score")
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:

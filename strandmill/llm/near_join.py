@@ -26,13 +26,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandmill.llm.components import connected
-from strandmill.llm.shared import SPACE, cut
+from strandmill.llm.components import connected, split_join
+from strandmill.llm.shared import SPACE, cut, tidy
 
 GRAM, THRESHOLD, RECALL, MAX_HASHES = 5, 0.8, 0.9999, 192
 #: Nodes of a block, and hashes handled at a time.
 BLOCK, CHUNK = 1024, 1 << 16
-CACHE = 1 << 20
+#: Shingles of a block, or of the small components of a task, about.
+BLOCK_GRAMS = 1 << 20
+CACHE = 1 << 16
 _MIX, _BASE = np.uint64(0x9E3779B97F4A7C15), 0x100000001B3
 
 
@@ -135,7 +137,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 yield flush(ids, sets, rest())
 
     rows_in = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"), *[c.alias(n) for n, c in marks(text_col).items() if marked])
-    return rows_in.mapInArrow(run, ", ".join(["doc_id long, n int, key binary, bands array<long>", *[f"{c} long" for c in named]]))
+    return rows_in.mapInArrow(tidy(run), ", ".join(["doc_id long, n int, key binary, bands array<long>", *[f"{c} long" for c in named]]))
 
 
 def _sets(docs: DataFrame, gram: int) -> DataFrame:
@@ -148,33 +150,37 @@ def _sets(docs: DataFrame, gram: int) -> DataFrame:
             grams = [np.unique(shingler.shingles(t.as_py())).tobytes() for t in batch["text"]]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array([xxhash.xxh3_128_digest(g) for g in grams], pa.binary()), pa.array(grams, pa.binary())], schema=schema)
 
-    return docs.mapInArrow(run, "doc_id long, key binary, grams binary")
+    return docs.mapInArrow(tidy(run), "doc_id long, key binary, grams binary")
 
 
 def overlaps(sets: list[np.ndarray]) -> np.ndarray:
     """Sizes of all pairwise intersections, from products of 0/1 matrices over the shingles that two sets at least have."""
     n = len(sets)
-    rows = np.repeat(np.arange(n), [len(s) for s in sets])
-    _, columns, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rows = np.repeat(np.arange(n, dtype=np.int32), [len(s) for s in sets])
+    names, columns, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     shared = counts[columns] > 1
-    rows, columns = rows[shared], columns[shared]
-    names, columns = np.unique(columns, return_inverse=True)
+    place = np.cumsum(counts > 1, dtype=np.int64) - 1
+    rows, columns, names = rows[shared], place[columns[shared]], int((counts > 1).sum())
     order = np.argsort(columns, kind="stable")
     rows, columns = rows[order], columns[order]
     common = np.zeros((n, n), np.float32)
-    for low in range(0, len(names), 4096):
-        a, b = np.searchsorted(columns, [low, low + 4096])
-        part = np.zeros((n, min(4096, len(names) - low)), np.float32)
+    for low in range(0, names, 1024):
+        a, b = np.searchsorted(columns, [low, low + 1024])
+        part = np.zeros((n, min(1024, names - low)), np.float32)
         part[rows[a:b], columns[a:b] - low] = 1
-        common += part @ part.T
+        for strip in range(0, n, 256):
+            common[strip : strip + 256] += part[strip : strip + 256] @ part.T
     return common
 
 
 def linked_in(sets: list[np.ndarray], block: np.ndarray, threshold: float) -> np.ndarray:
     """Boolean matrix of links; block: of two different blocks only pairs across count, of one block all."""
     size = np.array([len(s) for s in sets], np.float64)
-    common = overlaps(sets).astype(np.float64)
-    links = common >= threshold * (size[:, None] + size[None, :] - common) - 1e-9
+    common = overlaps(sets)
+    links = np.empty(common.shape, bool)
+    for low in range(0, len(sets), 256):
+        part = common[low : low + 256].astype(np.float64)
+        links[low : low + 256] = part >= threshold * (size[low : low + 256, None] + size[None, :] - part) - 1e-9
     np.fill_diagonal(links, False)
     if len(np.unique(block)) > 1:
         links &= block[:, None] != block[None, :]
@@ -189,7 +195,8 @@ def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
         if i != j and part["block"].nunique() < 2:
             continue
         links = linked_in([np.frombuffer(g, np.uint64) for g in part["grams"]], part["block"].to_numpy(), threshold)
-        counts = links @ part["copies"].to_numpy(np.float64)
+        copies = part["copies"].to_numpy(np.int64)
+        counts = np.array([copies[row].sum() for row in links], np.int64)
         root = np.full(len(keys), -1)
         for s in range(len(keys)):
             if root[s] < 0:
@@ -197,7 +204,7 @@ def _verify(group: pd.DataFrame, threshold: float) -> pd.DataFrame:
                 while len(front):
                     front = np.flatnonzero(links[front].any(axis=0) & (root < 0))
                     root[front] = s
-        out.append(pd.DataFrame({"key": keys, "links": counts.astype(np.int64), "to": [keys[r] for r in root]}))
+        out.append(pd.DataFrame({"key": keys, "links": counts, "to": [keys[r] for r in root]}))
     return pd.concat(out) if out else pd.DataFrame({"key": [], "links": np.array([], np.int64), "to": []})
 
 
@@ -205,19 +212,21 @@ def linked(docs: DataFrame, id_col: str, text_col: str, gram: int, threshold: fl
     """The signatures, and the nodes: key, root (their class), rep, copies, links; if marked the first row of each, by id and marks."""
     sigs = cut(signatures(docs, id_col, text_col, gram, threshold, recall, marked))
     first = [F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", *marks(text_col))).alias("first")] if marked else []
-    keys = cut(sigs.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"), *first))
-    banded = sigs.join(keys.select(F.col("key").alias("k"), "rep"), (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", F.explode("bands").alias("band"))
-    leaders = banded.groupBy("band").agg(F.min("key").alias("leader"), F.max("key").alias("last")).where("leader <> last").drop("last")
-    candidates = banded.join(leaders, "band").where("key <> leader").select(F.col("key").alias("u"), F.col("leader").alias("v"))
+    keys = cut(sigs.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"), *first))
+    of_rep = keys.select(F.col("key").alias("k"), "rep")
+    banded = cut(sigs.where("n > 0").join(of_rep, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", F.explode("bands").alias("band")))
+    leaders = banded.groupBy("band").agg(F.min("key").alias("leader"), F.max("key").alias("last"), F.count(F.lit(1)).alias("rows_of_key")).where("leader <> last").drop("last")
+    candidates = split_join(banded, leaders, "band", banded.count()).where("key <> leader").select(F.col("key").alias("u"), F.col("leader").alias("v"))
     comps = cut(connected(candidates))
-    sizes = comps.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    members = comps.join(sizes, "root").withColumnRenamed("root", "comp").join(keys.drop("first"), F.col("node") == F.col("key")).drop("node")
-    members = members.withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
+    placed = cut(comps.join(keys.select("key", "rep", "n", "copies"), F.col("node") == F.col("key")).select(F.col("root").alias("comp"), "key", "rep", "n", "copies"))
+    sizes = placed.groupBy("comp").agg(F.count(F.lit(1)).alias("rows_of_key"), F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("blocks"))
+    whole = placed.agg(F.count(F.lit(1)).alias("nodes"), F.coalesce(F.sum("n"), F.lit(0)).alias("grams")).head()
+    members = split_join(placed, sizes, "comp", whole["nodes"]).withColumn("block", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
     wanted = members.select("rep").distinct()
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
     sets = _sets(texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep")), "left_semi"), gram)
-    loaded = members.withColumnRenamed("key", "k").join(sets, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("k") == F.col("key"))).drop("k", "doc_id", "rep")
-    buckets = max(1, math.ceil(comps.count() / BLOCK))
+    loaded = members.withColumnRenamed("key", "k").drop("n").join(sets, (F.col("doc_id").eqNullSafe(F.col("rep"))) & (F.col("k") == F.col("key"))).drop("k", "doc_id", "rep")
+    buckets = max(1, math.ceil(whole["nodes"] / BLOCK), math.ceil(whole["grams"] / BLOCK_GRAMS))
     dealt = loaded.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
         "comp", "key", "copies", "grams", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
         F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("comp"), F.lit(buckets))).otherwise(F.xxhash64("comp")).alias("bucket"),
@@ -232,9 +241,12 @@ def linked(docs: DataFrame, id_col: str, text_col: str, gram: int, threshold: fl
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per input row: doc_id, class_id, n_links."""
     sigs, nodes = linked(docs, id_col, text_col, gram, threshold, recall)
-    named = nodes.groupBy("root").agg(F.min("rep").alias("class_id"))
-    nodes = nodes.join(named, "root").select(F.col("key").alias("k"), "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    return sigs.select("doc_id", "key").join(nodes, F.col("key") == F.col("k"), "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    nodes = cut(nodes.select("key", "root", "rep", "copies", "links"))
+    named = nodes.groupBy("root").agg(F.min("rep").alias("class_id"), F.count(F.lit(1)).alias("rows_of_key"))
+    total = sigs.count()
+    nodes = split_join(nodes, named, "root", total).select("key", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("copies").alias("rows_of_key"))
+    found = split_join(sigs.where("n > 0").select("doc_id", "key"), nodes, "key", total).select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"), F.col("n_links").cast("long").alias("n_links"))
+    return found.unionByName(sigs.where("n = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links")))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

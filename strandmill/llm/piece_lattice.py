@@ -28,7 +28,6 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -39,11 +38,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from strandmill.llm.shared import cut, free_name, in_worker, ship_bytes
+from strandmill.llm.shared import cut, free_name, in_worker, ship_bytes, tidy
 from strandmill.llm.unit_table import CHUNK, LETTER, MARK, MARKED, OTHER, Units, UnitTable, kinds, segments, spread
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-MAX_UNIT, MAX_WORDS, EACH, PARTS, CACHE = 48, 250_000, 200_000, 16, 100_000
+MAX_UNIT, MAX_WORDS, EACH, PARTS, CACHE = 48, 250_000, 100_000, 16, 50_000
 LATTICE_TASKS, SHORT = 24, 40
 
 
@@ -249,7 +248,7 @@ def frequent_units(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "tex
         counts: dict[int, int] = {}
         named: dict[int, str] = {}  # the unit of each digest; should two share one, they count as the first
         for table in tables:
-            for low, high in in_bounds(table["text"], 4 * CHUNK):
+            for low, high in in_bounds(table["text"]):
                 parts = [p for t in table["text"][low:high].to_pylist() if t for p in segments(t)]
                 units = Units(parts, vocabulary.fine)
                 for d, at, n in zip(*(x.tolist() for x in np.unique(units.digests(), return_index=True, return_counts=True))):
@@ -265,7 +264,7 @@ def frequent_units(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "tex
         top = [(named[d], n) for d, n in heapq.nlargest(each, counts.items(), key=lambda x: x[1]) if n > 1 and len(named[d]) <= MAX_UNIT]
         yield pa.RecordBatch.from_arrays([pa.array([u for u, _ in top], pa.string()), pa.array([n for _, n in top], pa.int64())], schema=schema)
 
-    found = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "unit string, n long")
+    found = docs.select(F.col(text_col).alias("text")).mapInArrow(tidy(run), "unit string, n long")
     return found.groupBy("unit").agg(F.sum("n").alias("n"))
 
 
@@ -302,9 +301,8 @@ def ship(words: DataFrame, vocabulary: Vocabulary) -> list[str]:
     return [ship_bytes(spark, "units", bytes(row["data"])) for row in packed.toLocalIterator()]
 
 
-@lru_cache(1)
-def shipped(names: tuple[str, ...]) -> UnitTable:
-    """The table of shipped files, one of them a worker."""
+def shipped(names: list[str]) -> UnitTable:
+    """The table of shipped files."""
     return UnitTable(Path(SparkFiles.get(n)).read_bytes() for n in names)
 
 
@@ -378,17 +376,15 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", keep
     result = StructType([StructField("ids", ArrayType(IntegerType())), StructField("round_trip", BooleanType())])
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        encoder = Encoder(vocabulary, shipped(tuple(names)))
+        encoder = Encoder(vocabulary, shipped(names))
         for column in columns:
-            lists, same = [], []
             for low, high in in_bounds(column):
                 texts = column[low:high].to_pylist()
                 ids, offsets = encoder.encode([t or "" for t in texts])
-                back = vocabulary.decode_all(ids, offsets)
-                same += [None if t is None else t == b for t, b in zip(texts, back)]
-                lists.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=np.array([t is None for t in texts] + [False])), pa.array(ids, pa.int32())))
-            ids = pa.concat_arrays(lists) if lists else pa.array([], pa.list_(pa.int32()))
-            yield pa.StructArray.from_arrays([ids, pa.array(same, pa.bool_())], ["ids", "round_trip"])
+                same = [None if t is None else t == b for t, b in zip(texts, vocabulary.decode_all(ids, offsets))]
+                none = np.array([t is None for t in texts] + [False])
+                lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32(), mask=none), pa.array(ids, pa.int32()))
+                yield pa.StructArray.from_arrays([lists, pa.array(same, pa.bool_())], ["ids", "round_trip"])
 
     coded, name = in_worker(run, result), free_name(docs, "coded")
     return docs.select(*keep, coded(F.col(text_col)).alias(name)).select(*keep, f"{name}.ids", f"{name}.round_trip")

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
+from strandmill.llm.shared import in_worker
+
 #: Base patterns, in their listed order; fixed values.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
@@ -148,16 +150,13 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The keep columns and spans: array of (kind, start, end)."""
     span = ArrayType(StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())]))
-    rows = docs.select(F.struct(*keep).alias("row"), F.when(F.col(text_col).rlike(GATE), F.col(text_col)).alias("text"))
-    row_type = rows.schema["row"]
     item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = [[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan_text(t)] for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["row"], pa.array(spans, pa.list_(item))], ["row", "spans"])
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan_text(t.as_py())] for t in column], pa.list_(item))
 
-    return rows.mapInArrow(run, StructType([row_type, StructField("spans", span)])).select("row.*", "spans")
+    return docs.select(*keep, in_worker(run, span)(F.when(F.col(text_col).rlike(GATE), F.col(text_col))).alias("spans"))
 
 
 def digest(scanned: DataFrame) -> DataFrame:
@@ -168,28 +167,23 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
+def redacted(text: str | None, mark: str) -> str | None:
+    """text with each span (overlapping ones merged) replaced by mark; None if it has none."""
+    out, at = [], 0
+    for s, _, e in scan_text(text):
+        if s >= at:
+            out.append(text[at:s] + mark)
+        at = max(at, e)
+    return "".join(out) + text[at:] if out else None
+
+
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """docs with each span of text_col (overlapping ones merged) replaced by mark; other columns as they were.
     Rows without a span are unchanged; a null text stays null."""
-    gated = docs.withColumn("__gate", F.col(text_col).rlike(GATE))
-    schema = docs.schema
-    place = docs.columns.index(text_col)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for t in batch[text_col].to_pylist():
-                out, at = [], 0
-                for s, _, e in scan_text(t):
-                    if s >= at:
-                        out.append(t[at:s] + mark)
-                    at = max(at, e)
-                texts.append(None if t is None else "".join(out) + t[at:])
-            columns = list(batch.columns)
-            columns[place] = pa.array(texts, columns[place].type)
-            yield pa.RecordBatch.from_arrays(columns, batch.schema.names)
-
-    hit = gated.where("__gate").drop("__gate").mapInArrow(run, schema)
-    return gated.where("__gate is null or not __gate").drop("__gate").unionByName(hit)
 
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            yield pa.array([redacted(t.as_py(), mark) for t in column], pa.string())
 
+    text = F.col(text_col)
+    return docs.withColumn(text_col, F.coalesce(in_worker(run, StringType())(F.when(text.rlike(GATE), text)), text))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -60,12 +62,28 @@ def ship_bytes(spark: SparkSession, name: str, data: bytes) -> str:
     return path.rsplit("/", 1)[1]
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """run, after which the worker gives the memory it no longer uses back to the system: Spark keeps workers for later
+    tasks, and what an idle one holds counts against its executor."""
+
+    def tidied(parts: Iterator) -> Iterator:
+        try:
+            yield from run(parts)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return tidied
+
+
 def in_worker(run: Callable[[Iterator[pa.Array]], Iterator[pa.Array]], result: DataType) -> Callable[..., Column]:
     """A column function from a function of Arrow arrays: only its arguments go to Python and only its result comes back;
     the rows wait in the JVM, and no other column can clash. It is evaluated once wherever it is used."""
-    hints = {"columns": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    run.__annotations__ = hints
-    return F.arrow_udf(run, result).asNondeterministic()
+    tidied = tidy(run)
+    tidied.__annotations__ = {"parts": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(tidied, result).asNondeterministic()
 
 
 def free_name(df: DataFrame, name: str) -> str:
