@@ -1,8 +1,11 @@
 """Corpus pipeline: language ID, near-duplicate removal, secret scan, mixing, tokenisation.
 
 STAGES lists (name, function); each function takes (spark, docs, sf_dir) and returns the next docs.
-All but the last return the columns of documents. run() applies them to documents, each stage's rows
-written as Parquet to the shared folder and read again.
+All but the last return the columns of documents, and any others that docs has, whatever their names.
+run() applies them to documents, each stage's rows written as Parquet to the shared folder and read again.
+
+Defined results: a null or blank text, or one without a letter, is rejected by the first stage; null and
+repeated ids, null sources and languages are ordinary rows of every stage; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -11,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmill.llm import language_id, mixture, near_join, piece_lattice, secret_scan
-from strandmill.llm.shared import fresh_path
+from strandmill.llm.shared import fresh_path, free_name
 
 #: A document stays if its predicted language is its labelled one or this sure, and it has a language.
 SURE = 0.5
@@ -21,10 +24,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a recognised language ("und") and those recognised with a probability under SURE.
     A kept document's null language becomes the predicted one."""
-    net = language_id.learn(docs)
-    found = language_id.predict(docs, net, "text", tuple(docs.columns))
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= SURE))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    name = free_name(docs, "found")
+    found = docs.withColumn(name, language_id.verdict(language_id.learn(docs)))
+    kept = found.where((F.col(f"{name}.lang_pred") != "und") & (F.col(f"{name}.score") >= SURE))
+    return kept.withColumn("lang", F.coalesce("lang", f"{name}.lang_pred")).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,8 +43,9 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    mixed = mixture.mix(docs, keep=tuple(c for c in docs.columns if c != "doc_id"))
-    return mixed.where("copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns)
+    rows = docs.select("doc_id", "source", "text", F.struct(*docs.columns).alias("row"))
+    mixed = mixture.mix(rows, keep=("row",)).where("copies > 0")
+    return mixed.select("row", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select("row.*")
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
