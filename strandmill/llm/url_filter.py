@@ -141,13 +141,13 @@ def judge_by_join(urls: DataFrame, rules: DataFrame, url_col: str = "url", defau
         .select(F.concat("host", F.coalesce("path", F.lit(""))).alias("key"), F.length(F.coalesce("path", F.lit(""))).alias("n"), (F.col("verdict") == "block").cast("int").alias("blocks"))
         .groupBy("key", "n").agg(F.max("blocks").alias("blocks")).withColumn("digest", F.xxhash64("key"))
     )
-    lengths = F.broadcast(kept.select("n").distinct().orderBy("n").limit(4096))
+    lengths = kept.select("n").distinct()
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
     pairs = parsed.select("host", "path").distinct()
     keys = (
-        pairs.where("host <> ''").withColumn("suffix", F.explode(suffixes)).where("suffix <> ''")
-        .join(lengths, F.col("n") <= F.length("path"))
+        pairs.where("host <> ''").withColumn("n", F.explode(F.sequence(F.lit(0), F.length("path")))).join(lengths, "n")
+        .withColumn("suffix", F.explode(suffixes)).where("suffix <> ''")
         .select("host", "path", F.length("suffix").alias("host_n"), F.concat("suffix", F.expr("left(path, n)")).alias("key"))
         .withColumn("digest", F.xxhash64("key"))
     )

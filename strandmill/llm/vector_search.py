@@ -13,8 +13,9 @@ one), filled up with the nearest others, and links are made in both directions.
 
 Defined results: vectors null, zero, of no components, or holding null or non-finite components take
 no part, nor do rows of null id; a query finds every other row than those of its own id; ties go to
-the smaller id; fewer candidates than k are all returned; repeated rows are candidates each. Vectors
-of another length than the query's are no candidates of it.
+the smaller id; fewer candidates than k are all returned; repeated rows are candidates each, but a
+query repeated with its vector is asked once, and one repeated with other vectors has a list of each.
+Vectors of another length than the query's are no candidates of it.
 """
 
 from __future__ import annotations
@@ -175,13 +176,13 @@ def _beam(x: np.ndarray, links: np.ndarray, q: np.ndarray, entry: np.ndarray, be
     return np.where(np.isfinite(np.take_along_axis(score, order, 1)), np.take_along_axis(nodes, order, 1), -1)
 
 
-def best_of(graph: Graph, query_ids: np.ndarray, queries: np.ndarray, k: int, beam: int = BEAM, rows: int = 512) -> pd.DataFrame:
+def best_of(graph: Graph, query_ids: np.ndarray, marks: np.ndarray, queries: np.ndarray, k: int, beam: int = BEAM, rows: int = 512) -> pd.DataFrame:
     """The k best rows of the shard by exact inner product for each query, its own id left out."""
     out = []
     for low in range(0, len(query_ids), rows):
         ids, q = query_ids[low : low + rows], queries[low : low + rows]
         found = graph.search(q, max(beam, 2 * k))
-        for own, vector, nodes in zip(ids, q, found):
+        for at, own, vector, nodes in zip(range(low, low + len(ids)), ids, q, found):
             nodes = nodes[nodes >= 0]
             value = graph.vectors[nodes] @ vector
             rank = np.lexsort((nodes, -value))[: k + 1]
@@ -191,10 +192,12 @@ def best_of(graph: Graph, query_ids: np.ndarray, queries: np.ndarray, k: int, be
                 same = same[same != own][:k] if len(same) <= 2 * k else same[: 2 * k][same[: 2 * k] != own][:k] if (same[: 2 * k] != own).sum() >= k else same[same != own][:k]
                 near.append(same)
                 score.append(np.full(len(same), s))
+            if not near:
+                continue
             near, score = np.concatenate(near), np.concatenate(score)
             rank = np.lexsort((near, -score))[:k]
-            out.append(pd.DataFrame({"query_id": np.full(len(rank), own, np.int64), "vec_id": near[rank].astype(np.int64), "score": score[rank]}))
-    return pd.concat(out) if out else pd.DataFrame({"query_id": np.array([], np.int64), "vec_id": np.array([], np.int64), "score": np.array([], np.float64)})
+            out.append(pd.DataFrame({"query_id": np.full(len(rank), own, np.int64), "query": np.full(len(rank), marks[at], np.int64), "vec_id": near[rank].astype(np.int64), "score": score[rank]}))
+    return pd.concat(out) if out else pd.DataFrame({c: np.array([], np.int64) for c in ("query_id", "query", "vec_id")} | {"score": np.array([], np.float64)})
 
 
 def _doubles(column: pd.Series) -> np.ndarray:
@@ -213,7 +216,7 @@ def search(table: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
     Shards and query blocks are bounded, so a task holds one shard and one block; more of either make
     more tasks. The merge ranks k rows per query and shard."""
     rows = usable(table, id_col, vector_col).withColumn("dims", F.size("v"))
-    asked = usable(queries, id_col, vector_col).withColumn("dims", F.size("v"))
+    asked = cut(usable(queries, id_col, vector_col).withColumns({"dims": F.size("v"), "query": F.xxhash64("v")}).dropDuplicates(["vec_id", "query"]))
     shards = max(1, math.ceil(rows.count() / shard_rows))
     blocks = max(1, math.ceil(asked.count() / QUERY_ROWS))
     dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
@@ -224,18 +227,18 @@ def search(table: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec
 
     index = cut(dealt.groupBy("shard", "dims").applyInPandas(build, "shard int, dims int, graph binary"))
     block = F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")
-    spread = asked.select("vec_id", "v", "dims", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    spread = asked.select("vec_id", "query", "v", "dims", block.alias("block"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
     graphs = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def probe(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_id": np.array([], np.int64), "vec_id": np.array([], np.int64), "score": np.array([], np.float64)})
+        empty = pd.DataFrame({c: np.array([], np.int64) for c in ("query_id", "query", "vec_id")} | {"score": np.array([], np.float64)})
         if not len(left) or not len(right):
             return empty
-        return best_of(Graph.from_bytes(right["graph"].iloc[0]), left["vec_id"].to_numpy(np.int64), _doubles(left["v"]), k, beam)
+        return best_of(Graph.from_bytes(right["graph"].iloc[0]), left["vec_id"].to_numpy(np.int64), left["query"].to_numpy(np.int64), _doubles(left["v"]), k, beam)
 
     keys = ("shard", "dims", "block")
-    found = spread.groupBy(*keys).cogroup(graphs.groupBy(*keys)).applyInPandas(probe, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = spread.groupBy(*keys).cogroup(graphs.groupBy(*keys)).applyInPandas(probe, "query_id long, query long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "query").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

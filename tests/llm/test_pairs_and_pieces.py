@@ -1,14 +1,18 @@
 """Jaccard join, vector search, SentencePiece, pipeline."""
 
 import random
+from pathlib import Path
 
 import numpy as np
 import pytest
+import regex
 import sentencepiece
+from pyspark import SparkFiles
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from strandmill.llm import language_id, mixture, near_join, piece_lattice, secret_scan, vector_search
+from strandmill.llm import components, language_id, mixture, near_join, piece_lattice, secret_scan, vector_search
+from strandmill.llm.unit_table import Units, segments
 
 
 def shingles(text):
@@ -121,6 +125,30 @@ def test_search_edges(spark):
     assert vector_search.search(table.limit(0), table.limit(0)).collect() == []
 
 
+def test_search_of_repeated_rows(spark):
+    rows = [(0, [1.0, 0.0]), (0, [1.0, 0.0]), (1, [3.0, 0.0]), (2, [2.0, 1.0]), (2, [2.0, 1.0]), (3, [1.0, 5.0]), (20, [0.0, 1.0]), (20, [1.0, 0.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("query", F.lit("clash")).withColumn("v", F.lit(1)).withColumn("rank", F.lit(0))
+    got = [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in vector_search.search(table, table.where("vec_id % 20 = 0"), 3).collect()]
+    assert sorted(x for x in got if x[0] == 0) == [(0, 1, 1, 3.0), (0, 2, 2, 2.0), (0, 3, 2, 2.0)]
+    assert sorted(x for x in got if x[0] == 20) == sorted([(20, 1, 3, 5.0), (20, 2, 2, 1.0), (20, 3, 2, 1.0), (20, 1, 1, 3.0), (20, 2, 2, 2.0), (20, 3, 2, 2.0)])
+
+
+def test_hubs_of_components(spark):
+    rows = [(k, 0) for k in range(1, 900)] + [(900 + k, 901 + k) for k in range(40)] + [(5, 5)]
+    got = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(rows, "u long, v long")).collect()}
+    assert got == {k: 0 for k in range(900)} | {k: 900 for k in range(900, 941)}
+    assert components.connected(spark.createDataFrame([], "u long, v long")).collect() == []
+
+
+def test_large_components_are_verified_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(near_join, "BLOCK", 8)
+    draw = random.Random(5)
+    base = [f"w{draw.randrange(10**6)}" for _ in range(60)]
+    rows = [(k, " ".join(draw.choice(base) if draw.random() < 0.01 else w for w in base)) for k in range(70)]
+    got = {(r["doc_id"], r["class_id"], r["n_links"]) for r in near_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == set(brute_classes(rows))
+
+
 def test_graph_survives_its_bytes():
     draw = np.random.default_rng(2)
     graph = vector_search.Graph.build(np.arange(500), draw.normal(size=(500, 8)))
@@ -178,10 +206,33 @@ def test_shipped_units_are_found(spark):
     vocabulary = piece_lattice.Vocabulary.load()
     docs = spark.createDataFrame([(1, "the cat the cat sat on the mat, the mat 7 7\n")] * 3, "doc_id long, text string")
     words = piece_lattice.dictionary(docs, vocabulary)
-    encoder = piece_lattice.Encoder(vocabulary, piece_lattice.ship(words))
-    encoder.encode([r["text"] for r in docs.collect()])
-    assert set(encoder.frequent) == {r["unit"] for r in words.collect()} and len(encoder.frequent) >= 5
-    assert all(np.frombuffer(ids, np.int32).tolist() == vocabulary.encode_unit(u) for u, ids in encoder.frequent.items())
+    table = piece_lattice.UnitTable(Path(SparkFiles.get(n)).read_bytes() for n in piece_lattice.ship(words, vocabulary))
+    found = {r["unit"]: r["ids"] for r in words.collect()}
+    assert len(found) >= 5 and len(table.digest) == len(found)
+    for unit, ids in found.items():
+        (at,) = table.find(Units([unit.replace(piece_lattice.MARK, " ")], True))
+        assert table.ids[table.id_at[at] : table.id_at[at] + table.id_n[at]].tolist() == ids == vocabulary.encode_unit(unit)
+
+
+def test_units_are_those_of_the_patterns():
+    mark = piece_lattice.MARK
+    fine = rf"{mark}*\p{{L}}+|{mark}*[^{mark}\p{{L}}0-9\n]+|{mark}+|[0-9]|\n"
+    coarse = rf"{mark}*[^{mark}]+|{mark}+"
+    texts = [t for t in TEXTS if t] + [mark + " a" + mark + "b  c", "\n\n12a "]
+    for pattern, is_fine in ((fine, True), (coarse, False)):
+        units = Units([" " + t for t in texts], is_fine)
+        assert [units.unit(k) for k in range(len(units.size))] == [u for t in texts for u in regex.findall(pattern, mark + t.replace(" ", mark))]
+        assert units.bounds.tolist() == np.cumsum([0] + [len(regex.findall(pattern, mark + t.replace(" ", mark))) for t in texts]).tolist()
+        whole = Units([" " + "ab cd  e12\n f" * 50], is_fine)
+        parts = Units(list(segments("ab cd  e12\n f" * 50, 20)), is_fine)
+        assert len(parts.bounds) > 10 and parts.string == whole.string and parts.start.tolist() == whole.start.tolist()
+
+
+def test_equal_digests_are_told_apart(monkeypatch):
+    monkeypatch.setattr(Units, "digests", lambda self: np.full(len(self.size), 7, np.uint64))
+    table = piece_lattice.UnitTable([piece_lattice.UnitTable.pack(["ab", "cd", "efg"], [[1], [2, 3], [4]], False)])
+    found = table.find(Units(["cd", "ab", "xy", "efg", "efgh"], False))
+    assert [table.ids[table.id_at[k] : table.id_at[k] + table.id_n[k]].tolist() if k >= 0 else None for k in found] == [None, [1], None, None, None]
 
 
 def test_encoding_of_no_rows(spark):
@@ -216,6 +267,19 @@ def test_pipeline_stages_equal_brute_force(spark, sf, tmp_path):
     assert all(list(i) == model.encode(text[d]) for d, i in zip(rows["sentencepiece"]["doc_id"], rows["sentencepiece"]["ids"]))
 
 
+def test_pipeline_stages_keep_columns_of_any_name(spark):
+    base = "the quick brown fox jumps over the lazy dog and runs home again "
+    rows = [(k, f"{base * 3} tail{k} secret = 'abcdefghijkl{k}'", "en", "a", 5) for k in range(4)]
+    names = ["score", "lang_pred", "copies", "size", "target", "row", "copy", "found", "__text", "__gate", "spans", "key", "root", "first", "band", "n", "words", "u", "q", "bin"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({n: F.lit(f"own {n}") for n in names})
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, "")
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        assert docs.columns[5:] == names and docs.count(), name
+        assert all(r[n] == f"own {n}" for r in docs.collect() for n in names), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
+
+
 def test_pipeline_of_odd_documents(spark):
     base = "the quick brown fox jumps over the lazy dog and runs home again " * 3
     rows = [(k, base + f" tail{k}", "en", "a", 5) for k in range(8)] + [(50, None, None, None, None), (51, "", "en", "a", 0), (52, "12 34", "de", "b", 5), (53, 'secret = "abcdefghijklmnop" ' + base, None, None, 9), (0, base + " tail0", "en", "a", 5)]

@@ -48,6 +48,15 @@ def test_url_filter_equals_trying_every_rule(spark, urls):
             assert (r["host"], r["path"], r["rule"], r["verdict"]) == fitting(r["url"], rules), r["url"]
 
 
+def test_rules_of_many_path_lengths(spark):
+    rules = [("a.com", "/" + "x" * k, "block" if k % 2 else "allow") for k in range(4300)]
+    urls = spark.createDataFrame([(1, "http://a.com/" + "x" * 4299 + "/y"), (2, "http://b.a.com/xx?x"), (3, "http://a.org/"), (4, None), (5, "http://a.com")], "page_id long, url string")
+    want = [(1, "a.com/" + "x" * 4299, "block"), (2, "a.com/xx", "allow"), (3, None, "allow"), (4, None, "allow"), (5, None, "allow")]
+    joined = url_filter.judge_by_join(urls, spark.createDataFrame(rules, "host string, path string, verdict string"))
+    for found in (url_filter.judge(urls, rules), joined):
+        assert sorted((r["page_id"], r["rule"], r["verdict"]) for r in found.collect()) == want
+
+
 def test_url_filter_with_many_rules(spark):
     draw = random.Random(4)
     part = lambda: draw.choice(["a", "b", "ab", "ba.a", "b.b"])
