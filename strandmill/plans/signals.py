@@ -205,6 +205,38 @@ def sv_depth_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.accept(counted, 0.4).select(*K, "depth", "accepted", F.round("sv_rate", 6).alias("sv_rate"))
 
 
+WINDOW_ONE = ", ".join(("chrom", "sv_type", "island", "win"))
+CANDIDATES = ADAPTIVE + f""", ws AS (SELECT {WINDOW_ONE}, count(DISTINCT query_name) AS reads, max(sv_len) AS longest FROM z GROUP BY ALL),
+kz AS (SELECT z.* FROM z JOIN ws USING ({WINDOW_ONE}) WHERE (reads >= 3 AND reads < 60) OR (z.sv_type = 'INS' AND longest >= 5000)),
+once AS (SELECT *, row_number() OVER (PARTITION BY {WINDOW_ONE}, query_name, start, stop ORDER BY sv_len, k1, k2, k3, k4) AS d FROM kz),
+rr AS (SELECT *, row_number() OVER (PARTITION BY {WINDOW_ONE}, query_name ORDER BY start, sv_len, k1, k2, k3, k4) AS pp FROM once WHERE d = 1),
+one AS (SELECT {WINDOW_ONE}, query_name, max(CASE WHEN pp = 1 THEN maq END) AS maq, max(CASE WHEN pp = 1 THEN svid END) AS svid, min(start) AS start, max(stop) AS stop, CAST(sum(sv_len) AS BIGINT) AS sv_len FROM rr GROUP BY {WINDOW_ONE}, query_name)""" \
+    + LOOKBACK[len(ADAPTIVE):].replace("ORDER BY start, sv_len, k1, k2, k3, k4) - 1 AS j", "ORDER BY start, sv_len, svid) - 1 AS j").replace("FROM z)", "FROM one)") + f""",
+sz AS (SELECT {WINDOW_ONE}, cluster, count(*) AS cluster_size, min(start) AS first_start FROM cl GROUP BY ALL),
+rk AS (SELECT *, sum(cluster_size) OVER w AS total, max(cluster_size) OVER w AS top, row_number() OVER (PARTITION BY {WINDOW_ONE} ORDER BY cluster_size DESC, first_start, cluster) AS rank FROM sz WINDOW w AS (PARTITION BY {WINDOW_ONE})),
+ct AS (SELECT cl.* FROM cl JOIN rk USING ({WINDOW_ONE}, cluster) WHERE rank <= 2 AND top / total >= 0.05),
+g AS (SELECT {WINDOW_ONE}, cluster, max(stop) AS stop, count(DISTINCT query_name) AS reads FROM ct GROUP BY ALL),
+st AS (SELECT g.*, a.start, c.sv_len, m.maq FROM g JOIN {_modes("start").replace("FROM cl ", "FROM ct ")} a USING ({WINDOW_ONE}, cluster) JOIN {_modes("sv_len").replace("FROM cl ", "FROM ct ")} c USING ({WINDOW_ONE}, cluster) JOIN {_modes("maq").replace("FROM cl ", "FROM ct ")} m USING ({WINDOW_ONE}, cluster)),
+pr AS (SELECT *, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 70 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) END AS low, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 50 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) + 20 END AS high FROM st),
+dp AS (SELECT {", ".join("pr." + c for c in ("chrom", "sv_type", "island", "win", "cluster", "start", "stop", "sv_len", "maq", "reads"))}, count(cov.read_id) AS depth FROM pr LEFT JOIN cov ON pr.chrom = cov.chrom AND pr.low <= cov.stop AND pr.high >= cov.start GROUP BY ALL),
+ac AS (SELECT *, reads >= (depth + 1) * 0.1 + 1 AS main, (sv_type = 'INS' AND sv_len > 3000 AND reads >= (depth + 1) * 0.1 * 0.6) OR (sv_type = 'DUP' AND sv_len > 500 AND reads >= (depth + 1) * 0.1 * 0.5) OR (sv_type = 'INV' AND reads >= (depth + 1) * 0.1 * 0.5) AS rescue FROM dp)
+SELECT chrom, sv_type, start, stop, sv_len, maq, reads, depth, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, round(reads / (depth + 1), 6) AS sv_rate FROM ac WHERE reads >= 2 AND (main OR rescue)"""
+
+
+@query(CANDIDATES.replace(cte("sig"), cte("sig", "cov"), 1))
+def sv_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals to accepted candidates, end to end: windows, those of enough reads, one row a read, clusters by looking
+    back, the two largest of a window, trimmed statistics, depth at the breakpoint, acceptance."""
+    window = [*KEYS, "island", "window"]
+    kept = windows.kept_windows(windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER), KEYS, 6.0).drop("reads")
+    clustered = lookback.look_back(clusters.read_collapse(kept, window, K), window, ["sv_len", "svid"], "high")
+    largest = clusters.top_alleles(clustered, window).select(*window, "cluster")
+    stats = clusters.cluster_stats(clustered.join(largest, [*window, "cluster"], "left_semi"), [*window, "cluster"]).drop("reads_id")
+    low, high = clusters.probe_places(F.col("sv_type"), F.col("start"), F.col("sv_len"))
+    counted = intervals.count_overlaps(stats.withColumns({"low": low, "high": high}), spark_table(spark, sf_dir, "cov"), [*window, "cluster"], "depth", None, ("chrom", "low", "high"))
+    return clusters.accept(counted, 0.1).select("chrom", "sv_type", "start", "stop", "sv_len", "maq", "reads", "depth", "accepted", F.round("sv_rate", 6).alias("sv_rate"))
+
+
 @query(cte("sig") + """, drop_ AS (SELECT DISTINCT i.svid FROM sig i JOIN sig d ON i.sv_type = 'INS' AND d.sv_type = 'DUP' AND i.chrom = d.chrom AND i.start > d.start - 500 AND i.start < d.stop + 500 AND d.start < i.start - 50 AND i.start - 50 < d.stop AND least(i.sv_len / d.sv_len, d.sv_len / i.sv_len) >= 0.8)
 SELECT svid, chrom, sv_type, start, sv_len FROM sig WHERE svid NOT IN (SELECT svid FROM drop_)""")
 def sv_drop_ins_in_dup(spark: SparkSession, sf_dir: str) -> DataFrame:

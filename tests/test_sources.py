@@ -6,6 +6,7 @@ import zlib
 
 from pyspark.sql import functions as F
 
+from strandmill.operators import filters
 from strandmill.sources import readers, writers
 from strandmill.streaming import ingest
 
@@ -53,6 +54,52 @@ def test_vcf_round_trip(spark, tmp_path):
     assert sum(x.startswith("##contig") for x in lines) == 2 and sum(x.startswith("#CHROM") for x in lines) == 1
 
 
+def test_vcf_tells_support(spark):
+    calls = spark.createDataFrame([("c", 5, 9, "DEL", 40, "0/1", "total_map_reads_l=3;total_map_reads_r=4", "l_ratio=0.5,r_ratio=0.4;DEL", 33, None), ("c", 5, 7, "TRA", 0, "1/1", "total_map_reads=1", "INS_rate=1;TRA", 60, "d")], "chrom string, start long, stop long, sv_type string, target_size long, gt string, maps string, rates string, maq int, chrom2 string")
+    info = {r["alt"]: r["info"] for r in writers.vcf_rows(calls, "s1").collect()}
+    assert info["<DEL>"] == "END=9;CHR=c;SV_START=5;SVLEN=40;method=strandmill;total_map_reads_l=3;total_map_reads_r=4;maq=33;l_ratio=0.5,r_ratio=0.4;SVTYPE=DEL"
+    assert "END=d:7;" in info["<TRA>"]
+
+
+def test_cohort_rows(spark):
+    rows = spark.createDataFrame([("c", 5, "a", "<DEL>", "s1", "0/1"), ("c", 5, "a", "<DEL>", "s2", "1/1"), ("c", 8, "b", "<INV>", "s2", "0/0")], "chrom string, pos long, id string, alt string, sample string, gt string")
+    rows = rows.selectExpr("chrom", "pos", "id", "'N' as ref", "alt", "'.' as qual", "'PASS' as filter", "'x' as info", "'GT' as format", "sample", "gt")
+    found = {r["id"]: (r["info"], r["s1"], r["s2"]) for r in writers.cohort_rows(rows, ["s1", "s2"]).collect()}
+    assert found == {"a": (".", "0/1", "1/1"), "b": (".", "./.", "0/0")}
+    assert [r["id"] for r in writers.cohort_rows(rows, ["s1"], indels=True).collect()] == ["a"]
+
+
+def test_tables_round_trip(spark, tmp_path):
+    rows = spark.createDataFrame([("Chr10", 5, 9, "DEL", "s1"), ("Chr2", 5, 9, "DEL", "s1"), ("Chr2", 1, 9, "INS", "s2"), ("Chr2", 1, 9, "INS", "s2")], "chrom string, start long, stop long, sv_type string, sample string")
+    writers.genotype_table(rows, str(tmp_path / "g"))
+    back = [r["value"].split("\t")[:2] for r in spark.read.text(str(tmp_path / "g")).collect() if not r["value"].startswith("chrom")]
+    assert sorted(back) == [["Chr10", "5"], ["Chr2", "1"], ["Chr2", "5"]]
+    writers.by_parts(rows, str(tmp_path / "p"), "sample", "sv_type")
+    assert spark.read.parquet(str(tmp_path / "p")).where("sample = 's2'").count() == 2
+    writers.fasta(spark.createDataFrame([("c1", "ACGT" * 40)], "chrom string, seq string"), str(tmp_path / "f"))
+    lines = [r["value"] for r in spark.read.text(str(tmp_path / "f")).collect()]
+    assert lines[0] == ">c1" and "".join(lines[1:]) == "ACGT" * 40 and max(map(len, lines)) == 60
+
+
+def test_pileup_fai_and_pairs(spark, tmp_path):
+    (tmp_path / "p.txt").write_text("c\t7\tA\t3\t.,T\tIII\t1\tt\tI\n")
+    row = readers.pileup(spark, str(tmp_path / "p.txt")).head()
+    assert (row["chrom"], row["pos"], row["ref"], row["columns"]) == ("c", 7, "A", ["3", ".,T", "III", "1", "t", "I"])
+    (tmp_path / "x.fai").write_text("c1\t100\t4\t60\t61\nc2\t50\t120\t60\t61\n")
+    assert [(r["chrom"], r["size"], r["rank"]) for r in readers.fai(spark, str(tmp_path / "x.fai")).orderBy("rank").collect()] == [("c1", 100, 1), ("c2", 50, 2)]
+    (tmp_path / "q").mkdir()
+    for name in ("a_1.fastq.gz", "a_2.fastq.gz", "b_R1.fastq.gz"):
+        (tmp_path / "q" / name).write_bytes(b"x")
+    found = {r["sample"]: (r["first"] is not None, r["second"] is not None) for r in readers.paired_reads(spark, str(tmp_path / "q")).collect()}
+    assert found == {"a": (True, True), "b": (True, False)}
+
+
+def test_long_operations(spark):
+    reads = spark.createDataFrame([("a", "10M5S"), ("b", "200M"), ("c", "10M200H")], "qname string, cigar string")
+    assert [r["qname"] for r in filters.long_operations(reads, 100).collect()] == ["a"]
+    assert sorted(r["qname"] for r in filters.long_operations(reads, 100, True).collect()) == ["a", "b"]
+
+
 def test_vcf_translocation_end(spark, tmp_path):
     (tmp_path / "t.vcf").write_text("##x\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\ts1\ts2\nc\t5\ti\tN\t<TRA>\t.\t.\tSVTYPE=TRA;END=d:77;SVLEN=0\tGT:DP\t0/1:3\t./.:0\n")
     rows = readers.sv_intervals(readers.vcf(spark, str(tmp_path / "t.vcf"))).orderBy("sample").collect()
