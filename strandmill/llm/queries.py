@@ -77,5 +77,16 @@ SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM best
 """
 
 
+#: Base 32 of SHA-1: 160 bits as text, five at a time.
+OP8_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages), d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS s FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', substr(s, i, 1)) - 1) + 1, 4)), '') AS bits FROM d),
+n AS (SELECT *, max(page_id) OVER (PARTITION BY s) AS leader,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(16 * CAST(substr(bits, 5 * i + 1, 1) AS INT) + 8 * CAST(substr(bits, 5 * i + 2, 1) AS INT) + 4 * CAST(substr(bits, 5 * i + 3, 1) AS INT) + 2 * CAST(substr(bits, 5 * i + 4, 1) AS INT) + CAST(substr(bits, 5 * i + 5, 1) AS INT) AS INT), 1)), '') AS payload_digest
+  FROM b)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN leader = page_id THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN leader = page_id THEN NULL ELSE leader END AS refers_to FROM n
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filters": OP1_SQL}
+    return {"op1_url_filters": OP1_SQL, "op8_warc": OP8_SQL}

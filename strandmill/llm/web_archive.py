@@ -6,7 +6,8 @@ URL IP date type length; 2: URL IP date type result checksum location offset fil
 exactly as many bytes as declared, then a newline. Each ARC record becomes one WARC/1.1 record: the
 URL and IP carry over, the 14-digit date becomes an ISO date, the id is a name-based UUID of the
 record's own fields, the payload digest is the SHA-1 of what follows the HTTP header, and a payload
-that a given other page holds becomes a revisit with HTTP header only that refers to that page.
+that a given other page holds becomes a revisit with HTTP header only that refers to that page's
+record, by its id, url and date. Each WARC file begins with a warcinfo record.
 
 Defined results: null html is an empty payload; a null or spaced url is written percent-encoded (null: "-");
 of repeated rows with the largest page_id each is a response; a null page_id counts as the smallest.
@@ -30,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmill.llm.components import split_join
 from strandmill.llm.shared import fresh_path
 
 #: Field names of a record's header line, by ARC version; fixed values of the format.
@@ -105,13 +107,25 @@ def arc_date(date: str) -> str:
     return f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z"
 
 
-def to_warc(record: ArcRecord, page_id: str = "-", refers_to: str | None = None) -> WarcRecord:
-    """The equivalent WARC record; refers_to: the page whose response this record revisits."""
+def record_id(url: str, date: str, page_id: str) -> str:
+    return f"<urn:uuid:{uuid.uuid5(ID_SPACE, f'{url} {date} {page_id}')}>"
+
+
+def warc_info(name: str) -> WarcRecord:
+    """The record that a WARC file begins with."""
+    block = b"software: strandmill\r\nformat: WARC File Format 1.1\r\n"
+    return WarcRecord({
+        "WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(ID_SPACE, name)}>", "WARC-Date": arc_date("2024"), "WARC-Filename": name,
+        "WARC-Block-Digest": "sha1:" + sha1_base32(block), "Content-Type": "application/warc-fields", "Content-Length": str(len(block)),
+    }, block)
+
+
+def to_warc(record: ArcRecord, page_id: str = "-", refers_to: tuple[str, str] | None = None) -> WarcRecord:
+    """The equivalent WARC record; refers_to: id and url of the page whose response this record revisits, taken on the same date."""
     head, payload = split_http(record.block)
-    name = f"{record.fields['URL']} {record.fields['Archive-date']} {page_id}"
     headers = {
         "WARC-Type": "revisit" if refers_to is not None else "response" if head else "resource",
-        "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(ID_SPACE, name)}>",
+        "WARC-Record-ID": record_id(record.fields["URL"], record.fields["Archive-date"], page_id),
         "WARC-Date": arc_date(record.fields["Archive-date"]),
         "WARC-Target-URI": record.fields["URL"],
         "WARC-IP-Address": record.fields["IP-address"],
@@ -122,7 +136,8 @@ def to_warc(record: ArcRecord, page_id: str = "-", refers_to: str | None = None)
     block = record.block
     if refers_to is not None:
         block = head
-        headers |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To-Page-Id": refers_to}
+        headers |= {"WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", "WARC-Refers-To-Page-Id": refers_to[0]}
+        headers |= {"WARC-Refers-To": record_id(refers_to[1], record.fields["Archive-date"], refers_to[0]), "WARC-Refers-To-Target-URI": refers_to[1], "WARC-Refers-To-Date": headers["WARC-Date"]}
     headers |= {"WARC-Block-Digest": "sha1:" + sha1_base32(block), "Content-Type": "application/http; msgtype=response" if head else record.fields["Content-type"], "Content-Length": str(len(block))}
     return WarcRecord(headers, block)
 
@@ -159,7 +174,7 @@ def read_warc(stream: BinaryIO) -> Iterator[WarcRecord]:
         block = rest[: int(headers["Content-Length"])]
         if "sha1:" + sha1_base32(block) != headers["WARC-Block-Digest"]:
             raise ValueError(f"block digest of {headers['WARC-Record-ID']} differs")
-        if headers["WARC-Type"] != "revisit" and "sha1:" + sha1_base32(split_http(block)[1]) != headers["WARC-Payload-Digest"]:
+        if headers["WARC-Type"] not in ("revisit", "warcinfo") and "sha1:" + sha1_base32(split_http(block)[1]) != headers["WARC-Payload-Digest"]:
             raise ValueError(f"payload digest of {headers['WARC-Record-ID']} differs")
         yield WarcRecord(headers, block)
 
@@ -168,11 +183,16 @@ def page_block(page_id: str, html: bytes) -> bytes:
     return f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Page-Id: {page_id}\r\nContent-Length: {len(html)}\r\n\r\n".encode() + html
 
 
+def written_url(url: str | None) -> str:
+    """As archives hold it: percent-encoded, or "-"."""
+    return quote(url, safe="/:?#[]@!$&'()*+,;=%~-._") if url else "-"
+
+
 def page_arc(rows: Iterable[tuple[str, str | None, bytes]], version: str, name: str) -> Iterator[bytes]:
     """An ARC file of pages (page id, url, html), piece by piece."""
     yield arc_version_block(version, name)
     for page_id, url, html in rows:
-        yield arc_record(version, quote(url, safe="/:?#[]@!$&'()*+,;=%~-._") if url else "-", "20240101000000", page_block(page_id, html))
+        yield arc_record(version, written_url(url), "20240101000000", page_block(page_id, html))
 
 
 def archive_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -180,12 +200,13 @@ def archive_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
     (path, records) as a table in that folder. Files of lost or repeated attempts are not in it.
 
     Of equal payloads the one with the largest id is the response and the others revisit it. Their
-    leaders come from one aggregate over digests, pre-aggregated by task; the join back goes by digest,
-    where Spark splits a digest that many pages share."""
+    leaders come from one aggregate over digests, pre-aggregated by task; the join back splits digests that
+    many pages share."""
     html = F.coalesce(F.encode(html_col, "UTF-8"), F.lit(b""))
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), html.alias("html"), F.sha1(html).alias("sha"))
-    leaders = base.groupBy("sha").agg(F.max("page_id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    joined = base.join(leaders, "sha", "left").select("page_id", "url", "html", F.when(F.col("leader").isNotNull() & ~F.col("leader").eqNullSafe(F.col("page_id")), F.col("leader")).alias("refers_to"))
+    leaders = base.groupBy("sha").agg(F.max(F.struct("page_id", "url")).alias("leader"), F.count(F.lit(1)).alias("rows_of_key"))
+    other = F.col("leader.page_id").isNotNull() & ~F.col("leader.page_id").eqNullSafe(F.col("page_id"))
+    joined = split_join(base, leaders, "sha", pages.count()).select("page_id", "url", "html", F.when(other, F.col("leader.page_id")).alias("refers_to"), F.when(other, F.col("leader.url")).alias("refers_url"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
@@ -200,7 +221,7 @@ def archive_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
                 done.append((f"{stem}-{part}.warc.gz", count))
 
         for batch in batches:
-            for page, url, body, refers in zip(*(batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to"))):
+            for page, url, body, refers, refers_url in zip(*(batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to", "refers_url"))):
                 name = "-" if page is None else str(page)
                 version = "2" if (page or 0) % 2 else "1"
                 arc = io.BytesIO(b"".join(page_arc([(name, url, body)], version, "pages.arc")))
@@ -209,7 +230,8 @@ def archive_pages(pages: DataFrame, folder: str, id_col: str = "page_id", url_co
                         close()
                         part, count = part + 1, 0
                         out = store.open_output_stream(f"{stem}-{part}.warc.gz", compression=None)
-                    out.write(warc_bytes(to_warc(record, name, None if refers is None else str(refers))))
+                        out.write(warc_bytes(warc_info(f"{stem.rsplit('/', 1)[1]}-{part}.warc.gz")))
+                    out.write(warc_bytes(to_warc(record, name, None if refers is None else (str(refers), written_url(refers_url)))))
                     count += 1
         close()
         yield pa.RecordBatch.from_pydict({"path": [p for p, _ in done], "records": [n for _, n in done]}, pa.schema([("path", pa.string()), ("records", pa.int64())]))
@@ -231,6 +253,8 @@ def read_archives(spark: SparkSession, folder: str, manifest: DataFrame) -> Data
                 with store.open_input_stream(path, compression=None) as stream:
                     for record in read_warc(stream):
                         h = record.headers
+                        if h["WARC-Type"] == "warcinfo":
+                            continue
                         revisit = h["WARC-Type"] == "revisit"
                         size = int(h["WARC-Payload-Length"]) if revisit else len(split_http(record.block)[1])
                         rows.append((None if h["WARC-Page-Id"] == "-" else int(h["WARC-Page-Id"]), h["WARC-Target-URI"], size, h["WARC-Payload-Digest"].removeprefix("sha1:"), h["WARC-Type"], int(h["WARC-Refers-To-Page-Id"]) if revisit else None, h["WARC-Record-ID"]))

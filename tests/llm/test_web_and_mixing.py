@@ -81,11 +81,13 @@ def test_url_filter_without_rows_or_rules(spark, urls):
     assert {r["verdict"] for r in url_filter.judge(urls, []).collect()} == {"allow"}
 
 
-def test_op1_equals_its_twin(spark, sf):
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_query_equals_its_twin(spark, sf, name):
     con = duckdb.connect()
     con.execute(f"create view pages as select * from '{sf}/pages.parquet'")
-    want = sorted(con.execute("select page_id, host, path, rule, verdict from (" + queries.OP1_SQL + ")").fetchall())
-    assert sorted(tuple(r) for r in queries.op1_url_filters(spark, sf).collect()) == want
+    got = queries.queries()[name](spark, sf)
+    want = con.execute(f"select {', '.join(got.columns)} from ({queries.oracle_sql()[name]})").fetchall()
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
 
 
 def test_archives_round_trip(spark, sf):
@@ -117,6 +119,26 @@ def test_arc_versions_and_declared_lengths():
         list(web_archive.read_arc(io.BytesIO(data[:-3])))
 
 
+def test_revisits_refer_to_their_response(spark, tmp_path):
+    rows = [(1, "http://a.com/x y", "same"), (2, "http://b.com/", "same"), (2, "http://b.com/", "same"), (3, None, None), (None, "http://c.com/", None), (4, "http://d.com/", "é" * 70_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({"sha": F.lit("own"), "leader": F.lit(1), "refers_to": F.lit(2)})
+    folder = f"file://{tmp_path}/w"
+    manifest = web_archive.archive_pages(pages, folder)
+    found = {(r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in web_archive.read_archives(spark, folder, manifest).collect()}
+    assert found == {(1, "revisit", 2, 4), (2, "response", None, 4), (3, "response", None, 0), (None, "revisit", 3, 0), (4, "response", None, 140_000)}
+    records = [x for r in manifest.collect() for x in web_archive.read_warc(open(r["path"], "rb"))]
+    by_page = {x.headers.get("WARC-Page-Id"): x.headers for x in records}
+    assert sum(x.headers["WARC-Type"] == "warcinfo" for x in records) == manifest.count() and len(records) == len(rows) + manifest.count()
+    assert by_page["1"]["WARC-Refers-To"] == by_page["2"]["WARC-Record-ID"] and by_page["1"]["WARC-Refers-To-Target-URI"] == "http://b.com/" and by_page["1"]["WARC-Refers-To-Date"] == by_page["2"]["WARC-Date"]
+
+
+def test_mix_beside_columns_of_its_own_names(spark):
+    rows = [(k, "a b c", "s", "mine") for k in range(5)] + [(None, None, None, "mine"), (0, "a b c", "s", "mine")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, size string").withColumns({"bin": F.lit(1), "q": F.lit(1), "target": F.lit("x"), "u": F.lit(2)})
+    got = mixture.mix(docs).collect()
+    assert len(got) == 7 and all(r["size"] in (0, 3) for r in got) and {r["source_size"] for r in got} == {18, 0}
+
+
 def test_archives_of_no_pages(spark):
     assert web_archive.round_trip(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
