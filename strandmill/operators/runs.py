@@ -11,13 +11,33 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[Callable[[str], Column]], Column], name: str = "island") -> DataFrame:
+#: Islands are marked in stretches of 2 to this power of places.
+STRETCH = 20
+
+
+def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[Callable[[str], Column]], Column], name: str = "island", stretch: int = STRETCH) -> DataFrame:
     """Numbers runs from 1 within keys: a row for which starts(previous) is true or null begins a run;
-    previous(column) is that column's value in the row before."""
-    by = Window.partitionBy(*keys).orderBy(*order)
-    new = starts(lambda c: F.lag(c).over(by))
-    marked = df.withColumn("__new", F.coalesce(new, F.lit(True)).cast("int"))
-    return marked.withColumn(name, F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__new")
+    previous(column) is that column's value in the row before. order begins with a whole-number place.
+
+    A task sorts one stretch of places, not a key's rows: runs are marked within stretches, and one row of
+    each stretch (its first row, what its last row shows the next one, its number of runs) carries marks and
+    numbers over the edges."""
+    shown: list[str] = []
+    starts(lambda c: (shown.append(c), F.lit(None))[1])
+    place = F.coalesce(F.shiftright(F.col(order[0]).cast("long"), stretch), F.lit(-(1 << 62)))
+    by = Window.partitionBy("__part").orderBy(*order)
+    local = df.withColumn("__part", F.struct(*keys, place.alias("__at")))
+    inner = F.coalesce(starts(lambda c: F.lag(c).over(by)), F.lit(True)).cast("int")
+    local = local.withColumn("__new", F.when(F.row_number().over(by) > 1, inner).otherwise(0))
+    local = local.withColumn("__run", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rank = F.struct(*order)
+    edges = local.groupBy("__part").agg(F.min_by(F.struct(*df.columns), rank).alias("__first"), F.max_by(F.struct(*dict.fromkeys(shown)), rank).alias("__last"), F.sum("__new").alias("__n"))
+    along = Window.partitionBy(*keys).orderBy("__part")
+    table = edges.select("__part", "__last", "__n", "__first.*")
+    table = table.withColumn("__opens", F.coalesce(starts(lambda c: F.lag(F.col("__last")[c]).over(along)), F.lit(True)).cast("int"))
+    until = F.sum(F.col("__opens") + F.col("__n")).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    numbered = local.join(table.select("__part", (until - F.col("__n")).alias("__before")), "__part")
+    return numbered.withColumn(name, F.col("__before") + F.col("__run")).drop("__part", "__new", "__run", "__before")
 
 
 def map_runs(df: DataFrame, keys: list[str], order: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

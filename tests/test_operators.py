@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandmill.functions import scalars
-from strandmill.operators import alignments, annotation, clusters, cohort, filters, genotypes, intervals, lookback, markers, nested, windows
+from strandmill.operators import alignments, annotation, clusters, cohort, filters, genotypes, intervals, lookback, markers, nested, runs, windows
 
 SIG = "chrom string, sv_type string, query_name string, start long, stop long, sv_len long, maq int, svid string, seq string, k long"
 
@@ -38,6 +38,21 @@ def test_adaptive_windows_equal_a_sequential_fold(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("stretch", [3, 12, 40])
+def test_islands_do_not_depend_on_stretches(spark, stretch):
+    df, rows = signals(spark, 400, 5)
+    nulls = spark.createDataFrame([(None, "DEL", "r", 5, 9, 40, 30, "a", "*", 1000), (None, "DEL", "r", 7, 9, 40, 30, "a", "*", 1001), (None, "DEL", "r", 9000, 9, 40, 30, "a", "*", 1002), (None, "DEL", "r", None, 9, 40, 30, "a", "*", 1003)], SIG)
+    found = runs.islands(df.union(nulls), ["chrom", "sv_type"], ["start", "sv_len", "k"], lambda prev: F.col("start") - prev("start") > 60, stretch=stretch)
+    got = {r["k"]: r["island"] for r in found.collect()}
+    want = {1003: 1, 1000: 2, 1001: 2, 1002: 3}
+    for key in {(r[0], r[1]) for r in rows}:
+        last, number = None, 0
+        for r in sorted((r for r in rows if (r[0], r[1]) == key), key=lambda r: (r[3], r[5], r[9])):
+            number += last is None or r[3] - last > 60
+            want[r[9]], last = number, r[3]
+    assert got == want
+
+
 def test_look_back_equals_a_sequential_scan(spark):
     df, rows = signals(spark, 200, 3, ("DEL",))
     win = df.withColumn("w", F.expr("start div 6000"))
