@@ -104,15 +104,15 @@ def mean_quality(reads: DataFrame, keys: list[str]) -> DataFrame:
     return reads.groupBy(*keys).agg(n.alias("reads"), F.coalesce(F.ceil(F.try_divide(F.sum("mapq"), n)), F.lit(0)).cast("long").alias("maq"))
 
 
-def sample_merge(islanded: DataFrame, keys: list[str], order: list[str], translocations: bool = False) -> DataFrame:
+def sample_merge(islanded: DataFrame, keys: list[str], order: list[str], translocations: bool = False, more: tuple[Column, ...] = ()) -> DataFrame:
     """Per island the row of largest cluster_size (the first of equals), with the longest length (0 for
-    translocations), mean quality rounded down, and sizes and rates summed."""
+    translocations), mean quality rounded down, and sizes and rates summed; more: further aggregates."""
     ident = [*keys, "island"]
     rank = F.struct(F.col("cluster_size"), -F.col("start"), *[-F.col(o) for o in order])
     pick = lambda c: F.max_by(c, rank).alias(c)
     rest = [c for c in ("start", "stop", "svid", "seq", "start2") if c in islanded.columns]
     length = F.lit(0).cast("long") if translocations else F.max("sv_len")
-    return islanded.groupBy(*ident).agg(*map(pick, rest), length.alias("sv_len"), F.floor(F.avg("maq")).cast("int").alias("maq"), F.sum("cluster_size").alias("cluster_size"), F.sum("sv_rate").alias("sv_rate"))
+    return islanded.groupBy(*ident).agg(*map(pick, rest), length.alias("sv_len"), F.floor(F.avg("maq")).cast("int").alias("maq"), F.sum("cluster_size").alias("cluster_size"), F.sum("sv_rate").alias("sv_rate"), *more)
 
 
 def cohort_merge(islanded: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

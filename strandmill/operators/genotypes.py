@@ -111,13 +111,13 @@ def short_translocation(shared: Column, reads_a: Column, reads_b: Column, clip_a
     return F.when(first == HOM, first).otherwise(by_two(clip_a, clip_b, "sr_tra"))
 
 
-def from_signal_rate(candidates: DataFrame, sample: str) -> DataFrame:
-    """Genotypes from the candidates' own rates, no reads: depth is the cluster's size over its rate, rounded up."""
+def from_signal_rate(candidates: DataFrame, sample: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Genotypes from the candidates' own rates, no reads: depth is the cluster's size over its rate, rounded up. keep: further columns."""
     target, query = signed_sizes(F.col("sv_type"), F.col("sv_len"))
     rate = F.col("sv_rate")
     return candidates.select(
         "chrom", "start", "stop", target.alias("target_size"), query.alias("query_size"), "sv_type", F.lit(sample).alias("sample"),
-        by_one(rate, "signal").alias("gt"), F.ceil(F.try_divide(F.col("cluster_size"), rate)).alias("reads"), F.round(rate, 2).alias("ratio"),
+        by_one(rate, "signal").alias("gt"), F.ceil(F.try_divide(F.col("cluster_size"), rate)).alias("reads"), F.round(rate, 2).alias("ratio"), *keep,
     )
 
 

@@ -28,16 +28,18 @@ def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[
     by = Window.partitionBy("__part").orderBy(*order)
     local = df.withColumn("__part", F.struct(*keys, place.alias("__at")))
     inner = F.coalesce(starts(lambda c: F.lag(c).over(by)), F.lit(True)).cast("int")
-    local = local.withColumn("__new", F.when(F.row_number().over(by) > 1, inner).otherwise(0))
+    local = local.withColumns({"__first": F.row_number().over(by) == 1, "__last": F.lead(F.lit(1)).over(by).isNull(), "__new": inner})
+    local = local.withColumn("__new", F.when(F.col("__first"), 0).otherwise(F.col("__new")))
     local = local.withColumn("__run", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    rank = F.struct(*order)
-    edges = local.groupBy("__part").agg(F.min_by(F.struct(*df.columns), rank).alias("__first"), F.max_by(F.struct(*dict.fromkeys(shown)), rank).alias("__last"), F.sum("__new").alias("__n"))
+    only = lambda when, c: F.first(F.when(F.col(when), c), ignorenulls=True).alias(when)
+    ends = local.where(F.col("__first") | F.col("__last"))
+    edges = ends.groupBy("__part").agg(only("__first", F.struct(*df.columns)), only("__last", F.struct(*dict.fromkeys(shown))), F.max("__run").alias("__n"))
     along = Window.partitionBy(*keys).orderBy("__part")
     table = edges.select("__part", "__last", "__n", "__first.*")
     table = table.withColumn("__opens", F.coalesce(starts(lambda c: F.lag(F.col("__last")[c]).over(along)), F.lit(True)).cast("int"))
     until = F.sum(F.col("__opens") + F.col("__n")).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     numbered = local.join(table.select("__part", (until - F.col("__n")).alias("__before")), "__part")
-    return numbered.withColumn(name, F.col("__before") + F.col("__run")).drop("__part", "__new", "__run", "__before")
+    return numbered.withColumn(name, F.col("__before") + F.col("__run")).drop("__part", "__first", "__last", "__new", "__run", "__before")
 
 
 def map_runs(df: DataFrame, keys: list[str], order: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

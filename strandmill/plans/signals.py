@@ -291,6 +291,5 @@ def cohort_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: filtered deletions, clustered, merged and genotyped from their rates."""
     kept = filters.signal_sizes(sig(spark, sf_dir).where("sv_type = 'DEL'"), 100, 10_000_000, 30)
     clustered = windows.adjacent(kept, KEYS, ORDER, 100)
-    merged = clusters.sample_merge(clustered, KEYS, K).drop("sv_rate").join(clustered.groupBy(*KEYS, "island").agg(F.avg("sv_rate").alias("sv_rate")), [*KEYS, "island"])
-    called = genotypes.from_signal_rate(merged, "s1")
-    return called.join(merged.select("chrom", "start", "stop", "cluster_size", "island"), ["chrom", "start", "stop"]).select("chrom", "start", "stop", "target_size", "query_size", "gt", "cluster_size")
+    merged = clusters.sample_merge(clustered, KEYS, K, more=(F.avg("sv_rate").alias("mean_rate"),)).withColumn("sv_rate", F.col("mean_rate"))
+    return genotypes.from_signal_rate(merged, "s1", ("cluster_size",)).select("chrom", "start", "stop", "target_size", "query_size", "gt", "cluster_size")
