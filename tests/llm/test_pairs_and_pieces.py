@@ -133,6 +133,13 @@ def test_search_of_repeated_rows(spark):
     assert sorted(x for x in got if x[0] == 20) == sorted([(20, 1, 3, 5.0), (20, 2, 2, 1.0), (20, 3, 2, 1.0), (20, 1, 1, 3.0), (20, 2, 2, 2.0), (20, 3, 2, 2.0)])
 
 
+def test_join_of_the_larger_table_equals_all_pairs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    want = set(brute_classes([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]))
+    got = {tuple(r) for r in near_join.join(docs).select("doc_id", "class_id", "n_links").collect()}
+    assert sum(n for _, _, n in want) > 100 and got == want
+
+
 def test_hubs_of_components(spark):
     rows = [(k, 0) for k in range(1, 900)] + [(900 + k, 901 + k) for k in range(40)] + [(5, 5)]
     got = {r["node"]: r["root"] for r in components.connected(spark.createDataFrame(rows, "u long, v long")).collect()}

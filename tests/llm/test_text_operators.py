@@ -159,6 +159,18 @@ def test_redaction_leaves_clean_rows_alone(docs):
     assert all(not secret_scan.scan_text(t) for _, t in kept)
 
 
+def test_secrets_of_no_rows_long_texts_and_clashes(spark):
+    key = "".join(random.Random(8).choices(string.ascii_letters + string.digits, k=600))
+    long = "plain prose goes on " * 20_000 + "bearer " + key
+    rows = spark.createDataFrame([(1, long), (1, long), (None, None)], "doc_id long, text string").withColumns({"spans": F.lit("own"), "row": F.lit(1), "__gate": F.lit(2)})
+    got = secret_scan.digest(secret_scan.scan(rows)).collect()
+    spot = len(long) - len(key)
+    assert sorted(r["spans"] for r in got) == ["", f"novel:{spot}:{len(long)}", f"novel:{spot}:{len(long)}"]
+    clean = secret_scan.redact(rows)
+    assert clean.columns == rows.columns and sorted(str(r["text"])[-8:] for r in clean.collect()) == ["None", "[SECRET]", "[SECRET]"]
+    assert secret_scan.digest(secret_scan.scan(rows.limit(0))).collect() == [] and secret_scan.redact(rows.limit(0)).collect() == []
+
+
 def base_quality(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     windows = Counter(zip(words, words[1:], words[2:]))
