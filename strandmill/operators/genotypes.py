@@ -6,12 +6,14 @@ reads, aggregated by variant and sample, in place of one fetch per variant.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.functions.scalars import interior_points, signed_sizes
-from strandmill.operators.alignments import clip_ends, placed, reference_length, sa_segments
-from strandmill.operators.intervals import count_overlaps, nearest_breakpoints, overlap_join
+from strandmill.operators.alignments import clips, is_reverse, placed, reference_length, sa_segments
+from strandmill.operators.intervals import count_overlaps, overlap_join
 
 REF, HET, HOM, MISSING = "0/0", "0/1", "1/1", "./."
 
@@ -81,15 +83,14 @@ def deletion(events_l: Column, clips_l: Column, reads_l: Column, events_r: Colum
     return F.when(reads_l + reads_r == 0, MISSING).otherwise(gt)
 
 
-def inversion(pairs: Column, clip_a: Column, clip_b: Column) -> Column:
-    """Long reads: by supplementary pairs that link both breakpoints, a quarter of each counting; undecided ones by clips."""
-    rate = pairs / 4
-    return F.when(rate >= 0.75, HOM).when(pairs == 0, REF).otherwise(by_two(clip_a, clip_b, "lr_inv"))
+def inversion(rate: Column, clip_a: Column, clip_b: Column) -> Column:
+    """Long reads: by the rate of supplementary segments that link both breakpoints; undecided ones by clips."""
+    return F.when(rate / 4 >= 0.75, HOM).when(rate == 0, REF).otherwise(by_two(clip_a, clip_b, "lr_inv"))
 
 
 def translocation(shared: Column, reads_a: Column, reads_b: Column, clip_a: Column, clip_b: Column) -> Column:
     """Long reads: by names seen on both sides over each side's reads; undecided ones by clips."""
-    first = by_two(share(shared, reads_a), share(shared, reads_b), "lr_tra_names")
+    first = by_two(share(shared, reads_a, 2), share(shared, reads_b, 2), "lr_tra_names")
     return F.when(first == HET, by_two(clip_a, clip_b, "lr_tra")).otherwise(first)
 
 
@@ -107,7 +108,7 @@ def short_deletion(ratio: Column, reads: Column, spans: Column, empty_points: Co
 
 
 def short_translocation(shared: Column, reads_a: Column, reads_b: Column, clip_a: Column, clip_b: Column) -> Column:
-    first = by_two(share(shared, reads_a), share(shared, reads_b), "sr_tra")
+    first = by_two(share(shared, reads_a, 2), share(shared, reads_b, 2), "lr_tra_names")
     return F.when(first == HOM, first).otherwise(by_two(clip_a, clip_b, "sr_tra"))
 
 
@@ -134,13 +135,13 @@ def support_text(sv_type: Column, reads_a: Column, reads_b: Column, ratio_a: Col
     return F.when(sv_type == "INS", one).otherwise(two), F.when(sv_type == "INS", F.concat(F.lit("INS_rate="), ratio_a.cast("string"), F.lit(";INS"))).otherwise(rates)
 
 
-def aligned(reads: DataFrame, least: int) -> DataFrame:
-    """Mapped reads as intervals (closed), with their deletions, insertions of least bases at least, and clipped ends."""
+def aligned(reads: DataFrame, least: int, **more: Column) -> DataFrame:
+    """Mapped reads as intervals (closed), with their deletions, insertions of least bases at least, and clipped ends; more: further columns."""
     stop = F.col("pos") + reference_length(F.col("cigar"))
     op = lambda kind, n: F.filter(placed(F.col("cigar"), F.col("pos")), lambda o: (o["op"] == kind) & (o["n"] >= n))
     return reads.where(F.col("flag").bitwiseAND(4) == 0).select(
         "sample", "qname", "mapq", F.col("rname").alias("chrom"), F.col("pos").alias("start"), (stop - 1).alias("last"), op("D", 1).alias("dels"), op("I", least).alias("inss"),
-        F.when(F.col("cigar").rlike("^[0-9]+[SH]"), F.col("pos")).alias("clip_l"), F.when(F.col("cigar").rlike("[SH]$"), stop).alias("clip_r"),
+        F.when(F.col("cigar").rlike("^[0-9]+[SH]"), F.col("pos")).alias("clip_l"), F.when(F.col("cigar").rlike("[SH]$"), stop).alias("clip_r"), *[c.alias(n) for n, c in more.items()],
     )
 
 
@@ -224,14 +225,243 @@ def shared_names(left: DataFrame, right: DataFrame, ident: list[str]) -> DataFra
     return both.groupBy(*ident).agg(F.count(F.when(F.col("a").isNotNull() & F.col("b").isNotNull(), 1)).alias("shared"), F.coalesce(F.sum("a"), F.lit(0)).alias("reads_a"), F.coalesce(F.sum("b"), F.lit(0)).alias("reads_b"))
 
 
-def inversion_links(variants: DataFrame, reads: DataFrame, reach: int = 2000) -> DataFrame:
-    """Per inversion (vid, chrom, start, stop) and sample: supplementary pieces on the other strand that lead from one breakpoint's surroundings to the other's."""
-    lines = reads.where("sa is not null").select("sample", F.col("rname").alias("chrom"), F.col("pos").alias("p"), F.when(F.col("flag").bitwiseAND(16) != 0, "-").otherwise("+").alias("strand"), F.explode(sa_segments(F.col("sa"))).alias("s"))
-    ends = variants.select("vid", "chrom", "start", "stop", F.explode(F.array(F.struct(F.col("start").alias("here"), F.col("stop").alias("there")), F.struct(F.col("stop").alias("here"), F.col("start").alias("there")))).alias("e"))
-    ends = ends.select("vid", "chrom", "e.here", "e.there", (F.col("e.here") - reach).alias("low"), (F.col("e.here") + reach).alias("high"))
-    fits = (F.col("r_s.chrom") == F.col("chrom")) & (F.col("r_s.strand") != F.col("r_strand")) & (F.abs(F.col("r_s.pos") - F.col("there")) <= reach)
-    hits = overlap_join(ends, lines, fits, ("chrom", "low", "high"), ("chrom", "p", "p"))
-    return hits.groupBy("vid", F.col("r_sample").alias("sample")).agg(F.count(F.lit(1)).alias("pairs"))
+def breakpoints(variants: DataFrame, reach: Column) -> DataFrame:
+    """Two rows of each variant (vid, sv_type, chrom, start, chrom2, stop, size): side (l or r), chrom, here, there (the other
+    breakpoint's place), and low to high, the places within reach (an expression over sv_type and size) of here."""
+    end = lambda side, chrom, here, there: F.struct(F.lit(side).alias("side"), F.col(chrom).alias("chrom"), F.col(here).alias("here"), F.col(there).alias("there"))
+    ends = variants.select("vid", "sv_type", "size", F.explode(F.array(end("l", "chrom", "start", "stop"), end("r", "chrom2", "stop", "start"))).alias("e"))
+    return ends.select("vid", "sv_type", "size", "e.*").withColumns({"low": F.greatest(F.col("here") - reach, F.lit(0)), "high": F.col("here") + reach - 1})
+
+
+def _clipped(at: Column, reach: Column) -> Column:
+    return _within(F.col("r_clip_l"), at, reach).cast("int") + _within(F.col("r_clip_r"), at, reach).cast("int")
+
+
+def breakpoint_evidence(points: DataFrame, reads: DataFrame, clip_reach: Column, link_reach: int = 2000, least_maq: int = 0) -> DataFrame:
+    """Per breakpoint (rows of breakpoints()) and sample: reads; near, those within clip_reach; clips, clipped ends there; grown,
+    insertions there of 0.6 to 1.5 times the size; maq, the mean quality rounded up; links, supplementary segments that lead from a
+    left breakpoint, near which the read ends, to the right one, or from a right one, near which it starts, to the left one, within
+    link_reach: inversions by segments of the other strand, duplications of the same one, translocations of another chromosome.
+    Unmapped reads and those under least_maq take no part; reads without SA tags have no links."""
+    segment = lambda s: F.struct(s["chrom"].alias("chrom"), s["pos"].alias("start"), (s["pos"] + clips(s["cigar"])["mapped"]).alias("stop"), (s["strand"] == "-").alias("reverse"))
+    lines = aligned(reads.where(F.col("mapq") >= least_maq), 1, reverse=is_reverse(F.col("flag")), segments=F.transform(sa_segments(F.col("sa")), segment))
+    hits = overlap_join(points, lines, None, ("chrom", "low", "high"), ("chrom", "start", "last"))
+    left, here, there, kind = F.col("side") == "l", F.col("here"), F.col("there"), F.col("sv_type")
+    close = lambda p: F.abs(p - there) <= link_reach
+
+    def leads(s: Column) -> Column:
+        inside = (s["chrom"] == F.col("chrom")) & close(F.when(left, s["start"]).otherwise(s["stop"])) & ((s["reverse"] != F.col("r_reverse")) == (kind == "INV"))
+        return F.when(kind == "TRA", (s["chrom"] != F.col("chrom")) & (close(s["start"]) | close(s["stop"]))).otherwise(inside)
+
+    own = F.abs(F.when(left, F.col("r_last") + 1).otherwise(F.col("r_start")) - here) <= link_reach
+    links = F.when(own & F.col("r_segments").isNotNull(), F.size(F.filter("r_segments", leads))).otherwise(0)
+    near = (F.col("r_start") < here + clip_reach) & (F.col("r_last") >= F.greatest(here - clip_reach, F.lit(0)))
+    grown = F.size(F.filter("r_inss", lambda o: (o["n"] > 0.6 * F.col("size")) & (o["n"] < 1.5 * F.col("size")) & _within(o["ref"] - 1, here, clip_reach) & _within(o["ref"], here, clip_reach)))
+    return hits.groupBy("vid", "side", F.col("r_sample").alias("sample")).agg(
+        F.count(F.lit(1)).alias("reads"), F.count(F.when(near, 1)).alias("near"), F.sum(_clipped(here, clip_reach)).alias("clips"), F.sum(grown).alias("grown"), F.sum(links).alias("links"), F.ceil(F.avg("r_mapq")).alias("maq"),
+    )
+
+
+def name_evidence(points: DataFrame, reads: DataFrame, clip_reach: Column, least_maq: int = 0) -> DataFrame:
+    """Per translocation (both rows of breakpoints()) and sample: shared, names that both sides have; and of each side reads, near and
+    clips as above, these two only of reads of least_maq, and maq. Rows of a name are added up in the tasks that meet them."""
+    hits = overlap_join(points, aligned(reads, 1), None, ("chrom", "low", "high"), ("chrom", "start", "last"))
+    here, good = F.col("here"), F.col("r_mapq") >= least_maq
+    near = good & (F.col("r_start") < here + clip_reach) & (F.col("r_last") >= F.greatest(here - clip_reach, F.lit(0)))
+    counts = {"reads": F.lit(1), "good": good.cast("int"), "near": near.cast("int"), "clips": F.when(good, _clipped(here, clip_reach)).otherwise(0), "quality": F.col("r_mapq")}
+    of = lambda k, c: F.sum(F.when(F.col("side") == k, c).otherwise(0))
+    names = hits.groupBy("vid", F.col("r_sample").alias("sample"), "r_qname").agg(*[of(k, c).alias(f"{n}_{k}") for k in "lr" for n, c in counts.items()])
+    both = (F.col("reads_l") > 0) & (F.col("reads_r") > 0)
+    found = names.groupBy("vid", "sample").agg(F.count(F.when(both, 1)).alias("shared"), *[F.sum(f"{n}_{k}").alias(f"{n}_{k}") for k in "lr" for n in counts])
+    return found.withColumns({f"maq_{k}": F.ceil(F.try_divide(F.col(f"quality_{k}"), F.col(f"reads_{k}"))) for k in "lr"}).drop("quality_l", "quality_r")
+
+
+def small_duplication_evidence(variants: DataFrame, reads: DataFrame, shift: int = 500) -> DataFrame:
+    """Per short duplication and sample: reads of it and shift around; events, insertions of 0.7 to 1.5 times the size within
+    the size of its start or stop; clips, clipped ends within shift of either; maq."""
+    size, start, stop = F.col("size"), F.col("start"), F.col("stop")
+    near = variants.withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
+    hits = overlap_join(near, aligned(reads, 1), None, ("chrom", "__low", "__high"), ("chrom", "start", "last"))
+    fits = lambda o: (o["n"] > 0.7 * size) & (o["n"] < 1.5 * size) & (_within(o["ref"] - 1, start, size) | _within(o["ref"] - 1, stop, size))
+    clipped = lambda c: (_within(F.col(c), start, F.lit(shift)) | _within(F.col(c), stop, F.lit(shift))).cast("int")
+    return hits.groupBy("vid", F.col("r_sample").alias("sample")).agg(
+        F.count(F.lit(1)).alias("reads"), F.sum(F.size(F.filter("r_inss", fits))).alias("events"), F.sum(clipped("r_clip_l") + clipped("r_clip_r")).alias("clips"), F.ceil(F.avg("r_mapq")).alias("maq"),
+    )
+
+
+def _asked(variants: DataFrame, samples: list[str]) -> DataFrame:
+    return variants.select("vid", "sv_type", "size", F.explode(F.array(*map(F.lit, samples))).alias("sample"))
+
+
+def _zero(name: str) -> Column:
+    return F.coalesce(F.col(name), F.lit(0).cast("long"))
+
+
+def _two_sided(asked: DataFrame, found: DataFrame, names: tuple[str, ...]) -> DataFrame:
+    """asked with the counts of both sides (name_l and name_r), 0 where there are none."""
+    side = lambda k: found.where(F.col("side") == k).select("vid", "sample", *[F.col(n).alias(f"{n}_{k}") for n in names])
+    joined = asked.join(side("l"), ["vid", "sample"], "left").join(side("r"), ["vid", "sample"], "left")
+    return joined.withColumns({f"{n}_{k}": _zero(f"{n}_{k}") for n in names for k in "lr"})
+
+
+def _call(rows: DataFrame, gt: Column, reads: tuple[Column, Column], ratios: tuple[Column, Column], maq: Column) -> DataFrame:
+    named = [c.cast("long").alias(f"reads_{k}") for k, c in zip("lr", reads)] + [c.cast("double").alias(f"ratio_{k}") for k, c in zip("lr", ratios)]
+    return rows.select("vid", "sample", gt.alias("gt"), *named, maq.cast("long").alias("maq"))
+
+
+def link_rate(links_l: Column, reads_l: Column, links_r: Column, reads_r: Column) -> Column:
+    """Links of the left breakpoint over its reads, and those of both over the right one's."""
+    return F.coalesce(F.try_divide(links_l, reads_l), F.lit(0.0)) + F.coalesce(F.try_divide(links_l + links_r, reads_r), F.lit(0.0))
+
+
+def long_read_pair_calls(variants: DataFrame, reads: DataFrame, samples: list[str], most_small: int = 3000) -> DataFrame:
+    """Genotypes of duplications, inversions and translocations (rows as for breakpoints()) from long reads, for every one of the samples.
+    Duplications to most_small by insertions and clips of the whole region, longer ones by both breakpoints' clips; inversions by
+    supplementary segments, undecided ones by clips; translocations by names, undecided ones by clips. None without reads."""
+    size, asked = F.col("size"), _asked(variants, samples)
+    small = (F.col("sv_type") == "DUP") & (size <= most_small)
+    half = F.ceil(size / 2)
+    c = F.col
+
+    at = breakpoints(variants.where((F.col("sv_type").isin("DUP", "INV")) & ~small), F.when(c("sv_type") == "DUP", 200).when(size < 1000, half).otherwise(1000))
+    found = breakpoint_evidence(at, reads, F.when(c("sv_type") == "DUP", 200).when(size < 1000, half).otherwise(500))
+    two = _two_sided(asked.where(F.col("sv_type").isin("DUP", "INV") & ~small), found, ("reads", "near", "clips", "links", "maq"))
+    a, b = (share(c(f"clips_{k}"), c(f"reads_{k}"), 2) for k in "lr")
+    none, maq = c("reads_l") + c("reads_r") == 0, F.greatest("maq_l", "maq_r")
+    dup = _call(two.where("sv_type = 'DUP'"), F.when(none, MISSING).otherwise(by_two(a, b, "lr_dup")), (c("reads_l"), c("reads_r")), (a, b), maq)
+    rate = link_rate(c("links_l"), c("reads_l"), c("links_r"), c("reads_r"))
+    open_ = (rate > 0) & (rate / 4 < 0.75)
+    x, y = (share(c(f"clips_{k}"), c(f"near_{k}")) for k in "lr")
+    gt = F.when(none | (open_ & (c("near_l") + c("near_r") == 0)), MISSING).otherwise(inversion(rate, x, y))
+    counted = tuple(F.when(open_, c(f"near_{k}")).otherwise(c(f"reads_{k}")) for k in "lr")
+    inv = _call(two.where("sv_type = 'INV'"), gt, counted, (F.when(open_, x).otherwise(rate), F.when(open_, y).otherwise(rate)), maq)
+
+    short = asked.where(small).join(small_duplication_evidence(variants.where(small), reads), ["vid", "sample"], "left")
+    ratio = share(_zero("events") + _zero("clips"), _zero("reads"))
+    little = _call(short, F.when(_zero("reads") == 0, MISSING).otherwise(by_one(ratio, "lr_dup_small")), (_zero("reads"), F.lit(0)), (ratio, F.lit(0.0)), _zero("maq"))
+
+    pairs = variants.where("sv_type = 'TRA'")
+    names = asked.where("sv_type = 'TRA'").join(name_evidence(breakpoints(pairs, F.lit(500)), reads, F.lit(200)), ["vid", "sample"], "left")
+    p, q = (share(_zero("shared"), _zero(f"reads_{k}"), 2) for k in "lr")
+    x, y = (share(_zero(f"clips_{k}"), _zero(f"reads_{k}")) for k in "lr")
+    first = by_two(p, q, "lr_tra_names")
+    gt = F.when(_zero("reads_l") + _zero("reads_r") == 0, MISSING).otherwise(translocation(_zero("shared"), _zero("reads_l"), _zero("reads_r"), x, y))
+    tra = _call(names, gt, (_zero("reads_l"), _zero("reads_r")), (F.when(first == HET, x).otherwise(p), F.when(first == HET, y).otherwise(q)), F.greatest(_zero("maq_l"), _zero("maq_r")))
+    return dup.unionByName(inv).unionByName(little).unionByName(tra)
+
+
+def short_read_pair_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 30, least_maq: int = 1) -> DataFrame:
+    """The same from short reads: by clips at both breakpoints, translocations by names first."""
+    c, asked = F.col, _asked(variants, samples)
+    both = F.col("sv_type").isin("DUP", "INV")
+    found = breakpoint_evidence(breakpoints(variants.where(both), F.lit(shift)), reads, F.lit(shift), least_maq=least_maq)
+    two = _two_sided(asked.where(both), found, ("reads", "clips", "maq"))
+    a, b = (share(c(f"clips_{k}"), c(f"reads_{k}")) for k in "lr")
+    gt = F.when(c("reads_l") + c("reads_r") == 0, MISSING).when(c("sv_type") == "DUP", by_two(a, b, "sr_dup")).otherwise(by_two(a, b, "sr_inv"))
+    clipped = _call(two, gt, (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r"))
+    names = name_evidence(breakpoints(variants.where("sv_type = 'TRA'"), F.lit(shift)), reads, F.lit(shift), least_maq)
+    tra = asked.where("sv_type = 'TRA'").join(names, ["vid", "sample"], "left")
+    p, q = (share(_zero("shared"), _zero(f"reads_{k}"), 2) for k in "lr")
+    x, y = (share(_zero(f"clips_{k}"), _zero(f"good_{k}")) for k in "lr")
+    sure = by_two(p, q, "lr_tra_names") == HOM
+    gt = F.when(sure, HOM).when(_zero("good_l") + _zero("good_r") == 0, MISSING).otherwise(short_translocation(_zero("shared"), _zero("reads_l"), _zero("reads_r"), x, y))
+    counted = tuple(F.when(sure, _zero(f"reads_{k}")).otherwise(_zero(f"good_{k}")) for k in "lr")
+    return clipped.unionByName(_call(tra, gt, counted, (F.when(sure, p).otherwise(x), F.when(sure, q).otherwise(y)), F.greatest(_zero("maq_l"), _zero("maq_r"))))
+
+
+def assembly_pair_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 100, least_maq: int = 50) -> DataFrame:
+    """The same from aligned contigs: duplications by clips and insertions of contigs of least_maq, the others by supplementary segments."""
+    c, asked = F.col, _asked(variants, samples)
+    dups = breakpoint_evidence(breakpoints(variants.where("sv_type = 'DUP'"), F.lit(shift)), reads, F.lit(200), least_maq=least_maq)
+    two = _two_sided(asked.where("sv_type = 'DUP'"), dups, ("reads", "clips", "grown", "maq"))
+    a, b = (share(c(f"clips_{k}") + c(f"grown_{k}"), c(f"reads_{k}")) for k in "lr")
+    none = c("reads_l") + c("reads_r") == 0
+    out = _call(two, F.when(none, MISSING).otherwise(by_two(a, b, "cr_dup")), (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r"))
+    for kind, reach in (("INV", 800), ("TRA", 2000)):
+        found = breakpoint_evidence(breakpoints(variants.where(F.col("sv_type") == kind), F.lit(shift)), reads, F.lit(shift), reach)
+        two = _two_sided(asked.where(F.col("sv_type") == kind), found, ("reads", "links", "maq"))
+        rate = link_rate(c("links_l"), c("reads_l"), c("links_r"), c("reads_r"))
+        out = out.unionByName(_call(two, F.when(none, MISSING).otherwise(by_one(rate, "cr_sa")), (c("reads_l"), c("reads_r")), (rate, rate), F.greatest("maq_l", "maq_r")))
+    return out
+
+
+def _local(near: DataFrame, reads: DataFrame, kind: str, fits: Callable[[Column], Column], inside: Callable[[Column], Column], clipped: Callable[[Column], Column], whole: Column) -> DataFrame:
+    """near: variants with __low and __high. Per vid and sample: reads; fitting, operations of the kind that fit; events, those inside; places,
+    distinct ones of these; clips, clipped ends that clipped() takes; whole, reads without clips for which whole holds; maq."""
+    hits = overlap_join(near, aligned(reads, 1), None, ("chrom", "__low", "__high"), ("chrom", "start", "last"))
+    hits = hits.withColumn("__fit", F.filter("r_dels" if kind == "DEL" else "r_inss", fits))
+    unclipped = F.col("r_clip_l").isNull() & F.col("r_clip_r").isNull()
+    taken = lambda n: F.coalesce(clipped(F.col(n)), F.lit(False)).cast("int")
+    rows = hits.select("vid", F.col("r_sample").alias("sample"), "r_mapq", F.size("__fit").alias("fits"), (taken("r_clip_l") + taken("r_clip_r")).alias("cut"), (unclipped & whole).alias("whole"), F.posexplode_outer(F.filter("__fit", inside)).alias("k", "o"))
+    first = F.coalesce(F.col("k"), F.lit(0)) == 0
+    place = F.struct("o.ref", "o.n") if kind == "DEL" else F.struct("o.ref")
+    return rows.groupBy("vid", "sample").agg(
+        F.count(F.when(first, 1)).alias("reads"), F.coalesce(F.sum(F.when(first, F.col("fits"))), F.lit(0)).alias("fitting"), F.count("o").alias("events"), F.count_distinct(F.when(F.col("o").isNotNull(), place)).alias("places"),
+        F.coalesce(F.sum(F.when(first, F.col("cut"))), F.lit(0)).alias("clips"), F.count(F.when(first & F.col("whole"), 1)).alias("whole"), F.ceil(F.avg(F.when(first, F.col("r_mapq")))).alias("maq"),
+    )
+
+
+def _deletion_sides(dels: DataFrame, reads: DataFrame, shift: int, reach: int, fits: Callable[[Column], Column], across: Callable[[Column], Column]) -> DataFrame:
+    """_local of reads within shift of a deletion's start (side l) and stop (r): operations that start there, or end there, and
+    clipped ends within reach; across(place): whether a read passes."""
+
+    def side(k: str) -> DataFrame:
+        place = F.col("start" if k == "l" else "stop")
+        at = lambda p: (p >= place - reach) & (p < place + reach)
+        near = dels.withColumns({"__low": F.greatest(place - shift, F.lit(0)), "__high": place + shift - 1})
+        return _local(near, reads, "DEL", fits, lambda o: at(o["ref"] if k == "l" else o["ref"] + o["n"] - 1), at, across(place)).withColumn("side", F.lit(k))
+
+    return side("l").unionByName(side("r"))
+
+
+def short_read_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 30, span: int = 50, least_maq: int = 1, homo: float = 0.65, ref: float = 0.05) -> DataFrame:
+    """Genotypes of insertions and deletions (vid, chrom, start, stop, size, sv_type) from short reads, for every one of the samples. Operations
+    within 5 bases of the size count, the first of each place twice; reads across without clips, less such operations, correct calls;
+    deletions of which two of six interior windows at least have no reads are homozygous."""
+    size, start, stop = F.col("size"), F.col("start"), F.col("stop")
+    good, asked = reads.where(F.col("mapq") >= least_maq), _asked(variants, samples)
+    fits = lambda o: (o["n"] >= size - 5) & (o["n"] <= size + 5)
+    at = lambda p, place, after: (p >= place - shift) & (p < place + after)
+    names = ("reads", "fitting", "events", "places", "clips", "whole", "maq")
+
+    ins = variants.where("sv_type = 'INS'").withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
+    passes = (F.col("r_start") + span < start) & (F.col("r_last") + 1 - span > start)
+    found = _local(ins, good, "INS", fits, lambda o: at(o["ref"] - 1, start, 120) & at(o["ref"], stop, 120), lambda c: at(c, start, 120) & at(c, stop, 120), passes)
+    rows = asked.where("sv_type = 'INS'").join(found, ["vid", "sample"], "left")
+    ratio = share(_zero("events") + _zero("places") + _zero("clips"), _zero("reads"))
+    out = _call(rows, short_insertion(ratio, _zero("reads"), _zero("whole") - _zero("fitting"), homo, ref), (_zero("reads"), F.lit(0)), (ratio, F.lit(0.0)), _zero("maq"))
+
+    dels = variants.where("sv_type = 'DEL'")
+    def across(place: Column) -> Column:
+        return F.when(size >= 100, (F.col("r_start") + span < place) & (F.col("r_last") + 1 - span > place)).otherwise((F.col("r_start") - 10 < start) & (F.col("r_last") - 9 > stop))
+
+    two = _two_sided(asked.where("sv_type = 'DEL'"), _deletion_sides(dels, good, shift, shift, fits, across), names)
+    points = dels.select("vid", "chrom", F.posexplode(interior_points(start, stop)).alias("k", "point")).withColumn("past", F.col("point") + 6)
+    covers = overlap_join(points, aligned(good, 1), None, ("chrom", "point", "past"), ("chrom", "start", "last"))
+    covered = covers.groupBy("vid", F.col("r_sample").alias("sample")).agg(F.count_distinct("k").alias("covered"))
+    two = two.join(covered, ["vid", "sample"], "left")
+    c = F.col
+    a, b = (share(c(f"events_{k}") + c(f"places_{k}") + c(f"clips_{k}"), c(f"reads_{k}")) for k in "lr")
+    spans = c("whole_l") + c("whole_r") - c("fitting_l") - c("fitting_r")
+    gt = short_deletion(F.greatest(a, b), c("reads_l") + c("reads_r"), spans, 6 - _zero("covered"), homo, ref)
+    return out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r")))
+
+
+def assembly_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 100, reach: int = 200, least_maq: int = 50) -> DataFrame:
+    """The same from aligned contigs: insertions over 40 bases, deletions of 40 at least, and clips, within reach of the places."""
+    start, stop, c = F.col("start"), F.col("stop"), F.col
+    good, asked = reads.where(F.col("mapq") >= least_maq), _asked(variants, samples)
+    at = lambda p, place: (p >= place - reach) & (p < place + reach)
+    ins = variants.where("sv_type = 'INS'").withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
+    found = _local(ins, good, "INS", lambda o: o["n"] > 40, lambda o: at(o["ref"] - 1, start) & at(o["ref"], stop), lambda p: at(p, start) & at(p, stop), F.lit(False))
+    rows = asked.where("sv_type = 'INS'").join(found, ["vid", "sample"], "left")
+    ratio = share(_zero("events") + _zero("clips"), _zero("reads"))
+    out = _call(rows, F.when(_zero("reads") == 0, MISSING).otherwise(by_one(ratio, "cr")), (_zero("reads"), F.lit(0)), (ratio, F.lit(0.0)), _zero("maq"))
+    found = _deletion_sides(variants.where("sv_type = 'DEL'"), good, shift, reach, lambda o: o["n"] >= 40, lambda place: F.lit(False))
+    two = _two_sided(asked.where("sv_type = 'DEL'"), found, ("reads", "events", "clips", "maq"))
+    a, b = (share(c(f"events_{k}") + c(f"clips_{k}"), c(f"reads_{k}")) for k in "lr")
+    gt = F.when(c("reads_l") + c("reads_r") == 0, MISSING).otherwise(by_one(F.greatest(a, b), "cr"))
+    return out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r")))
 
 
 def uncovered_points(deletions: DataFrame, coverage: DataFrame, ident: list[str]) -> DataFrame:
@@ -240,8 +470,3 @@ def uncovered_points(deletions: DataFrame, coverage: DataFrame, ident: list[str]
     counted = count_overlaps(points, coverage, [*ident, "point"], "n", None, ("chrom", "point", "point"))
     empty = counted.groupBy(*ident).agg(F.count(F.when(F.col("n") == 0, 1)).alias("empty_points"))
     return deletions.join(empty, ident, "left")
-
-
-def clip_counts(points: DataFrame, reads: DataFrame, ident: list[str], shift: int) -> DataFrame:
-    """Clip ends within shift of each point (chrom, pos)."""
-    return nearest_breakpoints(points, clip_ends(reads), ident, shift)

@@ -43,7 +43,11 @@ TABLES: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
         ("cast(case when l_suppkey % 2 = 0 then 0 else 16 end as int)", "flag"), ("concat('Chr', cast(l_suppkey % 5 + 1 as varchar(10)))", "rname"),
         ("cast(l_partkey * 100 as bigint)", "pos"), ("cast(20 + l_partkey % 41 as int)", "mapq"),
         ("concat(case when l_orderkey % 4 = 0 then '3000M' else concat(cast(1 + l_orderkey % 900 as varchar(9)), 'S') end, cast(100 + l_partkey % 400 as varchar(9)), 'M', cast(1 + l_suppkey % 90 as varchar(9)), case when l_linenumber % 2 = 0 then 'D' else 'I' end, cast(50 + l_orderkey % 300 as varchar(9)), '=', cast(1 + l_partkey % 70 as varchar(9)), 'D', '30M', case when l_orderkey % 4 = 0 then '' else concat(cast(1 + l_partkey % 800 as varchar(9)), 'H') end)", "cigar"),
-        ("repeat('ACGT', 500)", "seq"), ("cast(null as varchar(9))", "sa"), ("concat('s', cast(l_orderkey % 3 as varchar(9)))", "sample"),
+        ("repeat('ACGT', 500)", "seq"), ("case when l_orderkey % 4 <> 0 then concat('Chr', cast((l_suppkey + case when l_orderkey % 3 = 0 then 1 else 0 end) % 5 + 1 as varchar(9)), ',', cast(l_partkey * 100 + (l_suppkey % 7) * 700 as varchar(20)), case when l_partkey % 3 = 0 then ',+' else ',-' end, ',60S', cast(100 + l_orderkey % 900 as varchar(9)), 'M5D10I,60,0;Chr', cast(l_suppkey % 5 + 1 as varchar(9)), ',', cast(l_partkey * 100 + 2000 as varchar(20)), ',+,90M9H,7,1;') end", "sa"), ("concat('s', cast(l_orderkey % 3 as varchar(9)))", "sample"),
+    ]),
+    "pair": ("part", "", [
+        ("concat('p', cast(p_partkey as varchar(20)))", "vid"), ("case p_partkey % 3 when 0 then 'DUP' when 1 then 'INV' else 'TRA' end", "sv_type"), ("concat('Chr', cast(p_partkey % 5 + 1 as varchar(10)))", "chrom"), ("cast(p_partkey * 100 + 1200 as bigint)", "start"),
+        ("concat('Chr', cast((p_partkey + case when p_partkey % 3 = 2 then 1 else 0 end) % 5 + 1 as varchar(10)))", "chrom2"), ("cast(p_partkey * 100 + 1240 + case when p_partkey % 3 = 2 then 1800 else p_size * p_size * 2 end as bigint)", "stop"), ("cast(case when p_partkey % 3 = 2 then 0 else 40 + p_size * p_size * 2 end as bigint)", "size"),
     ]),
     "var": ("part", "", [
         ("concat('v', cast(p_partkey as varchar(20)))", "vid"), ("concat('Chr', cast(p_partkey % 5 + 1 as varchar(10)))", "chrom"), ("cast(p_partkey * 100 + 1200 as bigint)", "start"),

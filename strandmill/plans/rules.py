@@ -165,10 +165,10 @@ def gt_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratios(spark, sf_dir).select(*K, genotypes.inversion(C("support") % 5, C("a"), C("b")).alias("inv"))
 
 
-SHARED = ", s AS (SELECT *, support % 5 AS shared, CASE WHEN depth > 0 THEN round((support % 5) / depth, 3) ELSE 0 END AS p, CASE WHEN spans > 0 THEN round((support % 5) / spans, 3) ELSE 0 END AS q FROM ratio)"
+SHARED = ", s AS (SELECT *, support % 5 AS shared, CASE WHEN depth > 0 THEN round((support % 5) / depth, 2) ELSE 0 END AS p, CASE WHEN spans > 0 THEN round((support % 5) / spans, 2) ELSE 0 END AS q FROM ratio)"
 
 
-@query(cte("ratio") + SHARED + """, n AS (SELECT *, CASE WHEN greatest(p, q) > 0.9 OR (p >= 0.8 AND q >= 0.8) THEN '1/1' WHEN p + q < 0.1 THEN '0/0' ELSE '0/1' END AS lr1, CASE WHEN (p >= 0.6 AND q >= 0.6) OR (greatest(p, q) >= 0.75 AND least(p, q) >= 0.3) THEN '1/1' ELSE '-' END AS sr1 FROM s)
+@query(cte("ratio") + SHARED + """, n AS (SELECT *, CASE WHEN greatest(p, q) > 0.9 OR (p >= 0.8 AND q >= 0.8) THEN '1/1' WHEN p + q < 0.1 THEN '0/0' ELSE '0/1' END AS lr1, CASE WHEN greatest(p, q) > 0.9 OR (p >= 0.8 AND q >= 0.8) THEN '1/1' ELSE '-' END AS sr1 FROM s)
 SELECT k1, k2, k3, k4, CASE WHEN lr1 <> '0/1' THEN lr1 WHEN greatest(a, b) >= 0.9 OR (a >= 0.85 AND b >= 0.85) THEN '1/1' WHEN a + b < 0.1 THEN '0/0' ELSE '0/1' END AS lr,
 CASE WHEN sr1 = '1/1' OR (a >= 0.6 AND b >= 0.6) OR (greatest(a, b) >= 0.75 AND least(a, b) >= 0.3) THEN '1/1' WHEN greatest(a, b) < 0.05 THEN '0/0' ELSE '0/1' END AS sr FROM n""")
 def gt_translocation(spark: SparkSession, sf_dir: str) -> DataFrame:
