@@ -6,12 +6,6 @@ compressed files follow their extension. Missing paths give empty tables where m
 
 from __future__ import annotations
 
-import gzip
-import struct
-import zlib
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +13,7 @@ from pyspark.sql.window import Window
 
 from strandmill import schema
 from strandmill.functions.scalars import end_position, info_map
+from strandmill.sources.bam import bam  # noqa: F401
 
 
 def _or_empty(spark: SparkSession, read, columns: str, missing: str) -> DataFrame:
@@ -54,84 +49,6 @@ def sam(spark: SparkSession, path: str, longest_operation: int = 1_000_000) -> D
     return out.where(F.forall(sizes, lambda n: n.cast("long") <= longest_operation))
 
 
-def _bgzf(data: bytes) -> Iterator[bytes]:
-    at = 0
-    while at < len(data):
-        extra = struct.unpack_from("<H", data, at + 10)[0]
-        k, size = at + 12, None
-        while k < at + 12 + extra:
-            name, n = data[k : k + 2], struct.unpack_from("<H", data, k + 2)[0]
-            if name == b"BC":
-                size = struct.unpack_from("<H", data, k + 4)[0] + 1
-            k += 4 + n
-        if size is None:
-            raise ValueError("not a blocked gzip file")
-        yield zlib.decompress(data[at + 12 + extra : at + size - 8], wbits=-15)
-        at += size
-
-
-def parse_bam(data: bytes) -> Iterator[tuple]:
-    """(qname, flag, rname, pos, mapq, cigar, seq, sa) of each alignment of a BAM file."""
-    raw = b"".join(_bgzf(data)) if data[12:14] == b"BC" or data[:4] == b"\x1f\x8b\x08\x04" else gzip.decompress(data)
-    if raw[:4] != b"BAM\1":
-        raise ValueError("not a BAM file")
-    at = 8 + struct.unpack_from("<i", raw, 4)[0]
-    count = struct.unpack_from("<i", raw, at)[0]
-    at += 4
-    names = []
-    for _ in range(count):
-        n = struct.unpack_from("<i", raw, at)[0]
-        names.append(raw[at + 4 : at + 3 + n].decode())
-        at += 8 + n
-    width = {"A": 1, "c": 1, "C": 1, "s": 2, "S": 2, "i": 4, "I": 4, "f": 4}
-    while at < len(raw):
-        size = struct.unpack_from("<i", raw, at)[0]
-        ref, pos, l_name, mapq, _, n_ops, flag, l_seq = struct.unpack_from("<iiBBHHHi", raw, at + 4)
-        k = at + 36
-        name = raw[k : k + l_name - 1].decode()
-        k += l_name
-        ops = struct.unpack_from(f"<{n_ops}I", raw, k)
-        k += 4 * n_ops
-        packed = raw[k : k + (l_seq + 1) // 2]
-        letters = "=ACMGRSVTWYHKDBN"
-        seq = "".join(letters[b >> 4] + letters[b & 15] for b in packed)[:l_seq]
-        k += (l_seq + 1) // 2 + l_seq
-        sa, end = None, at + 4 + size
-        while k < end:
-            tag, kind = raw[k : k + 2], chr(raw[k + 2])
-            k += 3
-            if kind in "ZH":
-                stop = raw.index(b"\0", k)
-                if tag == b"SA":
-                    sa = raw[k:stop].decode()
-                k = stop + 1
-            elif kind == "B":
-                k += 5 + width[chr(raw[k])] * struct.unpack_from("<i", raw, k + 1)[0]
-            else:
-                k += width[kind]
-        cigar = "".join(f"{o >> 4}{'MIDNSHP=X'[o & 15]}" for o in ops) or "*"
-        yield name, flag, names[ref] if ref >= 0 else "*", pos, mapq, cigar, seq or "*", sa
-        at = end
-
-
-def bam(spark: SparkSession, path: str) -> DataFrame:
-    """Alignments of BAM files, a file per task; write them as a table by rname before repeated use."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for data in batch["content"]:
-                rows: list[tuple] = []
-                for row in parse_bam(data):
-                    rows.append(row)
-                    if len(rows) == 20_000:
-                        yield pd.DataFrame(rows, columns=names)
-                        rows = []
-                yield pd.DataFrame(rows, columns=names)
-
-    names = [c.split(" ")[0] for c in schema.ALIGNMENT.split(", ")]
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, schema.ALIGNMENT)
-
-
 def fasta(spark: SparkSession, path: str) -> DataFrame:
     """chrom (the header's first word) and seq. Lines get their place in the file, each belongs to the last header before it."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))

@@ -1,6 +1,7 @@
 """Readers and writers on small files."""
 
 import gzip
+import random
 import struct
 import zlib
 
@@ -35,6 +36,45 @@ def test_bam(spark, tmp_path):
     assert [tuple(r) for r in readers.bam(spark, str(tmp_path / "a.bam")).collect()] == [("q1", 16, "c", 100, 60, "5S4M", "ACGT", "c,500,-,5M,60,0;")]
 
 
+def bam_file(path, reads, names, piece=300):
+    """A sorted BAM file of small blocks, so that records reach over them, and its index. reads: (name, ref, pos, cigar)."""
+    raw = b"BAM\1" + struct.pack("<i", 0) + struct.pack("<i", len(names)) + b"".join(struct.pack("<i", len(n) + 1) + n.encode() + b"\0" + struct.pack("<i", 1 << 20) for n in names)
+    places = []
+    for name, ref, pos, n in reads:
+        record = struct.pack("<iiBBHHHiiii", ref, pos, len(name) + 1, 60, 0, 1 if n else 0, 0 if n else 4, 0, -1, -1, 0) + name.encode() + b"\0" + (struct.pack("<I", n << 4) if n else b"") + b"XYZ" + name.encode() * 20 + b"\0"
+        places.append(len(raw))
+        raw += struct.pack("<i", len(record)) + record
+    out, blocks = b"", []
+    for k in range(0, len(raw), piece):
+        blocks.append(len(out))
+        out += block(raw[k : k + piece])
+    virtual = lambda at: blocks[at // piece] << 16 | at % piece if at < len(raw) else len(out) << 16
+    index = b"BAI\1" + struct.pack("<i", len(names))
+    for ref in range(len(names)):
+        own = [(virtual(at), virtual(places[k + 1] if k + 1 < len(places) else len(raw)), r[2], r[2] + max(r[3], 1)) for k, (at, r) in enumerate(zip(places, reads)) if r[1] == ref]
+        linear = [min((a for a, _, x, y in own if x >> 14 <= w <= y - 1 >> 14), default=0) for w in range(max((y - 1 >> 14 for *_, y in own), default=-1) + 1)]
+        index += struct.pack("<i", 2) + struct.pack("<IiQQ", 4681, 1, own[0][0], own[-1][1]) + struct.pack("<IiQQQQ", 37450, 2, 0, 1 << 60, 5, 5) if own else struct.pack("<i", 0)
+        index += struct.pack("<i", len(linear)) + struct.pack(f"<{len(linear)}Q", *linear)
+    path.write_bytes(out + block(b""))
+    path.with_suffix(".bam.bai").write_bytes(index)
+
+
+def test_bam_by_ranges_and_regions(spark, tmp_path):
+    draw = random.Random(4)
+    names = ["c1", "c2", "empty"]
+    reads = sorted((ref, draw.randrange(200_000), draw.choice([100, 900, 40_000])) for ref in (0, 1) for _ in range(300))
+    reads = [(f"r{k}", ref, pos, n) for k, (ref, pos, n) in enumerate(reads)] + [("u", -1, -1, 0)]
+    bam_file(tmp_path / "a.bam", reads, names)
+    (tmp_path / "plain").mkdir()
+    (tmp_path / "plain" / "a.bam").write_bytes((tmp_path / "a.bam").read_bytes())
+    every = sorted(r[0] for r in reads)
+    for regions in (None, [("c1", 50_000, 50_001)], [("c1", 70_000, 90_000), ("c1", 80_000, 120_000), ("c2", 0, 10), ("c1", 125_000, 125_500), ("none", 0, 9)], [("empty", 0, 100)]):
+        want = every if regions is None else sorted(n for n, ref, pos, size in reads if ref >= 0 and any(names[ref] == c and pos < b and pos + size > a for c, a, b in regions))
+        for folder, chunk in ((tmp_path / "a.bam", 2_000), (tmp_path / "a.bam", 1 << 26), (tmp_path / "plain", 2_000)):
+            assert sorted(r["qname"] for r in readers.bam(spark, str(folder), regions, chunk).collect()) == want
+    assert readers.bam(spark, str(tmp_path / "a.bam"), None, 2_000).rdd.getNumPartitions() > 4
+
+
 def test_fasta_plain_and_gzip(spark, tmp_path):
     text = ">c1 first\nACGT\nAC\n>c2\nGG\n\n"
     (tmp_path / "a.fa").write_text(text)
