@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 BASES = ("A", "C", "G", "T")
 
@@ -62,7 +62,11 @@ def caps_sites(snps: DataFrame, sequences: DataFrame, enzymes: DataFrame, length
     return named.withColumn("sites", count).where("sites <= 2").select("chrom", "pos", F.col("a.allele").alias("allele"), F.col("a.freq").alias("freq"), F.col("name").alias("enzyme"), "before", "sites", F.when(F.col("sites") == 2, parts).alias("lengths"), "tile")
 
 
-def melting_temperature(seq: str, salt: float = 0.05, dna: float = 50e-9) -> float:
+#: Molar salt and primer of the estimates.
+SALT, DNA = 0.05, 50e-9
+
+
+def melting_temperature(seq: str, salt: float = SALT, dna: float = DNA) -> float:
     """Nearest-neighbour estimate, in degrees Celsius."""
     flip = str.maketrans("ACGT", "TGCA")
     heat, order = 0.2, -5.7
@@ -78,10 +82,6 @@ def melting_temperature(seq: str, salt: float = 0.05, dna: float = 50e-9) -> flo
     return 1000 * heat / (order + 1.987 * math.log(dna / 4)) - 273.15
 
 
-def gc_percent(seq: str) -> float:
-    return 100.0 * sum(c in "GC" for c in seq) / len(seq)
-
-
 def pairing_temperature(a: str, b: str) -> float:
     """Melting estimate of the longest run of complementary bases of two primers, 0 under 4 bases."""
     flip = b.translate(str.maketrans("ACGT", "TGCA"))[::-1]
@@ -94,55 +94,87 @@ def pairing_temperature(a: str, b: str) -> float:
     return melting_temperature(best) if len(best) >= 4 else 0.0
 
 
-def primer_candidates(templates: DataFrame, sizes: tuple[int, int] = (18, 25), tm: tuple[float, float] = (57.0, 63.0), gc: tuple[float, float] = (40.0, 60.0), flank: int = 200, step: int = 3) -> DataFrame:
-    """templates: id, seq, sv_size. Primers of both directions in the first and last flank bases: id, side, pos
-    (from 0 on the template: the first base of forward, the last of reverse ones), primer, tm, gc."""
+def _windows(seq: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each place at which a window of size letters begins: whether it is all A, C, G, T, its GC share and its melting estimate,
+    from running sums over the sequence."""
+    letters = np.frombuffer(seq.encode("ascii", "replace"), np.uint8)
+    base = np.full(256, 4, np.int64)
+    base[[ord(c) for c in BASES]] = range(4)
+    code = base[letters]
+    flip = str.maketrans("ACGT", "TGCA")
+    stacks = np.zeros((5, 5, 2))
+    for i, x in enumerate(BASES):
+        for j, y in enumerate(BASES):
+            stacks[i, j] = STACKS.get(x + y) or STACKS[(x + y).translate(flip)[::-1]]
+    total = lambda v: np.concatenate([[0], np.cumsum(v)])
+    over = lambda v, n: v[n:] - v[:-n]
+    clean = over(total(code == 4), size) == 0
+    gc = 100.0 * over(total((code == 1) | (code == 2)), size) / size
+    pairs = stacks[code[:-1], code[1:]]
+    ends = np.isin(code, (0, 3)).astype(float)
+    weak = ends[: len(code) - size + 1] + ends[size - 1 :]
+    heat, order = (over(total(pairs[:, k]), size - 1) for k in (0, 1))
+    heat, order = 0.2 + heat + 2.2 * weak, -5.7 + order + 6.9 * weak + 0.368 * (size - 1) * math.log(SALT)
+    return clean, gc, 1000 * heat / (order + 1.987 * math.log(DNA / 4)) - 273.15
+
+
+def primer_candidates(templates: DataFrame, sizes: tuple[int, int] = (18, 25), tm: tuple[float, float] = (57.0, 63.0), gc: tuple[float, float] = (40.0, 60.0), flank: int = 200) -> DataFrame:
+    """templates: id, seq, sv_size. All primers of both directions in the first and last flank bases, of sizes[0] to less than sizes[1]
+    letters: id, side, pos (from 0 on the template: the first base of forward, the last of reverse ones), primer, tm, gc.
+    A null or short sequence has none."""
+    flip = str.maketrans("ACGT", "TGCA")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for ident, seq in zip(batch["id"], batch["seq"]):
-                n = len(seq)
-                for side, low, high in (("forward", 0, min(flank, n)), ("reverse", max(0, n - flank), n)):
-                    for at in range(low, high, step):
-                        for size in range(*sizes):
-                            if at + size > high:
-                                break
-                            piece = seq[at : at + size]
-                            if set(piece) - set("ACGT") or not gc[0] <= gc_percent(piece) <= gc[1]:
-                                continue
-                            heat = melting_temperature(piece)
-                            if tm[0] <= heat <= tm[1]:
-                                own = piece if side == "forward" else piece.translate(str.maketrans("ACGT", "TGCA"))[::-1]
-                                rows.append((ident, side, at if side == "forward" else at + size - 1, own, heat, gc_percent(piece)))
-                                break
+                n = len(seq or "")
+                for side, low in (("forward", 0), ("reverse", max(0, n - flank))):
+                    part = (seq or "")[low : low + flank]
+                    for size in range(max(2, sizes[0]), min(sizes[1], len(part) + 1)):
+                        clean, share, heat = _windows(part, size)
+                        for k in np.flatnonzero(clean & (share >= gc[0]) & (share <= gc[1]) & (heat >= tm[0]) & (heat <= tm[1])).tolist():
+                            piece, at = part[k : k + size], low + k
+                            own, place = (piece, at) if side == "forward" else (piece.translate(flip)[::-1], at + size - 1)
+                            rows.append((ident, side, place, own, float(heat[k]), float(share[k])))
             yield pd.DataFrame(rows, columns=["id", "side", "pos", "primer", "tm", "gc"])
 
     return templates.select("id", "seq").mapInPandas(run, "id string, side string, pos long, primer string, tm double, gc double")
 
 
-def best_primers(candidates: DataFrame, sizes: DataFrame, product: tuple[int, int] = (100, 1500), least_difference: int = 50, each: int = 12) -> DataFrame:
+def best_primers(candidates: DataFrame, sizes: DataFrame, product: tuple[int, int] = (100, 1500), least_difference: int = 50) -> DataFrame:
     """The best-scored pair of each template (sizes: id, sv_size): product sizes of both alleles within bounds,
-    score 100 less penalties for pairing above 45 degrees, melting points more than 3 apart and GC outside 40 to 60.
-    Each side brings its `each` candidates nearest to 60 degrees; pairs are made per template, so they are bounded."""
-    by = Window.partitionBy("id", "side").orderBy(F.abs(F.col("tm") - 60), "pos", "primer")
-    few = candidates.withColumn("k", F.row_number().over(by)).where(F.col("k") <= each).drop("k")
-    side = lambda n, p: few.where(F.col("side") == n).select("id", *[F.col(c).alias(p + c) for c in ("pos", "primer", "tm", "gc")])
-    pairs = side("forward", "f_").join(side("reverse", "r_"), "id").join(sizes.select("id", "sv_size"), "id")
-    pairs = pairs.withColumns({"ref_size": F.col("r_pos") - F.col("f_pos") + 1}).withColumn("alt_size", F.col("ref_size") - F.col("sv_size"))
-    fits = (F.col("r_pos") > F.col("f_pos")) & F.col("ref_size").between(*product) & F.col("alt_size").between(*product) & (F.abs("sv_size") >= least_difference)
+    score 100 less penalties for pairing above 45 degrees, melting points more than 3 apart and GC outside 40 to 60;
+    of equal ones the first by places and letters. All pairs compete: one whose score without pairing is no
+    better than the best so far is passed over, and nothing beats a score of 100. A template's candidates are bounded by its flanks."""
+    gone = lambda gc: np.where(gc < 40, (40 - gc) * 0.5, np.where(gc > 60, (gc - 60) * 0.5, 0.0))
+    names = ["pos", "primer", "tm", "gc"]
+
+    def best(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["pos", "primer"], kind="stable")
+        front, back = (group[group["side"] == k] for k in ("forward", "reverse"))
+        differ, found, score = int(group["sv_size"].iloc[0]), None, -math.inf
+        places, heats, cost = back["pos"].to_numpy(), back["tm"].to_numpy(), gone(back["gc"].to_numpy())
+        for f in front.itertuples(index=False):
+            ref = places - f.pos + 1
+            fits = (places > f.pos) & (ref >= product[0]) & (ref <= product[1]) & (ref - differ >= product[0]) & (ref - differ <= product[1])
+            bound = 100 - np.maximum(0, np.abs(heats - f.tm) - 3) * 5 - cost - float(gone(np.array(f.gc)))
+            for k in np.flatnonzero(fits & (bound > score)).tolist():
+                if bound[k] > score:
+                    r = back.iloc[k]
+                    heat = pairing_temperature(f.primer, r["primer"])
+                    own = float(bound[k]) - max(0.0, heat - 45) * 2
+                    if own > score:
+                        score, found = own, (f.id, *[getattr(f, n) for n in names], *[r[n] for n in names], differ, int(ref[k]), int(ref[k]) - differ, heat, own)
+            if score >= 100:
+                break
+        return pd.DataFrame([found] if found else [], columns=columns)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            heat = [pairing_temperature(a, b) for a, b in zip(batch["f_primer"], batch["r_primer"])]
-            yield batch.assign(pair_tm=heat)
-
-    kept = pairs.where(fits)
-    scored = kept.mapInPandas(run, ", ".join(f"{n} {t}" for n, t in kept.dtypes) + ", pair_tm double")
-    off = lambda c: F.when(F.col(c) < 40, (40 - F.col(c)) * 0.5).when(F.col(c) > 60, (F.col(c) - 60) * 0.5).otherwise(0.0)
-    score = 100 - F.greatest(F.lit(0.0), F.col("pair_tm") - 45) * 2 - F.greatest(F.lit(0.0), F.abs(F.col("f_tm") - F.col("r_tm")) - 3) * 5 - off("f_gc") - off("r_gc")
-    first = Window.partitionBy("id").orderBy(F.desc("score"), "f_pos", "r_pos", "f_primer", "r_primer")
-    return scored.withColumn("score", score).withColumn("k", F.row_number().over(first)).where("k = 1").drop("k")
+    kinds = {"pos": "long", "primer": "string", "tm": "double", "gc": "double"}
+    made = [("id", "string"), *[(p + n, kinds[n]) for p in ("f_", "r_") for n in names], ("sv_size", "long"), ("ref_size", "long"), ("alt_size", "long"), ("pair_tm", "double"), ("score", "double")]
+    columns = [n for n, _ in made]
+    rows = candidates.join(sizes.where(F.abs("sv_size") >= least_difference).select("id", "sv_size"), "id")
+    return rows.groupBy("id").applyInPandas(best, ", ".join(f"{n} {t}" for n, t in made))
 
 
 def outermost_primers(candidates: DataFrame, sizes: DataFrame) -> DataFrame:

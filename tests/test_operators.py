@@ -203,6 +203,30 @@ def test_primers_score_and_bounds(spark):
     assert markers.outermost_primers(found, table).head()["ref_size"] <= best[0]["ref_size"]
 
 
+def test_primers_against_all_windows_and_pairs(spark):
+    draw = random.Random(5)
+    seqs = {"a": "".join(draw.choice("ACGT") for _ in range(420)), "b": "".join(draw.choice("ACGGCN") for _ in range(420)), "c": "ACGT", "d": None}
+    table = spark.createDataFrame([(k, v, 60 if k != "b" else -60) for k, v in seqs.items()], "id string, seq string, sv_size long")
+    flip = str.maketrans("ACGT", "TGCA")
+    want = []
+    for k, seq in seqs.items():
+        for side, low in (("forward", 0), ("reverse", max(0, len(seq or "") - 40))):
+            for at in range(low, min(low + 40, len(seq or ""))):
+                for size in range(18, 25):
+                    piece = (seq or "")[at : min(at + size, low + 40)]
+                    if len(piece) == size and not set(piece) - set("ACGT") and 35 <= 100 * sum(c in "GC" for c in piece) / size <= 65 and 50 <= markers.melting_temperature(piece) <= 66:
+                        want.append((k, side, at if side == "forward" else at + size - 1, piece if side == "forward" else piece.translate(flip)[::-1], round(markers.melting_temperature(piece), 6)))
+    candidates = markers.primer_candidates(table, tm=(50.0, 66.0), gc=(35.0, 65.0), flank=40)
+    got = candidates.collect()
+    assert sorted((r["id"], r["side"], r["pos"], r["primer"], round(r["tm"], 6)) for r in got) == sorted(want) and want
+    best = {r["id"]: r["score"] for r in markers.best_primers(candidates, table).collect()}
+    gone = lambda gc: max(0, 40 - gc, gc - 60) * 0.5
+    for k, differ in (("a", 60), ("b", -60)):
+        scores = [100 - max(0, markers.pairing_temperature(f["primer"], r["primer"]) - 45) * 2 - max(0, abs(f["tm"] - r["tm"]) - 3) * 5 - gone(f["gc"]) - gone(r["gc"])
+                  for f in got for r in got if f["id"] == r["id"] == k and (f["side"], r["side"]) == ("forward", "reverse") and 100 <= r["pos"] - f["pos"] + 1 - differ <= 1500]
+        assert (k in best) == bool(scores) and (not scores or abs(best[k] - max(scores)) < 1e-9)
+
+
 def test_melting_temperature_grows_with_gc():
     assert markers.melting_temperature("GCGCGCGCGCGCGCGCGC") > markers.melting_temperature("ATATATATATATATATAT")
 
