@@ -21,8 +21,8 @@ ALLOWED = {
 
 
 def nested_pairs(variants: DataFrame, order: list[str], allowed: str = "genome", gap: int = 5000, near: int = 0) -> DataFrame:
-    """Pairs of one gap cluster whose outer variant contains the inner one (within near bases, then it must be
-    longer) and whose types may nest. Columns o_ and i_ and the cluster. Overlap is found by an interval join."""
+    """Pairs of one gap cluster whose outer variant contains the inner one (within near bases, then its sv_len must be
+    larger) and whose types may nest. Columns o_ and i_ and the cluster. Overlap is found by an interval join."""
     clustered = nested_gaps(variants, ["chrom"], order, gap)
     wide = clustered.withColumns({"__low": F.col("start") - near, "__high": F.col("stop") + near})
     kinds = None
@@ -31,7 +31,7 @@ def nested_pairs(variants: DataFrame, order: list[str], allowed: str = "genome",
         kinds = one if kinds is None else kinds | one
     inside = (F.col("__low") <= F.col("r_start")) & (F.col("__high") >= F.col("r_stop")) & (F.col("island") == F.col("r_island"))
     different = F.struct(*order) != F.struct(*["r_" + o for o in order])
-    longer = (F.col("stop") - F.col("start") > F.col("r_stop") - F.col("r_start")) if near else F.lit(True)
+    longer = (F.col("sv_len") > F.col("r_sv_len")) if near else F.lit(True)
     pairs = overlap_join(wide, clustered, kinds & inside & different & longer, ("chrom", "__low", "__high"))
     own = [c for c in variants.columns if c != "chrom"]
     return pairs.select("chrom", F.col("island").alias("cluster"), *[F.col(c).alias("o_" + c) for c in own], *[F.col("r_" + c).alias("i_" + c) for c in own])
@@ -110,3 +110,20 @@ def until_stable(call: Callable[[DataFrame], DataFrame], sequences: DataFrame, r
         before = count
         sequences = invert_sequences(sequences, inversions)
     return sequences, found
+
+
+def turned_back(variants: DataFrame, inversions: list[DataFrame], ident: list[str], near: int = 10) -> DataFrame:
+    """Variants of inverted sequences at their places in the sequence of the first round: mirrored by each round's
+    inversions, from the first round on."""
+    for table in inversions:
+        variants = mirror(variants, table, ident, near).drop("mirrored")
+    return variants
+
+
+def joined_rounds(found: list[DataFrame], merge: Callable[[DataFrame], DataFrame], ident: list[str]) -> DataFrame:
+    """The variants of all rounds of until_stable() as one table, merged by merge(), at their places in the first round's
+    sequence. The last round's inversions were not inverted, so they turn nothing back."""
+    table = found[0]
+    for more in found[1:]:
+        table = table.unionByName(more)
+    return turned_back(merge(table), [f.where("sv_type = 'INV'") for f in found[:-1]], ident)

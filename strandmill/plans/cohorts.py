@@ -278,18 +278,37 @@ def gene_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.overlap_join(sig(spark, sf_dir), spark_table(spark, sf_dir, "gene")).select("svid", F.col("r_gene").alias("gene"))
 
 
-NESTED = cte("sig") + """, v AS (SELECT chrom, start, stop, sv_len, sv_type, k1, k2, k3, k4 FROM sig), l AS (SELECT *, lag(stop) OVER w AS pe FROM v WINDOW w AS (PARTITION BY chrom ORDER BY start, sv_len, k1, k2, k3, k4)),
-i AS (SELECT *, CAST(sum(CASE WHEN pe IS NOT NULL AND start <= pe + 500 THEN 0 ELSE 1 END) OVER (PARTITION BY chrom ORDER BY start, sv_len, k1, k2, k3, k4 ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cluster FROM l),
+def _nested(kinds: list[tuple[str, str]], gap: int, near: int = 0) -> str:
+    order = "start, sv_len, k1, k2, k3, k4"
+    allowed = ", ".join(f"'{a}{b}'" for a, b in kinds)
+    longer = "AND o.sv_len > i.sv_len" if near else ""
+    return cte("sig") + f""", v AS (SELECT chrom, start, stop, sv_len, sv_type, k1, k2, k3, k4 FROM sig), l AS (SELECT *, lag(stop) OVER w AS pe FROM v WINDOW w AS (PARTITION BY chrom ORDER BY {order})),
+i AS (SELECT *, CAST(sum(CASE WHEN pe IS NOT NULL AND start <= pe + {gap} THEN 0 ELSE 1 END) OVER (PARTITION BY chrom ORDER BY {order} ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cluster FROM l),
 p AS (SELECT o.chrom, o.cluster, o.start AS o_start, o.stop AS o_stop, o.sv_type AS o_sv_type, o.sv_len AS o_sv_len, i.start AS i_start, i.stop AS i_stop, i.sv_type AS i_sv_type, i.sv_len AS i_sv_len, o.k1 AS a1, o.k2 AS a2, o.k3 AS a3, o.k4 AS a4, i.k1 AS b1, i.k2 AS b2, i.k3 AS b3, i.k4 AS b4
- FROM i o JOIN i ON o.chrom = i.chrom AND o.cluster = i.cluster AND o.start <= i.start AND o.stop >= i.stop AND (o.k1, o.k2, o.k3, o.k4) <> (i.k1, i.k2, i.k3, i.k4)
- AND concat(o.sv_type, i.sv_type) IN ('DUPINV', 'DUPDEL', 'INSINV', 'INSDEL', 'INVINS', 'INVDEL', 'INVDUP'))"""
+ FROM i o JOIN i ON o.chrom = i.chrom AND o.cluster = i.cluster AND i.start >= o.start - {near} AND i.stop <= o.stop + {near} AND (o.k1, o.k2, o.k3, o.k4) <> (i.k1, i.k2, i.k3, i.k4) {longer}
+ AND concat(o.sv_type, i.sv_type) IN ({allowed}))
+SELECT chrom, cluster, CAST(floor(quantile_cont(o_start, 0.5)) AS BIGINT) AS o_start, CAST(floor(quantile_cont(o_stop, 0.5)) AS BIGINT) AS o_stop, CAST(floor(quantile_cont(i_start, 0.5)) AS BIGINT) AS i_start, CAST(floor(quantile_cont(i_stop, 0.5)) AS BIGINT) AS i_stop,
+arg_min(o_sv_type, z) AS o_sv_type, arg_min(o_sv_len, z) AS o_sv_len, arg_min(i_sv_type, z) AS i_sv_type, arg_min(i_sv_len, z) AS i_sv_len, count(*) AS pairs FROM (SELECT *, (o_start, o_sv_len, a1, a2, a3, a4, i_start, i_sv_len, b1, b2, b3, b4) AS z FROM p) GROUP BY chrom, cluster"""
 
 
-@query(NESTED + """ SELECT chrom, cluster, CAST(floor(quantile_cont(o_start, 0.5)) AS BIGINT) AS o_start, CAST(floor(quantile_cont(o_stop, 0.5)) AS BIGINT) AS o_stop, CAST(floor(quantile_cont(i_start, 0.5)) AS BIGINT) AS i_start, CAST(floor(quantile_cont(i_stop, 0.5)) AS BIGINT) AS i_stop,
-arg_min(o_sv_type, z) AS o_sv_type, arg_min(o_sv_len, z) AS o_sv_len, arg_min(i_sv_type, z) AS i_sv_type, arg_min(i_sv_len, z) AS i_sv_len, count(*) AS pairs FROM (SELECT *, (o_start, o_sv_len, a1, a2, a3, a4, i_start, i_sv_len, b1, b2, b3, b4) AS z FROM p) GROUP BY chrom, cluster""")
-def nested_sv(spark: SparkSession, sf_dir: str) -> DataFrame:
+def nested_by(spark: SparkSession, sf_dir: str, form: str, gap: int, near: int = 0) -> DataFrame:
     rows = sig(spark, sf_dir).select("chrom", "start", "stop", "sv_len", "sv_type", *K)
-    return nested.nested_consensus(nested.nested_pairs(rows, ["sv_len", *K], "genome", 500), ["sv_len", *K])
+    return nested.nested_consensus(nested.nested_pairs(rows, ["sv_len", *K], form, gap, near), ["sv_len", *K])
+
+
+@query(_nested([("DUP", "INV"), ("DUP", "DEL"), ("INS", "INV"), ("INS", "DEL"), ("INV", "INS"), ("INV", "DEL"), ("INV", "DUP")], 500))
+def nested_sv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_by(spark, sf_dir, "genome", 500)
+
+
+@query(_nested([("DUP", "INV"), ("DUP", "DEL"), ("INV", "INS"), ("INV", "DEL"), ("INV", "DUP")], 400))
+def nested_sv_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_by(spark, sf_dir, "cohort", 400)
+
+
+@query(_nested([("DUP", "INV"), ("DUP", "DEL"), ("DUP", "INS"), ("INV", "INS"), ("INV", "DEL"), ("INV", "DUP"), ("INS", "INV"), ("INS", "DEL")], 500, 100))
+def nested_sv_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nested_by(spark, sf_dir, "near", 500, 100)
 
 
 MIRROR = cte("sig") + ", inv AS (SELECT DISTINCT chrom, start AS a, stop + 4000 AS b FROM sig WHERE sv_type = 'INV')"

@@ -239,3 +239,12 @@ def test_evidence_counts_events_and_spans(spark):
     row = genotypes.deletion_evidence(variant, reads, "start").head()
     assert (row["reads"], row["events"], row["clips"], row["maq"]) == (3, 1, 1, 60)
     assert genotypes.long_read_calls(variant, reads, ["s", "t"]).select("sample", "gt").orderBy("sample").collect() == [("s", "0/1"), ("t", "./.")]
+
+
+def test_rounds_are_joined_at_the_places_of_the_first(spark):
+    schema = "chrom string, start long, stop long, sv_type string, svid string"
+    first = spark.createDataFrame([("c", 1000, 2000, "INV", "a"), ("c", 50, 60, "DEL", "b")], schema)
+    second = spark.createDataFrame([("c", 1100, 1200, "INV", "d"), ("c", 1300, 1350, "DEL", "e"), ("c", 50, 60, "DEL", "b")], schema)
+    got = nested.joined_rounds([first, second], lambda t: t.dropDuplicates(["svid"]), ["svid"])
+    assert {r["svid"]: (r["start"], r["stop"]) for r in got.collect()} == {"a": (1000, 2000), "b": (50, 60), "d": (1800, 1900), "e": (1650, 1700)}
+    assert nested.joined_rounds([first], lambda t: t, ["svid"]).count() == 2
