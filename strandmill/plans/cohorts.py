@@ -329,6 +329,27 @@ def revcomp(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_table(spark, sf_dir, "dna").select("doc_id", scalars.reverse_complement(seq).alias("rc"), scalars.is_dna(seq).alias("dna"), scalars.occurrences(seq, F.lit("GATC")).alias("sites"))
 
 
+@query(cte("sig", "inv") + """, n AS (SELECT chrom, start AS a, stop AS b, row_number() OVER (PARTITION BY chrom ORDER BY start, stop) AS k FROM (SELECT DISTINCT * FROM inv)),
+f AS (SELECT svid, chrom, start, stop, CAST(0 AS BIGINT) AS k FROM sig UNION ALL SELECT svid, f.chrom, CASE WHEN start >= a AND stop <= b THEN least(a + b - start, a + b - stop) ELSE start END, CASE WHEN start >= a AND stop <= b THEN greatest(a + b - start, a + b - stop) ELSE stop END, n.k FROM f JOIN n ON f.chrom = n.chrom AND n.k = f.k + 1)
+SELECT svid, max_by(start, k) AS start, max_by(stop, k) AS stop FROM f GROUP BY svid""")
+def mirror_contained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sig(spark, sf_dir).select("svid", "chrom", "start", "stop")
+    return nested.mirror_contained(rows, spark_table(spark, sf_dir, "inv"), ["svid"]).select("svid", "start", "stop")
+
+
+_TURN = "substr({s}, 1, {a}) || reverse(translate(substr({s}, {a} + 1, {b} - {a}), 'ACGT', 'TGCA')) || substr({s}, {b} + 1)"
+
+
+@query(cte("dna") + ", e AS (SELECT doc_id, seq, CAST(doc_id % 50 AS INT) AS a1, CAST(doc_id % 50 + 300 AS INT) AS b1, CAST(doc_id % 90 + 60 AS INT) AS a2, CAST(doc_id % 90 + 700 AS INT) AS b2 FROM dna), f AS (SELECT *, "
+       + _TURN.format(s="seq", a="a2", b="b2") + " AS late FROM e) SELECT doc_id, md5(" + _TURN.format(s="late", a="a1", b="b1") + ") AS turned FROM f")
+def inverted_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark_table(spark, sf_dir, "dna").withColumn("chrom", F.col("doc_id").cast("string"))
+    at = F.col("doc_id")
+    places = F.array(F.struct((at % 50).alias("start"), (at % 50 + 300).alias("stop")), F.struct((at % 90 + 60).alias("start"), (at % 90 + 700).alias("stop")))
+    found = rows.select("chrom", F.explode(places).alias("p")).select("chrom", "p.*")
+    return nested.invert_sequences(rows, found).select("doc_id", F.md5("seq").alias("turned"))
+
+
 ENZYMES = [("AluI", "AGCT"), ("HaeIII", "GGCC"), ("MboI", "GATC"), ("TaqI", "TCGA"), ("EcoRI", "GAATTC"), ("RsaI", "GTAC")]
 
 

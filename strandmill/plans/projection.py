@@ -66,6 +66,9 @@ TABLES: dict[str, tuple[str, str, list[tuple[str, str]]]] = {
     "dna": ("documents", "where text is not null", [
         ("cast(doc_id as bigint)", "doc_id"), ("translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTACGTACGTACGTACGTACGTAC')", "seq"),
     ]),
+    "inv": ("supplier", "", [
+        ("concat('Chr', cast(s_suppkey % 5 + 1 as varchar(10)))", "chrom"), ("cast((s_suppkey * 37003) % 390000 as bigint)", "start"), ("cast((s_suppkey * 37003) % 390000 + 20000 + (s_suppkey * 1301) % 90000 as bigint)", "stop"),
+    ]),
     "snp": ("part", "", [
         ("concat('c', cast(p_partkey % 4 as varchar(9)))", "chrom"), ("cast(1000 + (p_partkey * 37) % 3000 as bigint)", "pos"),
         ("substr('ACGT', cast(p_partkey % 4 + 1 as int), 1)", "con"), ("substr('ACGT', cast((p_partkey + 1 + p_partkey % 3) % 4 + 1 as int), 1)", "mut"),
