@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm import language_id, license_scan, mixture, near_join, piece_lattice, quality_rules, secret_scan, url_filter, vector_search, web_archive
+from strandmill.llm import language_id, license_scan, mixture, near_join, piece_lattice, quality_rules, secret_scan, toxicity, url_filter, vector_search, web_archive
 
 #: The contract's rules.
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
@@ -58,8 +58,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.detect(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op3_sentencepiece, op4_secret_scans, op5_quality_rules, op6_language_id, op7_ngram_jaccard_join, op8_warc, op9_nearest_neighbours, op10_mixing)}
+    return {f.__name__: f for f in (op1_url_filters, op2_license_scans, op3_sentencepiece, op4_secret_scans, op5_quality_rules, op6_language_id, op7_ngram_jaccard_join, op8_warc, op9_nearest_neighbours, op10_mixing, op12_toxicity)}
 
 
 OP1_SQL = r"""
