@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandmill.operators.sequences import chunked, slices
+
 BASES = ("A", "C", "G", "T")
 
 #: Published nearest-neighbour enthalpies (kcal/mol) and entropies (cal/(mol K)) of DNA pairs, unified set; fixed values.
@@ -44,9 +46,13 @@ def _parts(text: Column, width: int) -> Column:
 def caps_sites(snps: DataFrame, sequences: DataFrame, enzymes: DataFrame, length: int = 500) -> DataFrame:
     """Sites of an enzyme that one allele alone has within the 11 bases around the SNP, on tiles of length bases
     that begin length - 50, ... 50 bases before it, in steps of 50, and that hold the site twice at most.
-    enzymes: name, site; sequences: chrom, seq. A site of no or over 11 letters is in none."""
-    at = snps.join(sequences, "chrom")
-    around = F.expr("substring(seq, cast(pos as int) - 5, 11)")
+    enzymes: name, site; sequences: chunks (chrom, chunk, text) or chrom, seq; snps: each chrom, pos, con, mut once. A site of no or over 11 letters is in none."""
+    store = sequences if "chunk" in sequences.columns else chunked(sequences)
+    # one slice around a SNP holds all its tiles and the 11 bases
+    low = F.greatest(F.least(F.col("pos") - (length - 50), F.col("pos") - 6), F.lit(0))
+    asked = snps.withColumns({"start": low, "stop": F.col("pos") + F.lit(max(length - 50, 6))})
+    at = slices(store, asked, snps.columns, name="context").where("context is not null")
+    around = F.expr("substring(context, cast(pos - 5 - start as int), 11)")
     pair = F.array(*[F.struct(F.lit(kind).alias("allele"), F.col(kind).alias("base"), F.col(f"{kind}_freq").alias("freq"), F.overlay(around, F.col(kind), F.lit(6), F.lit(1)).alias("own"), F.overlay(around, F.col(other), F.lit(6), F.lit(1)).alias("other")) for kind, other in (("con", "mut"), ("mut", "con"))])
     alleles = at.where("pos > 5").withColumn("a", F.explode(pair))
     sites = enzymes.select("name", "site").withColumn("size", F.length("site"))
@@ -55,7 +61,7 @@ def caps_sites(snps: DataFrame, sequences: DataFrame, enzymes: DataFrame, length
     own = F.array_distinct(F.flatten(F.array(*[_parts(F.col("a.own"), w) for w in widths or [1]])))
     hits = alleles.withColumn("site", F.explode(own)).join(sites.drop("size"), "site").where(~F.col("a.other").contains(F.col("site")))
     tiles = hits.withColumn("before", F.explode(F.sequence(F.lit(length - 50), F.lit(50), F.lit(-50)))).where("pos - before >= 0")
-    tile = F.overlay(F.expr(f"substring(seq, cast(pos - before as int) + 1, {length})"), F.col("a.base"), F.col("before"))
+    tile = F.overlay(F.expr(f"substring(context, cast(pos - before - start as int) + 1, {length})"), F.col("a.base"), F.col("before"))
     named = tiles.withColumn("tile", tile)
     count = ((F.length("tile") - F.length(F.replace("tile", F.col("site"), F.lit("")))) / F.length("site")).cast("int")
     parts = F.array_join(F.transform(F.split("tile", F.col("site")), lambda p: F.length(p).cast("string")), ".")
@@ -188,6 +194,7 @@ def outermost_primers(candidates: DataFrame, sizes: DataFrame) -> DataFrame:
 
 def templates(sites: DataFrame, sequences: DataFrame, flank: int = 600) -> DataFrame:
     """Sequence around each site (id, chrom, start, stop, sv_size), flank bases on both sides, within bounds and without N."""
-    joined = sites.join(sequences, "chrom").where((F.col("start") - flank > 0) & (F.col("stop") + flank <= F.length("seq")))
-    cut = joined.withColumn("seq", F.expr(f"substring(seq, cast(start as int) - {flank}, cast(stop - start as int) + {2 * flank} + 1)"))
-    return cut.where(~F.col("seq").contains("N"))
+    store = sequences if "chunk" in sequences.columns else chunked(sequences)
+    asked = sites.where(F.col("start") - flank > 0).withColumns({"__start": F.col("start"), "__stop": F.col("stop"), "start": F.col("start") - flank - 1, "stop": F.col("stop") + flank})
+    cut = slices(store, asked, asked.columns, name="seq").where((F.length("seq") == F.col("stop") - F.col("start")) & ~F.col("seq").contains("N"))
+    return cut.withColumns({"start": F.col("__start"), "stop": F.col("__stop")}).drop("__start", "__stop")

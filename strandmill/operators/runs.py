@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,6 +16,27 @@ from pyspark.sql.window import Window
 STRETCH = 20
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """df with its lineage cut by a reliable checkpoint in the folder that driver and executors share: spark.checkpoint.dir,
+    or, only where that is unset (tests, one machine), a temporary folder."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="strandmill-"))
+    return df.checkpoint()
+
+
+def placed(df: DataFrame, order: list[str], name: str = "place") -> DataFrame:
+    """df with name, each row's place in order, from 1: rows are sorted in ranges, and the ranges' counts, one number a
+    range, give where each begins. Equal rows have no fixed order among them."""
+    dealt = settled(df.repartitionByRange(*order).sortWithinPartitions(*order)).withColumn("__part", F.spark_partition_id())
+    counts = {r["__part"]: r["count"] for r in dealt.groupBy("__part").count().collect()}
+    starts = dict(zip(sorted(counts), np.append(0, np.cumsum([counts[k] for k in sorted(counts)])).tolist()))
+    first = F.create_map(*[F.lit(x) for k, v in starts.items() for x in (k, v)]) if starts else F.create_map(F.lit(0), F.lit(0))
+    # monotonically_increasing_id counts rows within a partition from its number shifted by 33
+    inner = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    return dealt.withColumn(name, (first[F.col("__part")] + inner + 1).cast("long")).drop("__part")
+
+
 def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[Callable[[str], Column]], Column], name: str = "island", stretch: int = STRETCH) -> DataFrame:
     """Numbers runs from 1 within keys: a row for which starts(previous) is true or null begins a run;
     previous(column) is that column's value in the row before. order begins with a whole-number place.

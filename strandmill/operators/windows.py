@@ -1,8 +1,8 @@
 """Positional windows: anchored windows (adaptive, fixed, translocation, merge runs) and gap windows.
 
 An anchored window begins at its first row and takes the rows that start before anchor + width, the
-width following from the anchor row. Rows are first cut into islands at gaps no anchor can bridge, so
-islands are independent and the fold runs over many of them at once.
+width following from the anchor row (anchors.py). Windows are numbered within islands, which gaps that no anchor
+can bridge part.
 """
 
 from __future__ import annotations
@@ -10,12 +10,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from strandmill.operators.runs import islands, map_runs, schema_with
+from strandmill.operators.anchors import anchored
+from strandmill.operators.runs import islands
 
 WIDEST = 1500.0
 
@@ -25,24 +25,6 @@ def adaptive_width(size: np.ndarray) -> np.ndarray:
     return np.select([size < 100, (size > 100) & (size <= 500), (size > 500) & (size <= 1000)], [200 + 0.5 * size, 400 + 0.5 * size, 600 + 0.5 * size], WIDEST)
 
 
-def anchored(df: DataFrame, keys: list[str], order: list[str], width: Callable[[np.ndarray], np.ndarray], widest: float, start: str = "start", size: str = "sv_len") -> DataFrame:
-    """Adds island, window (from 1 within the island) and anchor (the anchor's start)."""
-    cut = islands(df, keys, [start, *order], lambda prev: F.col(start) - prev(start) >= widest)
-
-    def fold(rows: pd.DataFrame) -> pd.DataFrame:
-        at, run, reach = rows[start].to_numpy(), rows["__run"].to_numpy(), width(rows[size].to_numpy())
-        window, anchor = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
-        current, limit, number, first = -1, 0.0, 0, 0
-        for k in range(len(rows)):
-            if run[k] != current or at[k] >= limit:
-                number = 1 if run[k] != current else number + 1
-                current, first, limit = run[k], at[k], at[k] + reach[k]
-            window[k], anchor[k] = number, first
-        return rows.drop(columns="__run").assign(window=window, anchor=anchor)
-
-    return map_runs(cut, [*keys, "island"], [start, *order], fold, schema_with(cut, window="long", anchor="long"))
-
-
 def adaptive_windows(signals: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return anchored(signals, keys, order, adaptive_width, WIDEST)
 

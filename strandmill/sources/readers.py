@@ -13,6 +13,8 @@ from pyspark.sql.window import Window
 
 from strandmill import schema
 from strandmill.functions.scalars import end_position, info_map
+from strandmill.operators.runs import placed
+from strandmill.operators.sequences import CHUNK
 from strandmill.sources.bam import bam  # noqa: F401
 
 
@@ -59,10 +61,35 @@ def fasta(spark: SparkSession, path: str) -> DataFrame:
     return grouped.select(F.regexp_extract(head, r"^>\s*(\S+)", 1).alias("chrom"), F.array_join(F.transform(F.slice("l", 2, F.greatest(F.size("l"), F.lit(1))), lambda x: F.trim(x["value"])), "").alias("seq"))
 
 
+def fasta_chunks(spark: SparkSession, path: str, size: int = CHUNK) -> DataFrame:
+    """The sequences of FASTA files as chunks (chrom, chunk, text) of size letters. Files are read by blocks: a line's place
+    in its sequence follows from the lengths before it in its block, and one row of each block and record carries lengths
+    and records over the blocks' edges. A compressed file is one block. Of records of one name the last counts."""
+    lines = spark.read.text(path).select(F.trim("value").alias("value"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"))
+    head = F.col("value").startswith(">")
+    up_to = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    marked = lines.withColumns({"local": F.sum(head.cast("int")).over(up_to), "n": F.when(head, 0).otherwise(F.length("value")).cast("long")})
+    placed = marked.withColumn("inner", F.sum("n").over(Window.partitionBy("file", "block", "local").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    parts = marked.groupBy("file", "block", "local").agg(F.sum("n").alias("n"), F.max(F.when(head, F.regexp_extract("value", r"^>\s*(\S+)", 1))).alias("name"))
+    blocks = parts.groupBy("file", "block").agg(F.max("local").alias("records"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("earlier", F.coalesce(F.sum("records").over(earlier), F.lit(0))).drop("records")
+    along = Window.partitionBy("file", "record")
+    parts = parts.join(blocks, ["file", "block"]).withColumn("record", F.col("earlier") + F.col("local")).where("record > 0")
+    parts = parts.withColumns({"chrom": F.max("name").over(along), "before": F.coalesce(F.sum("n").over(along.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
+    last = Window.partitionBy("chrom")
+    parts = parts.withColumn("newest", F.max(F.struct("file", "record")).over(last)).where("file = newest.file and record = newest.record")
+    body = placed.where("n > 0").join(parts.select("file", "block", "local", "chrom", "before"), ["file", "block", "local"]).withColumn("start", F.col("before") + F.col("inner"))
+    pieces = body.withColumn("chunk", F.explode(F.sequence(F.floor(F.col("start") / size), F.floor((F.col("start") + F.col("n") - 1) / size))))
+    low, high = F.greatest("start", F.col("chunk") * size), F.least(F.col("start") + F.col("n"), (F.col("chunk") + 1) * size)
+    cut = pieces.select("chrom", "chunk", F.struct(low.alias("place"), F.substring(F.col("value"), (low - F.col("start") + 1).cast("int"), (high - low).cast("int")).alias("text")).alias("p"))
+    return cut.groupBy("chrom", "chunk").agg(F.array_sort(F.collect_list("p")).alias("p")).select("chrom", "chunk", F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"))
+
+
 def fai(spark: SparkSession, path: str) -> DataFrame:
     """chrom, size and rank, the chromosome's place in the index."""
     table = spark.read.csv(path, sep="\t", schema="chrom string, size long, offset long, line int, bytes int")
-    return table.withColumn("rank", F.row_number().over(Window.orderBy("offset"))).select("chrom", "size", "rank")
+    return placed(table, ["offset"], "rank").select("chrom", "size", F.col("rank").cast("int").alias("rank"))
 
 
 def vcf(spark: SparkSession, path: str) -> DataFrame:

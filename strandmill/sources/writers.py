@@ -92,3 +92,13 @@ def demo_genotypes(table: DataFrame) -> DataFrame:
 def fasta(sequences: DataFrame, path: str, width: int = 60) -> None:
     wrapped = F.regexp_replace("seq", f"(.{{{width}}})(?=.)", "$1\n")
     sequences.select(F.concat(F.lit(">"), "chrom", F.lit("\n"), wrapped).alias("value")).write.mode("overwrite").text(path)
+
+
+def fasta_chunks(store: DataFrame, path: str, width: int = 60, parts: int | None = None) -> None:
+    """Chunks (chrom, chunk, text; of a multiple of width letters) as FASTA, in order of chromosome and chunk: the parts'
+    concatenation is the file."""
+    wrapped = F.regexp_replace("text", f"(.{{{width}}})(?=.)", "$1\n")
+    lines = store.select(chrom_order(F.col("chrom")).alias("rank"), "chrom", "chunk", F.when(F.col("chunk") == 0, F.concat(F.lit(">"), "chrom", F.lit("\n"), wrapped)).otherwise(wrapped).alias("value"))
+    keys = ["rank", "chrom", "chunk"]
+    ranged = lines.repartitionByRange(parts, *keys) if parts else lines.repartitionByRange(*keys)
+    ranged.sortWithinPartitions(*keys).select("value").write.mode("overwrite").text(path)
