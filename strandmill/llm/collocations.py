@@ -3,7 +3,7 @@
 Texts (A-Z lower-cased) are cut into pieces and those into words; everything is per language. Words that
 occur LEAST times become numbers, and texts rows of numbers, -1 at other words and at the ends of pieces.
 A phrase of k words is the pair of its first and its last k - 1 words, each the slot of a phrase one shorter,
-so its 64-bit key is exact. Only places where both parts are frequent are looked at (Apriori): tasks send
+so its 64-bit key is exact. Only numbers that stand side by side are kept for the next length. Only places where both parts are frequent are looked at (Apriori): tasks send
 the keys that they meet, those met LEAST times in all are the candidates, and a minimal perfect hash is
 built of each part of PART candidates. Mappers look all places up, keys stored by slot sorting out what is
 no candidate, count slots with numpy's bincount and write the slots down for the next length; the counts are
@@ -39,8 +39,10 @@ from strandmill.llm.shared import cut, fresh_path, ship_bytes, tidy
 
 LEAST, LONGEST, TOP, SHARE = 100, 5, 2000, 100
 PART, GROUP, WORDS = 1 << 16, 64, 1_000_000
-#: A task sends counts of words or keys when it holds so many; numbers in a written row.
-HELD, ROW = 300_000, 1 << 19
+#: A task sends counts of words when it holds so many; numbers in a written row.
+HELD, ROW = 100_000, 1 << 16
+#: Keys that a task holds before it sends them; numbers of the texts to a part of the keys that tasks send; numbers worked on at once.
+MET, SHARE_OF_KEYS, TOGETHER = 1_000_000, 1 << 21, 1 << 19
 #: What ends a piece becomes a line feed, a tab a space; A-Z are lower-cased.
 PIECES = bytes(10 if b in b".,;:!?\n\x0b\x0c\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
 PLAIN = bytes(32 if b == 10 else b for b in PIECES)
@@ -54,8 +56,12 @@ def word_counts(rows: DataFrame, least: int) -> DataFrame:
     """lang, word (binary), n of words with n of least or more, and of each language's words together (word null)."""
 
     def batch(counts: dict[str, Counter]) -> pa.RecordBatch:
-        flat = [(lang, word, n) for lang, own in counts.items() for word, n in own.items()]
-        return pa.RecordBatch.from_arrays([pa.array([f[0] for f in flat], pa.string()), pa.array([f[1] for f in flat], pa.binary()), pa.array([f[2] for f in flat], pa.int64())], names=["lang", "word", "n"])
+        langs, words, n = [], [], []
+        for lang, own in counts.items():
+            langs += [lang] * (len(own) + 1)
+            words += [None, *own]
+            n += [own.total(), *own.values()]
+        return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(words, pa.binary()), pa.array(n, pa.int64())], names=["lang", "word", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = defaultdict(Counter)
@@ -68,9 +74,9 @@ def word_counts(rows: DataFrame, least: int) -> DataFrame:
                     own.update(flat[low:high].split())
                     low = high
                 if sum(map(len, counts.values())) > HELD:
-                    yield batch({x: Counter({**c, None: c.total()}) for x, c in counts.items()})
+                    yield batch(counts)
                     counts = defaultdict(Counter)
-        yield batch({x: Counter({**c, None: c.total()}) for x, c in counts.items()})
+        yield batch(counts)
 
     found = rows.mapInArrow(tidy(run), "lang string, word binary, n long")
     return found.groupBy("lang", "word").agg(F.sum("n").alias("n")).where(F.col("word").isNull() | (F.col("n") >= least))
@@ -119,6 +125,7 @@ def encode_part(rows: DataFrame, name: str, last: bool) -> DataFrame:
                 flat = np.frombuffer(numbers, np.int32) if len(numbers) else np.array([], np.int32)
                 flat = flat if known is None else np.maximum(flat, np.frombuffer(known, np.int32))
                 if last:
+                    flat = neighbours(flat)
                     packed.append(flat.tobytes())
                     size += len(flat)
                     if size >= ROW:
@@ -134,33 +141,74 @@ def encode_part(rows: DataFrame, name: str, last: bool) -> DataFrame:
     return rows.mapInArrow(tidy(run), "own binary" if last else "lang string, text binary, own binary")
 
 
+def neighbours(numbers: np.ndarray) -> np.ndarray:
+    """The numbers that stand beside another one, with a single -1 after each run: all that longer phrases need."""
+    real = np.concatenate([[False], numbers >= 0, [False]])
+    near = real[1:-1] & (real[:-2] | real[2:])
+    keep = near | np.append(False, near[:-1])
+    out = np.where(near, numbers, -1)[keep].astype(np.int32)
+    return np.append(out, np.int32(-1)) if len(out) and out[-1] >= 0 else out
+
+
+def gathered(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[list[np.ndarray]]:
+    """The packed columns of the rows, about TOGETHER numbers at once; every row ends in -1."""
+    held: list[list[bytes]] = [[] for _ in range(columns)]
+    size = 0
+    for batch in batches:
+        for k in range(batch.num_rows):
+            for own, column in zip(held, batch.columns):
+                own.append(column[k].as_py())
+            size += len(held[0][-1]) // 4
+            if size >= TOGETHER:
+                yield [np.frombuffer(b"".join(own), np.int32) for own in held]
+                held, size = [[] for _ in range(columns)], 0
+    if size:
+        yield [np.frombuffer(b"".join(own), np.int32) for own in held]
+
+
 def pairs_of(before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places where a phrase and the next one are frequent, and the keys of the two."""
     at = np.flatnonzero((before[:-1] >= 0) & (before[1:] >= 0))
     return at, (before[at].astype(np.uint64) << np.uint64(32)) | before[at + 1].astype(np.uint64)
 
 
-def candidates(numbers: DataFrame, least: int) -> DataFrame:
-    """key of the phrases whose parts are frequent and that occur least times."""
+def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    return (((keys >> np.uint64(32)) * np.uint64(31) + (keys & np.uint64(0xFFFFFFFF))) % np.uint64(parts)).astype(np.int64)
+
+
+def candidates(numbers: DataFrame, least: int, parts: int) -> DataFrame:
+    """key of the phrases whose parts are frequent and that occur least times. Tasks send the keys that they met and their
+    counts packed, in parts by key; a part adds up what the tasks met."""
+
+    def packed(keys: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+        place = part_of(keys, parts)
+        order = np.argsort(place, kind="stable")
+        cuts = np.searchsorted(place[order], np.arange(parts + 1))
+        some = [k for k in range(parts) if cuts[k] < cuts[k + 1]]
+        take = [order[cuts[k] : cuts[k + 1]] for k in some]
+        return pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([keys[t].tobytes() for t in take], pa.binary()), pa.array([counts[t].tobytes() for t in take], pa.binary())], names=["part", "keys", "counts"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts = np.array([], np.uint64), np.array([], np.int64)
-        for batch in batches:
-            for row in batch.column(0):
-                keys, n = np.unique(pairs_of(np.frombuffer(row.as_py(), np.int32))[1], return_counts=True)
-                held, back = np.unique(np.concatenate([held, keys]), return_inverse=True)
-                counts = np.bincount(back, np.concatenate([counts, n]), len(held)).astype(np.int64)
-                if len(held) > 4 * HELD:
-                    yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(counts)], names=["key", "n"])
-                    held, counts = held[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(counts)], names=["key", "n"])
+        for (own,) in gathered(batches, 1):
+            keys, n = np.unique(pairs_of(own)[1], return_counts=True)
+            held, counts = added([held, keys], [counts, n])
+            if len(held) > MET:
+                yield packed(held, counts)
+                held, counts = held[:0], counts[:0]
+        yield packed(held, counts)
 
-    met = numbers.select("own").mapInArrow(tidy(run), "key long, n long")
-    return met.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        keys, n = added([np.frombuffer(k, np.uint64) for k in group["keys"]], [np.frombuffer(c, np.int64) for c in group["counts"]])
+        return pd.DataFrame({"key": keys[n >= least].view(np.int64)})
 
+    return numbers.select("own").mapInArrow(tidy(run), "part int, keys binary, counts binary").groupBy("part").applyInPandas(add, "key long")
 
-def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
-    return (((keys >> np.uint64(32)) * np.uint64(31) + (keys & np.uint64(0xFFFFFFFF))) % np.uint64(parts)).astype(np.int64)
+
+def added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys and their counts' sums."""
+    distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
+    return distinct, np.bincount(back, np.concatenate(counts), len(distinct)).astype(np.int64)
 
 
 def hashes(keys: DataFrame) -> tuple[DataFrame, list[int]]:
@@ -193,7 +241,8 @@ def count_slots(numbers: DataFrame, built: DataFrame, starts: list[int]) -> tupl
 
 
 def _slots_pass(numbers: DataFrame, name: str, starts: list[int], last: bool) -> DataFrame:
-    parts = len(starts) - 1
+    """One group of hashes. Slots that earlier groups found stand in next, place by place; the last group leaves the slots alone."""
+    parts, filled = len(starts) - 1, "next" in numbers.columns
     names = ["own", "next", "part", "task", "slots", "counts"]
     kinds = [pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
@@ -201,21 +250,20 @@ def _slots_pass(numbers: DataFrame, name: str, starts: list[int], last: bool) ->
         with open(SparkFiles.get(name), "rb") as file:
             own = {k: PerfectHash.from_bytes(v) for k, v in pickle.load(file).items()}
         counts = {k: np.zeros(len(h.keys), np.int64) for k, h in own.items()}
-        for batch in batches:
-            for k in range(batch.num_rows):
-                before = np.frombuffer(batch.column(0)[k].as_py(), np.int32)
-                slots = np.frombuffer(batch.column(1)[k].as_py(), np.int32).copy() if batch.num_columns > 1 else np.full(max(0, len(before) - 1), -1, np.int32)
-                at, keys = pairs_of(before)
-                place = part_of(keys, parts)
-                for part, hash_ in own.items():
-                    mine = np.flatnonzero(place == part) if parts > 1 else np.arange(len(keys))
-                    slot = hash_.find(keys[mine])
-                    hit = slot >= 0
-                    counts[part] += np.bincount(slot[hit], minlength=len(hash_.keys))
-                    slots[at[mine[hit]]] = starts[part] + slot[hit]
-                if not last or (slots >= 0).any():
-                    row = [before.tobytes() if not last else slots.tobytes(), None if last else slots.tobytes(), None, None, None, None]
-                    yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=names)
+        for before, *known in gathered(batches, 2 if filled else 1):
+            slots = known[0].copy() if known else np.full(len(before), -1, np.int32)
+            at, keys = pairs_of(before)
+            place = part_of(keys, parts)
+            for part, hash_ in own.items():
+                mine = np.flatnonzero(place == part) if parts > 1 else np.arange(len(keys))
+                slot = hash_.find(keys[mine])
+                hit = slot >= 0
+                counts[part] += np.bincount(slot[hit], minlength=len(hash_.keys))
+                slots[at[mine[hit]]] = starts[part] + slot[hit]
+            left = neighbours(slots) if last else before
+            if len(left):
+                row = [left.tobytes(), None if last else slots.tobytes(), None, None, None, None]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds)], names=names)
         for part, n in counts.items():
             some = np.flatnonzero(n)
             row = [None, None, part, TaskContext.get().partitionId(), some.astype(np.uint32).tobytes(), n[some].tobytes()]
@@ -256,8 +304,9 @@ def phrases(rows: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     none = F.array().cast("array<long>")
     levels = [words.select(F.col("number").cast("long").alias("slot"), "lang", F.array("word").alias("words"), "n", none.alias("starts"), none.alias("ends"))]
     numbers = encode(rows, words, parts) if words.count() else None
+    met = max(1, math.ceil(numbers.agg(F.sum(F.length("own"))).head()[0] / 4 / SHARE_OF_KEYS)) if numbers is not None else 1
     while numbers is not None and len(levels) < longest:
-        keys = cut(candidates(numbers, least))
+        keys = cut(candidates(numbers, least, met))
         if not keys.count():
             break
         built, starts = hashes(keys)
