@@ -1,12 +1,14 @@
 """Secret scan: fixed patterns, and strings in a sensitive context that a primed compressor can't shorten.
 
-Novelty of a candidate: the bytes that zstandard adds for it when its dictionary is primed with the
-identifier dictionary and the code or text around the candidate, over the candidate's length. Prose,
-paths, identifiers and repeats are shortened by the primed dictionary; a key is not. A candidate over
-WINDOW characters is cut evenly into windows, each primed with what precedes it in the candidate too,
-and is as novel as its most novel window: zstandard codes longer literals by their alphabet, which
-would shorten any key. Copies of the candidate, and of long parts of it, never prime the compressor,
-and every run of the text that equals a novel candidate has its verdict.
+Novelty of a candidate: the bytes that zstandard adds to the code or text around it for the candidate, over
+the candidate's length. The compressor is primed with a dictionary of identifiers: IDENTIFIERS and the
+first WORDS words of a public tokenizer's vocabulary, whose path is a parameter; the driver reads it, workers
+get it. Prose, paths, identifiers and repeats are shortened; a key is not. A candidate over WINDOW
+characters is cut evenly into windows, each after what precedes it in the candidate too, and is as novel
+as its most novel window: longer runs of literals are coded by their alphabet, which would shorten any key.
+One in small or capital letters only has fewer bits a letter, so less is asked of it. Copies of the candidate,
+and of long parts of it, never stand in what surrounds it, and every run of the text that equals a novel
+candidate has its verdict.
 
 Defined results: a null text is empty and has no spans; texts are scanned whole; spans are in code
 points, end exclusive; repeated rows are scanned each. A text that no pattern and no sensitive word
@@ -15,8 +17,10 @@ can match is never sent to Python.
 
 from __future__ import annotations
 
+import base64
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 import zstandard
@@ -36,13 +40,16 @@ KINDS = ["assign", "access", "hex", "novel"]
 SENSITIVE = r"(?:passw(?:or)?d|pwd|secret|token|api[_-]?key|credential|private[_-]?key|access[_-]?key|signing[_-]?key|authorization|bearer)"
 CONTEXT = re.compile(SENSITIVE, re.I | re.A)
 LEAST_CHARS = 20
-CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.-]{{{LEAST_CHARS},}}")
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=.!@#$%^&*~-]{{{LEAST_CHARS},}}")
 PART = re.compile(r"[A-Za-z0-9]{16,}")
 REACH = 48
 AROUND = 400
-LEAST_NOVELTY = 0.9
-#: zstandard keeps literals of fewer than 64 bytes as they are. Of a candidate, its last BEFORE characters prime a window.
-WINDOW, BEFORE = 63, 4096
+#: Marginal bytes a character from which a candidate is novel; one of letters of one case.
+LEAST_NOVELTY, LEAST_ONE_CASE = 0.82, 0.64
+#: Of a candidate, its last BEFORE characters stand before a window.
+WINDOW, BEFORE = 40, 4096
+#: The vocabulary (ranks of byte pairs, base 64) whose first words of four letters or more prime the compressor.
+VOCABULARY, WORDS, CAPITALS, NEXT = "/opt/tokenizers/byte_bpe_50k.tiktoken", 12_000, 9_000, 60
 #: Identifiers that code and configuration share; primes the compressor.
 IDENTIFIERS = (
     "password username token secret api_key access_key client_id client_secret authorization bearer private_key "
@@ -52,24 +59,50 @@ IDENTIFIERS = (
     "getElementById addEventListener toString valueOf prototype function return const import from class def self "
     "AbstractFactoryBeanProvider ConfigurationManager AuthenticationService UserRepository RequestHandler "
     "get_connection_pool_size max_retry_count timeout_seconds session_identifier refresh_token_endpoint "
+    "2019-01-01T00:00:00.000Z 2020-10-20 2021-11-21 2022-12-22 2023-11-23 2024-02-24 2025-03-25 2026-04-26 12:30:45 v1.2.3 v2.0.1 "
+    "src/main/java/com/ src/test/ node_modules/ github.com/ .controller.js .service.py _id _name _key _url x86_64 Win64 Linux Mozilla/5.0 "
     "abcdefghijklmnopqrstuvwxyz ABCDEFGHIJKLMNOPQRSTUVWXYZ 0123456789 0000000000000000 1111111111 xxxxxxxxxxxxxxxx "
 )
 GATE = rf"(?i:{SENSITIVE}|apikey)|AKIA|[0-9a-f]{{16}}"
 
 
-def novelty(candidate: str, around: str) -> float:
-    """Marginal compressed bytes of candidate over its length, the compressor primed with identifiers and around."""
-    primed = zstandard.ZstdCompressionDict((IDENTIFIERS + around).encode("utf-8", "surrogatepass"), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    packer = zstandard.ZstdCompressor(level=3, dict_data=primed, write_content_size=False, write_checksum=False, write_dict_id=False)
-    data = candidate.encode()
-    return (len(packer.compress(data)) - len(packer.compress(b""))) / len(data)
-
-
-def is_novel(candidate: str, around: str) -> bool:
-    """Whether a window of the candidate reaches LEAST_NOVELTY."""
-    n = -(-len(candidate) // WINDOW)
-    cuts = [len(candidate) * k // n for k in range(n + 1)]
-    return any(novelty(candidate[a:b], around + candidate[max(0, a - BEFORE) : a]) >= LEAST_NOVELTY for a, b in zip(cuts, cuts[1:]))
+@cache
+def identifiers(path: str = VOCABULARY) -> tuple[bytes, bytes]:
+    """The dictionary, what it holds most often last, and a text of the vocabulary's next words, which the dictionary lacks."""
+    words: dict[bytes, None] = {}
+    with open(path, "rb") as file:
+        for line in file:
+            word = base64.b64decode(line.split()[0]).strip()
+            if len(word) >= 4 and word.isascii() and word.isalpha():
+                words.setdefault(word)
+                if len(words) == WORDS + NEXT:
+                    break
+    flat = list(words)[:WORDS][::-1]
+    return b" ".join([*(w.upper() for w in flat[-CAPITALS:]), *flat, IDENTIFIERS.encode()]), b"_".join(list(words)[WORDS:])
+
+
+class Novelty:
+    """Measures candidates with a compressor primed once."""
+
+    def __init__(self, dictionary: bytes, base: bytes):
+        primed = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        how = zstandard.ZstdCompressionParameters.from_level(12, window_log=19, hash_log=18, chain_log=18, search_log=6, min_match=3, target_length=64, strategy=zstandard.STRATEGY_BTULTRA2, write_content_size=False, write_checksum=False, write_dict_id=False)
+        self.packer = zstandard.ZstdCompressor(dict_data=primed, compression_params=how)
+        self.base = base  # stands first: few characters around a candidate would leave it to pay for the frame
+
+    def of(self, candidate: str, around: str) -> float:
+        """Marginal compressed bytes of candidate over its length."""
+        before, data = self.base + around.encode("utf-8", "surrogatepass") + b"\n", candidate.encode()
+        return (len(self.packer.compress(before + data + b"\n")) - len(self.packer.compress(before + b"\n"))) / len(data)
+
+    def tells(self, candidate: str, around: str) -> bool:
+        """Whether a window of the candidate is novel."""
+        if re.fullmatch(r"[A-Z0-9]+(_[A-Z0-9]+)+", candidate):  # a constant's name
+            candidate = candidate.lower()
+        least = LEAST_ONE_CASE if re.fullmatch(r"[a-z]+|[A-Z]+", candidate) else LEAST_NOVELTY
+        n = -(-len(candidate) // WINDOW)
+        cuts = [len(candidate) * k // n for k in range(n + 1)]
+        return any(self.of(candidate[a:b], around + candidate[max(0, a - BEFORE) : a]) >= least for a, b in zip(cuts, cuts[1:]))
 
 
 def surroundings(text: str, start: int, stop: int) -> str:
@@ -94,7 +127,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def novel_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+def novel_spans(text: str, taken: list[tuple[int, int, int]], measure: Novelty) -> list[tuple[int, int, int]]:
     """Incompressible strings that follow a sensitive word and of which base spans leave LEAST_CHARS characters or more."""
     ordered = sorted((s, e) for s, _, e in taken)
     at, last = 0, -1
@@ -117,9 +150,9 @@ def novel_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
             m = CANDIDATE.match(text, m.start())
             start, last = m.span()
             token = m[0]
-            if unclaimed(start, last) and mixed(token):
+            if unclaimed(start, last):
                 tried[start, last] = token
-                if token not in novel and is_novel(token, surroundings(text, start, last)):
+                if token not in novel and measure.tells(token, surroundings(text, start, last)):
                     novel.add(token)
     if not novel:
         return []
@@ -135,26 +168,28 @@ def novel_spans(text: str, taken: list[tuple[int, int, int]]) -> list[tuple[int,
     return [(start, 3, stop) for start, stop in sorted(found)]
 
 
-def scan_text(text: str | None) -> list[tuple[int, int, int]]:
+def scan_text(text: str | None, measure: Novelty) -> list[tuple[int, int, int]]:
     """All spans of a text as (start, kind's number, end), in order."""
     if not text:
         return []
     base = base_spans(text)
-    return sorted(base + novel_spans(text, base))
+    return sorted(base + novel_spans(text, base, measure))
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in spans)
 
 
-def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def scan(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",), vocabulary: str = VOCABULARY) -> DataFrame:
     """The keep columns and spans: array of (kind, start, end)."""
     span = ArrayType(StructType([StructField("kind", StringType()), StructField("start", LongType()), StructField("end", LongType())]))
+    known = identifiers(vocabulary)
     item = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
 
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        measure = Novelty(*known)
         for column in columns:
-            yield pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan_text(t.as_py())] for t in column], pa.list_(item))
+            yield pa.array([[{"kind": KINDS[k], "start": s, "end": e} for s, k, e in scan_text(t.as_py(), measure)] for t in column], pa.list_(item))
 
     return docs.select(*keep, in_worker(run, span)(F.when(F.col(text_col).rlike(GATE), F.col(text_col))).alias("spans"))
 
@@ -167,23 +202,26 @@ def digest(scanned: DataFrame) -> DataFrame:
     return scanned.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(text(base), 256).alias("base_sha256"), text(F.col("spans")).alias("spans"))
 
 
-def redacted(text: str | None, mark: str) -> str | None:
+def redacted(text: str | None, mark: str, measure: Novelty) -> str | None:
     """text with each span (overlapping ones merged) replaced by mark; None if it has none."""
     out, at = [], 0
-    for s, _, e in scan_text(text):
+    for s, _, e in scan_text(text, measure):
         if s >= at:
             out.append(text[at:s] + mark)
         at = max(at, e)
     return "".join(out) + text[at:] if out else None
 
 
-def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", vocabulary: str = VOCABULARY) -> DataFrame:
     """docs with each span of text_col (overlapping ones merged) replaced by mark; other columns as they were.
     Rows without a span are unchanged; a null text stays null."""
 
+    known = identifiers(vocabulary)
+
     def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        measure = Novelty(*known)
         for column in columns:
-            yield pa.array([redacted(t.as_py(), mark) for t in column], pa.string())
+            yield pa.array([redacted(t.as_py(), mark, measure) for t in column], pa.string())
 
     text = F.col(text_col)
     return docs.withColumn(text_col, F.coalesce(in_worker(run, StringType())(F.when(text.rlike(GATE), text)), text))

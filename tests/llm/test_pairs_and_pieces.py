@@ -249,7 +249,7 @@ def test_encoding_of_no_rows(spark):
 def test_pipeline_stages_equal_brute_force(spark, sf, tmp_path):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_jaccard_join", "secret_scans", "mixing", "sentencepiece"]
-    rows = {}
+    rows, measure = {}, secret_scan.Novelty(*secret_scan.identifiers())
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, sf)
         if k < 4:
@@ -263,7 +263,7 @@ def test_pipeline_stages_equal_brute_force(spark, sf, tmp_path):
         if name == "ngram_jaccard_join":
             assert sorted(rows[name]["doc_id"]) == sorted({c for _, c, _ in brute_classes(list(zip(a["doc_id"], a["text"])))})
         if name == "secret_scans":
-            assert len(a) == len(rows[name]) and not any(secret_scan.scan_text(t) for t in rows[name]["text"])
+            assert len(a) == len(rows[name]) and not any(secret_scan.scan_text(t, measure) for t in rows[name]["text"])
             assert (rows[name]["n_chars"] == rows[name]["text"].str.len()).all()
         if name == "mixing":
             copies = {r["doc_id"]: r["copies"] for r in mixture.mix(before).collect()}
@@ -277,7 +277,7 @@ def test_pipeline_stages_equal_brute_force(spark, sf, tmp_path):
 def test_pipeline_stages_keep_columns_of_any_name(spark):
     base = "the quick brown fox jumps over the lazy dog and runs home again "
     rows = [(k, f"{base * 3} tail{k} secret = 'abcdefghijkl{k}'", "en", "a", 5) for k in range(4)]
-    names = ["score", "lang_pred", "copies", "size", "target", "row", "copy", "found", "__text", "__gate", "spans", "key", "root", "first", "band", "n", "words", "u", "q", "bin"]
+    names = ["score", "lang_pred", "copies", "size", "target", "row", "copy", "found", "__text", "__gate", "spans", "key", "root", "first", "band", "n", "words", "u", "q", "bin", "count", "__lang", "__r0", "__k0", "r0", "k0", "worded", "of", "h", "id", "part"]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns({n: F.lit(f"own {n}") for n in names})
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, "")
