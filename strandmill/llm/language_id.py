@@ -9,7 +9,7 @@ hash), of every language; prediction covers whole texts of all rows and sees not
 
 Defined results: a null text or one without a letter is "und" with score 0, as is every text if there
 are no labelled rows; a null id counts as not held out and isn't learned from; ties go to the
-language that sorts first; repeated rows are predicted each; an empty table gives an empty table.
+language that sorts first; repeated rows are predicted each, and learned from once; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -158,16 +158,19 @@ def train(texts: list[bytes], labels: list[str], epochs: int = EPOCHS, seed: int
 
 def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Network | None:
     """A network from the labelled rows that are not held out."""
-    known = docs.where((remainder(id_col) != HELD) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = cut(known.groupBy(lang_col).count())
-    quota = max(1, SAMPLE_DOCS * FULL_LANGUAGES // max(FULL_LANGUAGES, counts.count()))
-    u = F.shiftrightunsigned(F.xxhash64(F.col(id_col).cast("string"), F.lit(3)), 11).cast("double") / float(1 << 53)
-    chosen = known.join(F.broadcast(counts.withColumnRenamed(lang_col, "__lang")), F.col(lang_col) == F.col("__lang")).where(u < (1.5 * quota + 16) / F.col("count"))
-    room = F.greatest(F.length(text_col) - PIECE_CHARS, F.lit(0)) + 1
-    pieces = F.array(*[F.substring(F.col(text_col), (F.pmod(F.xxhash64(F.col(id_col), F.lit(k)), room) + 1).cast("int"), F.lit(PIECE_CHARS)) for k in range(PIECES)])
-    rows = chosen.select(F.col(lang_col).alias("lang"), F.struct(u.alias("u"), F.col(id_col).alias("id")).alias("place"), pieces.alias("pieces")).collect()
+    rows = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"), remainder(id_col).alias("part"))
+    known = rows.where((F.col("part") != HELD) & F.col("lang").isNotNull() & F.col("text").isNotNull()).withColumn("h", F.xxhash64("id", "text"))
+    # rows of one id and text count once, so neither a hot id nor copies of a row swell or starve the sample
+    counts = cut(known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).withColumnRenamed("lang", "of"))
+    languages = counts.count()
+    quota = max(1, SAMPLE_DOCS * FULL_LANGUAGES // max(FULL_LANGUAGES, languages))
+    u = F.shiftrightunsigned(F.xxhash64("h", F.lit(3)), 11).cast("double") / float(1 << 53)
+    chosen = known.join(F.broadcast(counts) if languages <= 100_000 else counts, F.col("lang") == F.col("of")).where(u < (1.5 * quota + 16) / F.col("n"))
+    room = F.greatest(F.length("text") - PIECE_CHARS, F.lit(0)) + 1
+    pieces = F.array(*[F.substring(F.col("text"), (F.pmod(F.xxhash64("h", F.lit(k)), room) + 1).cast("int"), F.lit(PIECE_CHARS)) for k in range(PIECES)])
+    rows = chosen.select("lang", "h", u.alias("u"), pieces.alias("pieces")).dropDuplicates(["lang", "h"]).collect()
     texts, labels, taken = [], [], {}
-    for row in sorted(rows, key=lambda r: (r["place"]["u"], r["place"]["id"], r["pieces"])):
+    for row in sorted(rows, key=lambda r: (r["u"], r["h"], r["lang"])):
         taken[row["lang"]] = taken.get(row["lang"], 0) + 1
         if taken[row["lang"]] <= quota:
             for piece in dict.fromkeys(row["pieces"]):

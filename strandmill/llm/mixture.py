@@ -12,7 +12,8 @@ bins wholly below the cut are taken, and only the bin that holds the cut is sort
 
 Defined results: a null text has size 0 and takes 0; a null source is a source of its own, last in
 order; a source of size 0 has target 0; repeated rows are separate documents that share their random
-number; random numbers come from doc_id and the seed alone, so reruns agree.
+number; random numbers come from doc_id, text and the seed alone, so reruns agree, and documents of null or
+repeated ids are ranked apart.
 """
 
 from __future__ import annotations
@@ -61,7 +62,7 @@ def mix(docs: DataFrame, text_col: str = "text", source_col: str = "source", id_
 
     With weight_col (null or negative: 0) expected copies follow it within a source, up to cap."""
     own = F.coalesce(F.greatest(F.col(weight_col).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight_col else F.lit(1.0)
-    hashed = F.xxhash64(F.col(id_col).cast("string"), F.lit(seed))
+    hashed = F.xxhash64(F.col(id_col).cast("string"), F.xxhash64(F.col(text_col)), F.lit(seed))
     rows = docs.select(
         F.struct(F.col(id_col).alias("id"), *[F.col(c) for c in keep]).alias("row"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), own.alias("own"),
         ((F.shiftrightunsigned(hashed, 11).cast("double") + 0.5) / F.lit(float(1 << 53))).alias("u"),

@@ -253,11 +253,11 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """docs with one row of each class: that of its smallest id, null ids last, then of the smallest hash of the text.
     A text without words is a class of its own, so every such row stays."""
     _, nodes = linked(docs, id_col, text_col, GRAM, THRESHOLD, RECALL, True)
-    kept = nodes.groupBy("root").agg(F.min("first").alias("w")).select(F.col("w.none").alias("__k0"), F.coalesce("w.doc_id", F.lit(0)).alias("__k1"), F.col("w.mark").alias("__k2"), F.col("w.mark2").alias("__k3"))
-    worded = F.coalesce(F.col(text_col).rlike(rf"[^{SPACE}]"), F.lit(False))
+    kept = nodes.groupBy("root").agg(F.min("first").alias("w")).select(F.col("w.none").alias("k0"), F.coalesce("w.doc_id", F.lit(0)).alias("k1"), F.col("w.mark").alias("k2"), F.col("w.mark2").alias("k3"))
     number = F.col(id_col).cast("long")
-    names = ["__r0", "__r1", "__r2", "__r3"]
-    keyed = docs.where(worded).withColumns(dict(zip(names, [number.isNull(), F.coalesce(number, F.lit(0)), *marks(text_col).values()])))
+    keys = dict(zip(["r0", "r1", "r2", "r3"], [number.isNull(), F.coalesce(number, F.lit(0)), *marks(text_col).values()]))
+    # the rows go as one struct, so no column of docs can clash
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce(F.col(text_col).rlike(rf"[^{SPACE}]"), F.lit(False)).alias("worded"), *[c.alias(r) for r, c in keys.items()])
     # one dealing of the texts serves the join and the choice among rows of the same id and text
-    chosen = keyed.join(kept, [F.col(r) == F.col(r.replace("r", "k")) for r in names], "left_semi").dropDuplicates(names).drop(*names)
-    return chosen.unionByName(docs.where(~worded))
+    chosen = rows.where("worded").join(kept, [F.col(r) == F.col(r.replace("r", "k")) for r in keys], "left_semi").dropDuplicates(list(keys))
+    return chosen.unionByName(rows.where(~F.col("worded"))).select("row.*")

@@ -181,7 +181,7 @@ def test_mix_targets_and_sizes(spark, sf, skewed):
 def test_mix_is_pareto_order(spark):
     docs = spark.createDataFrame([(k, "w " * 10, f"s{k % 2}") for k in range(400)], "doc_id long, text string, source string")
     rows = {r["doc_id"]: r for r in mixture.mix(docs).collect()}
-    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", ((F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.lit(17)), 11).cast("double") + 0.5) / float(1 << 53)).alias("u")).collect()}
+    u = {r["doc_id"]: r["u"] for r in docs.select("doc_id", ((F.shiftrightunsigned(F.xxhash64(F.col("doc_id").cast("string"), F.xxhash64("text"), F.lit(17)), 11).cast("double") + 0.5) / float(1 << 53)).alias("u")).collect()}
     for s in (0, 1):
         part = sorted((k for k in rows if k % 2 == s), key=u.get)
         copies = [rows[k]["copies"] for k in part]
