@@ -76,8 +76,19 @@ def substitute(seq: Column, at: Column, base: Column) -> Column:
 
 
 def round_half_even(x: Column, digits: int) -> Column:
-    """Rounds the decimal expansion of the binary value, ties to even."""
-    return F.bround(x.cast("decimal(38,18)"), digits).cast("double")
+    """x rounded by its binary value, ties to even: 0.0625 to 3 digits is 0.062, and 2.675, which lies below its decimal
+    text, is 2.67 to 2. The product with 2 * 10**digits is compared with the odd number next to it; where it equals that after rounding, the part that
+    rounding lost decides, from the two halves of x."""
+    size = F.abs(x.cast("double"))
+    down = F.floor(size * float(10**digits)).cast("double")
+    middle = 2.0 * down + 1.0
+    high = size * 134217729.0 - (size * 134217729.0 - size)
+    scale = 2.0 * 10**digits
+    lost = (high * scale - middle) + (size - high) * scale
+    above = size * scale - middle
+    part = F.when(above != 0, above).otherwise(lost)
+    whole = F.when(part > 0, down + 1).when(part < 0, down).otherwise(down + down % 2)
+    return F.signum(x.cast("double")) * whole / float(10**digits)
 
 
 def interior_points(start: Column, stop: Column, n: int = 6) -> Column:

@@ -109,15 +109,16 @@ def is_reverse(flag: Column) -> Column:
 
 def segment_pairs(segs: DataFrame, assembly: bool = False, least: int | None = None) -> DataFrame:
     """Per read each primary p with each other piece q, and both by start: l, r; of equal starts the primary is
-    right. Assemblies take the piece of smallest position as primary; pieces under 300 (250) mapped bases don't count."""
+    right. Assemblies take the piece of smallest chromosome and position as primary, whatever its flag, where one is no supplement; other
+    pieces than the primary of under 300 (250) mapped bases don't count."""
     least = least if least is not None else 250 if assembly else 300
-    rows = segs.where(F.col("clip.mapped") >= least)
+    enough = F.col("clip.mapped") >= least
     if assembly:
-        by = Window.partitionBy("qname").orderBy("start", "stop", "chrom", "flag")
-        first = rows.withColumn("__k", F.row_number().over(by))
-        p, q = first.where("__k = 1").drop("__k"), first.where("__k > 1").drop("__k")
+        by = Window.partitionBy("qname").orderBy("chrom", "start", "flag", "stop")
+        first = segs.withColumns({"__k": F.row_number().over(by), "__own": F.min("flag").over(Window.partitionBy("qname"))}).where("__own <= 16").drop("__own")
+        p, q = first.where("__k = 1").drop("__k"), first.where((F.col("__k") > 1) & enough).drop("__k")
     else:
-        p, q = rows.where("flag <= 16"), rows.where("flag > 16")
+        p, q = segs.where("flag <= 16"), segs.where((F.col("flag") > 16) & enough)
     names = [c for c in segs.columns if c != "qname"]
     packed = lambda df, n: df.select("qname", F.struct(*names).alias(n))
     pairs = packed(p, "p").join(packed(q, "q"), "qname")
@@ -126,6 +127,48 @@ def segment_pairs(segs: DataFrame, assembly: bool = False, least: int | None = N
     return pairs.select("qname", left.alias("l"), right.alias("r"), "p", "q")
 
 
+#: Cells of the places that a rule compares.
+CELL = 2048
+
+
+def banded_pairs(segs: DataFrame, least: int = 250) -> DataFrame:
+    """Pairs of a read's or contig's pieces, each once as primary, that a rule of split_signals() or translocation_signals() can
+    take: qname, l, r, and p, q (the same). Every rule bounds the distance of two places, on the read or on the
+    chromosome, so pieces meet in cells of those places and a contig of many pieces is many keys; a pair that several
+    rules bring together is kept at the first. Equal pieces are one; of a pair one, of equal starts the left, has least mapped bases.
+    Of pieces of equal starts both orders are pairs."""
+    names = [c for c in segs.columns if c != "qname"]
+    own = segs.select("qname", F.struct(*names).alias("s")).distinct()
+    query_stop = lambda s: s["clip"]["left"] + s["clip"]["mapped"]
+    back_stop = lambda s: s["clip"]["mapped"] + s["clip"]["right"]
+    # place of the left piece, place of the right one, least and largest distance of these
+    same = [
+        (query_stop, lambda s: s["clip"]["left"], -1499, 199), (lambda s: s["stop"], lambda s: s["start"], -300, 300), (lambda s: s["clip"]["left"], query_stop, -199, 499),
+        (lambda s: s["clip"]["right"], query_stop, -199, 499), (lambda s: s["clip"]["left"], back_stop, -199, 499),
+    ]
+    other = [((lambda s, side=side: s["clip"][side]), end, -500, 500) for side in ("left", "right") for end in (query_stop, back_stop)]
+
+    def met(rules: list, on: Column, ordered: Column) -> DataFrame:
+        cell = lambda x: F.floor(x / CELL)
+        lefts = F.array(*[F.struct(F.lit(k).alias("rule"), (a(F.col("l")) + low).alias("low"), (a(F.col("l")) + high).alias("high")) for k, (a, _, low, high) in enumerate(rules)])
+        rights = F.array(*[F.struct(F.lit(k).alias("rule"), cell(b(F.col("r"))).alias("cell")) for k, (_, b, _, _) in enumerate(rules)])
+        left = own.select("qname", F.col("s").alias("l")).withColumn("e", F.explode(lefts)).select("qname", "l", F.col("e.rule").alias("rule"), F.explode(F.sequence(cell(F.col("e.low")), cell(F.col("e.high")))).alias("cell"))
+        right = own.select("qname", F.col("s").alias("r")).withColumn("e", F.explode(rights)).select("qname", "r", "e.rule", "e.cell")
+        holds = [(b(F.col("r")) - a(F.col("l"))).between(low, high) for a, b, low, high in rules]
+        first = F.lit(False)
+        for k in range(len(rules)):
+            earlier = F.lit(True)
+            for h in holds[:k]:
+                earlier = earlier & ~h
+            first = first | ((F.col("rule") == k) & holds[k] & earlier)
+        return left.join(right, ["qname", "rule", "cell"]).where(on & ordered & first).select("qname", "l", "r", F.col("l").alias("p"), F.col("r").alias("q"))
+
+    l, r = F.col("l"), F.col("r")
+    big = (l["clip"]["mapped"] >= least) | (r["clip"]["mapped"] >= least)
+    along = ((l["start"] < r["start"]) & big) | ((l["start"] == r["start"]) & (l != r) & (l["clip"]["mapped"] >= least))
+    return met(same, l["chrom"] == r["chrom"], along).unionByName(met(other, l["chrom"] < r["chrom"], big))
+
+
 def split_signals(pairs: DataFrame, min_mapq: int = 30, exact_mapq: int | None = None, min_size: int = 40, max_size: int = 10_000_000, seq: Column | None = None) -> DataFrame:
     """Signals of pairs on one chromosome: DEL, INS, DUP (by either overlap) on one strand, INV (by ends or starts) on two.
     Stops follow from starts and sizes. seq: the primary's sequence, of which insertions carry their part."""
@@ -185,12 +228,3 @@ def translocation_signals(pairs: DataFrame, chroms: DataFrame, mapq: int = 60, r
     pick = lambda c, d: F.when(swap, F.col(d)).otherwise(F.col(c))
     out = ranked.select(pick("a", "b").alias("chrom"), F.col("qname").alias("query_name"), pick("x", "y").alias("start"), pick("b", "a").alias("chrom2"), pick("y", "x").alias("start2"), F.lit(mapq).alias("maq"))
     return out.withColumns({"svid": F.concat_ws("", "chrom2", F.lit(":"), "start2", F.lit("_"), "chrom", F.lit(":"), "start"), "sv_type": F.lit("TRA"), "sv_len": F.lit(0).cast("long")})
-
-
-def all_pairs(segs: DataFrame) -> DataFrame:
-    """Every ordered pair of pieces of a read, each piece once as primary; used where no line is marked primary."""
-    names = [c for c in segs.columns if c != "qname"]
-    by = Window.partitionBy("qname").orderBy("start", "stop", "chrom", "flag")
-    rows = segs.withColumn("k", F.row_number().over(by))
-    packed = lambda n: rows.select("qname", F.col("k").alias(f"{n}k"), F.struct(*names).alias(n))
-    return packed("l").join(packed("r"), "qname").where("lk < rk").select("qname", "l", "r")

@@ -26,8 +26,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from strandmill.operators.runs import settled
 
-#: Stands for a missing place.
-NOWHERE = -(1 << 62)
+#: Stands for a missing place; sums with widths stay exact as doubles.
+NOWHERE = -(1 << 50)
 Width = Callable[[np.ndarray], np.ndarray]
 
 
@@ -54,13 +54,13 @@ def mark(at: np.ndarray, reach: np.ndarray, state: State, widest: float) -> tupl
     """Island, window and anchor of each row, and the state after them."""
     new = breaks(at, state.last, widest)
     ends = at + reach
-    following = np.searchsorted(at, ends, "left").tolist()
+    place = np.arange(len(at))
+    following = np.maximum(np.searchsorted(at, ends, "left"), place + 1).tolist()  # an anchor is at least its own window
     k = 0 if new[0] else int(np.searchsorted(at, state.limit, "left"))
     anchors = []
     while k < len(at):
         anchors.append(k)
         k = following[k]
-    place = np.arange(len(at))
     is_anchor = np.zeros(len(at), bool)
     is_anchor[anchors] = True
     number = np.cumsum(is_anchor)
@@ -139,7 +139,7 @@ class Opening:
 def follow(at: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Of each row as an anchor, the last anchor of the rows and how many there are, by doubling."""
     n = len(at)
-    jump = np.append(np.searchsorted(at, ends, "left"), n)
+    jump = np.append(np.maximum(np.searchsorted(at, ends, "left"), np.arange(1, n + 1)), n)
     last, count = np.append(np.arange(n), -1), np.append(np.ones(n, np.int64), 0)
     while (jump < n).any():
         on = jump < n

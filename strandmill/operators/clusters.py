@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandmill.functions.scalars import round_half_even
 from strandmill.operators.runs import islands, map_runs, schema_with
 
 #: Least share of reads by ploidy; fixed values.
@@ -130,7 +131,7 @@ def mean_depth(coverage: DataFrame, sizes: DataFrame) -> DataFrame:
     """Per chromosome: size, mapped bases, depth to two places, and what follows from it."""
     mapped = coverage.groupBy("chrom").agg(F.sum(F.col("stop") - F.col("start")).alias("mapped"))
     joined = sizes.select("chrom", "size").join(mapped, "chrom", "left").withColumn("mapped", F.coalesce("mapped", F.lit(0)))
-    depth = F.round(F.try_divide("mapped", "size"), 2)
+    depth = round_half_even(F.try_divide("mapped", "size"), 2)
     return joined.withColumns({"depth": depth, "threshold": F.ceil(depth + 0.3).cast("long"), "nreads": F.floor(depth / 10).cast("long")})
 
 
@@ -154,18 +155,19 @@ def accept(clusters: DataFrame, rate: float = 0.1, more: float = 1.0, nreads: in
     if nreads is not None:
         rescue = rescue | (reads >= nreads - 1)
     rescued = F.when(main, F.lit("main")).otherwise(F.lit("rescue"))
-    return clusters.where((reads >= 2) & (main | rescue)).withColumns({"accepted": rescued, "sv_rate": reads / depth})
+    return clusters.where((reads >= 2) & (main | rescue)).withColumns({"accepted": rescued, "sv_rate": round_half_even(reads / depth, 2)})
 
 
 def accept_assembly(clusters: DataFrame, rate: float = 0.25) -> DataFrame:
     """Depth is the larger of both sides' (left_n, right_n); the share of reads must reach rate and a quarter."""
     depth = F.greatest("left_n", "right_n")
-    return clusters.withColumn("sv_rate", F.when(depth == 0, 1.0).otherwise(F.col("reads") / depth)).where(F.col("sv_rate") >= max(rate, 0.25))
+    return clusters.withColumn("sv_rate", F.when(depth == 0, 1.0).otherwise(round_half_even(F.col("reads") / depth, 2))).where(F.col("sv_rate") >= max(rate, 0.25))
 
 
 def accept_fixed(clusters: DataFrame, rate: float = 0.1, more: float = 1.0) -> DataFrame:
     """Depth is the smaller of both sides'; insertions over 2000 need half."""
     depth, reads = F.least("left_n", "right_n"), F.col("reads")
+    clusters = clusters.withColumn("sv_rate", round_half_even(reads / (depth + 1), 2))
     return clusters.where((reads >= depth * rate + more) | ((F.col("sv_type") == "INS") & (F.col("sv_len") > 2000) & (reads >= depth * rate * 0.5)))
 
 
@@ -181,9 +183,10 @@ def accept_translocations(clusters: DataFrame, long_reads: bool = True) -> DataF
     return clusters.where(F.col("reads") >= 0.1 * depth + 0.7 if long_reads else F.col("reads") > 0.25 * depth)
 
 
-def tolerance_name(rows: Column, sv_type: Column, platform: str) -> Column:
-    """Which tolerance a window uses: high above 5 rows for hifi and ont, above 10 for pb, always for assemblies and short reads."""
-    limit = {"hifi": 5, "ont": 5, "pb": 10}.get(platform, -1)
+def tolerance_name(rows: Column, sv_type: Column, platform: str, fixed: bool = False) -> Column:
+    """Which tolerance a window uses: high above 5 rows for hifi and ont, above 10 for pb, always for assemblies and short reads.
+    fixed: for windows of one width, high above 5 rows for hifi alone, above 10 for every other platform."""
+    limit = (5 if platform == "hifi" else 10) if fixed else {"hifi": 5, "ont": 5, "pb": 10}.get(platform, -1)
     level = F.when(rows > limit, "high").otherwise("low")
     return F.when(sv_type == "INS", F.concat(level, F.lit("_ins"))).otherwise(level)
 

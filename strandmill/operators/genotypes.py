@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandmill.functions.scalars import interior_points, signed_sizes
+from strandmill.functions.scalars import interior_points, round_half_even, signed_sizes
 from strandmill.operators.alignments import clips, is_reverse, placed, reference_length, sa_segments
 from strandmill.operators.intervals import count_overlaps, overlap_join
 
@@ -65,7 +65,7 @@ def by_one(ratio: Column, rule: str) -> Column:
 
 
 def share(n: Column, depth: Column, digits: int = 3) -> Column:
-    return F.when(depth > 0, F.round(n / depth, digits)).otherwise(0.0)
+    return F.when(depth > 0, round_half_even(n / depth, digits)).otherwise(0.0)
 
 
 def insertion(events: Column, clips: Column, reads: Column, spans: Column, size: Column, homo: float = 0.75, ref: float = 0.05) -> Column:
@@ -118,7 +118,7 @@ def from_signal_rate(candidates: DataFrame, sample: str, keep: tuple[str, ...] =
     rate = F.col("sv_rate")
     return candidates.select(
         "chrom", "start", "stop", target.alias("target_size"), query.alias("query_size"), "sv_type", F.lit(sample).alias("sample"),
-        by_one(rate, "signal").alias("gt"), F.ceil(F.try_divide(F.col("cluster_size"), rate)).alias("reads"), F.round(rate, 2).alias("ratio"), *keep,
+        by_one(rate, "signal").alias("gt"), F.ceil(F.try_divide(F.col("cluster_size"), rate)).alias("reads"), round_half_even(rate, 2).alias("ratio"), *keep,
     )
 
 
@@ -149,72 +149,81 @@ def _within(place: Column, at: Column, reach: Column) -> Column:
     return F.coalesce((place >= at - reach) & (place < at + reach), F.lit(False))
 
 
-def insertion_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
-    """Per insertion (vid, chrom, start, stop, size) and sample: reads within shift; events, names of reads with an insertion of
-    0.8 to 1.2 times the size (from 300 before it to its size after it), or whose others there add up to 0.7 to 1.5 times
-    it; clips, clipped ends near the start or stop (within the size, 300 at most, and a twentieth of it, 250 at most); spans, reads
-    without clips that pass it by 1000 bases on both sides, less the events; maq, the mean quality rounded up.
-    One interval join serves all variants; reads are counted in the tasks that meet them."""
-    size, start, stop = F.col("size"), F.col("start"), F.col("stop")
-    near = variants.withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
+def long_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
+    """Per insertion (side i) and end of a deletion (side l or r) of the variants (vid, chrom, start, stop, size, sv_type), and sample:
+    reads within shift; events; clips; spans; maq, the mean quality rounded up.
+
+    Insertions: events are names of reads with an insertion of 0.8 to 1.2 times the size (from 300 before it to its size after it), or
+    whose others there add up to 0.7 to 1.5 times it; clips, clipped ends near the start or stop (within the size, 300 at most,
+    and a twentieth of it, 250 at most); spans, reads without clips that pass it by 1000 bases on both sides, less the events.
+    Deletions, around an end: events are names of reads with a deletion of 0.8 to 1.2 times the size (within 200 of it), or whose
+    running total of those of least bases comes to it, or ends at 0.7 to 1.5 times it; clips, left ends that begin past the
+    middle and right ends that stop before it, within the shift and a twentieth of the size, 500 at most.
+    Reads are taken apart once, one interval join serves all variants and ends, and rows are counted in the tasks that meet them."""
+    size, start, stop, side = F.col("size"), F.col("start"), F.col("stop"), F.col("side")
+    ends = F.when(F.col("sv_type") == "INS", F.array(F.lit("i"))).when(F.col("sv_type") == "DEL", F.array(F.lit("l"), F.lit("r")))
+    own = variants.where(F.col("sv_type").isin("INS", "DEL")).select("vid", "chrom", "start", "stop", "size", "sv_type", F.explode(ends).alias("side"))
+    place = F.when(side == "r", stop).otherwise(start)
+    far = F.when(side == "i", stop).otherwise(place)
+    near = own.withColumns({"here": place, "__low": F.greatest(place - shift, F.lit(0)), "__high": far + shift - 1})
     hits = overlap_join(near, aligned(reads, least), None, ("chrom", "__low", "__high"), ("chrom", "start", "last"))
-    inside = F.filter("r_inss", lambda o: (o["ref"] > start - 300) & (o["ref"] <= stop + size))
-    fit = lambda o: (o["n"] >= 0.8 * size) & (o["n"] <= 1.2 * size)
-    rest = F.aggregate(F.filter(inside, lambda o: ~fit(o)), F.lit(0).cast("long"), lambda a, o: a + o["n"])
-    event = F.exists(inside, fit) | ((rest >= 0.7 * size) & (rest < 1.5 * size))
-    reach = F.least(size, F.lit(300)) + F.least(F.ceil(size * 0.05), F.lit(250))
-    clipped = lambda c: (_within(F.col(c), start, reach) | _within(F.col(c), stop, reach)).cast("int")
-    whole = F.col("r_clip_l").isNull() & F.col("r_clip_r").isNull() & (F.col("r_start") + 1000 < start) & (F.col("r_last") + 1 - 1000 > stop)
-    events = F.count_distinct(F.when(event, F.col("r_qname")))
-    return hits.groupBy("vid", F.col("r_sample").alias("sample")).agg(
-        F.count(F.lit(1)).alias("reads"), events.alias("events"), F.sum(clipped("r_clip_l") + clipped("r_clip_r")).alias("clips"), (F.count(F.when(whole, 1)) - events).alias("spans"), F.ceil(F.avg("r_mapq")).alias("maq"),
-    )
 
-
-def deletion_evidence(variants: DataFrame, reads: DataFrame, at: str, shift: int = 200, least: int = 35) -> DataFrame:
-    """Per deletion (vid, chrom, start, stop, size) and sample, around its start or stop (at): reads; events, names of reads with a
-    deletion of 0.8 to 1.2 times the size (within 200 of it), or whose running total of those of least bases comes to it, or ends
-    at 0.7 to 1.5 times it; clips, left ends that begin past the middle and right ends that stop before it, within the shift and
-    a twentieth of the size, 500 at most; maq."""
-    size, start, stop = F.col("size"), F.col("start"), F.col("stop")
-    near = variants.withColumns({"__low": F.greatest(F.col(at) - shift, F.lit(0)), "__high": F.col(at) + shift - 1})
-    hits = overlap_join(near, aligned(reads, least), None, ("chrom", "__low", "__high"), ("chrom", "start", "last"))
-    inside = F.filter("r_dels", lambda o: (o["ref"] > start - 200) & (o["ref"] < stop + 200))
+    inserted = F.filter("r_inss", lambda o: (o["ref"] > start - 300) & (o["ref"] <= stop + size))
     fit = lambda n: (n >= 0.8 * size) & (n <= 1.2 * size)
+    rest = F.aggregate(F.filter(inserted, lambda o: ~fit(o["n"])), F.lit(0).cast("long"), lambda a, o: a + o["n"])
+    grown = F.exists(inserted, lambda o: fit(o["n"])) | ((rest >= 0.7 * size) & (rest < 1.5 * size))
+    deleted = F.filter("r_dels", lambda o: (o["ref"] > start - 200) & (o["ref"] < stop + 200))
 
     def step(a: Column, o: Column) -> Column:
         total = a["total"] + F.when(o["n"] >= least, o["n"]).otherwise(0)
         return F.struct(total.alias("total"), (a["hit"] | fit(o["n"]) | ((o["n"] >= least) & fit(total))).alias("hit"))
 
-    fold = F.aggregate(inside, F.struct(F.lit(0).cast("long").alias("total"), F.lit(False).alias("hit")), step)
-    hits = hits.withColumn("__fold", fold)
-    event = F.col("__fold.hit") | ((F.col("__fold.total") >= 0.7 * size) & (F.col("__fold.total") <= 1.5 * size))
+    fold = F.aggregate(deleted, F.struct(F.lit(0).cast("long").alias("total"), F.lit(False).alias("hit")), step)
+    hits = hits.withColumn("__fold", F.when(side != "i", fold))
+    lost = F.col("__fold.hit") | ((F.col("__fold.total") >= 0.7 * size) & (F.col("__fold.total") <= 1.5 * size))
+    event = F.when(side == "i", grown).otherwise(lost)
+
+    around = F.least(size, F.lit(300)) + F.least(F.ceil(size * 0.05), F.lit(250))
+    either = lambda c: _within(F.col(c), start, around) | _within(F.col(c), stop, around)
     reach = F.lit(shift) + F.least(F.ceil(size * 0.05), F.lit(500))
-    left = _within(F.col("r_clip_l"), F.col(at), reach) & (F.col("r_clip_l") > stop - 0.5 * size)
-    right = _within(F.col("r_clip_r"), F.col(at), reach) & (F.col("r_clip_r") < start + 0.5 * size)
-    return hits.groupBy("vid", F.col("r_sample").alias("sample")).agg(
-        F.count(F.lit(1)).alias("reads"), F.count_distinct(F.when(event, F.col("r_qname"))).alias("events"), F.sum(left.cast("int") + right.cast("int")).alias("clips"), F.ceil(F.avg("r_mapq")).alias("maq"),
+    left = _within(F.col("r_clip_l"), F.col("here"), reach) & (F.col("r_clip_l") > stop - 0.5 * size)
+    right = _within(F.col("r_clip_r"), F.col("here"), reach) & (F.col("r_clip_r") < start + 0.5 * size)
+    cut = [F.when(side == "i", either(c)).otherwise(own_end).cast("int") for c, own_end in (("r_clip_l", left), ("r_clip_r", right))]
+    whole = (side == "i") & F.col("r_clip_l").isNull() & F.col("r_clip_r").isNull() & (F.col("r_start") + 1000 < start) & (F.col("r_last") + 1 - 1000 > stop)
+    events = F.count_distinct(F.when(event, F.col("r_qname")))
+    return hits.groupBy("vid", "side", F.col("r_sample").alias("sample")).agg(
+        F.count(F.lit(1)).alias("reads"), events.alias("events"), F.sum(cut[0] + cut[1]).alias("clips"), (F.count(F.when(whole, 1)) - events).alias("spans"), F.ceil(F.avg("r_mapq")).alias("maq"),
     )
 
 
-def long_read_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 200, least: int = 35) -> DataFrame:
+def insertion_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
+    """long_evidence() of insertions."""
+    return long_evidence(variants.where("sv_type = 'INS'"), reads, shift, least).drop("side")
+
+
+def deletion_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
+    """long_evidence() of both ends of deletions, without spans."""
+    return long_evidence(variants.where("sv_type = 'DEL'"), reads, shift, least).drop("spans")
+
+
+def long_read_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 200, least: int = 35, homo: float = 0.75, ref: float = 0.05, ins_homo: float = 0.75) -> DataFrame:
     """Genotypes of insertions and deletions (variants: vid, chrom, start, stop, size, sv_type) from reads, for every one of the
-    samples; variants without reads there are missing."""
+    samples; variants without reads there are missing. homo (of insertions ins_homo) and ref: the shares of reads from which a call is
+    homozygous and under which it is the reference."""
     asked = variants.select("vid", "size", "sv_type", F.explode(F.array(*map(F.lit, samples))).alias("sample"))
-    ins = insertion_evidence(variants.where("sv_type = 'INS'"), reads, shift, least)
-    sides = [deletion_evidence(variants.where("sv_type = 'DEL'"), reads, at, shift, least) for at in ("start", "stop")]
-    names = ("reads", "events", "clips", "maq")
-    left, right = (s.select("vid", "sample", *[F.col(n).alias(f"{n}_{k}") for n in names]) for k, s in zip("lr", sides))
+    # one row of each variant and sample, all ends side by side, so the evidence is joined to the variants once
+    evidence = long_evidence(variants, reads, shift, least)
+    wide = evidence.groupBy("vid", "sample").agg(*[F.max(F.when(F.col("side") == k, F.col(n))).alias(f"{n}_{k}") for k in "ilr" for n in ("reads", "events", "clips", "spans", "maq")])
+    found = asked.where(F.col("sv_type").isin("INS", "DEL")).join(wide, ["vid", "sample"], "left")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long"))
-    found = asked.where("sv_type = 'INS'").join(ins, ["vid", "sample"], "left")
-    by_ins = found.select("vid", "sample", F.when(zero("reads") == 0, MISSING).otherwise(insertion(zero("events"), zero("clips"), zero("reads"), zero("spans"), F.col("size"))).alias("gt"), zero("reads").alias("reads_l"), F.lit(0).cast("long").alias("reads_r"), share(zero("events") + zero("clips"), zero("reads")).alias("ratio_l"), F.lit(0.0).alias("ratio_r"), zero("maq").alias("maq"))
-    both = asked.where("sv_type = 'DEL'").join(left, ["vid", "sample"], "left").join(right, ["vid", "sample"], "left")
-    counts = [zero(f"{n}_{k}") for k in "lr" for n in ("events", "clips", "reads")]
-    by_del = both.select(
-        "vid", "sample", deletion(*counts, F.col("size")).alias("gt"), zero("reads_l").alias("reads_l"), zero("reads_r").alias("reads_r"),
-        *[share(zero(f"events_{k}") + zero(f"clips_{k}"), zero(f"reads_{k}")).alias(f"ratio_{k}") for k in "lr"], F.greatest(zero("maq_l"), zero("maq_r")).alias("maq"),
+    insert = F.col("sv_type") == "INS"
+    one = F.when(zero("reads_i") == 0, MISSING).otherwise(insertion(zero("events_i"), zero("clips_i"), zero("reads_i"), zero("spans_i"), F.col("size"), ins_homo, ref))
+    two = deletion(*[zero(f"{n}_{k}") for k in "lr" for n in ("events", "clips", "reads")], F.col("size"), homo, ref)
+    ratio = {k: share(zero(f"events_{k}") + zero(f"clips_{k}"), zero(f"reads_{k}")) for k in "ilr"}
+    return found.select(
+        "vid", "sample", F.when(insert, one).otherwise(two).alias("gt"), F.when(insert, zero("reads_i")).otherwise(zero("reads_l")).alias("reads_l"), zero("reads_r").alias("reads_r"),
+        F.when(insert, ratio["i"]).otherwise(ratio["l"]).alias("ratio_l"), ratio["r"].alias("ratio_r"), F.when(insert, zero("maq_i")).otherwise(F.greatest(zero("maq_l"), zero("maq_r"))).alias("maq"),
     )
-    return by_ins.unionByName(by_del)
 
 
 def shared_names(left: DataFrame, right: DataFrame, ident: list[str]) -> DataFrame:
@@ -470,3 +479,48 @@ def uncovered_points(deletions: DataFrame, coverage: DataFrame, ident: list[str]
     counted = count_overlaps(points, coverage, [*ident, "point"], "n", None, ("chrom", "point", "point"))
     empty = counted.groupBy(*ident).agg(F.count(F.when(F.col("n") == 0, 1)).alias("empty_points"))
     return deletions.join(empty, ident, "left")
+
+
+def forced_insertion(events: Column, clips: Column, reads: Column, spans: Column, fitting: Column, size: Column, homo: float = 0.75, ref: float = 0.05) -> Column:
+    """Given insertions: reads across at a tenth of all and one correct a homozygous call; short ones need a fitting operation."""
+    first = by_depth(events + clips, reads, homo, ref)
+    second = F.when((first == HOM) & (F.floor(0.1 * reads) + 1 <= spans), HET).otherwise(first)
+    return F.when(reads == 0, MISSING).when((second != REF) & (size < 800) & (fitting == 0), REF).otherwise(second)
+
+
+def forced_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 100, homo: float = 0.75, ref: float = 0.05) -> DataFrame:
+    """Genotypes of given variants of every type (as readers.user_variants() has them, with vid and size; rows as for breakpoints()) from long
+    reads, for every one of the samples. Each operation of more than half and less than twice the size counts, none adds up with others: of
+    insertions within the size, 500 at most, of the start; of deletions within 200 of either end, where the end of more support
+    decides, of equal ones the second. Inversions go by clips alone; long duplications by the clips within shift of their ends; short duplications and
+    translocations as in long_read_pair_calls()."""
+    c, size, asked = F.col, F.col("size"), _asked(variants, samples)
+    fits = lambda o: (o["n"] > 0.5 * size) & (o["n"] < 2 * size)
+    start, stop, wide = c("start"), c("stop"), F.least(size, F.lit(500))
+    at = lambda p, place, reach: (p >= place - reach) & (p < place + reach)
+    ins = variants.where("sv_type = 'INS'").withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
+    across = (c("r_start") + 1000 < start) & (c("r_last") + 1 - 1000 > start)
+    found = _local(ins, reads, "INS", fits, lambda o: at(o["ref"] - 1, start, wide), lambda p: at(p, start, wide), across)
+    rows = asked.where("sv_type = 'INS'").join(found, ["vid", "sample"], "left")
+    events, clips, depth, fitting = (_zero(n) for n in ("events", "clips", "reads", "fitting"))
+    gt = forced_insertion(events, clips, depth, _zero("whole") - fitting, fitting, size, homo, ref)
+    out = _call(rows, gt, (depth, F.lit(0)), (share(events + clips, depth), F.lit(0.0)), _zero("maq"))
+
+    sides = _deletion_sides(variants.where("sv_type = 'DEL'"), reads, shift, 200, fits, lambda place: F.lit(True))
+    two = _two_sided(asked.where("sv_type = 'DEL'"), sides, ("reads", "events", "clips", "fitting", "maq"))
+    a, b = (c(f"events_{k}") + c(f"clips_{k}") for k in "lr")
+    gt = by_depth(F.greatest(a, b), F.when(a > b, c("reads_l")).otherwise(c("reads_r")), homo, ref)
+    gt = F.when((gt != REF) & (size < 1000) & (c("fitting_l") + c("fitting_r") == 0), REF).otherwise(gt)
+    gt = F.when(c("reads_l") + c("reads_r") == 0, MISSING).otherwise(gt)
+    out = out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (share(a, c("reads_l")), share(b, c("reads_r"))), F.greatest("maq_l", "maq_r")))
+
+    small = (c("sv_type") == "DUP") & (size <= 3000)
+    paired = c("sv_type").isin("DUP", "INV") & ~small
+    reach = F.when(c("sv_type") == "DUP", shift).when(size < 1000, F.ceil(size / 2)).otherwise(500)
+    two = _two_sided(asked.where(paired), breakpoint_evidence(breakpoints(variants.where(paired), reach), reads, reach), ("reads", "clips", "maq"))
+    digits = {k: (share(c(f"clips_{k}"), c(f"reads_{k}"), 2), share(c(f"clips_{k}"), c(f"reads_{k}"))) for k in "lr"}
+    a, b = (F.when(c("sv_type") == "DUP", digits[k][0]).otherwise(digits[k][1]) for k in "lr")
+    gt = F.when(c("reads_l") + c("reads_r") == 0, MISSING).when(c("sv_type") == "DUP", by_two(a, b, "lr_dup")).otherwise(by_two(a, b, "force_inv"))
+    out = out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r")))
+    rest = long_read_pair_calls(variants.where(small | (c("sv_type") == "TRA")), reads, samples)
+    return out.unionByName(rest)

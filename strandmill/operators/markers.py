@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strandmill.functions.scalars import is_dna, round_half_even
 from strandmill.operators.sequences import chunked, slices
 
 BASES = ("A", "C", "G", "T")
@@ -33,7 +34,7 @@ def pileup_snps(pileup: DataFrame, top: float = 0.95, by_samples: bool = True) -
     total = F.floor(F.size("columns") / 3).cast("long") if by_samples else F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x["n"])
     first, second = F.get("n", F.lit(0)), F.get("n", F.lit(1))
     out = ranked.select("chrom", "pos", first["base"].alias("con"), second["base"].alias("mut"), first["n"].alias("con_n"), second["n"].alias("mut_n"), total.alias("total"))
-    freq = lambda c: F.round(F.col(c) / F.col("total"), 3)
+    freq = lambda c: round_half_even(F.col(c) / F.col("total"), 3)
     out = out.where("total > 0").withColumns({"con_freq": freq("con_n"), "mut_freq": freq("mut_n")})
     return out.where((F.col("con_freq") < top) & (F.col("mut_n") > 0)).drop("total")
 
@@ -68,8 +69,9 @@ def caps_sites(snps: DataFrame, sequences: DataFrame, enzymes: DataFrame, length
     return named.withColumn("sites", count).where("sites <= 2").select("chrom", "pos", F.col("a.allele").alias("allele"), F.col("a.freq").alias("freq"), F.col("name").alias("enzyme"), "before", "sites", F.when(F.col("sites") == 2, parts).alias("lengths"), "tile")
 
 
-#: Molar salt and primer of the estimates.
+#: Molar salt and primer of the estimates; pairs of primers worked out at once.
 SALT, DNA = 0.05, 50e-9
+TOGETHER = 512
 
 
 def melting_temperature(seq: str, salt: float = SALT, dna: float = DNA) -> float:
@@ -88,16 +90,84 @@ def melting_temperature(seq: str, salt: float = SALT, dna: float = DNA) -> float
     return 1000 * heat / (order + 1.987 * math.log(dna / 4)) - 273.15
 
 
+#: Published free energies (kcal/mol at 37 degrees) of loops by their unpaired bases, bulges from one and internal loops from three, and
+#: an estimate for one base against one, whose mean is near this; fixed values.
+BULGES = (4.0, 2.9, 3.2, 3.3)
+INTERNAL = (3.2, 3.6, 4.0, 4.4, 4.6, 4.8)
+MISMATCH = 0.8
+WARM = 310.15
+
+
+def _loops() -> list[tuple[int, int, float]]:
+    """Unpaired bases on either strand and the loop's entropy, cal/(mol K)."""
+    out = []
+    for i in range(5):
+        for j in range(5):
+            if i + j and (i == 0 or j == 0):
+                out.append((i, j, BULGES[i + j - 1]))
+            elif i and j:
+                out.append((i, j, MISMATCH if i + j == 2 else INTERNAL[i + j - 3]))
+    return [(i, j, -1000 * energy / WARM) for i, j, energy in out]
+
+
+def duplexes(first: list[str], second: list[str], salt: float = SALT, dna: float = DNA) -> tuple[np.ndarray, np.ndarray]:
+    """Of each pair of primers the melting estimate (degrees Celsius; -273.15 if they have no pair) and the free energy at 37 degrees
+    (kcal/mol) of their most stable duplex: runs of stacked pairs, parted by bulges, mismatches and internal loops of
+    up to four bases on a strand, with the ends' penalties. A dynamic programme over both strands, all pairs at once."""
+    n, flip = len(first), str.maketrans("ACGT", "TGCA")
+    size = [max(map(len, x), default=0) for x in (first, second)]
+    code = {c: k for k, c in enumerate(BASES)}
+    a, b = (np.full((n, w), pad, np.int64) for w, pad in zip(size, (9, 6)))
+    for k, (x, y) in enumerate(zip(first, second)):
+        a[k, : len(x)] = [code.get(c, 8) for c in x]
+        b[k, : len(y)] = [code.get(c, 7) for c in y.translate(flip)[::-1]]  # paired where equal
+    stack = np.full((10, 10, 2), np.nan)
+    for i, x in enumerate(BASES):
+        for j, y in enumerate(BASES):
+            stack[i, j] = STACKS.get(x + y) or STACKS[(x + y).translate(flip)[::-1]]
+    paired = a[:, :, None] == b[:, None, :]
+    weak = np.isin(a, (0, 3))
+    # of the best duplex that ends in the pair (i, j): free energy at 37 degrees, heat, order
+    energy = np.full((n, *size), np.inf)
+    heat, order = np.zeros((n, *size)), np.zeros((n, *size))
+    steps = [(0, 0, 0.0), *_loops()]
+    rows = np.arange(n)
+    end = (np.full(n, np.inf), np.zeros(n), np.zeros(n))
+    for i in range(size[0]):
+        # all places of the second strand at once: a pair follows pairs of earlier places of the first
+        ends = np.where(weak[:, i], 1.0, 0.0)
+        h0, s0 = 0.2 + 2.2 * ends, -5.7 + 6.9 * ends
+        best = [np.repeat(v[:, None], size[1], 1) for v in (h0 - WARM * s0 / 1000, h0, s0)]
+        for p, q, loop in steps:
+            x = i - 1 - p
+            if x < 0 or q + 1 >= size[1]:
+                continue
+            if p == q == 0 or p + q == 1:  # a single bulged base leaves the stack
+                pair = stack[a[:, x], a[:, i]]
+                dh, ds = pair[:, :1], pair[:, 1:] + 0.368 * math.log(salt) + loop
+            else:
+                dh, ds = 0.0, loop
+            old = slice(0, size[1] - 1 - q)
+            e = energy[:, x, old] + (dh - WARM * ds / 1000)
+            better = e < best[0][:, 1 + q :]
+            for own, new in zip(best, (e, heat[:, x, old] + dh, order[:, x, old] + ds)):
+                own[:, 1 + q :] = np.where(better, new, own[:, 1 + q :])
+        energy[:, i] = np.where(paired[:, i], best[0], np.inf)
+        heat[:, i], order[:, i] = best[1], best[2]
+        shut = np.where(weak[:, i], 2.2 - WARM * 6.9 / 1000, 0.0)
+        j = energy[:, i].argmin(1)
+        whole = energy[rows, i, j] + shut
+        better = whole < end[0]
+        end = tuple(np.where(better, new, old) for new, old in zip((whole, heat[rows, i, j] + 2.2 * ends, order[rows, i, j] + 6.9 * ends), end))
+    found = np.isfinite(end[0])
+    with np.errstate(divide="ignore", invalid="ignore"):
+        warm = np.where(found, 1000 * end[1] / (end[2] + 1.987 * math.log(dna / 4)) - 273.15, -273.15)
+    return np.maximum(warm, -273.15), np.where(found, end[0], 0.0)
+
+
 def pairing_temperature(a: str, b: str) -> float:
-    """Melting estimate of the longest run of complementary bases of two primers, 0 under 4 bases."""
-    flip = b.translate(str.maketrans("ACGT", "TGCA"))[::-1]
-    best = ""
-    for i in range(len(a)):
-        for j in range(i + len(best) + 1, len(a) + 1):
-            if a[i:j] not in flip:
-                break
-            best = a[i:j]
-    return melting_temperature(best) if len(best) >= 4 else 0.0
+    """duplexes() of one pair."""
+    return float(duplexes([a], [b])[0][0])
 
 
 def _windows(seq: str, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,33 +221,42 @@ def primer_candidates(templates: DataFrame, sizes: tuple[int, int] = (18, 25), t
 def best_primers(candidates: DataFrame, sizes: DataFrame, product: tuple[int, int] = (100, 1500), least_difference: int = 50) -> DataFrame:
     """The best-scored pair of each template (sizes: id, sv_size): product sizes of both alleles within bounds,
     score 100 less penalties for pairing above 45 degrees, melting points more than 3 apart and GC outside 40 to 60;
-    of equal ones the first by places and letters. All pairs compete: one whose score without pairing is no
-    better than the best so far is passed over, and nothing beats a score of 100. A template's candidates are bounded by its flanks."""
+    of equal ones the first by places and letters. All pairs compete, TOGETHER at a time, best bound first; once no
+    bound reaches the best score, the rest are passed over. A template's candidates are bounded by its flanks."""
     gone = lambda gc: np.where(gc < 40, (40 - gc) * 0.5, np.where(gc > 60, (gc - 60) * 0.5, 0.0))
     names = ["pos", "primer", "tm", "gc"]
 
     def best(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["pos", "primer"], kind="stable")
-        front, back = (group[group["side"] == k] for k in ("forward", "reverse"))
-        differ, found, score = int(group["sv_size"].iloc[0]), None, -math.inf
-        places, heats, cost = back["pos"].to_numpy(), back["tm"].to_numpy(), gone(back["gc"].to_numpy())
-        for f in front.itertuples(index=False):
-            ref = places - f.pos + 1
-            fits = (places > f.pos) & (ref >= product[0]) & (ref <= product[1]) & (ref - differ >= product[0]) & (ref - differ <= product[1])
-            bound = 100 - np.maximum(0, np.abs(heats - f.tm) - 3) * 5 - cost - float(gone(np.array(f.gc)))
-            for k in np.flatnonzero(fits & (bound > score)).tolist():
-                if bound[k] > score:
-                    r = back.iloc[k]
-                    heat = pairing_temperature(f.primer, r["primer"])
-                    own = float(bound[k]) - max(0.0, heat - 45) * 2
-                    if own > score:
-                        score, found = own, (f.id, *[getattr(f, n) for n in names], *[r[n] for n in names], differ, int(ref[k]), int(ref[k]) - differ, heat, own)
-            if score >= 100:
+        front, back = (group[group["side"] == k].reset_index(drop=True) for k in ("forward", "reverse"))
+        differ = int(group["sv_size"].iloc[0])
+        ref = back["pos"].to_numpy()[None, :] - front["pos"].to_numpy()[:, None] + 1
+        fits = (ref > 1) & (ref >= product[0]) & (ref <= product[1]) & (ref - differ >= product[0]) & (ref - differ <= product[1])
+        bound = 100 - np.maximum(0, np.abs(back["tm"].to_numpy()[None, :] - front["tm"].to_numpy()[:, None]) - 3) * 5 - gone(back["gc"].to_numpy())[None, :] - gone(front["gc"].to_numpy())[:, None]
+        # pairs by what they could reach without pairing, the first by places and letters of equal ones, a block at a time
+        open_ = np.flatnonzero(fits.ravel())
+        open_ = open_[np.argsort(-bound.ravel()[open_], kind="stable")]
+        found, score, place = None, -math.inf, -1
+        low, many = 0, 32
+        while low < len(open_):
+            block = open_[low : low + many]
+            low, many = low + many, min(2 * many, TOGETHER)
+            first = bound.ravel()[block[0]]
+            if first < score or first == score and place < block[0]:  # equal bounds stand by place
                 break
+            i, j = np.divmod(block, len(back))
+            heats, energies = duplexes(front["primer"].to_numpy()[i].tolist(), back["primer"].to_numpy()[j].tolist())
+            own = bound.ravel()[block] - np.maximum(0.0, heats - 45) * 2
+            k = min(range(len(block)), key=lambda x: (-own[x], block[x]))
+            if own[k] > score or own[k] == score and block[k] < place:
+                score, place = float(own[k]), int(block[k])
+                f, r = front.iloc[i[k]], back.iloc[j[k]]
+                size = int(ref[i[k], j[k]])
+                found = (f["id"], *[f[n] for n in names], *[r[n] for n in names], differ, size, size - differ, float(heats[k]), float(energies[k]), score)
         return pd.DataFrame([found] if found else [], columns=columns)
 
     kinds = {"pos": "long", "primer": "string", "tm": "double", "gc": "double"}
-    made = [("id", "string"), *[(p + n, kinds[n]) for p in ("f_", "r_") for n in names], ("sv_size", "long"), ("ref_size", "long"), ("alt_size", "long"), ("pair_tm", "double"), ("score", "double")]
+    made = [("id", "string"), *[(p + n, kinds[n]) for p in ("f_", "r_") for n in names], ("sv_size", "long"), ("ref_size", "long"), ("alt_size", "long"), ("pair_tm", "double"), ("pair_dg", "double"), ("score", "double")]
     columns = [n for n, _ in made]
     rows = candidates.join(sizes.where(F.abs("sv_size") >= least_difference).select("id", "sv_size"), "id")
     return rows.groupBy("id").applyInPandas(best, ", ".join(f"{n} {t}" for n, t in made))
@@ -192,6 +271,26 @@ def outermost_primers(candidates: DataFrame, sizes: DataFrame) -> DataFrame:
     return out.select("id", F.col("f.primer").alias("forward"), F.col("r.primer").alias("reverse"), (F.col("r.pos") - F.col("f.pos") + 1).alias("ref_size"), (F.col("r.pos") - F.col("f.pos") + 1 - F.col("sv_size")).alias("alt_size"))
 
 
+def best_ranked_primers(candidates: DataFrame, sizes: DataFrame, size: int = 21, tm: float = 60.0) -> DataFrame:
+    """The best-ranked forward and the best-ranked reverse primer of each template, each on its own: the one nearest to size and melting
+    point, the distances added, of equal ones the first by place and letters; with both alleles' products."""
+    cost = F.abs(F.length("primer") - size) + F.abs(F.col("tm") - tm)
+    first = lambda side: F.min(F.when(F.col("side") == side, F.struct(cost.alias("cost"), "pos", "primer")))
+    ranked = candidates.groupBy("id").agg(first("forward").alias("f"), first("reverse").alias("r"))
+    out = ranked.where("f is not null and r is not null and r.pos > f.pos").join(sizes.select("id", "sv_size"), "id")
+    return out.select("id", F.col("f.primer").alias("forward"), F.col("f.pos").alias("f_pos"), F.col("r.primer").alias("reverse"), F.col("r.pos").alias("r_pos"), (F.col("r.pos") - F.col("f.pos") + 1).alias("ref_size"), (F.col("r.pos") - F.col("f.pos") + 1 - F.col("sv_size")).alias("alt_size"))
+
+
+def genotype_templates(rows: DataFrame, sequences: DataFrame, flank: int = 600) -> DataFrame:
+    """Sequence of flank bases on both sides of the rows of a genotype table (id, chrom, start, stop, sv_size; places count from 0), in capitals:
+    seqid and seq. Rows that begin under flank - 20 and sequences with other letters than A, C, G, T and N go."""
+    store = sequences if "chunk" in sequences.columns else chunked(sequences)
+    asked = rows.where(F.col("start") + 20 >= flank).select("id", "chrom", F.greatest(F.col("start") - flank, F.lit(0)).alias("start"), (F.col("stop") + flank).alias("stop"), "sv_size")
+    named = asked.withColumn("seqid", F.concat("chrom", F.lit(":"), F.col("start").cast("string"), F.lit("-"), F.col("stop").cast("string")))
+    found = slices(store, named, ["id"], name="seq").withColumn("seq", F.upper("seq"))
+    return found.where(is_dna(F.col("seq")) & (F.length("seq") > 0)).select("id", "seqid", "seq", "sv_size")
+
+
 def templates(sites: DataFrame, sequences: DataFrame, flank: int = 600) -> DataFrame:
     """Sequence around each site (id, chrom, start, stop, sv_size), flank bases on both sides, within bounds and without N."""
     store = sequences if "chunk" in sequences.columns else chunked(sequences)

@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from strandmill.functions.scalars import reverse_complement
 from strandmill.operators.intervals import overlap_join
+from strandmill.operators.runs import settled
 from strandmill.operators.windows import nested_gaps
 
 #: Outer and inner types that may nest; fixed values.
@@ -96,19 +97,20 @@ def invert_sequences(sequences: DataFrame, inversions: DataFrame) -> DataFrame:
     return joined.withColumn("seq", F.when(F.col("invs").isNull(), F.col("seq")).otherwise(F.aggregate(F.coalesce("invs", F.array().cast("array<struct<start:bigint,stop:bigint>>")), F.col("seq"), step))).drop("invs")
 
 
-def until_stable(call: Callable[[DataFrame], DataFrame], sequences: DataFrame, rounds: int = 10) -> tuple[DataFrame, list[DataFrame]]:
+def until_stable(call: Callable[[DataFrame], DataFrame], sequences: DataFrame, rounds: int = 10, invert: Callable[[DataFrame, DataFrame], DataFrame] = invert_sequences) -> tuple[DataFrame, list[DataFrame]]:
     """Calls variants, inverts the sequences at the inversions found and calls again, until there are none or
-    not fewer than before. Returns the sequences and each round's variants. Rounds are materialised by call()."""
+    not fewer than before. Returns the sequences and each round's variants. Each round's variants and sequences are
+    checkpointed, so a round reads what the last one left. invert: of whole sequences, or sequences.inverted of chunks."""
     found, before = [], None
     for _ in range(rounds):
-        variants = call(sequences)
+        variants = settled(call(sequences))
         found.append(variants)
         inversions = variants.where("sv_type = 'INV'")
         count = inversions.count()
         if not count or (before is not None and count >= before):
             break
         before = count
-        sequences = invert_sequences(sequences, inversions)
+        sequences = settled(invert(sequences, inversions))
     return sequences, found
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-#: Islands are marked in stretches of 2 to this power of places.
-STRETCH = 20
+#: Islands are marked in stretches of 2 to this power of places, where a key has more rows than PLAIN.
+STRETCH, PLAIN = 20, 1_000_000
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -37,13 +37,22 @@ def placed(df: DataFrame, order: list[str], name: str = "place") -> DataFrame:
     return dealt.withColumn(name, (first[F.col("__part")] + inner + 1).cast("long")).drop("__part")
 
 
-def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[Callable[[str], Column]], Column], name: str = "island", stretch: int = STRETCH) -> DataFrame:
+def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[Callable[[str], Column]], Column], name: str = "island", stretch: int = STRETCH, plain: int = PLAIN) -> DataFrame:
     """Numbers runs from 1 within keys: a row for which starts(previous) is true or null begins a run;
     previous(column) is that column's value in the row before. order begins with a whole-number place.
 
-    A task sorts one stretch of places, not a key's rows: runs are marked within stretches, and one row of
-    each stretch (its first row, what its last row shows the next one, its number of runs) carries marks and
-    numbers over the edges."""
+    Where no key has more than plain rows, which a count by key tells, a window over each key does it. Beyond that a task
+    sorts one stretch of places, not a key's rows: runs are marked within stretches, of a length at which the largest key's
+    hold about plain rows, and one row of each stretch (its first row, what its last row shows the next one, its number of
+    runs) carries marks and numbers over the edges. Both ways give the same rows."""
+    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), (F.max(order[0]) - F.min(order[0])).alias("__far")).agg(F.max(F.struct("__n", "__far"))).head()[0]
+    if largest is None or largest["__n"] <= plain:
+        along = Window.partitionBy(*keys).orderBy(*order)
+        new = F.coalesce(starts(lambda c: F.lag(c).over(along)), F.lit(True)).cast("int")
+        marked = df.withColumn("__new", new)
+        return marked.withColumn(name, F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__new")
+    if largest["__far"]:  # rows lie as densely as they do in the largest key
+        stretch = min(stretch, max(0, int(np.log2(max(1.0, float(largest["__far"]) * plain / largest["__n"])))))
     shown: list[str] = []
     starts(lambda c: (shown.append(c), F.lit(None))[1])
     place = F.coalesce(F.shiftright(F.col(order[0]).cast("long"), stretch), F.lit(-(1 << 62)))

@@ -47,7 +47,8 @@ def slices(store: DataFrame, requests: DataFrame, ident: list[str], size: int =
     low, high = F.greatest("start", F.lit(0)), F.col("stop")
     within = F.expr("substring(__text, cast(greatest(start, __in * {s}) - __in * {s} + 1 as int), cast(least(stop, (__in + 1) * {s}) - greatest(start, __in * {s}) as int))".format(s=size))
     asked = requests.withColumns({"__first": F.floor(low / size), "__last": F.floor((high - 1) / size)})
-    single, many = asked.where(F.col("__last") <= F.col("__first")), asked.where(F.col("__last") > F.col("__first"))
+    known = F.col("start").isNotNull() & F.col("stop").isNotNull()
+    single, many = asked.where(known & (F.col("__last") <= F.col("__first"))), asked.where(known & (F.col("__last") > F.col("__first")))
     chunks = _prefixed(store)
     meets = (F.col("chrom") == F.col("__of")) & (F.col("__first") == F.col("__in"))
     found = F.when(F.col("stop") <= low, F.lit("")).otherwise(F.nullif(within, F.lit("")))
@@ -55,7 +56,7 @@ def slices(store: DataFrame, requests: DataFrame, ident: list[str], size: int =
     spread = many.select(*dict.fromkeys([*ident, "chrom", "start", "stop", "__first", "__last"])).distinct().withColumn("__first", F.explode(F.sequence("__first", "__last"))).join(chunks, meets)
     whole = spread.select(*ident, F.struct(F.col("__in").alias("place"), within.alias("text")).alias("__p")).groupBy(*ident).agg(F.collect_list("__p").alias("__p"))
     more = many.join(whole, ident, "left").withColumn("__found", F.nullif(_joined("__p"), F.lit("")))
-    none = asked.where("start is null or stop is null").withColumn("__found", F.lit(None).cast("string"))
+    none = asked.where(~known).withColumn("__found", F.lit(None).cast("string"))
     columns = [*requests.columns, "__found"]
     out = one.select(*columns).unionByName(more.select(*columns)).unionByName(none.select(*columns))
     text = F.col("__found") if turned is None else F.when(F.col(turned), reverse_complement(F.col("__found"))).otherwise(F.col("__found"))
@@ -110,7 +111,9 @@ def inverted(store: DataFrame, inversions: DataFrame, size: int = CHUNK) -> Data
     behind = spans.withColumn("last", F.lead("a").over(by).isNull()).where("last").select("chrom", F.col("b").alias("a"), F.col("size").alias("b"))
     up, down = F.ceil(F.col("a") / size) * size, F.floor(F.col("b") / size) * size
     ends = F.when(up > down, F.array(F.struct(F.col("a").alias("a"), F.col("b").alias("b")))).otherwise(F.array(F.struct(F.col("a").alias("a"), up.alias("b")), F.struct(down.alias("a"), F.col("b").alias("b"))))
-    still = ahead.unionByName(behind).where("a < b").select("chrom", F.explode(ends).alias("e")).where("e.a < e.b").select("chrom", F.col("e.a").alias("dst"), F.col("e.a").alias("src"), (F.col("e.b") - F.col("e.a")).alias("n"), F.lit(False).alias("turned"))
+    tail = F.array(F.struct(F.col("a").alias("a"), F.least(up, F.col("b")).alias("b")))  # the last chunk is whole where the sequence ends
+    pieces = ahead.select("chrom", F.explode(ends).alias("e")).unionByName(behind.select("chrom", F.explode(tail).alias("e")))
+    still = pieces.where("e.a < e.b").select("chrom", F.col("e.a").alias("dst"), F.col("e.a").alias("src"), (F.col("e.b") - F.col("e.a")).alias("n"), F.lit(False).alias("turned"))
     touched = spans.select("chrom", F.explode(F.sequence(F.floor(F.col("a") / size), F.floor((F.col("b") - 1) / size))).alias("chunk")).distinct()
     cut = moved.unionByName(still)
     # by the chunk that a piece goes to, then by the chunk that it comes from

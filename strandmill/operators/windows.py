@@ -41,15 +41,28 @@ def translocation_windows(signals: DataFrame, keys: list[str], order: list[str],
     return anchored(signals, keys, order, lambda s: np.full(len(s), float(width)), float(width), size="start")
 
 
-def kept_windows(windows: DataFrame, keys: list[str], depth: float, nreads: int = 5, most: int = 10) -> DataFrame:
-    """Rows of windows with enough distinct reads and fewer than depth * most, or of insertions whose longest is 5000 at least."""
-    least = 3 if nreads >= 5 else 2
+def kept_windows(windows: DataFrame, keys: list[str], depth: float, nreads: int = 5, most: int = 10, least: int | None = None, longest: int | None = 5000) -> DataFrame:
+    """Rows of windows with enough distinct reads and fewer than depth * most, or of insertions whose longest is 5000 at least.
+    least: 3 of nreads 5 or more, else 2; longest=None: no such insertions."""
+    least = least if least is not None else 3 if nreads >= 5 else 2
     ident = [*keys, "island", "window"]
     stats = windows.groupBy(*ident).agg(F.count_distinct("query_name").alias("reads"), F.max("sv_len").alias("longest"))
-    fits = ((F.col("reads") >= least) & (F.col("reads") < depth * most)) | ((F.col("sv_type") == "INS") & (F.col("longest") >= 5000))
+    fits = (F.col("reads") >= least) & (F.col("reads") < depth * most)
+    if longest is not None:
+        fits = fits | ((F.col("sv_type") == "INS") & (F.col("longest") >= longest))
     return windows.join(stats, ident).where(fits).drop("longest")
 
 
+def kept_fixed_windows(windows: DataFrame, keys: list[str], depth: float) -> DataFrame:
+    """Windows of one width: those of two reads at least and fewer than a hundred times the depth."""
+    return kept_windows(windows, keys, depth, most=100, least=2, longest=None)
+
+
+def kept_break_windows(windows: DataFrame, keys: list[str], depth: float, nreads: int = 5) -> DataFrame:
+    """Where clip ends will confirm candidates, one read keeps a window, of nreads 6 or more three do."""
+    return kept_windows(windows, keys, depth, least=3 if nreads >= 6 else 1)
+
+
 def gap_windows(signals: DataFrame, keys: list[str], order: list[str], window: int = 500, deletion_extra: int = 250) -> DataFrame:
     """A row joins its predecessor while it starts before the predecessor's start + window; adds island."""
     reach = F.lit(window) + F.when(F.col("sv_type") == "DEL", deletion_extra).otherwise(0)

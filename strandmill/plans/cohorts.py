@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from strandmill.functions import scalars
-from strandmill.operators import alignments, annotation, clusters, cohort, filters, genotypes, intervals, markers, nested
+from strandmill.operators import alignments, annotation, clusters, cohort, filters, genotypes, intervals, markers, nested, sequences
 from strandmill.plans.catalog import query
 from strandmill.plans.projection import cte, spark_table
 from strandmill.plans.signals import sig
@@ -55,8 +56,8 @@ def sa_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tagged.select("qname", F.explode(alignments.sa_segments(F.col("sa"))).alias("s")).select("qname", "s.*")
 
 
-PAIRS = cte("piece") + """, p AS (SELECT DISTINCT qname, flag, chrom, start, stop, cl, cm, cr, mapq FROM piece WHERE cm >= 300),
-pq AS (SELECT p.qname, p, q, CASE WHEN q.start > p.start THEN p ELSE q END AS l, CASE WHEN q.start > p.start THEN q ELSE p END AS r FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16),
+PAIRS = cte("piece") + """, p AS (SELECT DISTINCT qname, flag, chrom, start, stop, cl, cm, cr, mapq FROM piece),
+pq AS (SELECT p.qname, p, q, CASE WHEN q.start > p.start THEN p ELSE q END AS l, CASE WHEN q.start > p.start THEN q ELSE p END AS r FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16 AND q.cm >= 300),
 z AS (SELECT qname, l.chrom AS chrom, l.chrom = r.chrom AS same_chrom, floor((l.mapq + r.mapq) / 2) AS maq, (l.flag & 16) = (r.flag & 16) AS same, l.start AS ls, l.stop AS le, r.start AS rs, r.stop AS re, l.cl + l.cm - r.cl AS lap1, r.cl + r.cm - l.cl AS lap2, r.cl - l.cm - l.cl AS ins0, r.cl + r.cm - l.cr AS inv1, r.cr + r.cm - l.cl AS inv2 FROM pq),
 y AS (SELECT *, NOT same AND ls < rs AND re - le > -200 AS turned FROM z WHERE same_chrom AND maq >= 30),
 o AS (
@@ -90,6 +91,53 @@ def split_read_translocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments.translocation_signals(alignments.segment_pairs(pieces(spark, sf_dir)), order).select("chrom", "query_name", "start", "chrom2", "start2")
 
 
+def short_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces with mapped lengths to 699, so that the bounds on them matter."""
+    mapped = (F.col("clip.mapped") * 7) % 700
+    return pieces(spark, sf_dir).withColumns({"stop": F.col("start") + mapped, "clip": F.struct(F.col("clip.left").alias("left"), mapped.alias("mapped"), F.col("clip.right").alias("right"))}).distinct()
+
+
+SHORT = PAIRS.replace("SELECT DISTINCT qname, flag, chrom, start, stop, cl, cm, cr, mapq FROM piece", "SELECT DISTINCT qname, flag, chrom, start, start + (cm * 7) % 700 AS stop, cl, (cm * 7) % 700 AS cm, cr, mapq FROM piece")
+
+
+@query(SHORT)
+def split_read_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of any length: a short primary still counts, short supplements don't."""
+    return alignments.split_signals(alignments.segment_pairs(short_pieces(spark, sf_dir))).drop("svid", "seq")
+
+
+_ALL = SHORT.replace("maq >= 30", "maq = 60")
+_FIRST = _ALL.replace("pq AS (", "k AS (SELECT *, row_number() OVER (PARTITION BY qname ORDER BY chrom, start, flag, stop) AS k, min(flag) OVER (PARTITION BY qname) AS least FROM p),\npq AS (").replace("FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16 AND q.cm >= 300)", "FROM k p JOIN k q ON p.qname = q.qname AND p.k = 1 AND q.k > 1 AND p.least <= 16 AND q.cm >= 250)")
+
+
+@query(_FIRST + " AND (sv_type <> 'INV' OR sv_len < CASE chrom WHEN 'Chr1' THEN 3000 ELSE 200000 END / 4)")
+def split_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of contigs: the piece of smallest place is the primary, qualities are 60, inversions are under a quarter of the chromosome."""
+    sizes = spark.createDataFrame([("Chr1", 3000), ("Chr2", 200000)], "chrom string, size long")
+    found = alignments.split_signals(alignments.segment_pairs(short_pieces(spark, sf_dir), assembly=True), exact_mapq=60)
+    return filters.inversion_guard(found, sizes).drop("svid", "seq")
+
+
+_EACH = """FROM p JOIN p q ON p.qname = q.qname AND p.chrom = q.chrom AND ((p.start < q.start AND (p.cm >= 250 OR q.cm >= 250)) OR (p.start = q.start AND p.cm >= 250 AND (p.flag, p.stop, p.cl, p.cm, p.cr, p.mapq) <> (q.flag, q.stop, q.cl, q.cm, q.cr, q.mapq))))"""
+
+
+@query(_ALL.replace("FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16 AND q.cm >= 300)", _EACH).replace("CASE WHEN q.start > p.start THEN p ELSE q END AS l, CASE WHEN q.start > p.start THEN q ELSE p END AS r", "p AS l, q AS r"))
+def split_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Signals of all pairs of a contig's pieces, each pair once."""
+    return alignments.split_signals(alignments.banded_pairs(short_pieces(spark, sf_dir)), exact_mapq=60).drop("svid", "seq")
+
+
+@query(SHORT.split(",\nz AS (")[0].replace("FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16 AND q.cm >= 300)", "FROM p JOIN p q ON p.qname = q.qname AND p.chrom < q.chrom AND (p.cm >= 250 OR q.cm >= 250))") + """,
+t AS (SELECT qname, p.chrom AS a, q.chrom AS b,
+ CASE WHEN abs(p.cl - q.cl - q.cm) <= 500 OR abs(p.cl - q.cm - q.cr) <= 500 THEN p.start WHEN abs(p.cr - q.cl - q.cm) <= 500 OR abs(p.cr - q.cm - q.cr) <= 500 THEN p.stop END AS x,
+ CASE WHEN abs(q.cl - p.cl - p.cm) <= 500 OR abs(q.cl - p.cm - p.cr) <= 500 THEN q.start WHEN abs(q.cr - p.cl - p.cm) <= 500 OR abs(q.cr - p.cm - p.cr) <= 500 THEN q.stop END AS y
+ FROM pq WHERE floor((p.mapq + q.mapq) / 2) = 60)
+SELECT a AS chrom, qname AS query_name, x AS start, b AS chrom2, y AS start2 FROM t WHERE x IS NOT NULL AND y IS NOT NULL""")
+def split_all_translocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = spark.createDataFrame([("Chr1", 1), ("Chr2", 2)], "chrom string, rank int")
+    return alignments.translocation_signals(alignments.banded_pairs(short_pieces(spark, sf_dir)), order).select("chrom", "query_name", "start", "chrom2", "start2")
+
+
 def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark_table(spark, sf_dir, "ratio")
 
@@ -145,7 +193,7 @@ def gt_short_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(cte("sig") + """ SELECT chrom, start, stop, CASE WHEN sv_type IN ('DEL', 'INV') THEN sv_len WHEN sv_type IN ('INS', 'DUP') THEN -sv_len ELSE 0 END AS target_size, CASE WHEN sv_type = 'DEL' THEN -sv_len ELSE sv_len END AS query_size, sv_type, 's1' AS sample,
-CASE WHEN sv_rate > 0.65 THEN '1/1' WHEN sv_rate < 0.1 THEN '0/0' ELSE '0/1' END AS gt, CAST(ceil(cluster_size / sv_rate) AS BIGINT) AS reads, round(sv_rate, 2) AS ratio FROM sig""")
+CASE WHEN sv_rate > 0.65 THEN '1/1' WHEN sv_rate < 0.1 THEN '0/0' ELSE '0/1' END AS gt, CAST(ceil(cluster_size / sv_rate) AS BIGINT) AS reads, half_even(sv_rate, 2) AS ratio FROM sig""")
 def gt_signal_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return genotypes.from_signal_rate(sig(spark, sf_dir), "s1")
 
@@ -153,7 +201,7 @@ def gt_signal_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(cte("name") + """, a AS (SELECT vid, qname, count(*) AS n FROM name WHERE side = 0 GROUP BY ALL), b AS (SELECT vid, qname, count(*) AS n FROM name WHERE side = 1 GROUP BY ALL),
 f AS (SELECT coalesce(a.vid, b.vid) AS vid, a.n AS x, b.n AS y FROM a FULL JOIN b ON a.vid = b.vid AND a.qname = b.qname),
 s AS (SELECT vid, CAST(sum(CASE WHEN x IS NOT NULL AND y IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS shared, CAST(coalesce(sum(x), 0) AS BIGINT) AS reads_a, CAST(coalesce(sum(y), 0) AS BIGINT) AS reads_b FROM f GROUP BY vid),
-r AS (SELECT *, CASE WHEN reads_a > 0 THEN round(shared / reads_a, 3) ELSE 0 END AS a, CASE WHEN reads_b > 0 THEN round(shared / reads_b, 3) ELSE 0 END AS b FROM s)
+r AS (SELECT *, CASE WHEN reads_a > 0 THEN half_even(shared / reads_a, 3) ELSE 0 END AS a, CASE WHEN reads_b > 0 THEN half_even(shared / reads_b, 3) ELSE 0 END AS b FROM s)
 SELECT vid, shared, reads_a, reads_b, CASE WHEN greatest(a, b) > 0.9 OR least(a, b) >= 0.8 THEN '1/1' WHEN a + b < 0.1 THEN '0/0' ELSE '0/1' END AS gt FROM r""")
 def tra_shared_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark_table(spark, sf_dir, "name")
@@ -195,6 +243,38 @@ def phase_polyploid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cohort.phase_many(once(spark, sf_dir).withColumn("hap", F.col("sample")), ["id"])
 
 
+@query("""WITH a AS (SELECT id, gt, row_number() OVER (ORDER BY chrom, pos, id) AS place FROM x WHERE sample = 's10'), b AS (SELECT gt, row_number() OVER (ORDER BY chrom, pos, id) AS place FROM x WHERE sample = 's11'),
+h AS (SELECT coalesce(a.place, b.place) AS place, a.id, coalesce(a.gt, './.') AS x, coalesce(b.gt, './.') AS y FROM a FULL JOIN b ON a.place = b.place),
+m AS (SELECT place, id, CASE x WHEN '1/1' THEN '1' WHEN '0/0' THEN '0' WHEN './.' THEN '.' ELSE x END || '|' || CASE y WHEN '1/1' THEN '1' WHEN '0/0' THEN '0' WHEN './.' THEN '.' ELSE y END AS p FROM h)
+SELECT place, id, CASE p WHEN '0/1|1' THEN '0|1' WHEN '0/1|0' THEN '1|0' WHEN '0|0/1' THEN '0|1' WHEN '1|0/1' THEN '1|0' WHEN '0/1|0/1' THEN '0/1' ELSE p END AS gt FROM m""".replace("WITH a", ONCE + ", x AS (SELECT * FROM c), a", 1))
+def phase_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = once(spark, sf_dir)
+    return cohort.phase_positional(rows.where("sample = 's10'"), rows.where("sample = 's11'"), ["chrom", "pos", "id"], ["id"])
+
+
+def _sample_places(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame([(s, k + 1) for k, s in enumerate([*SAMPLES, "s99"])], "sample string, place int")
+
+
+@query(cte("gt") + " SELECT id, arg_min(chrom, sample) AS chrom, arg_min(pos, sample) AS pos, concat_ws(',', " + ", ".join(f"coalesce(max(CASE WHEN sample = '{s}' THEN gt END), './.')" for s in [*SAMPLES, "s99"]) + ") AS calls FROM gt GROUP BY id")
+def cohort_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cohort's calls as one array a variant, over nine samples of which one has no calls."""
+    return cohort.cohort_arrays(calls(spark, sf_dir), _sample_places(spark)).withColumn("calls", F.array_join("calls", ","))
+
+
+@query(ONCE + " SELECT id, coalesce(string_agg(CAST(CAST(substr(sample, 2) AS INT) - 9 AS VARCHAR) || ':' || gt, ',' ORDER BY sample) FILTER (WHERE gt <> '0/0'), '') AS calls FROM c GROUP BY id")
+def cohort_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cohort.cohort_arrays(calls(spark, sf_dir), _sample_places(spark), usual="0/0", sparse=True)
+    return found.select("id", F.array_join(F.transform("calls", lambda x: F.concat_ws(":", x["place"], x["gt"])), ",").alias("calls"))
+
+
+@query(None)
+def impute_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Missing calls from clusters of haplotypes; tests compare it with a plain hierarchical clustering."""
+    rows = once(spark, sf_dir).groupBy("id", "chrom", "sample", "pos").agg(F.max("gt").alias("gt"))
+    return cohort.impute_clusters(rows, ["id"], ["pos", "id"], 4, 2, ("chrom",), block=16).select("id", "sample", "gt", "imputed")
+
+
 def _impute(exclude: bool) -> str:
     around = "list_filter(w, lambda x: x.at <> rn)" if exclude else "w"
     return ONCE + f""", d AS (SELECT id, sample, pos, max(gt) AS gt FROM c GROUP BY ALL), g AS (SELECT *, row_number() OVER (PARTITION BY sample ORDER BY pos, id) AS rn FROM d),
@@ -350,6 +430,62 @@ def inverted_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nested.invert_sequences(rows, found).select("doc_id", F.md5("seq").alias("turned"))
 
 
+#: Chunks of a thousand letters, so that slices cross many.
+SMALL = 1000
+
+
+def dna_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = spark_table(spark, sf_dir, "dna").select(F.col("doc_id").cast("string").alias("chrom"), "seq")
+    return sequences.chunked(whole, SMALL)
+
+
+@query(cte("dna", "inv") + """, r AS (SELECT doc_id, k, (doc_id * 37 + k * 811) % 9000 AS a, (doc_id * 37 + k * 811) % 9000 + (doc_id * 13 + k * 4001) % 6000 AS b, (doc_id + k) % 2 = 1 AS turned FROM dna, range(0, 4) q(k) WHERE length(seq) > 0)
+SELECT doc_id, k, a AS start, b AS stop, md5(CASE WHEN b <= a THEN '' WHEN turned THEN reverse(translate(substr(seq, a + 1, b - a), 'ACGT', 'TGCA')) ELSE substr(seq, a + 1, b - a) END) AS slice FROM r JOIN dna USING (doc_id) WHERE b <= a OR a < length(seq)""")
+def seq_slices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Slices of chunked sequences on both strands, across chunks and beyond the ends."""
+    rows = spark_table(spark, sf_dir, "dna").where(F.length("seq") > 0).select("doc_id", F.col("doc_id").cast("string").alias("chrom"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("k"))
+    at = (F.col("doc_id") * 37 + F.col("k") * 811) % 9000
+    asked = rows.withColumns({"start": at, "stop": at + (F.col("doc_id") * 13 + F.col("k") * 4001) % 6000, "turned": (F.col("doc_id") + F.col("k")) % 2 == 1})
+    found = sequences.slices(dna_chunks(spark, sf_dir), asked, ["doc_id", "k"], SMALL, "turned", "slice")
+    return found.where("slice is not null").select("doc_id", "k", "start", "stop", F.md5("slice").alias("slice"))
+
+
+@query(cte("dna") + ", e AS (SELECT doc_id, seq, 700 + CAST(doc_id % 50 AS INT) AS a1, 3300 + CAST(doc_id % 50 AS INT) AS b1, 1500 + CAST(doc_id % 90 AS INT) AS a2, 5200 + CAST(doc_id % 90 AS INT) AS b2 FROM dna WHERE length(seq) > 0), f AS (SELECT *, "
+       + _TURN.format(s="seq", a="a2", b="b2") + " AS late FROM e), g AS (SELECT doc_id, " + _TURN.format(s="late", a="a1", b="b1") + " AS t FROM f), h AS (SELECT doc_id, t, unnest(range(0, (length(t) + 999) // 1000)) AS chunk FROM g) SELECT doc_id, chunk, md5(substr(t, chunk * 1000 + 1, 1000)) AS text FROM h")
+def seq_inverted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlapping inversions of chunked sequences, chunk by chunk."""
+    at = F.col("doc_id")
+    places = F.array(F.struct((at % 50 + 700).alias("start"), (at % 50 + 3300).alias("stop")), F.struct((at % 90 + 1500).alias("start"), (at % 90 + 5200).alias("stop")))
+    found = spark_table(spark, sf_dir, "dna").select(F.col("doc_id").cast("string").alias("chrom"), F.explode(places).alias("p")).select("chrom", "p.*")
+    return sequences.inverted(dna_chunks(spark, sf_dir), found, SMALL).select(F.col("chrom").cast("long").alias("doc_id"), "chunk", F.md5("text").alias("text"))
+
+
+MOTIF, SPAN = "TTGCA", 64
+
+
+@query(cte("dna") + f""", f AS (SELECT doc_id, 1 AS round, seq, strpos(seq, '{MOTIF}') AS p FROM dna WHERE length(seq) > 0
+ UNION ALL SELECT doc_id, round + 1, t, strpos(t, '{MOTIF}') FROM (SELECT doc_id, round, substr(seq, 1, p - 1) || reverse(translate(substr(seq, p, {SPAN}), 'ACGT', 'TGCA')) || substr(seq, p + {SPAN}) AS t FROM f WHERE p > 0 AND round < 6)),
+n AS (SELECT round, count(*) FILTER (WHERE p > 0) AS n FROM f GROUP BY round), l AS (SELECT round, n = 0 OR coalesce(n >= lag(n) OVER (ORDER BY round), false) AS ends FROM n)
+SELECT doc_id, round, p - 1 AS start, p - 1 + {SPAN} AS stop FROM f WHERE p > 0 AND round <= coalesce((SELECT min(round) FROM l WHERE ends), 6)""")
+def inversion_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounds of calling and inverting chunked sequences until there are no fewer inversions than before: the first place of a motif is
+    called, so each round turns one and may make another."""
+
+    def call(store: DataFrame) -> DataFrame:
+        # a chunk with the next one's first letters shows every place of the motif that begins in it
+        by = Window.partitionBy("chrom").orderBy("chunk")
+        seen = store.withColumn("wide", F.concat("text", F.coalesce(F.substring(F.lead("text").over(by), 1, len(MOTIF) - 1), F.lit(""))))
+        at = seen.select("chrom", F.when(F.instr("wide", MOTIF) > 0, F.col("chunk") * SMALL + F.instr("wide", MOTIF) - 1).alias("start")).groupBy("chrom").agg(F.min("start").alias("start")).where("start is not null")
+        return at.select("chrom", "start", (F.col("start") + SPAN).alias("stop"), F.lit("INV").alias("sv_type"))
+
+    _, found = nested.until_stable(call, dna_chunks(spark, sf_dir), 6, lambda store, places: sequences.inverted(store, places, SMALL))
+    out = None
+    for k, table in enumerate(found):
+        own = table.select(F.col("chrom").cast("long").alias("doc_id"), F.lit(k + 1).alias("round"), "start", "stop")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 ENZYMES = [("AluI", "AGCT"), ("HaeIII", "GGCC"), ("MboI", "GATC"), ("TaqI", "TCGA"), ("EcoRI", "GAATTC"), ("RsaI", "GTAC")]
 
 
@@ -373,7 +509,7 @@ PILE = cte("pile") + r""", b AS (SELECT chrom, pos, upper(regexp_replace(replace
 n AS (SELECT chrom, pos, samples, unnest(['A', 'T', 'C', 'G']) AS base, unnest([1, 2, 3, 4]) AS k, b FROM b), c AS (SELECT chrom, pos, samples, base, k, length(b) - length(replace(b, base, '')) AS n FROM n),
 r AS (SELECT *, row_number() OVER (PARTITION BY chrom, pos ORDER BY n DESC, k) AS p, CAST(sum(n) OVER (PARTITION BY chrom, pos) AS BIGINT) AS total FROM c),
 s AS (SELECT chrom, pos, samples, max(CASE WHEN p = 1 THEN base END) AS con, max(CASE WHEN p = 2 THEN base END) AS mut, max(CASE WHEN p = 1 THEN n END) AS con_n, max(CASE WHEN p = 2 THEN n END) AS mut_n, max(total) AS total FROM r GROUP BY chrom, pos, samples)
-SELECT chrom, pos, con, mut, con_n, mut_n, round(con_n / {by}, 3) AS con_freq, round(mut_n / {by}, 3) AS mut_freq FROM s WHERE {by} > 0 AND round(con_n / {by}, 3) < 0.95 AND mut_n > 0"""
+SELECT chrom, pos, con, mut, con_n, mut_n, half_even(con_n / {by}, 3) AS con_freq, half_even(mut_n / {by}, 3) AS mut_freq FROM s WHERE {by} > 0 AND half_even(con_n / {by}, 3) < 0.95 AND mut_n > 0"""
 
 
 def _pileup(spark: SparkSession, sf_dir: str, by_samples: bool) -> DataFrame:
@@ -434,10 +570,28 @@ def svid_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(cte("sig", "cov") + """, p AS (SELECT k1, k2, k3, k4, cluster_size AS reads, chrom, start - 250 AS l0, start - 100 AS l1, stop + 100 AS r0, stop + 250 AS r1 FROM sig),
 a AS (SELECT p.k1, p.k2, p.k3, p.k4, reads, count(cov.read_id) AS left_n FROM p LEFT JOIN cov ON p.chrom = cov.chrom AND cov.start <= l0 AND cov.stop >= l1 GROUP BY ALL),
 b AS (SELECT p.k1, p.k2, p.k3, p.k4, count(cov.read_id) AS right_n FROM p LEFT JOIN cov ON p.chrom = cov.chrom AND cov.start <= r0 AND cov.stop >= r1 GROUP BY ALL),
-r AS (SELECT *, CASE WHEN greatest(left_n, right_n) = 0 THEN 1.0 ELSE reads / greatest(left_n, right_n) END AS rate FROM a JOIN b USING (k1, k2, k3, k4))
-SELECT k1, k2, k3, k4, left_n, right_n, round(rate, 6) AS sv_rate FROM r WHERE rate >= 0.5""")
+r AS (SELECT *, CASE WHEN greatest(left_n, right_n) = 0 THEN 1.0 ELSE half_even(reads / greatest(left_n, right_n), 2) END AS rate FROM a JOIN b USING (k1, k2, k3, k4))
+SELECT k1, k2, k3, k4, left_n, right_n, rate AS sv_rate FROM r WHERE rate >= 0.5""")
 def sv_assembly_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = spark_table(spark, sf_dir, "cov")
     rows = sig(spark, sf_dir).select(*K, "chrom", F.col("cluster_size").alias("reads"), (F.col("start") - 250).alias("l0"), (F.col("start") - 100).alias("l1"), (F.col("stop") + 100).alias("r0"), (F.col("stop") + 250).alias("r1"))
     both = intervals.count_covering(intervals.count_covering(rows, cov, K, "left_n", ("chrom", "l0", "l1")), cov, K, "right_n", ("chrom", "r0", "r1"))
-    return clusters.accept_assembly(both, 0.5).select(*K, "left_n", "right_n", F.round("sv_rate", 6).alias("sv_rate"))
+    return clusters.accept_assembly(both, 0.5).select(*K, "left_n", "right_n", "sv_rate")
+
+
+def _primer_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark_table(spark, sf_dir, "dna").select(F.col("doc_id").cast("string").alias("id"), "seq", F.lit(60).cast("long").alias("sv_size"))
+
+
+@query(None)
+def primer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best pair of primers of each sequence, of all pairs; tests compare it with plain Python."""
+    rows = _primer_templates(spark, sf_dir)
+    return markers.best_primers(markers.primer_candidates(rows, flank=120), rows).select("id", "f_pos", "f_primer", "r_pos", "r_primer", "ref_size", "alt_size", "score")
+
+
+@query(None)
+def primer_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best-ranked primer of either side of each sequence."""
+    rows = _primer_templates(spark, sf_dir)
+    return markers.best_ranked_primers(markers.primer_candidates(rows, tm=(53.0, 65.0), gc=(40.0, 80.0), flank=120), rows)

@@ -128,9 +128,16 @@ def probed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sig(spark, sf_dir).select(*K, "sv_type", (C("sv_len") * 7).alias("sv_len"), C("cluster_size").alias("reads")).join(rows, K)
 
 
-@query(PROBED + " SELECT k1, k2, k3, k4 FROM q WHERE reads >= least(left_n, right_n) * 0.4 + 1 OR (sv_type = 'INS' AND sv_len > 2000 AND reads >= least(left_n, right_n) * 0.4 * 0.5)")
+@query(PROBED + " SELECT k1, k2, k3, k4, half_even(reads / (least(left_n, right_n) + 1), 2) AS sv_rate FROM q WHERE reads >= least(left_n, right_n) * 0.4 + 1 OR (sv_type = 'INS' AND sv_len > 2000 AND reads >= least(left_n, right_n) * 0.4 * 0.5)")
 def accept_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.accept_fixed(probed(spark, sf_dir), 0.4).select(*K)
+    return clusters.accept_fixed(probed(spark, sf_dir), 0.4).select(*K, "sv_rate")
+
+
+@query(cte("sig") + """ SELECT DISTINCT cluster_size, sv_type, concat(CASE WHEN cluster_size > 5 THEN 'high' ELSE 'low' END, CASE WHEN sv_type = 'INS' THEN '_ins' ELSE '' END) AS hifi, concat(CASE WHEN cluster_size > 10 THEN 'high' ELSE 'low' END, CASE WHEN sv_type = 'INS' THEN '_ins' ELSE '' END) AS ont,
+concat(CASE WHEN cluster_size > 10 THEN 'high' ELSE 'low' END, CASE WHEN sv_type = 'INS' THEN '_ins' ELSE '' END) AS sr FROM sig""")
+def tolerance_choice_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sig(spark, sf_dir).select("cluster_size", "sv_type").distinct()
+    return rows.select("*", *[clusters.tolerance_name(C("cluster_size"), C("sv_type"), p, fixed=True).alias(p) for p in ("hifi", "ont", "sr")])
 
 
 @query(PROBED + " SELECT k1, k2, k3, k4 FROM q WHERE (sv_type = 'DEL' AND depth = 0) OR (break1_n + break2_n) / 2 >= 2 OR (break1_n + break2_n) / 2 + reads >= 4")
@@ -146,9 +153,9 @@ def accept_translocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(PROBED + """, a AS (SELECT *, reads >= (depth + 1) * 0.5 + 1 AS main, (sv_type = 'INS' AND sv_len > 3000 AND reads >= (depth + 1) * 0.5 * 0.6) OR (sv_type = 'DUP' AND sv_len > 500 AND reads >= (depth + 1) * 0.5 * 0.5) OR (sv_type = 'INV' AND reads >= (depth + 1) * 0.5 * 0.5) OR reads >= 4 AS rescue FROM q)
-SELECT k1, k2, k3, k4, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, round(reads / (depth + 1), 6) AS sv_rate FROM a WHERE reads >= 2 AND (main OR rescue)""")
+SELECT k1, k2, k3, k4, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, half_even(reads / (depth + 1), 2) AS sv_rate FROM a WHERE reads >= 2 AND (main OR rescue)""")
 def accept_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.accept(probed(spark, sf_dir), 0.5, nreads=5).select(*K, "accepted", F.round("sv_rate", 6).alias("sv_rate"))
+    return clusters.accept(probed(spark, sf_dir), 0.5, nreads=5).select(*K, "accepted", "sv_rate")
 
 
 @query(cte("sig") + """ SELECT DISTINCT cluster_size, sv_type, concat(CASE WHEN cluster_size > 5 THEN 'high' ELSE 'low' END, CASE WHEN sv_type = 'INS' THEN '_ins' ELSE '' END) AS hifi, concat(CASE WHEN cluster_size > 10 THEN 'high' ELSE 'low' END, CASE WHEN sv_type = 'INS' THEN '_ins' ELSE '' END) AS pb,
@@ -165,7 +172,7 @@ def gt_inversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratios(spark, sf_dir).select(*K, genotypes.inversion(C("support") % 5, C("a"), C("b")).alias("inv"))
 
 
-SHARED = ", s AS (SELECT *, support % 5 AS shared, CASE WHEN depth > 0 THEN round((support % 5) / depth, 2) ELSE 0 END AS p, CASE WHEN spans > 0 THEN round((support % 5) / spans, 2) ELSE 0 END AS q FROM ratio)"
+SHARED = ", s AS (SELECT *, support % 5 AS shared, CASE WHEN depth > 0 THEN half_even((support % 5) / depth, 2) ELSE 0 END AS p, CASE WHEN spans > 0 THEN half_even((support % 5) / spans, 2) ELSE 0 END AS q FROM ratio)"
 
 
 @query(cte("ratio") + SHARED + """, n AS (SELECT *, CASE WHEN greatest(p, q) > 0.9 OR (p >= 0.8 AND q >= 0.8) THEN '1/1' WHEN p + q < 0.1 THEN '0/0' ELSE '0/1' END AS lr1, CASE WHEN greatest(p, q) > 0.9 OR (p >= 0.8 AND q >= 0.8) THEN '1/1' ELSE '-' END AS sr1 FROM s)
@@ -176,7 +183,7 @@ def gt_translocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratios(spark, sf_dir).select(*K, genotypes.translocation(*own).alias("lr"), genotypes.short_translocation(*own).alias("sr"))
 
 
-@query(cte("sig") + " SELECT svid, k1 % 16 AS depth, CASE WHEN k1 % 16 > 0 THEN round(cluster_size / (k1 % 16), 3) ELSE 0 END AS ratio, CASE WHEN k1 % 16 = 0 THEN './.' WHEN round(cluster_size / (k1 % 16), 3) > 0.65 THEN '1/1' WHEN round(cluster_size / (k1 % 16), 3) < 0.1 THEN '0/0' ELSE '0/1' END AS gt FROM sig")
+@query(cte("sig") + " SELECT svid, k1 % 16 AS depth, CASE WHEN k1 % 16 > 0 THEN half_even(cluster_size / (k1 % 16), 3) ELSE 0 END AS ratio, CASE WHEN k1 % 16 = 0 THEN './.' WHEN half_even(cluster_size / (k1 % 16), 3) > 0.65 THEN '1/1' WHEN half_even(cluster_size / (k1 % 16), 3) < 0.1 THEN '0/0' ELSE '0/1' END AS gt FROM sig")
 def gt_signal_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sig(spark, sf_dir).withColumn("depth", C("k1") % 16)
     return genotypes.from_signal_count(rows, C("depth")).select("svid", "depth", "ratio", "gt")
@@ -208,6 +215,12 @@ def known_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LADDER = "CASE WHEN {d} = 0 THEN './.' WHEN {d} <= 5 THEN CASE WHEN floor(0.75 * {d}) + 1 <= {s} THEN '1/1' WHEN {s} / {d} <= 0.2 THEN '0/0' ELSE '0/1' END WHEN {d} <= 10 THEN CASE WHEN 0.75 * {d} + 1 <= {s} THEN '1/1' WHEN 0.05 * {d} + 1 > {s} THEN '0/0' ELSE '0/1' END ELSE CASE WHEN {s} / {d} >= 0.75 THEN '1/1' WHEN {s} / {d} < 0.05 THEN '0/0' ELSE '0/1' END END"
 
+
+
+def by_depth_sql(support: str, depth: str) -> str:
+    return LADDER.format(s=support, d=depth)
+
+
 READS = ENDS.replace("WITH RECURSIVE ", cte("var") + ", ", 1).replace("bool_or(i = 1 AND", "any_value(sample) AS sample, any_value(mapq) AS mapq, bool_or(i = 1 AND") + """,
 ih AS (SELECT v.*, r.qname, r.sample, r.mapq, r.pos, r.stop AS rstop, r.cut_l, r.cut_r, least(v.size, 300) + least(ceil(v.size * 0.05), 250) AS reach FROM var v JOIN rd r ON v.sv_type = 'INS' AND v.chrom = r.rname AND r.pos <= v.stop + 199 AND r.stop - 1 >= greatest(v.start - 200, 0)),
 io AS (SELECT h.vid, h.qname, bool_or(o.n BETWEEN 0.8 * h.size AND 1.2 * h.size) AS fit, sum(CASE WHEN o.n BETWEEN 0.8 * h.size AND 1.2 * h.size THEN 0 ELSE o.n END) AS rest FROM ih h JOIN pl o ON h.qname = o.qname AND o.op = 'I' AND o.n >= 35 AND o.ref > h.start - 300 AND o.ref <= h.stop + h.size GROUP BY ALL),
@@ -219,7 +232,7 @@ i2 AS (SELECT vid, sample, size, reads, events, clips, whole - events AS spans,
 
 @query(READS + " SELECT vid, sample, reads, events, clips, spans, maq FROM i2")
 def gt_insertion_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return genotypes.insertion_evidence(spark_table(spark, sf_dir, "var").where("sv_type = 'INS'"), align(spark, sf_dir))
+    return genotypes.insertion_evidence(spark_table(spark, sf_dir, "var"), align(spark, sf_dir))
 
 
 DELS = READS + """, side(edge) AS (VALUES ('l'), ('r')),
@@ -233,9 +246,7 @@ d2 AS (SELECT h.vid, h.edge, h.sample, any_value(h.size) AS size, count(*) AS re
 
 @query(DELS + " SELECT vid, edge, sample, reads, events, clips, maq FROM d2")
 def gt_deletion_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spark_table(spark, sf_dir, "var").where("sv_type = 'DEL'")
-    sides = [genotypes.deletion_evidence(rows, align(spark, sf_dir), at).withColumn("edge", F.lit(k)) for at, k in (("start", "l"), ("stop", "r"))]
-    return sides[0].unionByName(sides[1])
+    return genotypes.deletion_evidence(spark_table(spark, sf_dir, "var"), align(spark, sf_dir)).withColumnRenamed("side", "edge")
 
 
 @query(DELS + f""", sm(sample) AS (VALUES ('s0'), ('s1'), ('s2'), ('s9')), asked AS (SELECT vid, size, sv_type, sample FROM var, sm),
@@ -244,8 +255,8 @@ g1 AS (SELECT *, {LADDER.format(s="(ev + cl)", d="r")} AS g FROM gi), g2 AS (SEL
 gd AS (SELECT a.vid, a.sample, a.size, coalesce(x.reads, 0) AS rl, coalesce(y.reads, 0) AS rr, coalesce(x.events, 0) AS el, coalesce(y.events, 0) AS er, coalesce(x.clips, 0) AS cl, coalesce(y.clips, 0) AS cr, coalesce(x.maq, 0) AS ml, coalesce(y.maq, 0) AS mr
  FROM asked a LEFT JOIN d2 x ON x.edge = 'l' AND a.vid = x.vid AND a.sample = x.sample LEFT JOIN d2 y ON y.edge = 'r' AND a.vid = y.vid AND a.sample = y.sample WHERE sv_type = 'DEL'),
 e1 AS (SELECT *, {LADDER.format(s="greatest(el + cl, er + cr)", d="(CASE WHEN el + cl > er + cr THEN rl ELSE rr END)")} AS g FROM gd)
-SELECT vid, sample, CASE WHEN r = 0 THEN './.' WHEN h <> '0/0' AND size < 800 AND ev = 0 THEN '0/0' ELSE h END AS gt, r AS reads_l, CAST(0 AS BIGINT) AS reads_r, CASE WHEN r > 0 THEN round((ev + cl) / r, 3) ELSE 0 END AS ratio_l, CAST(0 AS DOUBLE) AS ratio_r, maq FROM g2
-UNION ALL SELECT vid, sample, CASE WHEN rl + rr = 0 THEN './.' WHEN g <> '0/0' AND size < 1000 AND el + er = 0 THEN '0/0' ELSE g END, rl, rr, CASE WHEN rl > 0 THEN round((el + cl) / rl, 3) ELSE 0 END, CASE WHEN rr > 0 THEN round((er + cr) / rr, 3) ELSE 0 END, greatest(ml, mr) FROM e1""")
+SELECT vid, sample, CASE WHEN r = 0 THEN './.' WHEN h <> '0/0' AND size < 800 AND ev = 0 THEN '0/0' ELSE h END AS gt, r AS reads_l, CAST(0 AS BIGINT) AS reads_r, CASE WHEN r > 0 THEN half_even((ev + cl) / r, 3) ELSE 0 END AS ratio_l, CAST(0 AS DOUBLE) AS ratio_r, maq FROM g2
+UNION ALL SELECT vid, sample, CASE WHEN rl + rr = 0 THEN './.' WHEN g <> '0/0' AND size < 1000 AND el + er = 0 THEN '0/0' ELSE g END, rl, rr, CASE WHEN rl > 0 THEN half_even((el + cl) / rl, 3) ELSE 0 END, CASE WHEN rr > 0 THEN half_even((er + cr) / rr, 3) ELSE 0 END, greatest(ml, mr) FROM e1""")
 def gt_from_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Genotypes of insertions and deletions from alignments, end to end."""
     return genotypes.long_read_calls(spark_table(spark, sf_dir, "var"), align(spark, sf_dir), ["s0", "s1", "s2", "s9"])

@@ -105,7 +105,10 @@ def sv_anchor_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER).select(*K, "island", "window", "anchor")
 
 
-@query(_anchored("500.0 + CASE WHEN sv_type = 'DEL' THEN 250 ELSE 0 END", 750) + " SELECT k1, k2, k3, k4, island, win AS \"window\", anchor FROM z")
+FIXED = _anchored("500.0 + CASE WHEN sv_type = 'DEL' THEN 250 ELSE 0 END", 750)
+
+
+@query(FIXED + " SELECT k1, k2, k3, k4, island, win AS \"window\", anchor FROM z")
 def sv_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.fixed_windows(sig(spark, sf_dir), KEYS, ORDER).select(*K, "island", "window", "anchor")
 
@@ -116,6 +119,23 @@ def sv_window_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
     return windows.kept_windows(windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER), KEYS, 6.0).select(*K, "reads")
 
 
+@query(FIXED + """, s AS (SELECT chrom, sv_type, island, win, count(DISTINCT query_name) AS reads FROM z GROUP BY ALL)
+SELECT z.k1, z.k2, z.k3, z.k4, s.reads FROM z JOIN s USING (chrom, sv_type, island, win) WHERE reads >= 2 AND reads < 4""")
+def sv_fixed_window_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.kept_fixed_windows(windows.fixed_windows(sig(spark, sf_dir), KEYS, ORDER), KEYS, 0.04).select(*K, "reads")
+
+
+@query(ADAPTIVE + """, s AS (SELECT chrom, sv_type, island, win, count(DISTINCT query_name) AS reads, max(sv_len) AS longest FROM z GROUP BY ALL)
+SELECT z.k1, z.k2, z.k3, z.k4, s.reads, reads >= 1 AND reads < 20 OR (z.sv_type = 'INS' AND longest >= 5000) AS few, reads >= 3 AND reads < 20 OR (z.sv_type = 'INS' AND longest >= 5000) AS many FROM z JOIN s USING (chrom, sv_type, island, win)
+ WHERE reads >= 1 AND reads < 20 OR (z.sv_type = 'INS' AND longest >= 5000)""")
+def sv_break_window_keep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows kept where clip ends confirm candidates, by either number of reads asked for."""
+    marked = windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER)
+    few, many = (windows.kept_break_windows(marked, KEYS, 2.0, n) for n in (5, 6))
+    both = few.select(*K, "reads").join(many.select(*K, F.lit(True).alias("many")), K, "left")
+    return both.select(*K, "reads", F.lit(True).alias("few"), F.coalesce("many", F.lit(False)).alias("many"))
+
+
 @query(cte("sig") + """, t AS (SELECT chrom, sv_type, start, stop, sv_len AS target_size, k1, k2, k3, k4 FROM sig),
 l AS (SELECT *, lag(start) OVER w AS ps FROM t WINDOW w AS (PARTITION BY chrom, sv_type ORDER BY start, stop, target_size)),
 i AS (SELECT *, sum(CASE WHEN ps IS NOT NULL AND start - ps < 800 THEN 0 ELSE 1 END) OVER (PARTITION BY chrom, sv_type ORDER BY start, stop, target_size ROWS UNBOUNDED PRECEDING) AS island FROM l),
@@ -197,12 +217,12 @@ def sv_containing_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(cte("sig", "cov") + """, s AS (SELECT *, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 70 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) END AS low, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 50 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) + 20 END AS high FROM sig),
 d AS (SELECT s.k1, s.k2, s.k3, s.k4, s.sv_type, s.sv_len, s.cluster_size AS reads, count(cov.read_id) AS depth FROM s LEFT JOIN cov ON s.chrom = cov.chrom AND s.low <= cov.stop AND s.high >= cov.start GROUP BY ALL),
 a AS (SELECT *, reads >= (depth + 1) * 0.4 + 1 AS main, (sv_type = 'INS' AND sv_len > 3000 AND reads >= (depth + 1) * 0.4 * 0.6) OR (sv_type = 'DUP' AND sv_len > 500 AND reads >= (depth + 1) * 0.4 * 0.5) OR (sv_type = 'INV' AND reads >= (depth + 1) * 0.4 * 0.5) AS rescue FROM d)
-SELECT k1, k2, k3, k4, depth, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, round(reads / (depth + 1), 6) AS sv_rate FROM a WHERE reads >= 2 AND (main OR rescue)""")
+SELECT k1, k2, k3, k4, depth, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, half_even(reads / (depth + 1), 2) AS sv_rate FROM a WHERE reads >= 2 AND (main OR rescue)""")
 def sv_depth_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     low, high = clusters.probe_places(F.col("sv_type"), F.col("start"), F.col("sv_len"))
     probes = sig(spark, sf_dir).withColumns({"low": low, "high": high, "reads": F.col("cluster_size")})
     counted = intervals.count_overlaps(probes, spark_table(spark, sf_dir, "cov"), K, "depth", None, ("chrom", "low", "high"))
-    return clusters.accept(counted, 0.4).select(*K, "depth", "accepted", F.round("sv_rate", 6).alias("sv_rate"))
+    return clusters.accept(counted, 0.4).select(*K, "depth", "accepted", "sv_rate")
 
 
 WINDOW_ONE = ", ".join(("chrom", "sv_type", "island", "win"))
@@ -220,7 +240,7 @@ st AS (SELECT g.*, a.start, c.sv_len, m.maq FROM g JOIN {_modes("start").replace
 pr AS (SELECT *, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 70 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) END AS low, CASE WHEN sv_type IN ('INS', 'DUP') THEN start - 50 ELSE CAST(floor(start + 0.5 * sv_len) AS BIGINT) + 20 END AS high FROM st),
 dp AS (SELECT {", ".join("pr." + c for c in ("chrom", "sv_type", "island", "win", "cluster", "start", "stop", "sv_len", "maq", "reads"))}, count(cov.read_id) AS depth FROM pr LEFT JOIN cov ON pr.chrom = cov.chrom AND pr.low <= cov.stop AND pr.high >= cov.start GROUP BY ALL),
 ac AS (SELECT *, reads >= (depth + 1) * 0.1 + 1 AS main, (sv_type = 'INS' AND sv_len > 3000 AND reads >= (depth + 1) * 0.1 * 0.6) OR (sv_type = 'DUP' AND sv_len > 500 AND reads >= (depth + 1) * 0.1 * 0.5) OR (sv_type = 'INV' AND reads >= (depth + 1) * 0.1 * 0.5) AS rescue FROM dp)
-SELECT chrom, sv_type, start, stop, sv_len, maq, reads, depth, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, round(reads / (depth + 1), 6) AS sv_rate FROM ac WHERE reads >= 2 AND (main OR rescue)"""
+SELECT chrom, sv_type, start, stop, sv_len, maq, reads, depth, CASE WHEN main THEN 'main' ELSE 'rescue' END AS accepted, half_even(reads / (depth + 1), 2) AS sv_rate FROM ac WHERE reads >= 2 AND (main OR rescue)"""
 
 
 @query(CANDIDATES.replace(cte("sig"), cte("sig", "cov"), 1))
@@ -234,7 +254,7 @@ def sv_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = clusters.cluster_stats(clustered.join(largest, [*window, "cluster"], "left_semi"), [*window, "cluster"]).drop("reads_id")
     low, high = clusters.probe_places(F.col("sv_type"), F.col("start"), F.col("sv_len"))
     counted = intervals.count_overlaps(stats.withColumns({"low": low, "high": high}), spark_table(spark, sf_dir, "cov"), [*window, "cluster"], "depth", None, ("chrom", "low", "high"))
-    return clusters.accept(counted, 0.1).select("chrom", "sv_type", "start", "stop", "sv_len", "maq", "reads", "depth", "accepted", F.round("sv_rate", 6).alias("sv_rate"))
+    return clusters.accept(counted, 0.1).select("chrom", "sv_type", "start", "stop", "sv_len", "maq", "reads", "depth", "accepted", "sv_rate")
 
 
 @query(cte("sig") + """, drop_ AS (SELECT DISTINCT i.svid FROM sig i JOIN sig d ON i.sv_type = 'INS' AND d.sv_type = 'DUP' AND i.chrom = d.chrom AND i.start > d.start - 500 AND i.start < d.stop + 500 AND d.start < i.start - 50 AND i.start - 50 < d.stop AND least(i.sv_len / d.sv_len, d.sv_len / i.sv_len) >= 0.8)
@@ -252,7 +272,7 @@ def sv_breakpoint_support(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(cte("cov") + """, z AS (SELECT chrom, CAST(4000000 AS BIGINT) AS size, CAST(sum(stop - start) AS BIGINT) AS mapped FROM cov GROUP BY chrom)
-SELECT chrom, size, mapped, round(mapped / size, 2) AS depth, CAST(ceil(round(mapped / size, 2) + 0.3) AS BIGINT) AS threshold, CAST(floor(round(mapped / size, 2) / 10) AS BIGINT) AS nreads FROM z""")
+SELECT chrom, size, mapped, half_even(mapped / size, 2) AS depth, CAST(ceil(half_even(mapped / size, 2) + 0.3) AS BIGINT) AS threshold, CAST(floor(half_even(mapped / size, 2) / 10) AS BIGINT) AS nreads FROM z""")
 def sv_mean_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
     cov = spark_table(spark, sf_dir, "cov")
     sizes = cov.select("chrom").distinct().withColumn("size", F.lit(4000000).cast("long"))

@@ -102,3 +102,13 @@ def fasta_chunks(store: DataFrame, path: str, width: int = 60, parts: int | None
     keys = ["rank", "chrom", "chunk"]
     ranged = lines.repartitionByRange(parts, *keys) if parts else lines.repartitionByRange(*keys)
     ranged.sortWithinPartitions(*keys).select("value").write.mode("overwrite").text(path)
+
+
+def primer_rows(best: DataFrame, sites: DataFrame) -> DataFrame:
+    """Lines of best_primers() for people: sites (id, chrom, start, sv_type, sv_size, maf or null, seq) with products, primers, melting points and
+    the rest to one place; what is missing is NA, a missing frequency N/A."""
+    one = lambda c: F.coalesce(F.format_string("%.1f", F.col(c)), F.lit("NA")).alias(c)
+    joined = sites.drop("sv_size").join(best, "id")
+    frequency = F.coalesce(F.format_string("%.2f", "maf"), F.lit("N/A")).alias("maf")
+    apart = F.format_string("%.1f", F.abs(F.col("f_tm") - F.col("r_tm"))).alias("tm_diff")
+    return joined.select("chrom", F.col("start").alias("pos"), "id", "sv_type", F.abs("sv_size").alias("size"), frequency, "ref_size", "alt_size", F.col("f_primer").alias("forward"), F.col("r_primer").alias("reverse"), one("f_tm"), one("r_tm"), one("f_gc"), one("r_gc"), one("pair_tm"), apart, one("score"), "seq")

@@ -26,4 +26,5 @@ def test_entry_has_rows(spark):
 
 
 def test_every_structural_query_has_a_twin():
-    assert set(QUERIES) == set(ORACLES)
+    # hierarchical clustering and melting points have no SQL form; tests compare them with plain Python
+    assert set(QUERIES) - set(ORACLES) == {"impute_clusters", "primer_pairs", "primer_ranked"}
