@@ -62,9 +62,22 @@ def ship_bytes(spark: SparkSession, name: str, data: bytes) -> str:
     return path.rsplit("/", 1)[1]
 
 
+#: Bytes of a batch of rows that goes to a worker, where the session leaves Spark's default: batches stand twice in an
+#: executor's memory outside its heap, for each of its tasks.
+BATCH_KEY, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 8 << 20
+
+
+def small_batches() -> None:
+    """Lowers the session's bytes of a batch to BATCH_BYTES, unless the session has a value of its own."""
+    session = SparkSession.getActiveSession()
+    if session is not None and BATCH_KEY not in session.conf.getAll:
+        session.conf.set(BATCH_KEY, f"{BATCH_BYTES}b")
+
+
 def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """run, after which the worker gives the memory it no longer uses back to the system: Spark keeps workers for later
     tasks, and what an idle one holds counts against its executor."""
+    small_batches()
 
     def tidied(parts: Iterator) -> Iterator:
         try:
