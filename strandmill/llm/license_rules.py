@@ -2,8 +2,8 @@
 
 Each line: priority, label, keyword, pattern. Lower priority numbers win. The keyword is in every
 text that the pattern matches, as a whole run of ASCII letters and digits, in any case. Patterns are
-matched without regard to the case of ASCII letters; _ stands for a gap of 1 to 12 characters that
-are not ASCII letters or digits.
+matched without regard to the case of ASCII letters; _ stands for a gap of one or more characters
+that are not ASCII letters or digits.
 """
 
 from __future__ import annotations
