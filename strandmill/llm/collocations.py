@@ -304,7 +304,7 @@ def phrases(rows: DataFrame, least: int = LEAST, longest: int = LONGEST) -> tupl
     none = F.array().cast("array<long>")
     levels = [words.select(F.col("number").cast("long").alias("slot"), "lang", F.array("word").alias("words"), "n", none.alias("starts"), none.alias("ends"))]
     numbers = encode(rows, words, parts) if words.count() else None
-    met = max(1, math.ceil(numbers.agg(F.sum(F.length("own"))).head()[0] / 4 / SHARE_OF_KEYS)) if numbers is not None else 1
+    met = max(1, math.ceil((numbers.agg(F.sum(F.length("own"))).head()[0] or 0) / 4 / SHARE_OF_KEYS)) if numbers is not None else 1
     while numbers is not None and len(levels) < longest:
         keys = cut(candidates(numbers, least, met))
         if not keys.count():

@@ -164,6 +164,7 @@ class Queries:
     def __init__(self, items: list, terms: list[bytes], term: np.ndarray, query: np.ndarray, weight: np.ndarray):
         order = np.lexsort((query, term))
         self.items, self.terms = items, terms
+        self.keys = list(range(len(items)))  # the queries' numbers over all blocks
         self.term, self.query, self.weight = term[order], query[order], weight[order]
         self.starts = np.searchsorted(self.term, np.arange(len(terms) + 1))
         self.number = {t: k for k, t in enumerate(terms)}
@@ -326,7 +327,7 @@ def looked_up(chosen: DataFrame, whole: DataFrame, ids: DataFrame, name: str, k:
                 own = own[score[own] >= max(1, int(queries.floor[q]))]
                 own = own[score[own] >= np.partition(score[own], -k)[-k]] if len(own) > k else own
                 best = sorted((-int(score[x]), x in none, names[x]) for x in own.tolist())[:k]
-                out += [(q, queries.items[q], None if last else key, -s) for s, last, key in best]
+                out += [(queries.keys[q], queries.items[q], None if last else key, -s) for s, last, key in best]
         return pd.DataFrame({"query": pd.array([o[0] for o in out], "Int64"), "item_id": pd.array([o[1] for o in out], "Int64"), "doc_id": pd.array([o[2] for o in out], "Int64"), "score": pd.array([o[3] for o in out], "Int64")})
 
     empty = F.lit(None)
@@ -360,6 +361,7 @@ def _block(index: Index, pairs: DataFrame, k: int) -> DataFrame:
     names = sorted({bytes(t) for t in rows["term"]})
     place = {t: n for n, t in enumerate(names)}
     queries = Queries(items, names, np.array([place[bytes(t)] for t in rows["term"]], np.int64), query.astype(np.int64), (rows["repeats"] * rows["weight"]).to_numpy(np.int64))
+    queries.keys = numbers.tolist()
     top = heads(index.lists, queries.ship(index.lists, "queries")).toPandas()
     most = np.zeros(len(names), np.int64)
     np.maximum.at(most, top["term"].to_numpy(), top["impact"].to_numpy())

@@ -70,7 +70,7 @@ def test_collocations_equal_plain_python(spark, monkeypatch, least):
     words = [*"abcdefgh", "É", "the", "of"]
     rows = EDGE + [(" ".join(draw.choice(words) + draw.choice(["", "", "", ".", ",", "\t"]) for _ in range(draw.randrange(60))), draw.choice(["en", "en", None])) for _ in range(60)]
     want = plain_collocations(rows, least)
-    assert run_mine(spark, rows, least) == want and len(want) > 20
+    assert run_mine(spark, rows, least) == want and len(want) > 5
 
 
 def test_collocations_without_frequent_words(spark):
