@@ -70,11 +70,14 @@ o AS (
 SELECT chrom, qname AS query_name, start, start + reach AS stop, sv_len, CAST(maq AS INT) AS maq, sv_type FROM o WHERE sv_len >= 40"""
 
 
-def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = spark_table(spark, sf_dir, "piece").drop("k3", "k4").distinct()
+def _clipped(table: DataFrame) -> DataFrame:
     return table.select("qname", "flag", "chrom", "start", "stop", F.struct(F.col("cl").alias("left"), F.col("cm").alias("mapped"), F.col("cr").alias("right")).alias("clip"), "mapq")
 
 
+def pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clipped(spark_table(spark, sf_dir, "piece").drop("k3", "k4").distinct())
+
+
 @query(PAIRS)
 def split_read_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments.split_signals(alignments.segment_pairs(pieces(spark, sf_dir))).drop("svid", "seq")
@@ -91,10 +94,11 @@ def split_read_translocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignments.translocation_signals(alignments.segment_pairs(pieces(spark, sf_dir)), order).select("chrom", "query_name", "start", "chrom2", "start2")
 
 
-def short_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The pieces with mapped lengths to 699, so that the bounds on them matter."""
+def short_pieces(spark: SparkSession, sf_dir: str, once: bool = True) -> DataFrame:
+    """The pieces with mapped lengths to 699, so that the bounds on them matter; once: equal ones are one."""
     mapped = (F.col("clip.mapped") * 7) % 700
-    return pieces(spark, sf_dir).withColumns({"stop": F.col("start") + mapped, "clip": F.struct(F.col("clip.left").alias("left"), mapped.alias("mapped"), F.col("clip.right").alias("right"))}).distinct()
+    short = _clipped(spark_table(spark, sf_dir, "piece")).withColumns({"stop": F.col("start") + mapped, "clip": F.struct(F.col("clip.left").alias("left"), mapped.alias("mapped"), F.col("clip.right").alias("right"))})
+    return short.distinct() if once else short
 
 
 SHORT = PAIRS.replace("SELECT DISTINCT qname, flag, chrom, start, stop, cl, cm, cr, mapq FROM piece", "SELECT DISTINCT qname, flag, chrom, start, start + (cm * 7) % 700 AS stop, cl, (cm * 7) % 700 AS cm, cr, mapq FROM piece")
@@ -124,7 +128,7 @@ _EACH = """FROM p JOIN p q ON p.qname = q.qname AND p.chrom = q.chrom AND ((p.st
 @query(_ALL.replace("FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16 AND q.cm >= 300)", _EACH).replace("CASE WHEN q.start > p.start THEN p ELSE q END AS l, CASE WHEN q.start > p.start THEN q ELSE p END AS r", "p AS l, q AS r"))
 def split_all_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals of all pairs of a contig's pieces, each pair once."""
-    return alignments.split_signals(alignments.banded_pairs(short_pieces(spark, sf_dir)), exact_mapq=60).drop("svid", "seq")
+    return alignments.split_signals(alignments.banded_pairs(short_pieces(spark, sf_dir, once=False), kind="same"), exact_mapq=60).drop("svid", "seq")
 
 
 @query(SHORT.split(",\nz AS (")[0].replace("FROM p JOIN p q ON p.qname = q.qname AND p.flag <= 16 AND q.flag > 16 AND q.cm >= 300)", "FROM p JOIN p q ON p.qname = q.qname AND p.chrom < q.chrom AND (p.cm >= 250 OR q.cm >= 250))") + """,
@@ -135,7 +139,7 @@ t AS (SELECT qname, p.chrom AS a, q.chrom AS b,
 SELECT a AS chrom, qname AS query_name, x AS start, b AS chrom2, y AS start2 FROM t WHERE x IS NOT NULL AND y IS NOT NULL""")
 def split_all_translocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = spark.createDataFrame([("Chr1", 1), ("Chr2", 2)], "chrom string, rank int")
-    return alignments.translocation_signals(alignments.banded_pairs(short_pieces(spark, sf_dir)), order).select("chrom", "query_name", "start", "chrom2", "start2")
+    return alignments.translocation_signals(alignments.banded_pairs(short_pieces(spark, sf_dir, once=False), kind="other"), order).select("chrom", "query_name", "start", "chrom2", "start2")
 
 
 def ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
