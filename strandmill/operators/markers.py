@@ -72,6 +72,8 @@ def caps_sites(snps: DataFrame, sequences: DataFrame, enzymes: DataFrame, length
 #: Molar salt and primer of the estimates; pairs of primers worked out at once.
 SALT, DNA = 0.05, 50e-9
 TOGETHER = 512
+#: Primers that a worker holds before they leave it, and those of one template more.
+PRIMERS = 10_000
 
 
 def melting_temperature(seq: str, salt: float = SALT, dna: float = DNA) -> float:
@@ -200,22 +202,32 @@ def primer_candidates(templates: DataFrame, sizes: tuple[int, int] = (18, 25), t
     A null or short sequence has none."""
     flip = str.maketrans("ACGT", "TGCA")
 
+    columns = ["id", "side", "pos", "primer", "tm", "gc"]
+
+    def found(ident: str, side: str, part: str, low: int) -> Iterator[tuple]:
+        for size in range(max(2, sizes[0]), min(sizes[1], len(part) + 1)):
+            clean, share, heat = _windows(part, size)
+            for k in np.flatnonzero(clean & (share >= gc[0]) & (share <= gc[1]) & (heat >= tm[0]) & (heat <= tm[1])).tolist():
+                piece, at = part[k : k + size], low + k
+                own, place = (piece, at) if side == "forward" else (piece.translate(flip)[::-1], at + size - 1)
+                yield ident, side, place, own, float(heat[k]), float(share[k])
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # a template may have a thousand primers, so they leave every PRIMERS rows and not once a batch of templates
         for batch in batches:
-            rows = []
-            for ident, seq in zip(batch["id"], batch["seq"]):
-                n = len(seq or "")
-                for side, low in (("forward", 0), ("reverse", max(0, n - flank))):
-                    part = (seq or "")[low : low + flank]
-                    for size in range(max(2, sizes[0]), min(sizes[1], len(part) + 1)):
-                        clean, share, heat = _windows(part, size)
-                        for k in np.flatnonzero(clean & (share >= gc[0]) & (share <= gc[1]) & (heat >= tm[0]) & (heat <= tm[1])).tolist():
-                            piece, at = part[k : k + size], low + k
-                            own, place = (piece, at) if side == "forward" else (piece.translate(flip)[::-1], at + size - 1)
-                            rows.append((ident, side, place, own, float(heat[k]), float(share[k])))
-            yield pd.DataFrame(rows, columns=["id", "side", "pos", "primer", "tm", "gc"])
-
-    return templates.select("id", "seq").mapInPandas(run, "id string, side string, pos long, primer string, tm double, gc double")
+            rows: list[tuple] = []
+            for ident, head, tail, low in zip(batch["id"], batch["head"], batch["tail"], batch["low"]):
+                rows.extend(found(ident, "forward", head, 0))
+                rows.extend(found(ident, "reverse", tail, int(low)))
+                if len(rows) >= PRIMERS:
+                    yield pd.DataFrame(rows, columns=columns)
+                    rows = []
+            yield pd.DataFrame(rows, columns=columns)
+
+    seq = F.coalesce("seq", F.lit(""))
+    low = F.greatest(F.length(seq) - flank, F.lit(0))
+    ends = templates.select("id", F.substring(seq, 1, flank).alias("head"), F.substring(seq, low + 1, F.lit(flank)).alias("tail"), low.alias("low"))
+    return ends.mapInPandas(run, "id string, side string, pos long, primer string, tm double, gc double")
 
 
 def best_primers(candidates: DataFrame, sizes: DataFrame, product: tuple[int, int] = (100, 1500), least_difference: int = 50) -> DataFrame:

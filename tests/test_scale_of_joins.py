@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from strandmill.operators import alignments, intervals
+from strandmill.operators import alignments, intervals, markers
 
 SCHEMA = "k long, chrom string, start long, stop long"
 
@@ -69,3 +69,25 @@ def test_contigs_of_few_pieces_move_once(spark, monkeypatch):
     assert sorted(map(str, alignments.banded_pairs(segs).collect())) == found and found
     both = alignments.banded_pairs(segs, kind="same").unionByName(alignments.banded_pairs(segs, kind="other"))
     assert sorted(map(str, both.collect())) == found
+
+
+def test_primers_leave_a_few_at_a_time(spark, monkeypatch):
+    random.seed(5)
+    rows = [(str(k), "".join(random.choice("ACGT") for _ in range(700)), 60) for k in range(12)] + [("short", "ACG", 60), ("none", None, 60)]
+    table = spark.createDataFrame(rows, "id string, seq string, sv_size long").coalesce(1)
+    sizes = []
+    frame = markers.pd.DataFrame
+    monkeypatch.setattr(markers, "PRIMERS", 50)
+    held = {}
+    monkeypatch.setattr(type(table), "mapInPandas", lambda self, run, schema: held.update(run=run, rows=self) or self)
+    markers.primer_candidates(table, flank=120)
+    parts = list(held["run"](iter([held["rows"].toPandas()])))
+    assert len(parts) > 2 and isinstance(parts[0], frame)
+    sizes = [len(p) for p in parts]
+    whole = markers.pd.concat(parts)
+    assert max(sizes) < 50 + whole.groupby("id").size().max()
+    seqs = {i: s for i, s, _ in rows}
+    for r in whole.itertuples():
+        own = r.primer if r.side == "forward" else r.primer.translate(str.maketrans("ACGT", "TGCA"))[::-1]
+        at = r.pos if r.side == "forward" else r.pos - len(own) + 1
+        assert seqs[r.id][at : at + len(own)] == own
