@@ -110,10 +110,11 @@ def sample_merge(islanded: DataFrame, keys: list[str], order: list[str], translo
     translocations), mean quality rounded down, and sizes and rates summed; more: further aggregates."""
     ident = [*keys, "island"]
     rank = F.struct(F.col("cluster_size"), -F.col("start"), *[-F.col(o) for o in order])
-    pick = lambda c: F.max_by(c, rank).alias(c)
     rest = [c for c in ("start", "stop", "svid", "seq", "start2") if c in islanded.columns]
     length = F.lit(0).cast("long") if translocations else F.max("sv_len")
-    return islanded.groupBy(*ident).agg(*map(pick, rest), length.alias("sv_len"), F.floor(F.avg("maq")).cast("int").alias("maq"), F.sum("cluster_size").alias("cluster_size"), F.sum("sv_rate").alias("sv_rate"), *more)
+    # one pick of all columns: rows that move to their island carry the rank once
+    merged = islanded.groupBy(*ident).agg(F.max_by(F.struct(*rest), rank).alias("__f"), length.alias("sv_len"), F.floor(F.avg("maq")).cast("int").alias("maq"), F.sum("cluster_size").alias("cluster_size"), F.sum("sv_rate").alias("sv_rate"), *more)
+    return merged.select(*ident, *[F.col("__f")[c].alias(c) for c in rest], *[c for c in merged.columns if c not in (*ident, "__f")])
 
 
 def cohort_merge(islanded: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

@@ -43,8 +43,8 @@ def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[
 
     Where no key has more than plain rows, which a count by key tells, a window over each key does it. Beyond that a task
     sorts one stretch of places, not a key's rows: runs are marked within stretches, of a length at which the largest key's
-    hold about plain rows, and one row of each stretch (its first row, what its last row shows the next one, its number of
-    runs) carries marks and numbers over the edges. Both ways give the same rows."""
+    hold about plain rows, and the first and last row of each stretch, with its number of runs, carry marks and numbers over
+    the edges. Both ways give the same rows."""
     largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), (F.max(order[0]) - F.min(order[0])).alias("__far")).agg(F.max(F.struct("__n", "__far"))).head()[0]
     if largest is None or largest["__n"] <= plain:
         along = Window.partitionBy(*keys).orderBy(*order)
@@ -53,8 +53,6 @@ def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[
         return marked.withColumn(name, F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__new")
     if largest["__far"]:  # rows lie as densely as they do in the largest key
         stretch = min(stretch, max(0, int(np.log2(max(1.0, float(largest["__far"]) * plain / largest["__n"])))))
-    shown: list[str] = []
-    starts(lambda c: (shown.append(c), F.lit(None))[1])
     place = F.coalesce(F.shiftright(F.col(order[0]).cast("long"), stretch), F.lit(-(1 << 62)))
     by = Window.partitionBy("__part").orderBy(*order)
     local = df.withColumn("__part", F.struct(*keys, place.alias("__at")))
@@ -62,12 +60,11 @@ def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[
     local = local.withColumns({"__first": F.row_number().over(by) == 1, "__last": F.lead(F.lit(1)).over(by).isNull(), "__new": inner})
     local = local.withColumn("__new", F.when(F.col("__first"), 0).otherwise(F.col("__new")))
     local = local.withColumn("__run", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    only = lambda when, c: F.first(F.when(F.col(when), c), ignorenulls=True).alias(when)
-    ends = local.where(F.col("__first") | F.col("__last"))
-    edges = ends.groupBy("__part").agg(only("__first", F.struct(*df.columns)), only("__last", F.struct(*dict.fromkeys(shown))), F.max("__run").alias("__n"))
+    # only the columns that starts() reads are carried; a stretch's first row follows the last one of the stretch before
+    over = Window.partitionBy(*keys).orderBy("__part", F.desc("__first"))
+    ends = local.where(F.col("__first") | F.col("__last")).withColumn("__opens", F.coalesce(starts(lambda c: F.lag(c).over(over)), F.lit(True)).cast("int"))
+    table = ends.groupBy(*keys, "__part").agg(F.max("__run").alias("__n"), F.max(F.when(F.col("__first"), F.col("__opens"))).alias("__opens"))
     along = Window.partitionBy(*keys).orderBy("__part")
-    table = edges.select("__part", "__last", "__n", "__first.*")
-    table = table.withColumn("__opens", F.coalesce(starts(lambda c: F.lag(F.col("__last")[c]).over(along)), F.lit(True)).cast("int"))
     until = F.sum(F.col("__opens") + F.col("__n")).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     numbered = local.join(table.select("__part", (until - F.col("__n")).alias("__before")), "__part")
     return numbered.withColumn(name, F.col("__before") + F.col("__run")).drop("__part", "__first", "__last", "__new", "__run", "__before")
