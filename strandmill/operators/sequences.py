@@ -10,6 +10,8 @@ null if there is nothing or the chromosome is unknown; an empty slice is ""; nul
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -94,16 +96,20 @@ def inverted(store: DataFrame, inversions: DataFrame, size: int = CHUNK) -> Data
     worked out chain by chain."""
     chained = _chains(inversions, sizes(store, size))
 
-    def pieces_of(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["order1", "order2"], ascending=False)
-        low, high, at, rows = int(group["start"].min()), int(group["stop"].max()), int(group["start"].min()), []
-        for s, e, turned in rearranged(low, high, list(zip(group["start"].tolist(), group["stop"].tolist()))):
-            rows.append((group["chrom"].iloc[0], at, s, e - s, turned))
-            at += e - s
-        return pd.DataFrame(rows, columns=["chrom", "dst", "src", "n", "turned"])
-
-    listed = chained.select("chrom", "chain", "start", "stop", F.col("as.start").alias("order1"), F.col("as.stop").alias("order2"))
-    moved = listed.groupBy("chrom", "chain").applyInPandas(pieces_of, "chrom string, dst long, src long, n long, turned boolean")
+    def pieces_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for chrom, starts, stops in zip(batch["chrom"], batch["starts"], batch["stops"]):
+                at = int(min(starts))
+                for s, e, turned in rearranged(at, int(max(stops)), list(zip(map(int, starts), map(int, stops)))):
+                    rows.append((chrom, at, s, e - s, turned))
+                    at += e - s
+            yield pd.DataFrame(rows, columns=["chrom", "dst", "src", "n", "turned"])
+
+    # a row is a chain with its inversions from the last to the first: a batch of them costs one call
+    listed = chained.groupBy("chrom", "chain").agg(F.reverse(F.array_sort(F.collect_list(F.struct("as", "start", "stop")))).alias("i"))
+    listed = listed.select("chrom", F.col("i.start").alias("starts"), F.col("i.stop").alias("stops"))
+    moved = listed.mapInPandas(pieces_of, "chrom string, dst long, src long, n long, turned boolean")
     # what lies between chains stays where it is; only the chunks that it shares with a chain need its pieces
     spans = chained.groupBy("chrom", "chain").agg(F.min("start").alias("a"), F.max("stop").alias("b"), F.max("size").alias("size"))
     by = Window.partitionBy("chrom").orderBy("a")

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from strandmill.operators import clusters, genotypes, runs
+from strandmill.operators import clusters, genotypes, runs, sequences
 
 
 def test_seven_tenths_of_a_size_are_whole_numbers(spark):
@@ -27,3 +27,19 @@ def test_merged_rows_carry_their_rank_once(spark):
     assert merged.columns == ["chrom", "island", "start", "stop", "svid", "seq", "sv_len", "maq", "cluster_size", "sv_rate"]
     assert [tuple(r) for r in merged.collect()] == [("a", 1, 4, 8, "s2", "*", 90, 27, 5, 0.85)]
     assert merged._jdf.queryExecution().optimizedPlan().toString().count("max_by(") == 1
+
+
+def test_chains_are_worked_out_in_batches(spark):
+    seqs = {str(k): "ACGTTGCAAC"[k % 5 :] * 5 for k in range(40)}
+    places = {c: [(int(c) % 7, 9 + int(c) % 7), (20, 31), (27, 60)] for c in seqs}
+    store = sequences.chunked(spark.createDataFrame(list(seqs.items()), "chrom string, seq string"), 8)
+    found = spark.createDataFrame([(c, a, b) for c, own in places.items() for a, b in own], "chrom string, start long, stop long")
+    made = sequences.inverted(store, found, 8)
+    assert "FlatMapGroupsInPandas" not in made._jdf.queryExecution().executedPlan().toString()
+    texts = {c: "" for c in seqs}
+    for r in sorted(made.collect(), key=lambda r: (r["chrom"], r["chunk"])):
+        texts[r["chrom"]] += r["text"]
+    for c, seq in seqs.items():
+        for a, b in reversed(places[c]):
+            seq = seq[:a] + seq[a:b].translate(str.maketrans("ACGT", "TGCA"))[::-1] + seq[b:]
+        assert texts[c] == seq
