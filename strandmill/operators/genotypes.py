@@ -352,7 +352,13 @@ def long_read_pair_calls(variants: DataFrame, reads: DataFrame, samples: list[st
     gt = F.when(none | (open_ & (c("near_l") + c("near_r") == 0)), MISSING).otherwise(inversion(rate, x, y))
     counted = tuple(F.when(open_, c(f"near_{k}")).otherwise(c(f"reads_{k}")) for k in "lr")
     inv = _call(two.where("sv_type = 'INV'"), gt, counted, (F.when(open_, x).otherwise(rate), F.when(open_, y).otherwise(rate)), maq)
+    return dup.unionByName(inv).unionByName(_small_and_translocation_calls(variants, reads, samples, most_small))
 
+
+def _small_and_translocation_calls(variants: DataFrame, reads: DataFrame, samples: list[str], most_small: int = 3000) -> DataFrame:
+    """The short duplications and translocations of long_read_pair_calls()."""
+    c, asked = F.col, _asked(variants, samples)
+    small = (c("sv_type") == "DUP") & (c("size") <= most_small)
     short = asked.where(small).join(small_duplication_evidence(variants.where(small), reads), ["vid", "sample"], "left")
     ratio = share(_zero("events") + _zero("clips"), _zero("reads"))
     little = _call(short, F.when(_zero("reads") == 0, MISSING).otherwise(by_one(ratio, "lr_dup_small")), (_zero("reads"), F.lit(0)), (ratio, F.lit(0.0)), _zero("maq"))
@@ -364,7 +370,7 @@ def long_read_pair_calls(variants: DataFrame, reads: DataFrame, samples: list[st
     first = by_two(p, q, "lr_tra_names")
     gt = F.when(_zero("reads_l") + _zero("reads_r") == 0, MISSING).otherwise(translocation(_zero("shared"), _zero("reads_l"), _zero("reads_r"), x, y))
     tra = _call(names, gt, (_zero("reads_l"), _zero("reads_r")), (F.when(first == HET, x).otherwise(p), F.when(first == HET, y).otherwise(q)), F.greatest(_zero("maq_l"), _zero("maq_r")))
-    return dup.unionByName(inv).unionByName(little).unionByName(tra)
+    return little.unionByName(tra)
 
 
 def short_read_pair_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 30, least_maq: int = 1) -> DataFrame:
@@ -530,5 +536,4 @@ def forced_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shif
     a, b = (F.when(c("sv_type") == "DUP", digits[k][0]).otherwise(digits[k][1]) for k in "lr")
     gt = F.when(c("reads_l") + c("reads_r") == 0, MISSING).when(c("sv_type") == "DUP", by_two(a, b, "lr_dup")).otherwise(by_two(a, b, "force_inv"))
     out = out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r")))
-    rest = long_read_pair_calls(variants.where(small | (c("sv_type") == "TRA")), reads, samples)
-    return out.unionByName(rest)
+    return out.unionByName(_small_and_translocation_calls(variants, reads, samples))

@@ -43,3 +43,14 @@ def test_chains_are_worked_out_in_batches(spark):
         for a, b in reversed(places[c]):
             seq = seq[:a] + seq[a:b].translate(str.maketrans("ACGT", "TGCA"))[::-1] + seq[b:]
         assert texts[c] == seq
+
+
+def test_forced_calls_join_reads_once_for_each_kind(spark, monkeypatch):
+    called = []
+    evidence = genotypes.breakpoint_evidence
+    monkeypatch.setattr(genotypes, "breakpoint_evidence", lambda *a, **b: (called.append(1), evidence(*a, **b))[1])
+    kinds = [("i", "INS", 50), ("d", "DEL", 60), ("s", "DUP", 70), ("l", "DUP", 4000), ("v", "INV", 900), ("t", "TRA", 0)]
+    given = spark.createDataFrame([(k, t, "c", 5000, "c", 5000 + n, n) for k, t, n in kinds], "vid string, sv_type string, chrom string, start long, chrom2 string, stop long, size long")
+    reads = spark.createDataFrame([("q", 0, "c", 4000, 40, "3000M", None, "s0")], "qname string, flag int, rname string, pos long, mapq int, cigar string, sa string, sample string")
+    found = genotypes.forced_calls(given, reads, ["s0"]).select("vid").collect()
+    assert len(called) == 1 and sorted(r["vid"] for r in found) == sorted(k for k, _, _ in kinds)
