@@ -152,11 +152,13 @@ def _within(place: Column, at: Column, reach: Column) -> Column:
 
 
 def _met(places: DataFrame, lines: DataFrame, low: str, high: str) -> DataFrame:
-    """places with the lines (of aligned()) that overlap low to high."""
-    return overlap_join(places, lines, None, ("chrom", low, high), ("chrom", "start", "last"), sizes=left_levels(places, low, high))
+    """places with the lines (of aligned()) that overlap low to high. Clipped ends move as marks: they lie where the read begins or ends."""
+    marked = lines.withColumns({"clip_l": F.col("clip_l").isNotNull(), "clip_r": F.col("clip_r").isNotNull()})
+    hits = overlap_join(places, marked, None, ("chrom", low, high), ("chrom", "start", "last"), sizes=left_levels(places, low, high))
+    return hits.withColumns({"r_clip_l": F.when(F.col("r_clip_l"), F.col("r_start")), "r_clip_r": F.when(F.col("r_clip_r"), F.col("r_last") + 1)})
 
 
-def long_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
+def long_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35, kinds: tuple[str, ...] = ("INS", "DEL")) -> DataFrame:
     """Per insertion (side i) and end of a deletion (side l or r) of the variants (vid, chrom, start, stop, size, sv_type), and sample:
     reads within shift; events; clips; spans; maq, the mean quality rounded up.
 
@@ -166,14 +168,17 @@ def long_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least
     Deletions, around an end: events are names of reads with a deletion of 0.8 to 1.2 times the size (within 200 of it), or whose
     running total of those of least bases comes to it, or ends at 0.7 to 1.5 times it; clips, left ends that begin past the
     middle and right ends that stop before it, within the shift and a twentieth of the size, 500 at most.
-    Reads are taken apart once, one interval join serves all variants and ends, and rows are counted in the tasks that meet them."""
+    Reads are taken apart once, one interval join serves all variants and ends, and rows are counted in the tasks that meet them; of
+    types that kinds leaves out neither variants nor operations move."""
     size, start, stop, side = F.col("size"), F.col("start"), F.col("stop"), F.col("side")
     ends = F.when(F.col("sv_type") == "INS", F.array(F.lit("i"))).when(F.col("sv_type") == "DEL", F.array(F.lit("l"), F.lit("r")))
-    own = variants.where(F.col("sv_type").isin("INS", "DEL")).select("vid", "chrom", "start", "stop", "size", "sv_type", F.explode(ends).alias("side"))
+    own = variants.where(F.col("sv_type").isin(*kinds)).select("vid", "chrom", "start", "stop", "size", "sv_type", F.explode(ends).alias("side"))
     place = F.when(side == "r", stop).otherwise(start)
     far = F.when(side == "i", stop).otherwise(place)
     near = own.withColumns({"here": place, "__low": F.greatest(place - shift, F.lit(0)), "__high": far + shift - 1})
-    hits = _met(near, aligned(reads, least), "__low", "__high")
+    lines = aligned(reads, least)
+    lines = lines.withColumns({n: F.lit(None).cast(lines.schema[n].dataType) for n, kind in (("inss", "INS"), ("dels", "DEL")) if kind not in kinds})
+    hits = _met(near, lines, "__low", "__high")
 
     inserted = F.filter("r_inss", lambda o: (o["ref"] > start - 300) & (o["ref"] <= stop + size))
     fit = lambda n: (n >= 0.8 * size) & (n <= 1.2 * size)
@@ -205,12 +210,12 @@ def long_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least
 
 def insertion_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
     """long_evidence() of insertions."""
-    return long_evidence(variants.where("sv_type = 'INS'"), reads, shift, least).drop("side")
+    return long_evidence(variants, reads, shift, least, ("INS",)).drop("side")
 
 
 def deletion_evidence(variants: DataFrame, reads: DataFrame, shift: int = 200, least: int = 35) -> DataFrame:
     """long_evidence() of both ends of deletions, without spans."""
-    return long_evidence(variants.where("sv_type = 'DEL'"), reads, shift, least).drop("spans")
+    return long_evidence(variants, reads, shift, least, ("DEL",)).drop("spans")
 
 
 def long_read_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 200, least: int = 35, homo: float = 0.75, ref: float = 0.05, ins_homo: float = 0.75) -> DataFrame:
@@ -408,83 +413,88 @@ def assembly_pair_calls(variants: DataFrame, reads: DataFrame, samples: list[str
     return out
 
 
-def _local(near: DataFrame, reads: DataFrame, kind: str, fits: Callable[[Column], Column], inside: Callable[[Column], Column], clipped: Callable[[Column], Column], whole: Column) -> DataFrame:
-    """near: variants with __low and __high. Per vid and sample: reads; fitting, operations of the kind that fit; events, those inside; places,
-    distinct ones of these; clips, clipped ends that clipped() takes; whole, reads without clips for which whole holds; maq."""
+def _ends(variants: DataFrame, shift: int) -> DataFrame:
+    """Insertions (side i) and both ends of deletions (l and r) with here, their place, and __low to __high, the places within shift."""
+    side, start, stop = F.col("side"), F.col("start"), F.col("stop")
+    ends = F.when(F.col("sv_type") == "INS", F.array(F.lit("i"))).when(F.col("sv_type") == "DEL", F.array(F.lit("l"), F.lit("r")))
+    here = F.when(side == "r", stop).otherwise(start)
+    rows = variants.where(F.col("sv_type").isin("INS", "DEL")).select("vid", "chrom", "start", "stop", "size", "sv_type", F.explode(ends).alias("side"))
+    return rows.withColumns({"here": here, "__low": F.greatest(here - shift, F.lit(0)), "__high": F.when(side == "i", stop).otherwise(here) + shift - 1})
+
+
+def _local(near: DataFrame, reads: DataFrame, fits: Callable[[Column], Column], inside: Callable[[Column], Column], clipped: Callable[[Column], Column], whole: Column, points: Column | None = None) -> DataFrame:
+    """near: rows of _ends(), and with points rows of side m, the stretches in which these lie. Per vid and sample, of each side k: reads_k;
+    fitting_k, operations of the side's kind that fit; events_k, those inside; places_k, distinct ones of these; clips_k, clipped ends that clipped() takes;
+    whole_k, reads without clips for which whole holds; maq_k; and covered, points whose 7 bases a read touches. One interval join serves all of them."""
     hits = _met(near, aligned(reads, 1), "__low", "__high")
-    hits = hits.withColumn("__fit", F.filter("r_dels" if kind == "DEL" else "r_inss", fits))
+    side, insert = F.col("side"), F.col("side") == "i"
+    hits = hits.withColumn("__fit", F.when(side != "m", F.filter(F.when(insert, F.col("r_inss")).otherwise(F.col("r_dels")), fits)))
     unclipped = F.col("r_clip_l").isNull() & F.col("r_clip_r").isNull()
     taken = lambda n: F.coalesce(clipped(F.col(n)), F.lit(False)).cast("int")
-    rows = hits.select("vid", F.col("r_sample").alias("sample"), "r_mapq", F.size("__fit").alias("fits"), (taken("r_clip_l") + taken("r_clip_r")).alias("cut"), (unclipped & whole).alias("whole"), F.posexplode_outer(F.filter("__fit", inside)).alias("k", "o"))
+    bit = lambda p, k: F.when((F.col("r_start") <= p + 6) & (F.col("r_last") >= p), F.call_function("shiftleft", F.lit(1), k)).otherwise(0)
+    marks = F.lit(0) if points is None else F.when(side == "m", F.aggregate(F.transform(points, bit), F.lit(0), lambda a, m: a.bitwiseOR(m))).otherwise(0)
+    rows = hits.select("vid", "side", F.col("r_sample").alias("sample"), "r_mapq", F.size(F.coalesce("__fit", F.array())).alias("fits"), (taken("r_clip_l") + taken("r_clip_r")).alias("cut"), (unclipped & whole).alias("whole"), marks.alias("marks"), F.posexplode_outer(F.filter("__fit", inside)).alias("k", "o"))
     first = F.coalesce(F.col("k"), F.lit(0)) == 0
-    place = F.struct("o.ref", "o.n") if kind == "DEL" else F.struct("o.ref")
-    return rows.groupBy("vid", "sample").agg(
+    place = F.struct(F.col("o.ref").alias("ref"), F.when(~insert, F.col("o.n")).alias("n"))
+    found = rows.groupBy("vid", "sample", "side").agg(
         F.count(F.when(first, 1)).alias("reads"), F.coalesce(F.sum(F.when(first, F.col("fits"))), F.lit(0)).alias("fitting"), F.count("o").alias("events"), F.count_distinct(F.when(F.col("o").isNotNull(), place)).alias("places"),
-        F.coalesce(F.sum(F.when(first, F.col("cut"))), F.lit(0)).alias("clips"), F.count(F.when(first & F.col("whole"), 1)).alias("whole"), F.ceil(F.avg(F.when(first, F.col("r_mapq")))).alias("maq"),
+        F.coalesce(F.sum(F.when(first, F.col("cut"))), F.lit(0)).alias("clips"), F.count(F.when(first & F.col("whole"), 1)).alias("whole"), F.ceil(F.avg(F.when(first, F.col("r_mapq")))).alias("maq"), F.bit_or("marks").alias("marks"),
     )
+    # all sides of a variant and sample in one row, so the evidence is joined to the variants once
+    names = ("reads", "fitting", "events", "places", "clips", "whole", "maq")
+    return found.groupBy("vid", "sample").agg(*[F.max(F.when(side == k, F.col(n))).alias(f"{n}_{k}") for k in "ilr" for n in names], F.bit_count(F.max("marks")).alias("covered"))
 
 
-def _deletion_sides(dels: DataFrame, reads: DataFrame, shift: int, reach: int, fits: Callable[[Column], Column], across: Callable[[Column], Column]) -> DataFrame:
-    """_local of reads within shift of a deletion's start (side l) and stop (r): operations that start there, or end there, and
-    clipped ends within reach; across(place): whether a read passes."""
+def _ends_evidence(variants: DataFrame, samples: list[str], found: DataFrame, support: Callable[[str], Column]) -> tuple[DataFrame, list[Column]]:
+    """Insertions and deletions in all samples with the counts of _local(), 0 where there are none, and of each side the share of reads
+    that support() is. Shares are columns of their own: rules read them many times, and would be compiled with them each time."""
+    rows = _asked(variants, samples).where(F.col("sv_type").isin("INS", "DEL")).join(found, ["vid", "sample"], "left")
+    rows = rows.withColumns({n: F.coalesce(F.col(n), F.lit(0)).cast("long") for n in found.columns if n not in ("vid", "sample")})
+    rows = rows.withColumns({f"share_{k}": share(support(k), F.col(f"reads_{k}")) for k in "ilr"})
+    return rows, [F.col(f"share_{k}") for k in "ilr"]
 
-    def side(k: str) -> DataFrame:
-        place = F.col("start" if k == "l" else "stop")
-        at = lambda p: (p >= place - reach) & (p < place + reach)
-        near = dels.withColumns({"__low": F.greatest(place - shift, F.lit(0)), "__high": place + shift - 1})
-        return _local(near, reads, "DEL", fits, lambda o: at(o["ref"] if k == "l" else o["ref"] + o["n"] - 1), at, across(place)).withColumn("side", F.lit(k))
 
-    return side("l").unionByName(side("r"))
+def _call_ends(rows: DataFrame, gt: tuple[Column, Column], ratio: Column, ratios: tuple[Column, Column]) -> DataFrame:
+    """Calls of rows of _ends_evidence(); gt: of insertions and of deletions; ratio of insertions, ratios of deletions."""
+    c, pick = F.col, lambda one, two: F.when(F.col("sv_type") == "INS", one).otherwise(two)
+    reads = (pick(c("reads_i"), c("reads_l")), pick(F.lit(0).cast("long"), c("reads_r")))
+    return _call(rows, pick(*gt), reads, (pick(ratio, ratios[0]), pick(F.lit(0.0), ratios[1])), pick(c("maq_i"), F.greatest("maq_l", "maq_r")))
 
 
 def short_read_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 30, span: int = 50, least_maq: int = 1, homo: float = 0.65, ref: float = 0.05) -> DataFrame:
     """Genotypes of insertions and deletions (vid, chrom, start, stop, size, sv_type) from short reads, for every one of the samples. Operations
     within 5 bases of the size count, the first of each place twice; reads across without clips, less such operations, correct calls;
     deletions of which two of six interior windows at least have no reads are homozygous."""
-    size, start, stop = F.col("size"), F.col("start"), F.col("stop")
-    good, asked = reads.where(F.col("mapq") >= least_maq), _asked(variants, samples)
-    fits = lambda o: (o["n"] >= size - 5) & (o["n"] <= size + 5)
+    c, size, start, stop, here, side = F.col, F.col("size"), F.col("start"), F.col("stop"), F.col("here"), F.col("side")
     at = lambda p, place, after: (p >= place - shift) & (p < place + after)
-    names = ("reads", "fitting", "events", "places", "clips", "whole", "maq")
-
-    ins = variants.where("sv_type = 'INS'").withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
-    passes = (F.col("r_start") + span < start) & (F.col("r_last") + 1 - span > start)
-    found = _local(ins, good, "INS", fits, lambda o: at(o["ref"] - 1, start, 120) & at(o["ref"], stop, 120), lambda c: at(c, start, 120) & at(c, stop, 120), passes)
-    rows = asked.where("sv_type = 'INS'").join(found, ["vid", "sample"], "left")
-    ratio = share(_zero("events") + _zero("places") + _zero("clips"), _zero("reads"))
-    out = _call(rows, short_insertion(ratio, _zero("reads"), _zero("whole") - _zero("fitting"), homo, ref), (_zero("reads"), F.lit(0)), (ratio, F.lit(0.0)), _zero("maq"))
-
-    dels = variants.where("sv_type = 'DEL'")
-    def across(place: Column) -> Column:
-        return F.when(size >= 100, (F.col("r_start") + span < place) & (F.col("r_last") + 1 - span > place)).otherwise((F.col("r_start") - 10 < start) & (F.col("r_last") - 9 > stop))
-
-    two = _two_sided(asked.where("sv_type = 'DEL'"), _deletion_sides(dels, good, shift, shift, fits, across), names)
-    points = dels.select("vid", "chrom", F.posexplode(interior_points(start, stop)).alias("k", "point")).withColumn("past", F.col("point") + 6)
-    covers = _met(points, aligned(good, 1), "point", "past")
-    covered = covers.groupBy("vid", F.col("r_sample").alias("sample")).agg(F.count_distinct("k").alias("covered"))
-    two = two.join(covered, ["vid", "sample"], "left")
-    c = F.col
-    a, b = (share(c(f"events_{k}") + c(f"places_{k}") + c(f"clips_{k}"), c(f"reads_{k}")) for k in "lr")
+    insert = side == "i"
+    near = _ends(variants, shift)
+    # the reads of the interior windows: those that touch the stretch from the first to the last
+    inner = near.where("side = 'l'").withColumns({"side": F.lit("m"), "__low": F.array_min(interior_points(start, stop)), "__high": F.array_max(interior_points(start, stop)) + 6})
+    begins, ends = c("r_start"), c("r_last") + 1
+    inside = lambda o: F.when(insert, at(o["ref"] - 1, start, 120) & at(o["ref"], stop, 120)).otherwise(at(F.when(side == "l", o["ref"]).otherwise(o["ref"] + o["n"] - 1), here, shift))
+    clipped = lambda p: F.when(insert, at(p, start, 120) & at(p, stop, 120)).otherwise(at(p, here, shift))
+    passes = F.when(insert | (size >= 100), (begins + span < here) & (ends - span > here)).otherwise((begins - 10 < start) & (ends - 10 > stop))
+    found = _local(near.unionByName(inner), reads.where(c("mapq") >= least_maq), lambda o: (o["n"] >= size - 5) & (o["n"] <= size + 5), inside, clipped, passes, interior_points(start, stop))
+    rows, (x, a, b) = _ends_evidence(variants, samples, found, lambda k: c(f"events_{k}") + c(f"places_{k}") + c(f"clips_{k}"))
+    one = short_insertion(x, c("reads_i"), c("whole_i") - c("fitting_i"), homo, ref)
     spans = c("whole_l") + c("whole_r") - c("fitting_l") - c("fitting_r")
-    gt = short_deletion(F.greatest(a, b), c("reads_l") + c("reads_r"), spans, 6 - _zero("covered"), homo, ref)
-    return out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r")))
+    two = short_deletion(F.greatest(a, b), c("reads_l") + c("reads_r"), spans, 6 - c("covered"), homo, ref)
+    return _call_ends(rows, (one, two), x, (a, b))
 
 
 def assembly_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shift: int = 100, reach: int = 200, least_maq: int = 50) -> DataFrame:
     """The same from aligned contigs: insertions over 40 bases, deletions of 40 at least, and clips, within reach of the places."""
-    start, stop, c = F.col("start"), F.col("stop"), F.col
-    good, asked = reads.where(F.col("mapq") >= least_maq), _asked(variants, samples)
+    start, stop, here, side, c = F.col("start"), F.col("stop"), F.col("here"), F.col("side"), F.col
     at = lambda p, place: (p >= place - reach) & (p < place + reach)
-    ins = variants.where("sv_type = 'INS'").withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
-    found = _local(ins, good, "INS", lambda o: o["n"] > 40, lambda o: at(o["ref"] - 1, start) & at(o["ref"], stop), lambda p: at(p, start) & at(p, stop), F.lit(False))
-    rows = asked.where("sv_type = 'INS'").join(found, ["vid", "sample"], "left")
-    ratio = share(_zero("events") + _zero("clips"), _zero("reads"))
-    out = _call(rows, F.when(_zero("reads") == 0, MISSING).otherwise(by_one(ratio, "cr")), (_zero("reads"), F.lit(0)), (ratio, F.lit(0.0)), _zero("maq"))
-    found = _deletion_sides(variants.where("sv_type = 'DEL'"), good, shift, reach, lambda o: o["n"] >= 40, lambda place: F.lit(False))
-    two = _two_sided(asked.where("sv_type = 'DEL'"), found, ("reads", "events", "clips", "maq"))
-    a, b = (share(c(f"events_{k}") + c(f"clips_{k}"), c(f"reads_{k}")) for k in "lr")
-    gt = F.when(c("reads_l") + c("reads_r") == 0, MISSING).otherwise(by_one(F.greatest(a, b), "cr"))
-    return out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (a, b), F.greatest("maq_l", "maq_r")))
+    insert = side == "i"
+    inside = lambda o: F.when(insert, at(o["ref"] - 1, start) & at(o["ref"], stop)).otherwise(at(F.when(side == "l", o["ref"]).otherwise(o["ref"] + o["n"] - 1), here))
+    clipped = lambda p: F.when(insert, at(p, start) & at(p, stop)).otherwise(at(p, here))
+    found = _local(_ends(variants, shift), reads.where(c("mapq") >= least_maq), lambda o: (o["n"] > 40) | (~insert & (o["n"] == 40)), inside, clipped, F.lit(False))
+    rows, (x, a, b) = _ends_evidence(variants, samples, found, lambda k: c(f"events_{k}") + c(f"clips_{k}"))
+    one = F.when(c("reads_i") == 0, MISSING).otherwise(by_one(x, "cr"))
+    two = F.when(c("reads_l") + c("reads_r") == 0, MISSING).otherwise(by_one(F.greatest(a, b), "cr"))
+    return _call_ends(rows, (one, two), x, (a, b))
 
 
 def uncovered_points(deletions: DataFrame, coverage: DataFrame, ident: list[str]) -> DataFrame:
@@ -510,23 +520,17 @@ def forced_calls(variants: DataFrame, reads: DataFrame, samples: list[str], shif
     translocations as in long_read_pair_calls()."""
     c, size, asked = F.col, F.col("size"), _asked(variants, samples)
     fits = lambda o: (o["n"] > 0.5 * size) & (o["n"] < 2 * size)
-    start, stop, wide = c("start"), c("stop"), F.least(size, F.lit(500))
-    at = lambda p, place, reach: (p >= place - reach) & (p < place + reach)
-    ins = variants.where("sv_type = 'INS'").withColumns({"__low": F.greatest(start - shift, F.lit(0)), "__high": stop + shift - 1})
+    start, here, side, wide = c("start"), c("here"), c("side"), F.least(size, F.lit(500))
+    at = lambda p: (p >= here - F.when(side == "i", wide).otherwise(200)) & (p < here + F.when(side == "i", wide).otherwise(200))
     across = (c("r_start") + 1000 < start) & (c("r_last") + 1 - 1000 > start)
-    found = _local(ins, reads, "INS", fits, lambda o: at(o["ref"] - 1, start, wide), lambda p: at(p, start, wide), across)
-    rows = asked.where("sv_type = 'INS'").join(found, ["vid", "sample"], "left")
-    events, clips, depth, fitting = (_zero(n) for n in ("events", "clips", "reads", "fitting"))
-    gt = forced_insertion(events, clips, depth, _zero("whole") - fitting, fitting, size, homo, ref)
-    out = _call(rows, gt, (depth, F.lit(0)), (share(events + clips, depth), F.lit(0.0)), _zero("maq"))
-
-    sides = _deletion_sides(variants.where("sv_type = 'DEL'"), reads, shift, 200, fits, lambda place: F.lit(True))
-    two = _two_sided(asked.where("sv_type = 'DEL'"), sides, ("reads", "events", "clips", "fitting", "maq"))
-    a, b = (c(f"events_{k}") + c(f"clips_{k}") for k in "lr")
-    gt = by_depth(F.greatest(a, b), F.when(a > b, c("reads_l")).otherwise(c("reads_r")), homo, ref)
-    gt = F.when((gt != REF) & (size < 1000) & (c("fitting_l") + c("fitting_r") == 0), REF).otherwise(gt)
-    gt = F.when(c("reads_l") + c("reads_r") == 0, MISSING).otherwise(gt)
-    out = out.unionByName(_call(two, gt, (c("reads_l"), c("reads_r")), (share(a, c("reads_l")), share(b, c("reads_r"))), F.greatest("maq_l", "maq_r")))
+    inside = lambda o: at(F.when(side == "i", o["ref"] - 1).when(side == "l", o["ref"]).otherwise(o["ref"] + o["n"] - 1))
+    n = {k: c(f"events_{k}") + c(f"clips_{k}") for k in "ilr"}
+    rows, (x, a, b) = _ends_evidence(variants, samples, _local(_ends(variants, shift), reads, fits, inside, at, across), n.get)
+    one = forced_insertion(c("events_i"), c("clips_i"), c("reads_i"), c("whole_i") - c("fitting_i"), c("fitting_i"), size, homo, ref)
+    two = by_depth(F.greatest(n["l"], n["r"]), F.when(n["l"] > n["r"], c("reads_l")).otherwise(c("reads_r")), homo, ref)
+    two = F.when((two != REF) & (size < 1000) & (c("fitting_l") + c("fitting_r") == 0), REF).otherwise(two)
+    two = F.when(c("reads_l") + c("reads_r") == 0, MISSING).otherwise(two)
+    out = _call_ends(rows, (one, two), x, (a, b))
 
     small = (c("sv_type") == "DUP") & (size <= 3000)
     paired = c("sv_type").isin("DUP", "INV") & ~small
