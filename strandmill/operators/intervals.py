@@ -14,6 +14,8 @@ stop before its start, and both are running sums over the places in order.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -25,6 +27,9 @@ STRETCH = 16
 #: A side of an interval join with at most so many rows is broadcast. Others never are: Spark's own estimate
 #: of a keyed side leaves out that it has several rows of each.
 SMALL = 20_000
+#: The smaller side of an interval join, a quarter of the other at most, is held in memory by key and the other one not sorted, where
+#: it has at most so many rows, and so many for each shuffle partition. Elsewhere both are sorted, which needs no memory.
+HELD, HELD_IN_TASK = 12_000_000, 100_000
 
 
 def _level(start: str, stop: str) -> Column:
@@ -49,8 +54,14 @@ def levels(*sides: tuple[DataFrame, str, str]) -> list[dict[int, int]]:
 
 def left_levels(left: DataFrame, start: str, stop: str) -> tuple[dict[int, int], dict[int, int]]:
     """Sizes for overlap_join() by a pass over a small left side alone, where the right one is long to work out: the right rows
-    are keyed only where left ones are, the left rows at every level from their own."""
-    return levels((left, start, stop))[0], dict.fromkeys(LEVELS, SMALL + 1)
+    are keyed only where left ones are, the left rows at every level from their own, and the right side counts as the larger one."""
+    return levels((left, start, stop))[0], dict.fromkeys(LEVELS, math.inf)
+
+
+def _held(df: DataFrame, rows: float, other: float) -> bool:
+    """Whether a side of so many rows is held in memory, against an other one of so many."""
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows * 4 <= other and rows <= min(HELD, HELD_IN_TASK * tasks)
 
 
 def _keyed(df: DataFrame, start: str, stop: str, side: str, own: dict[int, int], other: dict[int, int]) -> DataFrame:
@@ -90,11 +101,15 @@ def overlap_join(left: DataFrame, right: DataFrame, residual: Column | None = No
         & (F.col(left_on[1]) <= F.col(prefix + right_on[2])) & (F.col(left_on[2]) >= F.col(prefix + right_on[1]))
         & (F.col("__lbin") == F.greatest(F.expr(f"shiftright({left_on[1]}, __lp)"), F.expr(f"shiftright({prefix}{right_on[1]}, __lp)")))
     )
-    few_left, few_right = sum(own.values()) <= SMALL, sum(other.values()) <= SMALL
-    if few_right:
+    n_left, n_right = sum(own.values()), sum(other.values())
+    if n_right <= SMALL:
         r = r.hint("broadcast")
-    elif few_left:
+    elif n_left <= SMALL:
         a = a.hint("broadcast")
+    elif _held(left, n_left, n_right):
+        a = a.hint("shuffle_hash")
+    elif _held(left, n_right, n_left):
+        r = r.hint("shuffle_hash")
     else:
         a = a.hint("merge")
     out = a.join(r, meets if residual is None else meets & residual)
