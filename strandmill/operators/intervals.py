@@ -24,6 +24,8 @@ from pyspark.sql.window import Window
 LEVELS = (11, 14, 17, 20, 24, 40)
 #: Running sums are made in stretches of 2 to this power of places.
 STRETCH = 16
+#: Rows of at most so many places more than one are counted in one piece; changes so near to a stretch's beginning go to the one before, too.
+REACH = 4096
 #: A side of an interval join with at most so many rows is broadcast. Others never are: Spark's own estimate
 #: of a keyed side leaves out that it has several rows of each.
 SMALL = 20_000
@@ -116,26 +118,36 @@ def overlap_join(left: DataFrame, right: DataFrame, residual: Column | None = No
     return out.drop("__lp", "__lbin", "__ltag", "__rp", "__rbin", "__rtag")
 
 
-def _ranked(left: DataFrame, right: DataFrame, ident: list[str], name: str, asked: tuple[str, str, str], right_on: tuple[str, str, str]) -> DataFrame:
-    """Per ident, the right intervals that begin up to the place asked[1] of left, less those that stop before the place asked[2].
-    Places of both sides are put in order in stretches; one row of each stretch carries the sums over its edges."""
+def _changes(right: DataFrame, right_on: tuple[str, str, str]) -> DataFrame:
+    """By place, the intervals that begin there and those that have stopped just before it."""
     chrom, start, stop = right_on
     change = lambda at, up, down: F.struct(F.col(at).cast("long").alias("place") if up else (F.col(at).cast("long") + 1).alias("place"), F.lit(up).cast("long").alias("up"), F.lit(down).cast("long").alias("down"))
     changes = right.where(F.col(chrom).isNotNull() & (F.col(start) <= F.col(stop))).select(F.col(chrom).alias("__chrom"), F.explode(F.array(change(start, 1, 0), change(stop, 0, 1))).alias("c"))
-    changes = changes.groupBy("__chrom", F.col("c.place").alias("__place")).agg(F.sum("c.up").alias("__up"), F.sum("c.down").alias("__down"))
+    return changes.groupBy("__chrom", F.col("c.place").alias("__place")).agg(F.sum("c.up").alias("__up"), F.sum("c.down").alias("__down"))
+
+
+def _sums_before(changes: DataFrame, parts: DataFrame) -> DataFrame:
+    """Of each stretch in which a place is asked for, a row at its beginning with the sums of the changes before it."""
     part = F.shiftright("__place", STRETCH)
     edges = changes.groupBy("__chrom", part.alias("__part")).agg(F.sum("__up").alias("u"), F.sum("__down").alias("d"))
     along = Window.partitionBy("__chrom").orderBy("__part")
     upto = lambda c: F.sum(c).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     carried = edges.select("__chrom", (F.col("__part") + 1).alias("__part"), upto("u").alias("__up"), upto("d").alias("__down"))
-    ask = F.array(F.struct(F.col(asked[1]).cast("long").alias("place"), F.lit(True).alias("begun")), F.struct(F.col(asked[2]).cast("long").alias("place"), F.lit(False).alias("begun")))
-    asks = left.select(*ident, F.col(asked[0]).alias("__chrom"), F.explode(ask).alias("a")).select(*ident, "__chrom", F.col("a.place").alias("__place"), F.col("a.begun").alias("__begun"))
-    parts = asks.where(F.col("__chrom").isNotNull()).select("__chrom", part.alias("__part")).distinct()
     # the sums before each stretch in which a place is asked for: those up to the last stretch with changes before it
     steps = carried.select("__chrom", "__part", "__up", "__down", F.lit(False).alias("asked")).unionByName(parts.select("__chrom", "__part", F.lit(None).cast("long").alias("__up"), F.lit(None).cast("long").alias("__down"), F.lit(True).alias("asked")))
     last = lambda c: F.last(c, ignorenulls=True).over(Window.partitionBy("__chrom").orderBy("__part", "asked").rowsBetween(Window.unboundedPreceding, Window.currentRow))
     before = steps.withColumns({"__up": F.coalesce(last("__up"), F.lit(0)), "__down": F.coalesce(last("__down"), F.lit(0))}).where("asked")
-    first = before.select("__chrom", F.shiftleft("__part", STRETCH).alias("__place"), "__up", "__down", F.lit(None).cast("boolean").alias("__begun"))
+    return before.select("__chrom", F.shiftleft("__part", STRETCH).alias("__place"), "__up", "__down")
+
+
+def _ranked(left: DataFrame, right: DataFrame, ident: list[str], name: str, asked: tuple[str, str, str], right_on: tuple[str, str, str]) -> DataFrame:
+    """Per ident, the right intervals that begin up to the place asked[1] of left, less those that stop before the place asked[2].
+    Places of both sides are put in order in stretches; one row of each stretch carries the sums over its edges."""
+    changes, part = _changes(right, right_on), F.shiftright("__place", STRETCH)
+    ask = F.array(F.struct(F.col(asked[1]).cast("long").alias("place"), F.lit(True).alias("begun")), F.struct(F.col(asked[2]).cast("long").alias("place"), F.lit(False).alias("begun")))
+    asks = left.select(*ident, F.col(asked[0]).alias("__chrom"), F.explode(ask).alias("a")).select(*ident, "__chrom", F.col("a.place").alias("__place"), F.col("a.begun").alias("__begun"))
+    parts = asks.where(F.col("__chrom").isNotNull()).select("__chrom", part.alias("__part")).distinct()
+    first = _sums_before(changes, parts).withColumn("__begun", F.lit(None).cast("boolean"))
     rows = changes.withColumn("__begun", F.lit(None).cast("boolean")).unionByName(first).unionByName(asks.where(F.col("__chrom").isNotNull()), allowMissingColumns=True)
     within = Window.partitionBy("__chrom", "__part").orderBy("__place").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     total = F.when(F.col("__begun"), F.sum("__up").over(within)).otherwise(-F.sum("__down").over(within))
@@ -143,14 +155,47 @@ def _ranked(left: DataFrame, right: DataFrame, ident: list[str], name: str, aske
     return summed.groupBy(*ident).agg(F.sum("__n").alias(name))
 
 
+def _ranked_near(left: DataFrame, right: DataFrame, ident: list[str], name: str, asked: tuple[str, str, str], low: str, right_on: tuple[str, str, str]) -> DataFrame:
+    """left with the same number, for rows whose places lie within REACH of low, the smaller one; 0 of those without places or chromosome.
+    A row moves once, to the stretch of low, and is put in order there by one place and then by the other."""
+    changes = _changes(right, right_on)
+    here = F.shiftright("__place", STRETCH)
+    near_edge = F.col("__place").bitwiseAND((1 << STRETCH) - 1) <= REACH
+    marks = changes.withColumn("__part", F.explode(F.when(near_edge, F.array(here, here - 1)).otherwise(F.array(here))))
+    known = F.col(asked[0]).isNotNull() & F.coalesce(F.col(asked[1]) <= F.col(asked[2]) if low == asked[1] else F.col(asked[2]) <= F.col(asked[1]), F.lit(False))
+    # rows without places are dealt by their identifier
+    rows = left.withColumns({"__chrom": F.when(known, F.col(asked[0])), "__part": F.when(known, F.shiftright(F.col(low).cast("long"), STRETCH)).otherwise(F.xxhash64(*ident)), "__begun": F.col(asked[1]).cast("long"), "__ended": F.col(asked[2]).cast("long"), "__own": known})
+    parts = rows.where("__own").select("__chrom", "__part").distinct()
+    first = _sums_before(changes, parts).withColumn("__part", here)
+    marks = marks.unionByName(first).withColumns({"__begun": F.col("__place"), "__ended": F.col("__place")}).drop("__place")
+    both = rows.unionByName(marks, allowMissingColumns=True)
+    upto = lambda at: Window.partitionBy("__chrom", "__part").orderBy(at).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = both.withColumn("__n", F.sum("__up").over(upto("__begun"))).withColumn("__m", F.sum("__down").over(upto("__ended")))
+    n = F.when(F.col("__own"), F.coalesce("__n", F.lit(0)) - F.coalesce("__m", F.lit(0))).otherwise(0)
+    return summed.where(F.col("__own").isNotNull()).select(*left.columns, n.cast("long").alias(name))
+
+
+def _ranked_all(left: DataFrame, right: DataFrame, ident: list[str], name: str, left_on: tuple[str, str, str], right_on: tuple[str, str, str], covering: bool) -> DataFrame:
+    """left with the right intervals that begin up to its end, less those that stop before its start (covering: the reverse)."""
+    chrom, low, high = left_on
+    asked = (chrom, low, high) if covering else (chrom, high, low)
+    size = F.col(high).cast("long") - F.col(low).cast("long")
+    far = left.where(size > REACH)
+    if far.isEmpty():
+        return _ranked_near(left, right, ident, name, asked, low, right_on)
+    own = far.select(*dict.fromkeys([*ident, *left_on]))
+    hits = far.join(_ranked(own, right, ident, name, asked, right_on), ident, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    near = left.where(F.coalesce(size <= REACH, F.lit(True)))
+    return _ranked_near(near, right, ident, name, asked, low, right_on).unionByName(hits.select(*left.columns, name))
+
+
 def count_overlaps(left: DataFrame, right: DataFrame, ident: list[str], name: str = "n", residual: Column | None = None, left_on: tuple[str, str, str] = ("chrom", "start", "stop"), right_on: tuple[str, str, str] = ("chrom", "start", "stop")) -> DataFrame:
     """left with the number of right intervals that overlap each row; ident names a row of left.
     With a residual pairs are made, and counted in the tasks that make them before anything moves."""
-    own = left.select(*dict.fromkeys([*ident, *left_on])).where(F.col(left_on[1]) <= F.col(left_on[2]))
     if residual is None:
-        hits = _ranked(own, right, ident, name, (left_on[0], left_on[2], left_on[1]), right_on)
-    else:
-        hits = overlap_join(own, right.select(*dict.fromkeys(right_on)), residual, left_on, right_on).groupBy(*ident).agg(F.count(F.lit(1)).alias(name))
+        return _ranked_all(left, right, ident, name, left_on, right_on, False)
+    own = left.select(*dict.fromkeys([*ident, *left_on])).where(F.col(left_on[1]) <= F.col(left_on[2]))
+    hits = overlap_join(own, right.select(*dict.fromkeys(right_on)), residual, left_on, right_on).groupBy(*ident).agg(F.count(F.lit(1)).alias(name))
     return left.join(hits, ident, "left").withColumn(name, F.coalesce(name, F.lit(0)))
 
 
@@ -159,16 +204,16 @@ def count_covering(left: DataFrame, right: DataFrame, ident: list[str], name: st
     its end, which takes off intervals inside it that never began before it. Only where right has intervals as
     short as that are these found, by pairs, and added."""
     chrom, low, high = left_on
+    counted = _ranked_all(left, right, ident, name, left_on, right_on, True)
     own = left.select(*dict.fromkeys([*ident, *left_on])).where(F.col(low) <= F.col(high))
-    hits = _ranked(own, right, ident, name, (chrom, low, high), right_on)
     longest = own.agg(F.max(F.col(high) - F.col(low))).head()[0]
     size = F.col(right_on[2]) - F.col(right_on[1])
     short = right.where((size >= 0) & (size < (-1 if longest is None else longest)))
-    if short.head(1):
-        inside = (F.col("r_" + right_on[1]) > F.col(low)) & (F.col("r_" + right_on[2]) < F.col(high))
-        nested = overlap_join(own, short.select(*dict.fromkeys(right_on)), inside, left_on, right_on).groupBy(*ident).agg(F.count(F.lit(1)).alias(name))
-        hits = hits.unionByName(nested).groupBy(*ident).agg(F.sum(name).alias(name))
-    return left.join(hits, ident, "left").withColumn(name, F.coalesce(name, F.lit(0)))
+    if short.isEmpty():
+        return counted
+    inside = (F.col("r_" + right_on[1]) > F.col(low)) & (F.col("r_" + right_on[2]) < F.col(high))
+    nested = overlap_join(own, short.select(*dict.fromkeys(right_on)), inside, left_on, right_on).groupBy(*ident).agg(F.count(F.lit(1)).alias("__more"))
+    return counted.join(nested, ident, "left").withColumn(name, F.col(name) + F.coalesce("__more", F.lit(0))).drop("__more")
 
 
 def insertions_in_duplications(candidates: DataFrame, least_ratio: float = 0.8, ident: str = "svid") -> DataFrame:
