@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandmill.functions.scalars import round_half_even
-from strandmill.operators.runs import islands, map_runs, schema_with
+from strandmill.operators.runs import by_island, map_runs, schema_with
 
 #: Least share of reads by ploidy; fixed values.
 PLOIDY_RATE = {1: 0.99, 2: 0.49, 3: 0.33, 4: 0.24, 5: 0.19, 6: 0.16, 7: 0.14, 8: 0.12}
@@ -60,8 +60,10 @@ def query_collapse(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 def run_collapse(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Consecutive rows of one query, in order, become one: smallest start, largest stop, summed length."""
-    numbered = islands(df, keys, ["start", *order], lambda prev: prev("query_name") != F.col("query_name"), "run")
-    return numbered.groupBy(*keys, "run", "query_name").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("sv_len").alias("sv_len"), F.count(F.lit(1)).alias("n_signals"))
+    def work(rows: DataFrame, by: list[str]) -> DataFrame:
+        return rows.groupBy(*by, "run", "query_name").agg(F.min("start").alias("start"), F.max("stop").alias("stop"), F.sum("sv_len").alias("sv_len"), F.count(F.lit(1)).alias("n_signals"))
+
+    return by_island(df, keys, ["start", *order], lambda prev: prev("query_name") != F.col("query_name"), work, "run")
 
 
 def trimmed(df: DataFrame, keys: list[str], value: str) -> DataFrame:

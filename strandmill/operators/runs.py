@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 
-#: Islands are marked in stretches of 2 to this power of places, where a key has more rows than PLAIN.
-STRETCH, PLAIN = 20, 1_000_000
+#: Islands are marked in stretches of 2 to this power of places at most, where a key has more rows than PLAIN.
+STRETCH, PLAIN = 20, 100_000
+#: Stretches whose numbers are broadcast.
+TOLD = 200_000
 
 
 def settled(df: DataFrame) -> DataFrame:
@@ -45,29 +47,57 @@ def islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[
     sorts one stretch of places, not a key's rows: runs are marked within stretches, of a length at which the largest key's
     hold about plain rows, and the first and last row of each stretch, with its number of runs, carry marks and numbers over
     the edges. Both ways give the same rows."""
-    largest = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), (F.max(order[0]) - F.min(order[0])).alias("__far")).agg(F.max(F.struct("__n", "__far"))).head()[0]
+    return numbered_islands(df, keys, order, starts, name, stretch, plain)[0].drop("__at", "__over")
+
+
+def by_island(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[Callable[[str], Column]], Column], work: Callable[[DataFrame, list[str]], DataFrame], name: str = "island", stretch: int = STRETCH, plain: int = PLAIN) -> DataFrame:
+    """work(rows of islands(), keys) for whole islands, which are groups of the keys handed to work and name. Islands within
+    a stretch are grouped where they were numbered and do not move again; those that reach over an edge of stretches, few
+    rows, are gathered apart."""
+    numbered, by = numbered_islands(df, keys, order, starts, name, stretch, plain)
+    if by == keys:
+        return work(numbered.drop("__over"), keys)
+    inner = work(numbered.where(~F.col("__over")).drop("__over"), by)
+    over = work(numbered.where("__over").drop("__over", "__at"), keys)
+    return inner.drop("__at").unionByName(over)
+
+
+def numbered_islands(df: DataFrame, keys: list[str], order: list[str], starts: Callable[[Callable[[str], Column]], Column], name: str = "island", stretch: int = STRETCH, plain: int = PLAIN) -> tuple[DataFrame, list[str]]:
+    """islands() with __over, whether a row's island reaches over an edge of stretches, and the columns by which rows lie in
+    tasks: keys or, in stretches, keys and __at, a row's stretch."""
+    far = F.coalesce(F.max(order[0]) - F.min(order[0]), F.lit(0)).cast("long")
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), far.alias("__far"))
+    largest, many, length = sizes.agg(F.max(F.struct("__n", "__far")), F.count(F.lit(1)), F.sum(F.col("__far").cast("double"))).head()
     if largest is None or largest["__n"] <= plain:
         along = Window.partitionBy(*keys).orderBy(*order)
         new = F.coalesce(starts(lambda c: F.lag(c).over(along)), F.lit(True)).cast("int")
         marked = df.withColumn("__new", new)
-        return marked.withColumn(name, F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__new")
+        return marked.withColumn(name, F.sum("__new").over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))).drop("__new").withColumn("__over", F.lit(False)), keys
     if largest["__far"]:  # rows lie as densely as they do in the largest key
         stretch = min(stretch, max(0, int(np.log2(max(1.0, float(largest["__far"]) * plain / largest["__n"])))))
     place = F.coalesce(F.shiftright(F.col(order[0]).cast("long"), stretch), F.lit(-(1 << 62)))
-    by = Window.partitionBy("__part").orderBy(*order)
-    local = df.withColumn("__part", F.struct(*keys, place.alias("__at")))
+    by = Window.partitionBy(*keys, "__at").orderBy(*order)
     inner = F.coalesce(starts(lambda c: F.lag(c).over(by)), F.lit(True)).cast("int")
+    local = df.withColumn("__at", place)
     local = local.withColumns({"__first": F.row_number().over(by) == 1, "__last": F.lead(F.lit(1)).over(by).isNull(), "__new": inner})
     local = local.withColumn("__new", F.when(F.col("__first"), 0).otherwise(F.col("__new")))
     local = local.withColumn("__run", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     # only the columns that starts() reads are carried; a stretch's first row follows the last one of the stretch before
-    over = Window.partitionBy(*keys).orderBy("__part", F.desc("__first"))
+    over = Window.partitionBy(*keys).orderBy("__at", F.desc("__first"))
     ends = local.where(F.col("__first") | F.col("__last")).withColumn("__opens", F.coalesce(starts(lambda c: F.lag(c).over(over)), F.lit(True)).cast("int"))
-    table = ends.groupBy(*keys, "__part").agg(F.max("__run").alias("__n"), F.max(F.when(F.col("__first"), F.col("__opens"))).alias("__opens"))
-    along = Window.partitionBy(*keys).orderBy("__part")
-    until = F.sum(F.col("__opens") + F.col("__n")).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    numbered = local.join(table.select("__part", (until - F.col("__n")).alias("__before")), "__part")
-    return numbered.withColumn(name, F.col("__before") + F.col("__run")).drop("__part", "__first", "__last", "__new", "__run", "__before")
+    table = ends.groupBy(*keys, "__at").agg(F.max("__run").alias("__runs"), F.max(F.when(F.col("__first"), F.col("__opens"))).alias("__opens"))
+    along = Window.partitionBy(*keys).orderBy("__at")
+    until = F.sum(F.col("__opens") + F.col("__runs")).over(along.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    goes_on = F.coalesce(F.lead("__opens").over(along) == 0, F.lit(False))
+    mine = [f"__key{i}" for i in range(len(keys) + 1)]
+    told = [(until - F.col("__runs")).alias("__before"), "__runs", (F.col("__opens") == 0).alias("__came"), goes_on.alias("__goes")]
+    table = table.select(*[F.col(k).alias(m) for k, m in zip([*keys, "__at"], mine)], *told)
+    if 2 * many + length / 2.0**stretch <= TOLD:  # no more stretches than that
+        table = F.broadcast(table)
+    same = [F.col(k).eqNullSafe(F.col(m)) for k, m in zip([*keys, "__at"], mine)]
+    joined = local.join(table, same).withColumn(name, F.col("__before") + F.col("__run"))
+    crosses = ((F.col("__run") == 0) & F.col("__came")) | ((F.col("__run") == F.col("__runs")) & F.col("__goes"))
+    return joined.withColumn("__over", crosses).drop(*mine, "__first", "__last", "__new", "__run", "__runs", "__before", "__came", "__goes"), [*keys, "__at"]
 
 
 def map_runs(df: DataFrame, keys: list[str], order: list[str], work: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandmill.operators.anchors import anchored
-from strandmill.operators.runs import islands
+from strandmill.operators.runs import by_island, islands
 
 WIDEST = 1500.0
 
@@ -86,24 +86,29 @@ def merge_close(table: DataFrame, reach: int = 800, by_chrom: bool = True) -> Da
     return merged.select(*[F.col(c) if c in ident or c == "target_size" else F.col(f"f.{c}").alias(c) for c in table.columns], "merged")
 
 
-def adjacent(df: DataFrame, keys: list[str], order: list[str], shift: int, ratio: tuple[float, float] = (0.8, 1.2)) -> DataFrame:
-    """Clusters of rows near their predecessor in start, stop and length; adds island."""
+def adjacent(df: DataFrame, keys: list[str], order: list[str], shift: int, ratio: tuple[float, float] = (0.8, 1.2), work: Callable[[DataFrame, list[str]], DataFrame] | None = None) -> DataFrame:
+    """Clusters of rows near their predecessor in start, stop and length; adds island, or is work() of whole islands (by_island)."""
     def apart(prev: Callable[[str], Column]) -> Column:
         share = F.try_divide(prev("sv_len"), F.col("sv_len"))
         return ~((F.abs(F.col("start") - prev("start")) <= shift) & (F.abs(F.col("stop") - prev("stop")) <= shift) & (share > ratio[0]) & (share < ratio[1]))
 
-    return islands(df, keys, ["start", *order], apart)
+    return islands(df, keys, ["start", *order], apart) if work is None else by_island(df, keys, ["start", *order], apart, work)
 
 
-def adjacent_pairs(df: DataFrame, order: list[str], shift: int) -> DataFrame:
-    """Translocations, per pair of chromosomes: rows near their predecessor on both sides."""
+def adjacent_pairs(df: DataFrame, order: list[str], shift: int, work: Callable[[DataFrame, list[str]], DataFrame] | None = None) -> DataFrame:
+    """Translocations, per pair of chromosomes: rows near their predecessor on both sides; adds island, or is work() of whole islands."""
     near = lambda prev: (F.abs(F.col("start") - prev("start")) <= 2 * shift) & (F.abs(F.col("start2") - prev("start2")) <= 2 * shift)
-    return islands(df, ["chrom", "chrom2"], ["start", "start2", *order], lambda prev: ~near(prev))
+    keys, places = ["chrom", "chrom2"], ["start", "start2", *order]
+    return islands(df, keys, places, lambda prev: ~near(prev)) if work is None else by_island(df, keys, places, lambda prev: ~near(prev), work)
 
 
-def nested_gaps(df: DataFrame, keys: list[str], order: list[str], gap: int = 5000) -> DataFrame:
+def nested_apart(gap: int = 5000) -> Callable[[Callable[[str], Column]], Column]:
     """A row joins while it starts at most gap after the stop of the row before (not of all before)."""
-    return islands(df, keys, ["start", *order], lambda prev: F.col("start") > prev("stop") + gap)
+    return lambda prev: F.col("start") > prev("stop") + gap
+
+
+def nested_gaps(df: DataFrame, keys: list[str], order: list[str], gap: int = 5000) -> DataFrame:
+    return islands(df, keys, ["start", *order], nested_apart(gap))
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list[str], value: Column, k: int = 5) -> Column:

@@ -90,8 +90,8 @@ def paired(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT chrom, chrom2, island, max(CASE WHEN p = 1 THEN start END) AS start, max(CASE WHEN p = 1 THEN start2 END) AS start2, max(CASE WHEN p = 1 THEN svid END) AS svid, CAST(0 AS BIGINT) AS sv_len, CAST(floor(avg(maq)) AS INT) AS maq, CAST(sum(cluster_size) AS BIGINT) AS cluster_size, round(sum(sv_rate), 6) AS sv_rate
 FROM r GROUP BY chrom, chrom2, island""")
 def tra_sample_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    islanded = windows.adjacent_pairs(paired(spark, sf_dir).drop("stop", "seq"), K, 10000)
-    return clusters.sample_merge(islanded, ["chrom", "chrom2"], K, translocations=True).withColumn("sv_rate", F.round("sv_rate", 6))
+    merged = windows.adjacent_pairs(paired(spark, sf_dir).drop("stop", "seq"), K, 10000, lambda rows, by: clusters.sample_merge(rows, by, K, translocations=True))
+    return merged.withColumn("sv_rate", F.round("sv_rate", 6))
 
 
 @query(cte("sig") + """, t AS (SELECT k1, k2, k3, k4, chrom, concat('Chr', CAST(k3 % 3 + 1 AS VARCHAR)) AS chrom2, start * 10 AS start FROM sig),

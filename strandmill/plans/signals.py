@@ -52,7 +52,7 @@ def sv_adjacent_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT chrom, sv_type, island, max(CASE WHEN p = 1 THEN start END) AS start, max(CASE WHEN p = 1 THEN stop END) AS stop, max(CASE WHEN p = 1 THEN svid END) AS svid, max(CASE WHEN p = 1 THEN seq END) AS seq,
   max(sv_len) AS sv_len, CAST(floor(avg(maq)) AS INT) AS maq, CAST(sum(cluster_size) AS BIGINT) AS cluster_size, round(sum(sv_rate), 6) AS sv_rate FROM r GROUP BY chrom, sv_type, island""")
 def sv_sample_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    merged = clusters.sample_merge(windows.adjacent(sig(spark, sf_dir), KEYS, ORDER, 100), KEYS, K)
+    merged = windows.adjacent(sig(spark, sf_dir), KEYS, ORDER, 100, work=lambda rows, by: clusters.sample_merge(rows, by, K))
     return merged.withColumn("sv_rate", F.round("sv_rate", 6))
 
 
@@ -63,7 +63,7 @@ def _mode(column: str) -> str:
 @query(ADJACENT + f""", g AS (SELECT chrom, sv_type, island, CAST(floor(avg(maq)) AS INT) AS maq, count(*) AS merged FROM isl GROUP BY ALL)
 SELECT g.chrom, g.sv_type, g.island, a.start, b.stop, c.sv_len, g.maq, g.merged FROM g JOIN {_mode("start")} a USING (chrom, sv_type, island) JOIN {_mode("stop")} b USING (chrom, sv_type, island) JOIN {_mode("sv_len")} c USING (chrom, sv_type, island)""")
 def sv_cohort_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.cohort_merge(windows.adjacent(sig(spark, sf_dir), KEYS, ORDER, 100), KEYS, ["start", "stop", "sv_len"])
+    return windows.adjacent(sig(spark, sf_dir), KEYS, ORDER, 100, work=lambda rows, by: clusters.cohort_merge(rows, by, ["start", "stop", "sv_len"]))
 
 
 @query(cte("sig") + " SELECT chrom, start, sv_type, sv_len, svid FROM (SELECT *, row_number() OVER (PARTITION BY chrom, sv_type, start ORDER BY sv_len DESC, k1 DESC, k2 DESC, k3 DESC, k4 DESC) AS p FROM sig) WHERE p = 1")
@@ -310,6 +310,6 @@ SELECT chrom, start, stop, sv_len AS target_size, -sv_len AS query_size, CASE WH
 def cohort_deletions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: filtered deletions, clustered, merged and genotyped from their rates."""
     kept = filters.signal_sizes(sig(spark, sf_dir).where("sv_type = 'DEL'"), 100, 10_000_000, 30)
-    clustered = windows.adjacent(kept, KEYS, ORDER, 100)
-    merged = clusters.sample_merge(clustered, KEYS, K, more=(F.avg("sv_rate").alias("mean_rate"),)).withColumn("sv_rate", F.col("mean_rate"))
+    work = lambda rows, by: clusters.sample_merge(rows, by, K, more=(F.avg("sv_rate").alias("mean_rate"),))
+    merged = windows.adjacent(kept, KEYS, ORDER, 100, work=work).withColumn("sv_rate", F.col("mean_rate"))
     return genotypes.from_signal_rate(merged, "s1", ("cluster_size",)).select("chrom", "start", "stop", "target_size", "query_size", "gt", "cluster_size")
