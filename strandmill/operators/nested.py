@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from strandmill.functions.scalars import reverse_complement
-from strandmill.operators.intervals import overlap_join
-from strandmill.operators.runs import settled
-from strandmill.operators.windows import nested_gaps
+from strandmill.operators.intervals import levels, overlap_join
+from strandmill.operators.runs import numbered_islands, settled
+from strandmill.operators.windows import nested_apart
 
 #: Outer and inner types that may nest; fixed values.
 ALLOWED = {
@@ -20,30 +20,56 @@ ALLOWED = {
     "near": [("DUP", "INV"), ("DUP", "DEL"), ("DUP", "INS"), ("INV", "INS"), ("INV", "DEL"), ("INV", "DUP"), ("INS", "INV"), ("INS", "DEL")],
 }
 
+#: Rows of a cluster that are paired in a list.
+FEW = 64
 
-def nested_pairs(variants: DataFrame, order: list[str], allowed: str = "genome", gap: int = 5000, near: int = 0) -> DataFrame:
+
+def nested_pairs(variants: DataFrame, order: list[str], allowed: str = "genome", gap: int = 5000, near: int = 0, work: Callable[[DataFrame, list[str]], DataFrame] = lambda pairs, by: pairs.drop("__at")) -> DataFrame:
     """Pairs of one gap cluster whose outer variant contains the inner one (within near bases, then its sv_len must be
-    larger) and whose types may nest. Columns o_ and i_ and the cluster. Overlap is found by an interval join."""
-    clustered = nested_gaps(variants, ["chrom"], order, gap)
-    wide = clustered.withColumns({"__low": F.col("start") - near, "__high": F.col("stop") + near})
-    kinds = None
-    for a, b in ALLOWED[allowed]:
-        one = (F.col("sv_type") == a) & (F.col("r_sv_type") == b)
-        kinds = one if kinds is None else kinds | one
-    inside = (F.col("__low") <= F.col("r_start")) & (F.col("__high") >= F.col("r_stop")) & (F.col("island") == F.col("r_island"))
-    different = F.struct(*order) != F.struct(*["r_" + o for o in order])
-    longer = (F.col("sv_len") > F.col("r_sv_len")) if near else F.lit(True)
-    pairs = overlap_join(wide, clustered, kinds & inside & different & longer, ("chrom", "__low", "__high"))
+    larger) and whose types may nest. Columns o_ and i_ and the cluster. Rows of clusters of up to FEW are paired in lists, where
+    they lie; those of larger ones, and of clusters over an edge of stretches, meet by an interval join. work is done to
+    pairs of whole clusters, named by the keys handed to it and cluster."""
     own = [c for c in variants.columns if c != "chrom"]
-    return pairs.select("chrom", F.col("island").alias("cluster"), *[F.col(c).alias("o_" + c) for c in own], *[F.col("r_" + c).alias("i_" + c) for c in own])
-
 
-def nested_consensus(pairs: DataFrame, order: list[str]) -> DataFrame:
+    def nests(o: Callable[[str], Column], i: Callable[[str], Column]) -> Column:
+        kinds = F.lit(False)
+        for a, b in ALLOWED[allowed]:
+            kinds = kinds | ((o("sv_type") == a) & (i("sv_type") == b))
+        inside = (o("start") - near <= i("start")) & (o("stop") + near >= i("stop"))
+        different = F.struct(*[o(c) for c in order]) != F.struct(*[i(c) for c in order])
+        ordered = (o("start") - near <= o("stop") + near) & (i("start") <= i("stop"))  # else they meet none
+        return kinds & inside & different & ordered & ((o("sv_len") > i("sv_len")) if near else F.lit(True))
+
+    def listed(rows: DataFrame, by: list[str]) -> DataFrame:
+        lists = rows.groupBy(*by, F.col("island").alias("cluster")).agg(F.collect_list(F.struct(*own)).alias("__l"))
+        inner = lambda o: F.transform(F.filter("__l", lambda i: nests(o.getField, i.getField)), lambda i: F.struct(o.alias("o"), i.alias("i")))
+        pairs = lists.select(*by, "cluster", F.explode(F.flatten(F.transform("__l", inner))).alias("p"))
+        return pairs.select(*by, "cluster", *[F.col(f"p.o.{c}").alias("o_" + c) for c in own], *[F.col(f"p.i.{c}").alias("i_" + c) for c in own])
+
+    def joined(rows: DataFrame) -> DataFrame:
+        wide = rows.withColumns({"__low": F.col("start") - near, "__high": F.col("stop") + near})
+        kept = nests(F.col, lambda c: F.col("r_" + c)) & (F.col("island") == F.col("r_island"))
+        pairs = overlap_join(wide, rows, kept, ("chrom", "__low", "__high"), sizes=sizes)
+        return pairs.select("chrom", F.col("island").alias("cluster"), *[F.col(c).alias("o_" + c) for c in own], *[F.col("r_" + c).alias("i_" + c) for c in own])
+
+    known = variants.where(F.col("chrom").isNotNull())  # rows without a chromosome have no pair
+    # levels of all rows, as those of the few rows that are joined would take another pass of the islands
+    sizes = tuple(levels((known.withColumns({"__low": F.col("start") - near, "__high": F.col("stop") + near}), "__low", "__high"), (known, "start", "stop")))
+    rows, by = numbered_islands(known, ["chrom"], ["start", *order], nested_apart(gap))
+    counted = rows.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*by, "island")))
+    apart = F.col("__over") | (F.col("__n") > FEW)
+    few = work(listed(counted.where(~apart), by), by).drop("__at")
+    many = work(joined(counted.where(apart).drop("__n", "__at", "__over")), ["chrom"])
+    return few.unionByName(many)
+
+
+def nested_consensus(pairs: DataFrame, order: list[str], by: tuple[str, ...] | list[str] = ("chrom",)) -> DataFrame:
     """One row per cluster: medians of the four ends, rounded down, types and lengths of the first pair."""
     mid = lambda c: F.floor(F.percentile(c, 0.5)).cast("long").alias(c)
     first = F.struct("o_start", *["o_" + o for o in order], "i_start", *["i_" + o for o in order])
-    pick = lambda c: F.min_by(c, first).alias(c)
-    return pairs.groupBy("chrom", "cluster").agg(*map(mid, ("o_start", "o_stop", "i_start", "i_stop")), *map(pick, ("o_sv_type", "o_sv_len", "i_sv_type", "i_sv_len")), F.count(F.lit(1)).alias("pairs"))
+    picked = ["o_sv_type", "o_sv_len", "i_sv_type", "i_sv_len"]  # picked at once, so that the order goes along once
+    found = pairs.groupBy(*by, "cluster").agg(*map(mid, ("o_start", "o_stop", "i_start", "i_stop")), F.min_by(F.struct(*picked), first).alias("f"), F.count(F.lit(1)).alias("pairs"))
+    return found.select(*by, "cluster", "o_start", "o_stop", "i_start", "i_stop", *[F.col(f"f.{c}").alias(c) for c in picked], "pairs")
 
 
 def mirrored(start: Column, stop: Column, inv_start: Column, inv_stop: Column) -> tuple[Column, Column]:

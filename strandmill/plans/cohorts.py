@@ -377,7 +377,7 @@ arg_min(o_sv_type, z) AS o_sv_type, arg_min(o_sv_len, z) AS o_sv_len, arg_min(i_
 
 def nested_by(spark: SparkSession, sf_dir: str, form: str, gap: int, near: int = 0) -> DataFrame:
     rows = sig(spark, sf_dir).select("chrom", "start", "stop", "sv_len", "sv_type", *K)
-    return nested.nested_consensus(nested.nested_pairs(rows, ["sv_len", *K], form, gap, near), ["sv_len", *K])
+    return nested.nested_pairs(rows, ["sv_len", *K], form, gap, near, lambda pairs, by: nested.nested_consensus(pairs, ["sv_len", *K], by))
 
 
 @query(_nested([("DUP", "INV"), ("DUP", "DEL"), ("INS", "INV"), ("INS", "DEL"), ("INV", "INS"), ("INV", "DEL"), ("INV", "DUP")], 500))
