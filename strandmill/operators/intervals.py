@@ -32,10 +32,14 @@ SMALL = 20_000
 #: The smaller side of an interval join, a quarter of the other at most, is held in memory by key and the other one not sorted, where
 #: it has at most so many rows, and so many for each shuffle partition. Elsewhere both are sorted, which needs no memory.
 HELD, HELD_IN_TASK = 12_000_000, 100_000
+#: A side FEWER times smaller than the other is cut into bins 2 to the power of FINE smaller than its intervals ask for: a few more
+#: copies of its rows, each in up to 9 bins, spare the many rows of the other one their copies at coarser levels.
+FEWER, FINE = 4, 3
 
 
-def _level(start: str, stop: str) -> Column:
-    size = F.col(stop) - F.col(start) + 1
+def _level(start: str, stop: str, fine: int = 0) -> Column:
+    """The level of an interval, or that of one shorter by 2 to the power of fine."""
+    size = F.shiftright(F.col(stop) - F.col(start), fine) + 1
     level = F.lit(LEVELS[-1])
     for p in reversed(LEVELS[:-1]):
         level = F.when(size <= (1 << p), p).otherwise(level)
@@ -44,13 +48,19 @@ def _level(start: str, stop: str) -> Column:
 
 def levels(*sides: tuple[DataFrame, str, str]) -> list[dict[int, int]]:
     """Of each side (rows, start, stop) its number of rows by level, from one pass over all sides."""
-    found: list[dict[int, int]] = [{} for _ in sides]
+    return [coarse for coarse, _ in _both_levels(*sides)]
+
+
+def _both_levels(*sides: tuple[DataFrame, str, str]) -> list[tuple[dict[int, int], dict[int, int]]]:
+    """levels(), and the numbers of rows by the level that a side has in bins FINE powers of two smaller."""
+    found: list[tuple[dict[int, int], dict[int, int]]] = [({}, {}) for _ in sides]
     table = None
     for k, (df, start, stop) in enumerate(sides):
-        own = df.where(F.col(start) <= F.col(stop)).select(F.lit(k).alias("side"), _level(start, stop).alias("level"))
+        own = df.where(F.col(start) <= F.col(stop)).select(F.lit(k).alias("side"), _level(start, stop).alias("level"), _level(start, stop, FINE).alias("finer"))
         table = own if table is None else table.unionAll(own)
-    for r in table.groupBy("side", "level").count().collect():
-        found[r["side"]][r["level"]] = r["count"]
+    for r in table.groupBy("side", "level", "finer").count().collect():
+        for counts, level in zip(found[r["side"]], (r["level"], r["finer"])):
+            counts[level] = counts.get(level, 0) + r["count"]
     return found
 
 
@@ -66,12 +76,12 @@ def _held(df: DataFrame, rows: float, other: float) -> bool:
     return rows * 4 <= other and rows <= min(HELD, HELD_IN_TASK * tasks)
 
 
-def _keyed(df: DataFrame, start: str, stop: str, side: str, own: dict[int, int], other: dict[int, int]) -> DataFrame:
-    """df with the bins, by level and tag, in which its rows can meet rows of the other side's levels."""
+def _keyed(df: DataFrame, start: str, stop: str, side: str, own: dict[int, int], other: dict[int, int], fine: int = 0) -> DataFrame:
+    """df with the bins, by level and tag in one number, in which its rows can meet rows of the other side's levels."""
     at_own, coarser = (1, 2) if side == "l" else (2, 1)
     keys = []
     for p in LEVELS:
-        bins = lambda t, p=p: F.transform(F.sequence(F.shiftright(start, p), F.shiftright(stop, p)), lambda k: F.struct(F.lit(p).alias("p"), k.alias("bin"), F.lit(t).alias("tag")))
+        bins = lambda t, p=p: F.transform(F.sequence(F.shiftright(F.col(start).cast("long"), p), F.shiftright(F.col(stop).cast("long"), p)), lambda k: k * (1 << 8) + 4 * p + t)
         finer = any(q < p for q in other)
         # at its own level a row meets rows there (tag 1) and finer ones, at a coarser one the rows whose own level that is
         if p in own:
@@ -82,10 +92,9 @@ def _keyed(df: DataFrame, start: str, stop: str, side: str, own: dict[int, int],
                 keys.append(F.when(here, bins(at_own)).otherwise(F.array()))
         if p in other and any(q < p for q in own):
             keys.append(F.when(F.col(f"__{side}_level") < p, bins(coarser)).otherwise(F.array()))
-    keyed = df.where(F.col(start) <= F.col(stop)).withColumn(f"__{side}_level", _level(start, stop))
-    none = F.array().cast("array<struct<p:int,bin:bigint,tag:int>>")
-    keyed = keyed.withColumn("__key", F.explode(F.flatten(F.array(*keys)) if keys else none))
-    return keyed.withColumns({f"__{side}p": F.col("__key.p"), f"__{side}bin": F.col("__key.bin"), f"__{side}tag": F.col("__key.tag")}).drop("__key", f"__{side}_level")
+    keyed = df.where(F.col(start) <= F.col(stop)).withColumn(f"__{side}_level", _level(start, stop, fine))
+    none = F.array().cast("array<bigint>")
+    return keyed.withColumn(f"__{side}key", F.explode(F.flatten(F.array(*keys)) if keys else none)).drop(f"__{side}_level")
 
 
 def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
@@ -95,13 +104,23 @@ def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
 def overlap_join(left: DataFrame, right: DataFrame, residual: Column | None = None, left_on: tuple[str, str, str] = ("chrom", "start", "stop"), right_on: tuple[str, str, str] = ("chrom", "start", "stop"), prefix: str = "r_", sizes: tuple[dict[int, int], dict[int, int]] | None = None) -> DataFrame:
     """All pairs of overlapping intervals on the same chromosome; the right side's columns get prefix.
     residual: a further condition over both sides' columns; sizes: levels() of both sides, where they are known."""
-    own, other = sizes or levels((left, left_on[1], left_on[2]), (right, right_on[1], right_on[2]))
-    r = _keyed(_prefixed(right, prefix), prefix + right_on[1], prefix + right_on[2], "r", other, own)
-    a = _keyed(left, left_on[1], left_on[2], "l", own, other)
+    fine = [0, 0]
+    if sizes:
+        own, other = sizes
+    else:
+        both = _both_levels((left, left_on[1], left_on[2]), (right, right_on[1], right_on[2]))
+        rows = [sum(coarse.values()) for coarse, _ in both]
+        fine = [FINE if SMALL < n * FEWER <= m else 0 for n, m in (rows, rows[::-1])]
+        own, other = [finer if f else coarse for (coarse, finer), f in zip(both, fine)]
+    r = _keyed(_prefixed(right, prefix), prefix + right_on[1], prefix + right_on[2], "r", other, own, fine[1])
+    a = _keyed(left, left_on[1], left_on[2], "l", own, other, fine[0])
+    first = lambda p: F.greatest(F.shiftright(F.col(left_on[1]).cast("long"), p), F.shiftright(F.col(prefix + right_on[1]).cast("long"), p))
+    level, at = F.shiftright("__lkey", 2).bitwiseAND(63), F.lit(None).cast("long")
+    for p in LEVELS:
+        at = F.when(level == p, first(p)).otherwise(at)
     meets = (
-        (F.col(left_on[0]) == F.col(prefix + right_on[0])) & (F.col("__lp") == F.col("__rp")) & (F.col("__lbin") == F.col("__rbin")) & (F.col("__ltag") == F.col("__rtag"))
-        & (F.col(left_on[1]) <= F.col(prefix + right_on[2])) & (F.col(left_on[2]) >= F.col(prefix + right_on[1]))
-        & (F.col("__lbin") == F.greatest(F.expr(f"shiftright({left_on[1]}, __lp)"), F.expr(f"shiftright({prefix}{right_on[1]}, __lp)")))
+        (F.col(left_on[0]) == F.col(prefix + right_on[0])) & (F.col("__lkey") == F.col("__rkey"))
+        & (F.col(left_on[1]) <= F.col(prefix + right_on[2])) & (F.col(left_on[2]) >= F.col(prefix + right_on[1])) & (F.shiftright("__lkey", 8) == at)
     )
     n_left, n_right = sum(own.values()), sum(other.values())
     if n_right <= SMALL:
@@ -115,7 +134,7 @@ def overlap_join(left: DataFrame, right: DataFrame, residual: Column | None = No
     else:
         a = a.hint("merge")
     out = a.join(r, meets if residual is None else meets & residual)
-    return out.drop("__lp", "__lbin", "__ltag", "__rp", "__rbin", "__rtag")
+    return out.drop("__lkey", "__rkey")
 
 
 def _changes(right: DataFrame, right_on: tuple[str, str, str]) -> DataFrame:
