@@ -92,12 +92,17 @@ def top_alleles(clustered: DataFrame, keys: list[str], k: int = 2, least_share:
 def cluster_stats(clustered: DataFrame, keys: list[str], median_stop: bool = False) -> DataFrame:
     """Per cluster: trimmed modes of start, length and quality, the largest stop (or its trimmed mode), distinct reads and
     their names in order."""
+    # rows move once, to their cluster: quartiles by an unordered window, modes of those within them in place
     columns = ["start", "sv_len", "maq", *(["stop"] if median_stop else [])]
-    values = F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).cast("long").alias("value")) for c in columns])
-    modes = trimmed(clustered.select(*keys, F.explode(values).alias("__v")).select(*keys, F.col("__v.of").alias("__of"), F.col("__v.value").alias("value")), [*keys, "__of"], "value")
-    wide = modes.groupBy(*keys).agg(*[F.max(F.when(F.col("__of") == c, F.col("mode_value"))).alias(c) for c in columns])
-    rest = clustered.groupBy(*keys).agg(*([] if median_stop else [F.max("stop").alias("stop")]), F.count_distinct("query_name").alias("reads"), F.array_sort(F.collect_set("query_name")).alias("reads_id"))
-    return rest.join(wide, keys).withColumn("maq", F.col("maq").cast("int"))
+    rows = clustered.dropna(subset=keys).select(*keys, "query_name", *[F.col(c).cast("long").alias(f"__{c}") for c in columns], *([] if median_stop else ["stop"]))
+    cluster = Window.partitionBy(*keys)
+    rows = rows.withColumns({f"__q_{c}": F.percentile(f"__{c}", F.array(F.lit(0.25), F.lit(0.75))).over(cluster) for c in columns})
+    inside = lambda c: F.when((F.col(f"__{c}") >= F.col(f"__q_{c}")[0]) & (F.col(f"__{c}") <= F.col(f"__q_{c}")[1]), F.col(f"__{c}"))
+    # only of two different values does none lie within, and then the smaller one is the mode of all
+    modes = [F.coalesce(F.mode(inside(c), True), F.min(f"__{c}")).alias(c) for c in columns]
+    names = F.collect_set("query_name")
+    found = rows.groupBy(*keys).agg(*([] if median_stop else [F.max("stop").alias("stop")]), F.size(names).cast("long").alias("reads"), F.array_sort(names).alias("reads_id"), *modes)
+    return found.withColumn("maq", F.col("maq").cast("int"))
 
 
 def mean_quality(reads: DataFrame, keys: list[str]) -> DataFrame:

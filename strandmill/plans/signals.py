@@ -156,8 +156,10 @@ root AS (SELECT chrom, sv_type, island, win, j, up AS r FROM par WHERE up = j UN
 cl AS (SELECT b.*, CASE WHEN count(*) OVER (PARTITION BY b.chrom, b.sv_type, b.island, b.win, root.r) = 1 THEN -1 ELSE root.r END AS cluster FROM b JOIN root USING (chrom, sv_type, island, win, j))"""
 
 
-def _looked_back(spark: SparkSession, sf_dir: str) -> DataFrame:
-    win = windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER)
+def _looked_back(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """Clusters of signals with what makes them and more columns; others need not go to the workers."""
+    rows = sig(spark, sf_dir).select(*K, *KEYS, "start", "stop", "sv_len", *more)
+    win = windows.adaptive_windows(rows, KEYS, ORDER).drop("anchor")
     return lookback.look_back(win, [*KEYS, "island", "window"], ORDER, "high")
 
 
@@ -182,7 +184,7 @@ def _modes(column: str) -> str:
 @query(LOOKBACK + f""", g AS (SELECT chrom, sv_type, island, win, cluster, max(stop) AS stop, count(DISTINCT query_name) AS reads FROM cl GROUP BY ALL)
 SELECT g.chrom, g.sv_type, g.island, g.win AS "window", g.cluster, a.start, g.stop, c.sv_len, g.reads, d.maq FROM g JOIN {_modes("start")} a USING (chrom, sv_type, island, win, cluster) JOIN {_modes("sv_len")} c USING (chrom, sv_type, island, win, cluster) JOIN {_modes("maq")} d USING (chrom, sv_type, island, win, cluster)""")
 def sv_cluster_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clusters.cluster_stats(_looked_back(spark, sf_dir), [*KEYS, "island", "window", "cluster"]).drop("reads_id")
+    return clusters.cluster_stats(_looked_back(spark, sf_dir, "query_name", "maq"), [*KEYS, "island", "window", "cluster"]).drop("reads_id")
 
 
 @query(cte("sig") + """, o AS (SELECT *, row_number() OVER (PARTITION BY chrom, query_name ORDER BY start, sv_len DESC, k1, k2, k3, k4) AS p FROM sig),
