@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.operators import clusters, filters, genotypes, intervals, lookback, windows
+from strandmill.operators import clusters, filters, genotypes, intervals, lookback, runs, windows
 from strandmill.plans.catalog import query
 from strandmill.plans.projection import cte, spark_table
 
@@ -250,12 +250,15 @@ def sv_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Signals to accepted candidates, end to end: windows, those of enough reads, one row a read, clusters by looking
     back, the two largest of a window, trimmed statistics, depth at the breakpoint, acceptance."""
     window = [*KEYS, "island", "window"]
-    kept = windows.kept_windows(windows.adaptive_windows(sig(spark, sf_dir), KEYS, ORDER), KEYS, 6.0).drop("reads")
-    clustered = lookback.look_back(clusters.read_collapse(kept, window, K), window, ["sv_len", "svid"], "high")
+    rows = sig(spark, sf_dir).select(*K, *KEYS, "query_name", "start", "stop", "sv_len", "maq", "svid", "seq")
+    kept = windows.kept_windows(windows.adaptive_windows(rows, KEYS, ORDER).drop("anchor"), KEYS, 6.0).drop("reads")
+    # clusters, and then their statistics, are read several times and worked out once
+    clustered = runs.settled(lookback.look_back(clusters.read_collapse(kept, window, K).drop("seq", "n_signals"), window, ["sv_len", "svid"], "high").drop("svid"))
     largest = clusters.top_alleles(clustered, window).select(*window, "cluster")
     stats = clusters.cluster_stats(clustered.join(largest, [*window, "cluster"], "left_semi"), [*window, "cluster"]).drop("reads_id")
     low, high = clusters.probe_places(F.col("sv_type"), F.col("start"), F.col("sv_len"))
-    counted = intervals.count_overlaps(stats.withColumns({"low": low, "high": high}), spark_table(spark, sf_dir, "cov"), [*window, "cluster"], "depth", None, ("chrom", "low", "high"))
+    probes = runs.settled(stats.withColumns({"low": low, "high": high}))
+    counted = intervals.count_overlaps(probes, spark_table(spark, sf_dir, "cov"), [*window, "cluster"], "depth", None, ("chrom", "low", "high"))
     return clusters.accept(counted, 0.1).select("chrom", "sv_type", "start", "stop", "sv_len", "maq", "reads", "depth", "accepted", "sv_rate")
 
 
