@@ -120,7 +120,8 @@ def segment_pairs(segs: DataFrame, assembly: bool = False, least: int | None = N
     least = least if least is not None else 250 if assembly else 300
     enough = F.col("clip.mapped") >= least
     if assembly:
-        by = Window.partitionBy("qname").orderBy("chrom", "start", "flag", "stop")
+        # equal places go by clips and quality, so that reruns take the same piece
+        by = Window.partitionBy("qname").orderBy("chrom", "start", "flag", "stop", *[c for c in ("clip", "mapq") if c in segs.columns])
         first = segs.withColumns({"__k": F.row_number().over(by), "__own": F.min("flag").over(Window.partitionBy("qname"))}).where("__own <= 16").drop("__own")
         p, q = first.where("__k = 1").drop("__k"), first.where((F.col("__k") > 1) & enough).drop("__k")
     else:
