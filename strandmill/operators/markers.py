@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.functions.scalars import is_dna, round_half_even
+from strandmill.operators.runs import map_runs
 from strandmill.operators.sequences import chunked, slices
 
 BASES = ("A", "C", "G", "T")
@@ -230,6 +231,17 @@ def primer_candidates(templates: DataFrame, sizes: tuple[int, int] = (18, 25), t
     return ends.mapInPandas(run, "id string, side string, pos long, primer string, tm double, gc double")
 
 
+def pairable(templates: DataFrame, flank: int, size: int = 18, product: tuple[int, int] = (100, 1500)) -> DataFrame:
+    """templates without those of which no pair of primers of size letters at least in the flanks has a product within bounds."""
+    n = F.length("seq")
+    nearest = F.greatest(n - flank, F.lit(0)) - F.least(n, F.lit(flank)) + 2 * size
+    return templates.where((nearest <= product[1]) & (n >= product[0]) & (n - F.col("sv_size") >= product[0]))
+
+
+#: Templates whose pairs are worked out together.
+TEMPLATES = 64
+
+
 def best_primers(candidates: DataFrame, sizes: DataFrame, product: tuple[int, int] = (100, 1500), least_difference: int = 50) -> DataFrame:
     """The best-scored pair of each template (sizes: id, sv_size): product sizes of both alleles within bounds,
     score 100 less penalties for pairing above 45 degrees, melting points more than 3 apart and GC outside 40 to 60;
@@ -238,8 +250,7 @@ def best_primers(candidates: DataFrame, sizes: DataFrame, product: tuple[int, in
     gone = lambda gc: np.where(gc < 40, (40 - gc) * 0.5, np.where(gc > 60, (gc - 60) * 0.5, 0.0))
     names = ["pos", "primer", "tm", "gc"]
 
-    def best(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["pos", "primer"], kind="stable")
+    def pairs(group: pd.DataFrame) -> dict:
         front, back = (group[group["side"] == k].reset_index(drop=True) for k in ("forward", "reverse"))
         differ = int(group["sv_size"].iloc[0])
         ref = back["pos"].to_numpy()[None, :] - front["pos"].to_numpy()[:, None] + 1
@@ -248,30 +259,60 @@ def best_primers(candidates: DataFrame, sizes: DataFrame, product: tuple[int, in
         # pairs by what they could reach without pairing, the first by places and letters of equal ones, a block at a time
         open_ = np.flatnonzero(fits.ravel())
         open_ = open_[np.argsort(-bound.ravel()[open_], kind="stable")]
-        found, score, place = None, -math.inf, -1
-        low, many = 0, 32
-        while low < len(open_):
-            block = open_[low : low + many]
-            low, many = low + many, min(2 * many, TOGETHER)
-            first = bound.ravel()[block[0]]
-            if first < score or first == score and place < block[0]:  # equal bounds stand by place
-                break
-            i, j = np.divmod(block, len(back))
-            heats, energies = duplexes(front["primer"].to_numpy()[i].tolist(), back["primer"].to_numpy()[j].tolist())
-            own = bound.ravel()[block] - np.maximum(0.0, heats - 45) * 2
-            k = min(range(len(block)), key=lambda x: (-own[x], block[x]))
-            if own[k] > score or own[k] == score and block[k] < place:
-                score, place = float(own[k]), int(block[k])
-                f, r = front.iloc[i[k]], back.iloc[j[k]]
-                size = int(ref[i[k], j[k]])
-                found = (f["id"], *[f[n] for n in names], *[r[n] for n in names], differ, size, size - differ, float(heats[k]), float(energies[k]), score)
-        return pd.DataFrame([found] if found else [], columns=columns)
+        return {"front": front, "back": back, "differ": differ, "ref": ref, "bound": bound.ravel(), "open": open_, "low": 0, "many": 32, "score": -math.inf, "place": -1, "found": None}
+
+    def block(own: dict) -> np.ndarray:
+        """The template's next pairs, none once no bound reaches its best score."""
+        out = own["open"][own["low"] : own["low"] + own["many"]]
+        own["low"], own["many"] = own["low"] + own["many"], min(2 * own["many"], TOGETHER)
+        if len(out):
+            first = own["bound"][out[0]]
+            if first < own["score"] or first == own["score"] and own["place"] < out[0]:  # equal bounds stand by place
+                return out[:0]
+        return out
+
+    def weigh(own: dict, taken: np.ndarray, heats: np.ndarray, energies: np.ndarray) -> None:
+        score = own["bound"][taken] - np.maximum(0.0, heats - 45) * 2
+        k = min(range(len(taken)), key=lambda x: (-score[x], taken[x]))
+        if score[k] > own["score"] or score[k] == own["score"] and taken[k] < own["place"]:
+            own["score"], own["place"] = float(score[k]), int(taken[k])
+            i, j = divmod(int(taken[k]), len(own["back"]))
+            f, r = own["front"].iloc[i], own["back"].iloc[j]
+            size = int(own["ref"][i, j])
+            own["found"] = (f["id"], *[f[n] for n in names], *[r[n] for n in names], own["differ"], size, size - own["differ"], float(heats[k]), float(energies[k]), own["score"])
+
+    def together(state: list[dict]) -> None:
+        """Blocks of several templates are paired in one call, whose cost hangs little on their number."""
+        while state:
+            asked = [(own, taken) for own in state if len(taken := block(own))]
+            state = [own for own, _ in asked]
+            while asked:
+                n = max(1, int(np.searchsorted(np.cumsum([len(t) for _, t in asked]), TOGETHER, "right")))
+                part, asked = asked[:n], asked[n:]
+                forward, reverse = [], []
+                for own, taken in part:
+                    i, j = np.divmod(taken, len(own["back"]))
+                    forward += own["front"]["primer"].to_numpy()[i].tolist()
+                    reverse += own["back"]["primer"].to_numpy()[j].tolist()
+                heats, energies = duplexes(forward, reverse)
+                ends = np.cumsum([len(t) for _, t in part])
+                for (own, taken), high in zip(part, ends):
+                    weigh(own, taken, heats[high - len(taken) : high], energies[high - len(taken) : high])
+
+    def best(rows: pd.DataFrame) -> pd.DataFrame:
+        found: list[tuple] = []
+        groups = [g for _, g in rows.groupby("__run", sort=True)]
+        for k in range(0, len(groups), TEMPLATES):
+            state = [pairs(g) for g in groups[k : k + TEMPLATES]]
+            together(state)
+            found += [own["found"] for own in state if own["found"]]
+        return pd.DataFrame(found, columns=columns)
 
     kinds = {"pos": "long", "primer": "string", "tm": "double", "gc": "double"}
     made = [("id", "string"), *[(p + n, kinds[n]) for p in ("f_", "r_") for n in names], ("sv_size", "long"), ("ref_size", "long"), ("alt_size", "long"), ("pair_tm", "double"), ("pair_dg", "double"), ("score", "double")]
     columns = [n for n, _ in made]
     rows = candidates.join(sizes.where(F.abs("sv_size") >= least_difference).select("id", "sv_size"), "id")
-    return rows.groupBy("id").applyInPandas(best, ", ".join(f"{n} {t}" for n, t in made))
+    return map_runs(rows, ["id"], ["pos", "primer"], best, ", ".join(f"{n} {t}" for n, t in made))
 
 
 def outermost_primers(candidates: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -590,7 +590,7 @@ def _primer_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(None)
 def primer_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The best pair of primers of each sequence, of all pairs; tests compare it with plain Python."""
-    rows = _primer_templates(spark, sf_dir)
+    rows = markers.pairable(_primer_templates(spark, sf_dir), flank=120)
     return markers.best_primers(markers.primer_candidates(rows, flank=120), rows).select("id", "f_pos", "f_primer", "r_pos", "r_primer", "ref_size", "alt_size", "score")
 
 
